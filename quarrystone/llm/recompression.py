@@ -36,8 +36,8 @@ from ..storage import materialize, ship
 
 WINDOW = 13
 ROUNDS = 3
-CHUNK_BYTES = 4 << 20  # bytes of text in a chunk
-BUCKET_BYTES = 16 << 20  # bytes of text for which there is a bucket of names
+CHUNK_BYTES = 2 << 20  # bytes of text in a chunk
+BUCKET_BYTES = 8 << 20  # bytes of text for which there is a bucket of names
 NO_ID = np.iinfo(np.int64).max
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64's constants
@@ -140,6 +140,11 @@ def window_names(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, n
     return out[0], out[1]
 
 
+def _planes(codes: np.ndarray) -> bytes:
+    """The bytes of the codes by significance: common words have small codes, so the higher ones are mostly zero."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
 def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
     """ids, word counts, codes, vocabulary and the vocabulary's names of a chunk."""
     import xxhash
@@ -148,7 +153,21 @@ def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes
     unzip = zstandard.ZstdDecompressor().decompress
     vocabulary = unzip(row["vocabulary"]).split()
     names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
-    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["counts"], np.int64), np.frombuffer(unzip(row["codes"]), np.uint32), vocabulary, names
+    planes = np.frombuffer(unzip(row["codes"]), np.uint8).reshape(4, -1)
+    codes = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["counts"], np.int32).astype(np.int64), codes, vocabulary, names
+
+
+def _pack_ids(ids: np.ndarray) -> bytes:
+    """The least id, then 32-bit distances from it, or 64-bit ones if they need it."""
+    base = int(ids.min(initial=NO_ID))
+    wide = len(ids) and int(ids.max()) - base >= 1 << 32
+    return np.array([base, 8 if wide else 4], np.int64).tobytes() + (ids - base).astype(np.int64 if wide else np.uint32).tobytes()
+
+
+def _unpack_ids(data: bytes) -> np.ndarray:
+    base, width = np.frombuffer(data[:16], np.int64)
+    return np.frombuffer(data[16:], np.int64 if width == 8 else np.uint32).astype(np.int64) + base
 
 
 class ChunkWindows:
@@ -159,13 +178,25 @@ class ChunkWindows:
         self.words = names[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
         ends = np.cumsum(self.counts)
-        self.start = np.arange(len(self.words))[np.arange(len(self.words)) + window <= np.repeat(ends, self.counts)]
-        self.anchor = anchors(self.words, self.doc, window)[self.start] if len(self.start) else np.zeros(0, np.uint64)
+        at = np.arange(len(self.words))
+        self.start = at[at + window <= np.repeat(ends, self.counts)]
+
+    def copies(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Documents that hold a window, in the order of two names of their whole word sequence."""
+        import xxhash
+
+        docs = np.flatnonzero(self.counts >= window)
+        heads = np.cumsum(self.counts) - self.counts
+        digests = b"".join(xxhash.xxh3_128_digest(self.words[heads[d] : heads[d] + self.counts[d]].tobytes()) for d in docs)
+        h = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        order = np.lexsort((h[:, 1], h[:, 0]))
+        return h[order, 0], h[order, 1], docs[order]
 
-    def names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def names(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each anchor once, in order; whether two documents of the chunk hold it; the place of each window's anchor or -1."""
-        has = np.flatnonzero(self.anchor)
-        keys = mix(self.anchor[has])
+        own = anchors(self.words, self.doc, window)[self.start] if len(self.start) else np.zeros(0, np.uint64)
+        has = np.flatnonzero(own)
+        keys = mix(own[has])
         order = np.argsort(keys, kind="stable")
         sorted_keys, docs = keys[order], self.doc[self.start[has]][order]
         head = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
@@ -179,7 +210,7 @@ class ChunkWindows:
         """Each chosen window's content once: two names, its smallest id in the chunk; and the place of each chosen window."""
         h1, h2 = window_names(self.words, window)
         at = self.start[chosen]
-        h1, h2, ids = h1[at], h2[at], self.ids[self.doc[at]]
+        h1, h2, ids = h1[at], h2[at] >> np.uint64(32), self.ids[self.doc[at]]
         order = np.lexsort((h2, h1))
         a, b = h1[order], h2[order]
         head = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
@@ -199,10 +230,10 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], cut)), np.concatenate((cut, [len(keys)]))
 
 
-def _gather(parts: list[dict], buckets: int) -> np.ndarray:
+def _gather(parts: list[dict], buckets: range) -> np.ndarray:
     """The bits that came back to a chunk, in the order of its sorted keys."""
     by = {p["bucket"]: p for p in parts or []}
-    got = [np.unpackbits(np.frombuffer(by[k]["bits"], np.uint8), count=by[k]["n"]) for k in range(buckets) if k in by]
+    got = [np.unpackbits(np.frombuffer(by[k]["bits"], np.uint8), count=by[k]["n"]) for k in buckets if k in by]
     return np.concatenate(got).astype(bool) if got else np.zeros(0, bool)
 
 
@@ -213,12 +244,12 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
         import zstandard
         from pyspark import TaskContext
 
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         part, number = TaskContext.get().partitionId(), 0
 
         def done(ids: list, texts: list[bytes]) -> pa.RecordBatch:
             codes: dict[bytes, int] = {}
-            each, counts = [], []
+            each, counts = [np.zeros(0, np.uint32)], []
             for t in texts:
                 w = t.split()
                 counts.append(len(w))
@@ -227,7 +258,11 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
                         codes[x] = len(codes)
                 each.append(np.fromiter(map(codes.__getitem__, w), np.uint32, len(w)))
             own = np.array([NO_ID if i is None else i for i in ids], np.int64)
-            row = [(part << 40) + number, own.tobytes(), np.array(counts, np.int64).tobytes(), squeeze(np.concatenate(each).tobytes()), squeeze(b" ".join(codes))]
+            every, vocabulary = np.concatenate(each), [*codes]
+            order = np.argsort(-np.bincount(every, minlength=len(codes)), kind="stable")  # the commonest first
+            place = np.empty(len(codes), np.uint32)
+            place[order] = np.arange(len(codes), dtype=np.uint32)
+            row = [(part << 40) + number, own.tobytes(), np.array(counts, np.int32).tobytes(), squeeze(_planes(place[every])), squeeze(b" ".join([vocabulary[k] for k in order.tolist()]))]
             return pa.record_batch([pa.array([row[0]], pa.int64()), *(pa.array([x], pa.binary()) for x in row[1:])], ["chunk", "ids", "counts", "codes", "vocabulary"])
 
         ids, texts, held = [], [], 0
@@ -245,12 +280,12 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "chunk long, ids binary, counts binary, codes binary, vocabulary binary")
 
 
-_SENT = "bucket int, chunk long, a binary, b binary, c binary"
-_BACK = "chunk long, bucket int, n int, bits binary"
+_SENT = "bucket long, chunk long, a binary, b binary, c binary"
+_BACK = "chunk long, bucket long, n int, bits binary"
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["bucket", "chunk", "a", "b", "c"])
 
 
@@ -258,6 +293,18 @@ def _back(table: pa.Table, flags: list[np.ndarray]) -> pa.Table:
     return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": pa.array([len(f) for f in flags], pa.int32()), "bits": pa.array([np.packbits(f).tobytes() for f in flags], pa.binary())})
 
 
+def _first_exchange(buckets: int):  # noqa: ANN202
+    """Buckets of anchors, then as many of whole documents."""
+    return lambda table: (_shared_anchors if table["bucket"][0].as_py() < buckets else _earlier)(table)
+
+
+def _second_exchange(table: pa.Table) -> pa.Table:
+    """Buckets of windows; a negative one hands a chunk's choice of windows on."""
+    if table["bucket"][0].as_py() >= 0:
+        return _earlier(table)
+    return _back(table, [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table["a"].to_pylist(), (int.from_bytes(y, "little") for y in table["b"].to_pylist()), strict=True)])
+
+
 def _shared_anchors(table: pa.Table) -> pa.Table:
     """Which of the anchors of a bucket more than one document holds."""
     keys = [np.frombuffer(x, np.uint64) for x in table["a"].to_pylist()]
@@ -276,11 +323,11 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
     return _back(table, np.split(flag, np.cumsum([len(k) for k in keys])[:-1]))
 
 
-def _earlier_windows(table: pa.Table) -> pa.Table:
-    """Which of the windows of a bucket a document has with a smaller id than any in the chunk."""
+def _earlier(table: pa.Table) -> pa.Table:
+    """Which of the windows (or whole documents) of a bucket a document with a smaller id has, too."""
     h1 = [np.frombuffer(x, np.uint64) for x in table["a"].to_pylist()]
-    a, b = np.concatenate(h1), np.concatenate([np.frombuffer(x, np.uint64) for x in table["b"].to_pylist()])
-    ids = np.concatenate([np.frombuffer(x, np.int64) for x in table["c"].to_pylist()])
+    a, b = np.concatenate(h1), np.concatenate([np.frombuffer(x, np.uint32) for x in table["b"].to_pylist()])
+    ids = np.concatenate([_unpack_ids(x) for x in table["c"].to_pylist()])
     order = np.lexsort((b, a))
     x, y = a[order], b[order]
     flag = np.zeros(len(a), bool)
@@ -298,49 +345,58 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     chunks = materialize(pack(docs, id_col, text_col, chunk_bytes), "chunks")
     total = chunks.count() * chunk_bytes
     buckets = max(1, -(-total // bucket_bytes))
-    bits = lambda df, name: df.groupBy(F.col("chunk").alias("c")).agg(F.collect_list(F.struct("bucket", "n", "bits")).alias(name))  # noqa: E731  a row for each bucket at most
+    windows = 4 * buckets  # windows take more bytes than anchors
+    parts = lambda df: df.groupBy(F.col("chunk").alias("c")).agg(F.collect_list(F.struct("bucket", "n", "bits")).alias("parts"))  # noqa: E731  a row for each bucket at most
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, several, _ = ChunkWindows(row, window).names()
+                c = ChunkWindows(row, window)
+                keys, several, _ = c.names(window)
                 rows = [(k, row["chunk"], keys[x:y].tobytes(), np.packbits(several[x:y]).tobytes(), b"") for k, (x, y) in enumerate(zip(*_by_bucket(keys, buckets), strict=True)) if y > x]
+                h1, h2, docs = c.copies(window)
+                h2, ids = (h2 >> np.uint64(32)).astype(np.uint32), c.ids[docs]
+                rows += [(buckets + k, row["chunk"], h1[x:y].tobytes(), h2[x:y].tobytes(), _pack_ids(ids[x:y])) for k, (x, y) in enumerate(zip(*_by_bucket(h1, buckets), strict=True)) if y > x]
                 if rows:
                     yield _sent(rows)
 
-    shared = materialize(chunks.mapInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(_shared_anchors, _BACK), "anchors")
-
-    def chosen_of(row: dict) -> tuple[ChunkWindows, np.ndarray]:
-        c = ChunkWindows(row, window)
-        _, _, place = c.names()
-        flag = np.append(_gather(row["anchor_bits"], buckets), True)  # windows without an anchor, at -1, are verified
-        return c, np.flatnonzero(flag[place])
+    first = materialize(chunks.mapInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(_first_exchange(buckets), _BACK), "anchors")
 
     def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                c, chosen = chosen_of(row)
-                h1, h2, least, _ = c.candidates(window, chosen)
-                rows = [(k, row["chunk"], h1[x:y].tobytes(), h2[x:y].tobytes(), least[x:y].tobytes()) for k, (x, y) in enumerate(zip(*_by_bucket(h1, buckets), strict=True)) if y > x]
-                if rows:
-                    yield _sent(rows)
-
-    first = chunks.join(bits(shared, "anchor_bits"), F.col("chunk") == F.col("c"), "left").drop("c")
-    earlier = materialize(first.mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_earlier_windows, _BACK), "windows")
+                c = ChunkWindows(row, window)
+                _, _, place = c.names(window)
+                shared = np.append(_gather(row["parts"], range(buckets)), True)[place]  # windows without an anchor, at -1, are verified
+                _, _, docs = c.copies(window)
+                copied = np.zeros(len(c.counts), bool)  # of a document with a smaller id: all words go
+                copied[docs] = _gather(row["parts"], range(buckets, 2 * buckets))
+                chosen = shared & ~copied[c.doc[c.start]]
+                h1, h2, least, _ = c.candidates(window, np.flatnonzero(chosen))
+                h2 = h2.astype(np.uint32)
+                rows = [(k, row["chunk"], h1[x:y].tobytes(), h2[x:y].tobytes(), _pack_ids(least[x:y])) for k, (x, y) in enumerate(zip(*_by_bucket(h1, windows), strict=True)) if y > x]
+                for mark, bits in ((0, chosen), (1, copied)):
+                    rows.append((-1 - 2 * row["chunk"] - mark, row["chunk"], np.packbits(bits).tobytes(), len(bits).to_bytes(8, "little"), b""))
+                yield _sent(rows)
+
+    met = chunks.join(parts(first), F.col("chunk") == F.col("c"), "left").drop("c")
+    second = materialize(met.mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_second_exchange, _BACK), "windows")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                c, chosen = chosen_of(row)
+                c = ChunkWindows(row, window)
+                mine = lambda mark, r=row: _gather(r["parts"], range(-1 - 2 * r["chunk"] - mark, -2 * r["chunk"] - mark))
+                chosen, copied = np.flatnonzero(mine(0)), mine(1)
                 _, _, least, place = c.candidates(window, chosen)
-                before = _gather(row["window_bits"], buckets)
+                before = _gather(row["parts"], range(windows))
                 at = c.start[chosen]
                 if len(at):
                     at = at[before[place] | (least[place] < c.ids[c.doc[at]])]
                 marks = np.zeros(len(c.words) + 1, np.int32)
                 np.add.at(marks, at, 1)
                 np.add.at(marks, at + window, -1)
-                gone = np.cumsum(marks[:-1]) > 0
+                gone = (np.cumsum(marks[:-1]) > 0) | copied[c.doc]
                 texts, removed, x = [], [], 0
                 word = c.vocabulary.__getitem__
                 for n in c.counts.tolist():
@@ -351,5 +407,5 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
                 ids = [None if i == NO_ID else i for i in c.ids.tolist()]
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(c.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], [id_col, "n_words", "n_removed", "kept_text"])
 
-    second = first.join(bits(earlier, "window_bits"), F.col("chunk") == F.col("c"), "left").drop("c")
-    return second.mapInArrow(remove, f"`{id_col}` long, n_words long, n_removed long, kept_text string")
+    done = chunks.join(parts(second), F.col("chunk") == F.col("c"), "left").drop("c")
+    return done.mapInArrow(remove, f"`{id_col}` long, n_words long, n_removed long, kept_text string")
