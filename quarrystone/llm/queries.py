@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import table
-from . import bpe, fm_index, host_rules, line_templates, recompression, secrets, sharding, warc
+from . import bpe, chosen_path, fm_index, host_rules, line_templates, recompression, secrets, sharding, warc
 
 SHARDS = 8
 
@@ -31,6 +31,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_novel")
@@ -70,7 +74,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_decontaminate, op4_secrets, op6_warc, op7_host_rules, op8_recompression, op9_line_templates, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_decontaminate, op3_jaccard_join, op4_secrets, op6_warc, op7_host_rules, op8_recompression, op9_line_templates, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

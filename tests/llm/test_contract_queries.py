@@ -84,3 +84,9 @@ def test_op10(spark, sf, docs):
         ids = plain.encode_ordinary(t or "")
         want.append((i, len(ids), brute.sha(struct.pack(f"<{len(ids)}I", *ids)), brute.sha(t or "")))
     assert rows(q.op10_byte_bpe(spark, sf), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want)
+
+
+def test_op3(spark, sf, docs):
+    got = rows(q.op3_jaccard_join(spark, sf), "doc_id", "class_id", "n_links")
+    want = sorted(brute.near(docs))
+    assert got == want and any(r[2] for r in got)
