@@ -24,44 +24,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = r"[^\x20\x09-\x0D]+"
+from ..storage import materialize
+
+BLANKS = " \t\x0B\f\r"
+#: A token with a digit: begun where a token begins, without steps back, so that long tokens cost no more than their length.
+VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 DEPTH = 3  # leading tokens in the tree
 SEGMENTS = 3  # stretches of the rest, one of which a template leaves free
 MIN_TOKENS = 6
 MIN_DOCS = 3
 
 
-def _keys(line: Column) -> Column:
-    """Two 64-bit keys of each template of a line: array<struct<k1, k2>>, empty for short lines."""
-    raw = F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0))
+def _keys(line: Column, pos: Column) -> Column:
+    """Two 64-bit keys of each template of a masked line: array<struct<k1, k2, pos>>, empty for short lines."""
+    tokens = F.split(F.trim(line, F.lit(BLANKS)), r"[ \t\x0B\f\r]+")
 
     def of(t: Column) -> Column:
         n = F.size(t)
-        part = lambda j: F.slice(t, F.lit(DEPTH + 1) + F.floor((n - DEPTH) * j / SEGMENTS).cast("int"), (F.floor((n - DEPTH) * (j + 1) / SEGMENTS) - F.floor((n - DEPTH) * j / SEGMENTS)).cast("int"))
+        edge = lambda j: F.lit(DEPTH) + F.floor((n - DEPTH) * j / SEGMENTS).cast("int")
+        part = lambda j: F.slice(t, edge(j) + 1, edge(j + 1) - edge(j))
         lead = F.slice(t, 1, DEPTH)
         kept = lambda j: [part(i) for i in range(SEGMENTS) if i != j]
-        return F.when(n >= MIN_TOKENS, F.array(*(
-            F.struct(F.xxhash64(F.lit(j), n, lead, *kept(j)).alias("k1"), F.xxhash64(*kept(j), lead, n, F.lit(-1 - j)).alias("k2"))
+        each = (
+            F.struct(F.xxhash64(F.lit(j), n, lead, *kept(j)).alias("k1"), F.xxhash64(*kept(j), lead, n, F.lit(-1 - j)).alias("k2"), pos.alias("pos"))
             for j in range(SEGMENTS)
-        ))).otherwise(F.array().cast("array<struct<k1:bigint,k2:bigint>>"))
+        )
+        return F.when(n >= MIN_TOKENS, F.array(*each)).otherwise(F.array().cast("array<struct<k1:bigint,k2:bigint,pos:int>>"))
 
-    masked = F.transform(raw, lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))
-    return F.get(F.transform(F.array(masked), of), F.lit(0))  # a lambda, so that the tokens are made once
+    return F.get(F.transform(F.array(tokens), of), F.lit(0))  # a lambda, so that the tokens are made once
 
 
 def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(k1, k2, pos, id, th): each template of each line of each row."""
-    lines = F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line")
-    base = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), lines)
-    return base.select("id", "th", "pos", F.explode(_keys(F.col("line"))).alias("k")).select("k.k1", "k.k2", "pos", "id", "th")
+    """(id, th, keys): the templates (k1, k2, pos) of all lines of each row that has any."""
+    text = F.col(text_col)
+    masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, VARIABLE, "<*>")).otherwise(text)
+    return (
+        docs.where(text.isNotNull())
+        .select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.flatten(F.transform(F.split(masked, "\n"), _keys)).alias("keys"))
+        .where(F.size("keys") > 0)
+    )
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def recurring(held: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(k1, k2, docs, first): templates that at least min_docs documents hold, and the smallest id among those."""
-    own = F.array_distinct(F.flatten(F.transform(F.split(F.col(text_col), "\n"), _keys)))
+    own = F.array_distinct(F.transform("keys", lambda k: F.struct(k["k1"].alias("k1"), k["k2"].alias("k2"))))
     return (
-        docs.where(F.col(text_col).isNotNull())
-        .select(F.col(id_col).alias("id"), F.explode(own).alias("k"))
+        held.select("id", F.explode(own).alias("k"))
         .groupBy("k.k1", "k.k2")
         .agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
         .where(F.col("docs") >= min_docs)
@@ -70,9 +78,11 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, n_lines, n_dropped, kept_text) for each row of docs."""
-    known = recurring(docs, min_docs, id_col, text_col)
+    held = materialize(templates(docs, id_col, text_col), "templates")
+    known = recurring(held, min_docs)
     gone = (
-        templates(docs, id_col, text_col)
+        held.select("id", "th", F.explode("keys").alias("k"))
+        .select("k.k1", "k.k2", "k.pos", "id", "th")
         .join(known.select("k1", "k2", "first"), ["k1", "k2"])
         .where(~F.col("id").eqNullSafe(F.col("first")))
         .groupBy(F.col("id").alias("gone_id"), F.col("th").alias("gone_th"))
