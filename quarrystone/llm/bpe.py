@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from ..storage import ship
 
-KEPT_PRE_TOKENS = 400_000  # entries of a worker's cache of pre-tokens; it is emptied beyond
+KEPT_PRE_TOKENS = 200_000  # entries of a worker's cache of pre-tokens; it is emptied beyond
 KEPT_LENGTH = 48  # characters of a pre-token that is kept in the cache
 
 
@@ -130,6 +130,22 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary")
 
 
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, decoded): encode, then decode the ids, in one worker (one codec in memory)."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(rank_path, pattern)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                ids = [codec.encode(t or "") for t in b[1].to_pylist()]
+                yield pa.record_batch([b[0], pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.binary())], [id_col, "ids", "decoded"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary, decoded binary")
+
+
 def decode(encoded: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
     """(id, ids, decoded): the bytes for which the ids stand."""
     ship(encoded.sparkSession)

@@ -64,7 +64,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokenizers
 
     ranks, pattern = str(tokenizers.path("byte_bpe_50k.tiktoken")), tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), ranks, pattern)
     return coded.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
