@@ -316,3 +316,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             yield pa.record_batch([b[0], pa.array(counts, pa.int64()), pa.array(spans, span), pa.array([x or [] for x in b[3].to_pylist()], pa.list_(pa.string())), pa.array(clean, pa.string())], names)
 
     return rows.select(F.col("key.id").alias(id_col), "text", "spans", "items").mapInArrow(close, f"`{id_col}` {kind}, n_words long, spans array<struct<start:long,end:long>>, items array<string>, clean_text string")
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with all columns, their texts without the spans of benchmark phrases."""
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col))
+    found = decontaminate(docs.select(others.alias("doc"), F.col(text_col).alias("text")), benchmark, "doc", "text")
+    return found.select(*(F.col("clean_text").alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns))

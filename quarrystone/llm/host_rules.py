@@ -27,7 +27,7 @@ LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1e6  # bounds of the prior's weight in docu
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(id, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words) of each row."""
+    """(id, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words) of each row; id can be a struct."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     split = docs.select(
         F.col(id_col).alias("id"),
@@ -105,3 +105,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
         .withColumnRenamed("id", id_col)
         .drop("judged_host")
     )
+
+
+def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+    """The rows of docs that are kept, with all their columns; each row travels with its features, so nothing is joined back by id."""
+    whole = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"), F.col(host_col).alias("host"))
+    return judge(whole, "doc", "text", "host", limit).where("kept").select("doc.*")

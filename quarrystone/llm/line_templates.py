@@ -76,8 +76,8 @@ def recurring(held: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     )
 
 
-def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, n_lines, n_dropped, kept_text) for each row of docs."""
+def _decided(docs: DataFrame, min_docs: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc, id, text, lines, gone, kept_text): each row of docs as a struct, and the places of its lines that go."""
     held = materialize(templates(docs, id_col, text_col), "templates")
     known = recurring(held, min_docs)
     gone = (
@@ -88,15 +88,26 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc
         .groupBy(F.col("id").alias("gone_id"), F.col("th").alias("gone_th"))
         .agg(F.collect_set("pos").alias("gone"))
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col))
+    rows = docs.select(others.alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
     met = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("th") == F.col("gone_th")), "left").withColumn("lines", F.split("text", "\n"))
-    lines = F.col("lines")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
-    return met.select(
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+    return met.select("doc", "id", "text", "lines", "gone", kept.alias("kept_text"))
+
+
+def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, n_lines, n_dropped, kept_text) for each row of docs."""
+    return _decided(docs, min_docs, id_col, text_col).select(
         F.col("id").alias(id_col),
         F.col("text").alias(text_col),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
-        kept.alias("kept_text"),
+        "kept_text",
     )
+
+
+def without_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with all columns, their texts without the lines that go."""
+    left = _decided(docs, min_docs, id_col, text_col)
+    return left.select(*(F.col("kept_text").alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns))

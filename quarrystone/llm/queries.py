@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import table
-from . import bpe, chosen_path, fm_index, host_rules, line_templates, recompression, secrets, sharding, warc
+from . import bpe, chosen_path, fm_index, host_rules, line_templates, recompression, secrets, sharding, surrogates, warc
 
 SHARDS = 8
+SURROGATE_KEY = "registered-query-key"  # a caller keeps its own key secret
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_novel")
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -74,7 +79,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_decontaminate, op3_jaccard_join, op4_secrets, op6_warc, op7_host_rules, op8_recompression, op9_line_templates, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_decontaminate, op3_jaccard_join, op4_secrets, op5_surrogates, op6_warc, op7_host_rules, op8_recompression, op9_line_templates, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

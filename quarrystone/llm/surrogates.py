@@ -43,7 +43,7 @@ _WORD = r"\p{Lu}[\p{Ll}\p{M}]+"
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.[0-9])",
-    "phone": rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,5}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_NO_AFTER}|{_NO_BEFORE}\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_NO_AFTER}|{_NO_BEFORE}[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}{_NO_AFTER}",
+    "phone": rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,5}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_NO_AFTER}|{_NO_BEFORE}(?:1[ .-]?)?\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_NO_AFTER}|{_NO_BEFORE}[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}{_NO_AFTER}",
     "ssn": rf"{_NO_BEFORE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_NO_AFTER}",
     "card": rf"{_NO_BEFORE}[0-9](?:[ -]?[0-9]){{12,18}}{_NO_AFTER}",
     "iban": rf"{_NO_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_NO_AFTER}",
