@@ -8,10 +8,12 @@ executor that wrote it, and it cuts the lineage of what follows.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
@@ -43,6 +45,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Keep df on the executors' disks for the jobs that read it again.
+
+    Lost blocks are made again from their lineage, so df must give the same rows
+    in the same order whenever it is run: see replayable().
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
+def replayable(df: DataFrame) -> DataFrame:
+    """df if each of its partitions is read straight from storage; else a written table of it.
+
+    After an exchange rows can come in another order when a task is run again;
+    what numbers rows by their place needs an input that doesn't.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    direct = re.search("Exchange|Sort|Aggregate|Join|Window|Limit|Sample|Existing|LocalTable|InMemory", plan) is None
+    return df if direct else materialize(df, "input")
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers (once per application)."""
     sc = spark.sparkContext
