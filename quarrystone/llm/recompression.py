@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize, ship
+from ..storage import keep, replayable, ship
 
 WINDOW = 13
 ROUNDS = 3
-CHUNK_BYTES = 2 << 20  # bytes of text in a chunk
-BUCKET_BYTES = 8 << 20  # bytes of text for which there is a bucket of names
+CHUNK_BYTES = 1 << 20  # bytes of text in a chunk
+BUCKET_BYTES = 16 << 20  # bytes of text for which there is a bucket of names
 NO_ID = np.iinfo(np.int64).max
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64's constants
@@ -277,7 +277,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
         if ids:
             yield done(ids, texts)
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "chunk long, ids binary, counts binary, codes binary, vocabulary binary")
+    return docs.select(id_col, text_col).mapInArrow(run, "chunk long, ids binary, counts binary, codes binary, vocabulary binary")
 
 
 _SENT = "bucket long, chunk long, a binary, b binary, c binary"
@@ -342,10 +342,10 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     """(id, n_words, n_removed, kept_text) for each row: without words of windows that a document with a smaller id also has."""
     spark = docs.sparkSession
     ship(spark)
-    chunks = materialize(pack(docs, id_col, text_col, chunk_bytes), "chunks")
+    chunks = keep(pack(replayable(docs.select(F.col(id_col).cast("long").alias(id_col), text_col)), id_col, text_col, chunk_bytes))
     total = chunks.count() * chunk_bytes
     buckets = max(1, -(-total // bucket_bytes))
-    windows = 4 * buckets  # windows take more bytes than anchors
+    windows = 2 * buckets  # windows take more bytes than anchors
     parts = lambda df: df.groupBy(F.col("chunk").alias("c")).agg(F.collect_list(F.struct("bucket", "n", "bits")).alias("parts"))  # noqa: E731  a row for each bucket at most
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +360,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
                 if rows:
                     yield _sent(rows)
 
-    first = materialize(chunks.mapInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(_first_exchange(buckets), _BACK), "anchors")
+    first = keep(chunks.mapInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(_first_exchange(buckets), _BACK))
 
     def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,7 +380,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
                 yield _sent(rows)
 
     met = chunks.join(parts(first), F.col("chunk") == F.col("c"), "left").drop("c")
-    second = materialize(met.mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_second_exchange, _BACK), "windows")
+    second = keep(met.mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_second_exchange, _BACK))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
