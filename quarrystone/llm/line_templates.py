@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..storage import keep
 
-BLANKS = " \t\x0B\f\r"
+UNEVEN = r"[\t\x0B\f\r]|\x20\x20"  # what isn't a single space between tokens
 #: A token with a digit: begun where a token begins, without steps back, so that long tokens cost no more than their length.
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 DEPTH = 3  # leading tokens in the tree
@@ -35,29 +35,43 @@ MIN_TOKENS = 6
 MIN_DOCS = 3
 
 
+def _once(value: Column, then) -> Column:  # noqa: ANN001
+    """then(value), with the value made once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _keys(line: Column, pos: Column) -> Column:
-    """Two 64-bit keys of each template of a masked line: array<struct<k1, k2, pos>>, empty for short lines."""
-    tokens = F.split(F.trim(line, F.lit(BLANKS)), r"[ \t\x0B\f\r]+")
-
-    def of(t: Column) -> Column:
-        n = F.size(t)
-        edge = lambda j: F.lit(DEPTH) + F.floor((n - DEPTH) * j / SEGMENTS).cast("int")
-        part = lambda j: F.slice(t, edge(j) + 1, edge(j + 1) - edge(j))
-        lead = F.slice(t, 1, DEPTH)
-        kept = lambda j: [part(i) for i in range(SEGMENTS) if i != j]
-        each = (
-            F.struct(F.xxhash64(F.lit(j), n, lead, *kept(j)).alias("k1"), F.xxhash64(*kept(j), lead, n, F.lit(-1 - j)).alias("k2"), pos.alias("pos"))
+    """Two 64-bit keys of each template of a masked, evenly spaced line: array<struct<k1, k2, pos>>, empty for short lines.
+
+    Stretches are cut out by counting spaces, so that no token becomes a value of its own.
+    """
+    empty = F.array().cast("array<struct<k1:bigint,k2:bigint,pos:int>>")
+
+    def cut(x: Column) -> Column:
+        edge = lambda j: F.lit(DEPTH) + F.floor((x["n"] - DEPTH) * j / SEGMENTS).cast("int")
+        heads = F.struct(x["n"].alias("n"), *(F.call_function("substring_index", x["l"], F.lit(" "), edge(j)).alias(f"h{j}") for j in range(SEGMENTS)), x["l"].alias(f"h{SEGMENTS}"))
+        return F.when(x["n"] >= MIN_TOKENS, _once(heads, parts)).otherwise(empty)
+
+    def parts(h: Column) -> Column:
+        rest = lambda j: F.substring(h[f"h{j + 1}"], F.length(h[f"h{j}"]) + 2, F.length(h[f"h{j + 1}"]))
+        return _once(F.struct(h["n"].alias("n"), h["h0"].alias("lead"), *(rest(j).alias(f"p{j}") for j in range(SEGMENTS))), hashed)
+
+    def hashed(p: Column) -> Column:
+        kept = lambda j: [p[f"p{i}"] for i in range(SEGMENTS) if i != j]
+        return F.array(*(
+            F.struct(F.xxhash64(F.lit(j), p["n"], p["lead"], *kept(j)).alias("k1"), F.xxhash64(*kept(j), p["lead"], p["n"], F.lit(-1 - j)).alias("k2"), pos.alias("pos"))
             for j in range(SEGMENTS)
-        )
-        return F.when(n >= MIN_TOKENS, F.array(*each)).otherwise(F.array().cast("array<struct<k1:bigint,k2:bigint,pos:int>>"))
+        ))
 
-    return F.get(F.transform(F.array(tokens), of), F.lit(0))  # a lambda, so that the tokens are made once
+    trimmed = F.trim(line)
+    return _once(F.struct(trimmed.alias("l"), (F.octet_length(trimmed) - F.octet_length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1).alias("n")), cut)
 
 
 def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, keys): the templates (k1, k2, pos) of all lines of each row that has any."""
     text = F.col(text_col)
     masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, VARIABLE, "<*>")).otherwise(text)
+    masked = F.when(masked.rlike(UNEVEN), F.regexp_replace(masked, r"[\x20\t\x0B\f\r]+", " ")).otherwise(masked)
     return (
         docs.where(text.isNotNull())
         .select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.flatten(F.transform(F.split(masked, "\n"), _keys)).alias("keys"))
