@@ -7,6 +7,7 @@ executor that wrote it, and it cuts the lineage of what follows.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -37,11 +38,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back."""
+def materialize(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back.
+
+    compact: for results that are small beside what they are made from; they are
+    rebalanced to files of a useful size instead of one for each task.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,6 +59,12 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def replayable(df: DataFrame) -> DataFrame:
     """df if each of its partitions is read straight from storage; else a written table of it.
 
@@ -61,7 +72,7 @@ def replayable(df: DataFrame) -> DataFrame:
     what numbers rows by their place needs an input that doesn't.
     """
     plan = df._jdf.queryExecution().executedPlan().toString()
-    direct = re.search("Exchange|Sort|Aggregate|Join|Window|Limit|Sample|Existing|LocalTable|InMemory", plan) is None
+    direct = re.search("Exchange|Sort|Aggregate|Join|Window|Limit|Sample|ExistingRDD|LocalTable|InMemoryTableScan", plan) is None
     return df if direct else materialize(df, "input")
 
 
