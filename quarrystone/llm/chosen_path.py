@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import keep, replayable, ship
+from ..storage import keep, materialize, replayable, ship
 from .components import components
 from .fm_index import words_of
 from .recompression import mix
@@ -246,7 +246,7 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
     leaves, links = [], []
     for level in range(1, depth + 1):
         sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = keep(nodes.join(sizes, "path").select("path", "rec", (F.col("n") > leaf).alias("large")))
+        met = materialize(nodes.join(sizes, "path").select("path", "rec", (F.col("n") > leaf).alias("large")), "nodes", compact=True)
         leaves.append(met.where(~F.col("large")).select("path", "rec"))
         large = met.where("large").select("path", "rec")
         if large.isEmpty():
@@ -343,7 +343,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     spark = docs.sparkSession
     ship(spark)
     seen = keep(_sketch(replayable(docs.select(id_col, text_col)), id_col, text_col))
-    known = keep(seen.where("key is not null").groupBy("key").agg(F.min("row").alias("rec"), F.count(F.lit(1)).alias("weight")))
+    known = materialize(seen.where("key is not null").groupBy("key").agg(F.min("row").alias("rec"), F.count(F.lit(1)).alias("weight")), "records", compact=True)
     tokens = seen.where("sig is not null").select(F.col("row").alias("rec"), "sig").join(known.select("rec"), "rec", "left_semi")
 
     def sketch8(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,8 +351,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
             sig = _fixed(pa.chunked_array([b[1]]), np.uint32, TOKENS) if b.num_rows else np.zeros((0, TOKENS), np.uint32)
             yield pa.record_batch([b[0], b[1], pa.array([x.tobytes() for x in mix(sig.astype(np.uint64)).astype(np.uint8)], pa.binary())], ["rec", "sig", "sketch"])
 
-    records = keep(tokens.mapInArrow(sketch8, "rec long, sig binary, sketch binary"))
-    loose = keep(components(loose_links(records, threshold, recall, depth, leaf, TOKENS)))
+    records = materialize(tokens.mapInArrow(sketch8, "rec long, sig binary, sketch binary"), "tokens", compact=True)
+    loose = (components(loose_links(records, threshold, recall, depth, leaf, TOKENS)))
     sized = loose.join(loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root").select(F.col("node").alias("rec"), F.col("root").alias("comp"), F.ceil(F.col("n") / tile).cast("int").alias("blocks"))
     members = (
         sized.join(known.select("rec", "weight"), "rec")
@@ -372,8 +372,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     tiles = whole.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("k")).select(
         "comp", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "rec", "block", "weight", "shingles"
     )
-    exact = keep(
-        tiles.repartition(n, "comp", "i", "j").sortWithinPartitions("comp", "i", "j", "rec").mapInArrow(_exact_tiles(threshold), "rec long, links long, root long"))
+    exact = materialize(
+        tiles.repartition(n, "comp", "i", "j").sortWithinPartitions("comp", "i", "j", "rec").mapInArrow(_exact_tiles(threshold), "rec long, links long, root long"),
+        "exact",
+        compact=True,
+    )
     roots = components(exact.select(F.col("rec").alias("a"), F.col("root").alias("b")))
     linked = exact.groupBy("rec").agg(F.sum("links").alias("links"))
     classes = (
@@ -382,7 +385,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
         .select("key", F.coalesce("root", "rec").alias("root"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     )
     rows = seen.select("id", "th", "row", "key").join(classes, "key", "left").select("id", "th", "row", F.coalesce("root", "row").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    rows = keep(rows)
+    rows = materialize(rows, "classed", compact=True)
     named = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "row")).alias("m")).select("root", F.col("m.id").alias("class_id"), F.col("m.row").alias("kept_row"))
     return rows.join(named, "root").select(
         F.col("id").alias(id_col), "th", "row", F.when(F.col("n_links") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"), "n_links", (F.col("row") == F.col("kept_row")).alias("first")

@@ -23,17 +23,17 @@ def _mark(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b); root is the least node of the component."""
     e = materialize(
-        edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
+        edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", compact=True
     )
     before = _mark(e)
     for _ in range(MOST_ROUNDS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
-        large = materialize(large, "large-star")
+        large = materialize(large, "large-star", compact=True)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        e = materialize(small.where(F.col("u") != F.col("v")).distinct(), "small-star")
+        e = materialize(small.where(F.col("u") != F.col("v")).distinct(), "small-star", compact=True)
         now = _mark(e)
         if now == before:
             break

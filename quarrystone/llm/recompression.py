@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import keep, replayable, ship
+from ..storage import keep, materialize, release, replayable, ship
 
 WINDOW = 13
 ROUNDS = 3
@@ -360,7 +360,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
                 if rows:
                     yield _sent(rows)
 
-    first = keep(chunks.mapInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(_first_exchange(buckets), _BACK))
+    first = materialize(chunks.mapInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(_first_exchange(buckets), _BACK), "anchor-bits", compact=True)
+    release(spark)
 
     def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,7 +381,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
                 yield _sent(rows)
 
     met = chunks.join(parts(first), F.col("chunk") == F.col("c"), "left").drop("c")
-    second = keep(met.mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_second_exchange, _BACK))
+    second = materialize(met.mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_second_exchange, _BACK), "window-bits", compact=True)
+    release(spark)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
