@@ -9,7 +9,7 @@ With each symbol goes its context, the words on which its making depends: a
 symbol whose context lies within a window is the same in every occurrence of the
 window.
 
-A window's anchor is the longest such symbol of any round. First exchange:
+A window's anchor is the longest such symbol of any round, in bytes: rare words are long. First exchange:
 anchors by name, which tells the ones that more than one document holds. Second
 exchange: only windows whose anchor is shared (or that have none, as within long
 runs) are verified by 128 bits of their words, and the smallest document id of
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ..storage import keep, materialize, release, replayable, ship
 
 WINDOW = 13
-ROUNDS = 3
+ROUNDS = 2
 CHUNK_BYTES = 1 << 20  # bytes of text in a chunk
 BUCKET_BYTES = 16 << 20  # bytes of text for which there is a bucket of names
 NO_ID = np.iinfo(np.int64).max
@@ -111,14 +111,15 @@ def recompress(words: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> list
     return out
 
 
-def anchors(words: np.ndarray, doc: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
-    """For the window at each word, the key of its longest symbol with its context inside; 0 if it has none."""
+def anchors(words: np.ndarray, doc: np.ndarray, sizes: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
+    """For the window at each word, the key of its longest symbol (by the sizes of its words) with its context inside; 0 if it has none."""
+    upto = np.concatenate(([0], np.cumsum(sizes)))
     best = np.zeros(len(words), np.uint64)
     for level in recompress(words, doc, rounds):
         wide = level.right - level.left
         fit = (wide <= window) & (level.left >= 0)
         left, wide = level.left[fit], wide[fit]
-        key = np.minimum(level.end[fit] - level.start[fit], 63).astype(np.uint64) << np.uint64(58) | mix(level.name[fit]) >> np.uint64(6)
+        key = np.clip(upto[level.end[fit]] - upto[level.start[fit]], 1, 63).astype(np.uint64) << np.uint64(58) | mix(level.name[fit]) >> np.uint64(6)
         for d in range(window):
             ok = (d + wide <= window) & (left - d >= 0)
             np.maximum.at(best, left[ok] - d, key[ok])
@@ -176,6 +177,7 @@ class ChunkWindows:
     def __init__(self, row: dict, window: int) -> None:
         self.ids, self.counts, self.codes, self.vocabulary, names = _unpacked(row)
         self.words = names[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+        self.sizes = np.fromiter(map(len, self.vocabulary), np.int64, len(self.vocabulary))[self.codes] if len(self.codes) else np.zeros(0, np.int64)
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
         ends = np.cumsum(self.counts)
         at = np.arange(len(self.words))
@@ -194,7 +196,7 @@ class ChunkWindows:
 
     def names(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each anchor once, in order; whether two documents of the chunk hold it; the place of each window's anchor or -1."""
-        own = anchors(self.words, self.doc, window)[self.start] if len(self.start) else np.zeros(0, np.uint64)
+        own = anchors(self.words, self.doc, self.sizes, window)[self.start] if len(self.start) else np.zeros(0, np.uint64)
         has = np.flatnonzero(own)
         keys = mix(own[has])
         order = np.argsort(keys, kind="stable")
