@@ -5,11 +5,363 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .functions import numbers as fn
+from .operators import audit, connectors, reconcile, registry, report, sampling, site, synthesis
+from .plans import oracle
+from .plans import projection as px
+from .storage import table
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+
+
+def _query(f: Query) -> Query:
+    _queries[f.__name__] = f
+    return f
+
+
+def _both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return px.snapshot(spark, sf_dir, False), px.snapshot(spark, sf_dir, True)
+
+
+@_query
+def reconcile_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.changes(*_both(spark, sf_dir))
+
+
+@_query
+def reconcile_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.claims(*_both(spark, sf_dir))
+
+
+@_query
+def carried_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    previous, current = _both(spark, sf_dir)
+    return reconcile.carried_evidence(previous, current, current.where("evidence_id is not null"))
+
+
+@_query
+def list_item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.list_changes(px.items(spark, sf_dir, False), px.items(spark, sf_dir, True))
+
+
+@_query
+def dropped_and_new_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.membership(*(x.where("availability = 'available'") for x in _both(spark, sf_dir)))
+
+
+@_query
+def refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.refresh_report(*_both(spark, sf_dir))
+
+
+@_query
+def changes_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.changes(*_both(spark, sf_dir)).groupBy("change_type", "materiality").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def select_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.representative(px.companies(spark, sf_dir), 100, "seed-1").select("org", "stratum", "rank")
+
+
+@_query
+def select_risk_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.risk_weighted(px.companies(spark, sf_dir), 100, "seed-1").select("org", "stratum", "rank")
+
+
+@_query
+def round_robin_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.round_robin(px.companies(spark, sf_dir), 100, "seed-1").select("org", "stratum", "rank")
+
+
+@_query
+def sample_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = sampling.round_robin(px.companies(spark, sf_dir), 100, "seed-1")
+    return sampling.split(chosen, {"train": 60, "dev": 25, "test": 10}, ["rank"]).select("org", "split")
+
+
+@_query
+def sample_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.coverage(sampling.round_robin(px.companies(spark, sf_dir), 100, "seed-1"))
+
+
+@_query
+def org_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return px.companies(spark, sf_dir).select("org", fn.is_valid(F.col("org")).alias("valid"), fn.shown(F.col("org")).alias("shown"))
+
+
+@_query
+def suspect_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return px.companies(spark, sf_dir).where(~fn.is_valid(F.col("org"))).select("org", "name")
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with company numbers in several spellings behind them."""
+    k = F.col("doc_id")
+    org, other = px.org_of(k % 150 + 1), px.org_of(k % 140 + 7)
+    tail = F.when(k % 4 == 0, F.concat(F.lit(" Org.nr "), fn.shown(org), F.lit(" MVA"))).when(k % 4 == 1, F.concat(F.lit(" # "), org, F.lit(" ; "))).when(k % 4 == 2, F.concat(F.lit(" ("), other, F.lit(") "))).otherwise("")
+    return table(spark, sf_dir, "documents").select("doc_id", org.alias("org"), F.concat(F.coalesce(F.regexp_replace("text", "[0-9]", "x"), F.lit("")), tail).alias("text"))
+
+
+@_query
+def org_number_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _texts(spark, sf_dir).withColumn("proof", fn.proof(F.col("text"), F.col("org")))
+    return rows.select("doc_id", "proof", fn.proof_confidence(F.col("proof")).alias("confidence"))
+
+
+@_query
+def conflicting_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _texts(spark, sf_dir).select("doc_id", F.array_join(fn.conflicts(F.col("text"), F.col("org")), ",").alias("numbers"))
+
+
+@_query
+def name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(fn.name_tokens(F.col("p_name")), ",").alias("tokens"))
+
+
+def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(px.org_of(F.col("o_custkey")).alias("org"), F.col("o_orderkey").alias("pos"), F.when(F.col("o_orderstatus") == "F", "SELSKAP").otherwise("KONSERN").alias("kind"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("until"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+
+
+@_query
+def latest_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.latest_filing(_filings(spark, sf_dir)).select("org", "pos", "kind", "until", "cents")
+
+
+@_query
+def filing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.filing_years(_filings(spark, sf_dir))
+
+
+@_query
+def observation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return px.observations(spark, sf_dir).select("id", F.array_join(audit.gate_reasons(), "; ").alias("reasons"), audit.publishable().alias("publishable"))
+
+
+@_query
+def risk_tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return px.observations(spark, sf_dir).groupBy(audit.risk_tier().alias("tier"), audit.publishable().alias("publishable")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def observation_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = px.observations(spark, sf_dir)
+    again = o.withColumn("file_no", F.lit(1)).withColumn("platform", F.lit("news"))
+    return audit.pool(o.where("pos % 2 = 0").unionByName(again)).select("id", "platform", "file_no")
+
+
+@_query
+def audit_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.queue(px.observations(spark, sf_dir), 100)
+
+
+@_query
+def inherited_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.roots(px.observations(spark, sf_dir))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "labels")
+    who = F.when(F.col("doc_id") % 5 == 0, "machine").when(F.col("doc_id") % 5 == 1, "assisted").otherwise("human")
+    return rows.select(F.concat(F.lit("o"), F.col("doc_id").cast("string")).alias("id"), (F.col("quality") == 1).alias("exact"), (F.col("toxic") == 0).alias("metric"), who.alias("labelled_by"))
+
+
+@_query
+def audit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.score(_labels(spark, sf_dir), px.observations(spark, sf_dir))
+
+
+@_query
+def label_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.cascade(_labels(spark, sf_dir).select("id", F.col("exact").alias("exact_entity")), px.observations(spark, sf_dir))
+
+
+@_query
+def label_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.status_counts(_labels(spark, sf_dir), "labelled_by")
+
+
+@_query
+def decided_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = px.observations(spark, sf_dir)
+    n = F.col("doc_id")
+    d = table(spark, sf_dir, "labels").select(n.alias("decision_no"), F.when(n % 2 == 0, F.concat(F.lit("o"), n.cast("string"))).alias("id"), F.when(n % 2 == 1, px.org_of(n % 150 + 1)).alias("org"))
+    return audit.decided(d, o)
+
+
+@_query
+def machine_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = px.observations(spark, sf_dir)
+    said = F.when(F.col("pos") % 2 == 0, F.col("organisation_number")).otherwise("0")
+    return audit.machine_labels(o, o.select(F.col("content_sha256").alias("sha"), F.to_json(F.struct(said.alias("organisasjonsnummer"))).alias("content")))
+
+
+@_query
+def token_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adverts (parts) and the first company (the two leading words of every hundredth part) whose words they hold."""
+    p = table(spark, sf_dir, "part")
+    entries = p.select(F.col("p_partkey").alias("entry_id"), F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    wanted = p.where("p_partkey % 100 = 0").select(px.org_of(F.col("p_partkey")).alias("org"), F.col("p_partkey").alias("pos"), F.col("p_type").alias("name"))
+    return connectors.contained(entries, wanted).select("entry_id", "org", "exact")
+
+
+@_query
+def job_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    found = p.select(F.col("p_partkey").alias("entry_id"), F.col("p_brand").alias("url"), (F.col("p_size") > 25).alias("exact"), F.lpad(F.col("p_size").cast("string"), 3, "0").alias("changed"))
+    return connectors.best_candidates(found, 20)
+
+
+@_query
+def place_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = px.companies(spark, sf_dir).select("org", F.col("website").alias("domain"), F.concat(F.lit("+47 "), F.substring("org", 2, 8)).alias("phone"))
+    k = F.col("key")
+    near = px.companies(spark, sf_dir).select(
+        "org", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("pos"), "key"
+    ).select("org", "pos", F.when(F.col("pos") == k % 5, F.concat(F.lit("http://www.C"), k.cast("string"), F.lit(".example.com/x"))).alias("website"), F.when(F.col("pos") == k % 7, F.substring("org", 2, 8)).alias("national"), F.when(F.col("pos") == k % 6, F.concat(F.lit("+47"), F.substring("org", 2, 8))).alias("international"))
+    return connectors.place_match(near, c)
+
+
+@_query
+def stage_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("event_type", F.round(F.col("value") * 100).cast("long").alias("ms"))
+    return report.percentiles(rows, ["event_type"], "ms")
+
+
+@_query
+def upper_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.upper_median(table(spark, sf_dir, "documents").select("lang", "n_chars"), ["lang"], "n_chars")
+
+
+@_query
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 13 == 0, "failed").otherwise("complete").alias("status"))
+    return report.status_counts(rows, "status")
+
+
+@_query
+def budget_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"), "ts")
+    return report.admitted(e, "day", ["ts", "event_id"], F.lit(1) + F.col("event_id") % 3, 1500).select("event_id", F.col("spent").cast("long").alias("spent"))
+
+
+@_query
+def provider_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("provider"), (F.col("event_id") % 8 * 0.125).alias("usd"))
+    return report.costs(rows)
+
+
+@_query
+def merged_handles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.merged_handles(px.observations(spark, sf_dir))
+
+
+@_query
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site.parsed(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", F.col("page.title").alias("title"), F.size("page.links").cast("long").alias("n_links"))
+
+
+@_query
+def site_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site.parsed(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "page.title", "page.description", "page.body_text", "page.identity_excerpt")
+
+
+@_query
+def site_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as declared sites, with a company's number, another's, or its switchboard behind some of them."""
+    k = F.col("page_id")
+    org, other = px.org_of(k % 150 + 1), px.org_of(k % 140 + 7)
+    tail = F.when(k % 4 == 0, F.concat(F.lit("Org.nr "), fn.shown(org))).when(k % 4 == 1, F.concat(F.lit("Foretaksregisteret "), other)).when(k % 4 == 2, "tlf 22 33 44 55").otherwise("")
+    pages = table(spark, sf_dir, "pages").select(org.alias("org"), "page_id", "url", F.concat(F.coalesce("html", F.lit("")), F.lit("<footer>"), tail, F.lit("</footer>")).alias("html"))
+    rows = site.parsed(pages).withColumn("legal_name", F.concat_ws(" ", F.slice(F.split("page.title", " "), 1, 2), F.lit("AS"))).select("*", F.lit("0150").alias("postcode"), F.lit("OSLO").alias("city"), F.lit("4722334455").alias("phone"))
+    return site.gate(rows).select("page_id", "org", "proof", "confidence", "state")
+
+
+@_query
+def activity_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.concat(F.coalesce("html", F.lit("")), F.lit("<article><h2>Nytt</h2><p>Vi flyttet den 14. september 2026 til nye lokaler</p></article>")).alias("html"))
+    return site.dated_posts(pages).select("page_id", "pos", "post.title", "post.date", "post.url")
+
+
+@_query
+def social_handles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    hosts = F.array(*(F.lit(x) for x in ("www.linkedin.com/company", "no.linkedin.com/in", "fb.com", "notx.com", "twitter.com", "x.com")))
+    rows = table(spark, sf_dir, "customer").select(px.org_of(k).alias("org"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("pos"), k.alias("k"))
+    return site.social_handles(rows.select("org", "pos", F.concat(F.lit("https://"), F.element_at(hosts, ((F.col("k") + F.col("pos") * 2) % 6 + 1).cast("int")), F.lit("/c"), F.col("k").cast("string")).alias("href")))
+
+
+@_query
+def leadership_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "conversations")
+    code = F.when(F.col("role") == "system", "DAGL").when(F.col("role") == "user", "LEDE").otherwise("MEDL")
+    return registry.leadership(t.select(F.col("conv_id").cast("string").alias("org"), F.col("turn").alias("pos"), code.alias("role_code"), F.concat(F.lit("n"), F.length("text").cast("string")).alias("name")))
+
+
+def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = px.companies(spark, sf_dir)
+    k = F.col("key")
+    one = lambda f, v: F.struct(F.lit(f).alias("field"), v.cast("string").alias("value"))
+    facts = F.array(
+        one("legal_name", F.col("name")), one("legal_form", F.element_at(F.array(F.lit("AS - Aksjeselskap"), F.lit("ENK - Foretak"), F.lit("XX - Annet")), (k % 3 + 1).cast("int"))),
+        one("municipality", F.when(k % 2 == 0, "NORD-AURDAL")), one("registration_date", F.lit("2001-02-03")), one("industry_code", F.concat("industry_code", F.lit(" Drift av Skip"))),
+        one("employees_registered", F.col("employees")), one("official_website", F.col("website")), one("places.rating", F.when(k % 4 == 0, "4.5")),
+        one("financials.revenue", F.when(k % 5 != 0, k * 1250)), one("financials.net_result", F.when(k % 10 < 7, k * 100)),
+    )
+    rows = c.select("org", F.inline(facts))
+    there = F.col("value").isNotNull()
+    return rows.select("org", "field", "value", F.when(there, "available").otherwise("not_available").alias("availability"), F.when(~there & (F.col("field") == "employees_registered"), "not registered").alias("note"))
+
+
+@_query
+def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = F.col("f")
+    rows = synthesis.facts(_claims(spark, sf_dir))
+    scale = synthesis.scale(f, F.lit("2023-01-01/2023-12-31"), F.lit(None).cast("string"), F.lit("SELSKAP"), F.lit(False))
+    return rows.select("org", synthesis.text(synthesis.identity(f, F.col("org")), scale, external=f["official_website"].isNotNull()).alias("text"))
+
+
+@_query
+def unknowns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synthesis.unknowns(_claims(spark, sf_dir))
+
+
+@_query
+def change_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synthesis.change_sentence(reconcile.changes(*_both(spark, sf_dir)))
+
+
+@_query
+def identity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.identity_summary(_claims(spark, sf_dir))
+
+
+@_query
+def coverage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.coverage_flags(_claims(spark, sf_dir))
+
+
+@_query
+def snapshot_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event of each user and type wins, as the last line of a snapshot does."""
+    e = table(spark, sf_dir, "events")
+    last = e.groupBy("user_id", "event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"), F.count(F.lit(1)).alias("n"))
+    return last.select("user_id", "event_type", "event_id", "n")
+
+
+@_query
+def lookup_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = connectors.chunks(px.companies(spark, sf_dir), "org")
+    return found.select("chunk", F.size("members").cast("long").alias("n"), F.element_at("members", 1).alias("first"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in oracle.SQL.items() if k in _queries}
