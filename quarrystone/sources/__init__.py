@@ -1 +1 @@
-
+"""Readers of captured inputs."""
