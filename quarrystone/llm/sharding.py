@@ -154,10 +154,10 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
         F.crc32(F.encode(text, "UTF-8")).alias("crc"),
         F.when(text.isNull(), F.lit("null")).otherwise(F.sha2(F.encode(text, "UTF-8"), 256)).alias("key"),
     )
-    shared = (
-        rows.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("ord"), F.sum("size").alias("gsize"))
-        .where("n > 1")
+    shared = materialize(  # apart, so that Spark can split a hot text's rows in the join
+        rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("ord"), F.sum("size").alias("gsize")).where("n > 1"),
+        "shard-groups",
+        compact=True,
     )
     placed = (
         rows.join(shared.select("key", "ord", "gsize"), "key", "left")
