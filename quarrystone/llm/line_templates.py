@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import keep
+from ..storage import keep, materialize
 
 UNEVEN = r"[\t\x0B\f\r]|\x20\x20"  # what isn't a single space between tokens
 #: A token with a digit: begun where a token begins, without steps back, so that long tokens cost no more than their length.
@@ -93,7 +93,7 @@ def recurring(held: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def _decided(docs: DataFrame, min_docs: int, id_col: str, text_col: str) -> DataFrame:
     """(doc, id, text, lines, gone, kept_text): each row of docs as a struct, and the places of its lines that go."""
     held = keep(templates(docs, id_col, text_col))
-    known = recurring(held, min_docs)
+    known = materialize(recurring(held, min_docs), "recurring", compact=True)  # apart, so that Spark can split a hot template in the join
     gone = (
         held.select("id", "th", F.explode("keys").alias("k"))
         .select("k.k1", "k.k2", "k.pos", "id", "th")
