@@ -108,6 +108,7 @@ def plan_records(pages: DataFrame, min_revisit_bytes: int = 0, id_col: str = "pa
         F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
     last = rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 and last is not null").drop("n")
+    last = materialize(last, "warc-last", compact=True)  # apart, so that Spark can split a hot payload in the join
     revisit = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")) & (F.length("payload") >= min_revisit_bytes)
     return rows.join(last, "digest", "left").select("page_id", "url", "payload", F.when(revisit, F.col("last")).alias("refers_to"), revisit.alias("revisit"))
 
