@@ -41,7 +41,7 @@ def _once(value: Column, then) -> Column:  # noqa: ANN001
 
 
 def _keys(line: Column, pos: Column) -> Column:
-    """Two 64-bit keys of each template of a masked, evenly spaced line: array<struct<k1, k2, pos>>, empty for short lines.
+    """Two 64-bit keys of each template of an evenly spaced line: array<struct<k1, k2, pos>>, empty for short lines.
 
     Stretches are cut out by counting spaces, so that no token becomes a value of its own.
     """
@@ -49,11 +49,12 @@ def _keys(line: Column, pos: Column) -> Column:
 
     def cut(x: Column) -> Column:
         edge = lambda j: F.lit(DEPTH) + F.floor((x["n"] - DEPTH) * j / SEGMENTS).cast("int")
-        heads = F.struct(x["n"].alias("n"), *(F.call_function("substring_index", x["l"], F.lit(" "), edge(j)).alias(f"h{j}") for j in range(SEGMENTS)), x["l"].alias(f"h{SEGMENTS}"))
+        # as bytes, which are cut without counting characters
+        heads = F.struct(x["n"].alias("n"), *(F.call_function("substring_index", x["l"], F.lit(" "), edge(j)).cast("binary").alias(f"h{j}") for j in range(SEGMENTS)), x["l"].cast("binary").alias(f"h{SEGMENTS}"))
         return F.when(x["n"] >= MIN_TOKENS, _once(heads, parts)).otherwise(empty)
 
     def parts(h: Column) -> Column:
-        rest = lambda j: F.substring(h[f"h{j + 1}"], F.length(h[f"h{j}"]) + 2, F.length(h[f"h{j + 1}"]))
+        rest = lambda j: F.substring(h[f"h{j + 1}"], F.octet_length(h[f"h{j}"]) + 2, F.octet_length(h[f"h{j + 1}"]))
         return _once(F.struct(h["n"].alias("n"), h["h0"].alias("lead"), *(rest(j).alias(f"p{j}") for j in range(SEGMENTS))), hashed)
 
     def hashed(p: Column) -> Column:
@@ -63,20 +64,17 @@ def _keys(line: Column, pos: Column) -> Column:
             for j in range(SEGMENTS)
         ))
 
-    trimmed = F.trim(line)
-    return _once(F.struct(trimmed.alias("l"), (F.octet_length(trimmed) - F.octet_length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1).alias("n")), cut)
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
+    trimmed = F.trim(masked)
+    return _once(trimmed, lambda t: _once(F.struct(t.alias("l"), (F.octet_length(t) - F.octet_length(F.replace(t, F.lit(" "), F.lit(""))) + 1).alias("n")), cut))
 
 
 def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, keys): the templates (k1, k2, pos) of all lines of each row that has any."""
+    """(id, th, keys): the templates (k1, k2, pos) of all lines of each row."""
     text = F.col(text_col)
-    masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, VARIABLE, "<*>")).otherwise(text)
-    masked = F.when(masked.rlike(UNEVEN), F.regexp_replace(masked, r"[\x20\t\x0B\f\r]+", " ")).otherwise(masked)
-    return (
-        docs.where(text.isNotNull())
-        .select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.flatten(F.transform(F.split(masked, "\n"), _keys)).alias("keys"))
-        .where(F.size("keys") > 0)
-    )
+    even = F.when(text.rlike(UNEVEN), F.regexp_replace(text, r"[\x20\t\x0B\f\r]+", " ")).otherwise(text)
+    # rows without keys stay: a filter on the keys would make Spark work them out twice
+    return docs.where(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.flatten(F.transform(F.split(even, "\n"), _keys)).alias("keys"))
 
 
 def recurring(held: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
