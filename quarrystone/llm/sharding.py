@@ -70,7 +70,7 @@ def _walk(s: _Summary, total: int, shards: int, capacity: int, upper: bool) -> t
 
 def _summary(ends: DataFrame, stretches: list[tuple[int, int]], known: _Summary | None, resolution: int) -> _Summary:
     """Summarise the ends within the stretches; what is known elsewhere stays."""
-    each = max(1, resolution // max(1, len(stretches)))
+    each = max(2, resolution // max(1, len(stretches)))  # two at least, so that every stretch gets finer
     width = F.lit(None).cast("long")
     base = F.lit(None).cast("long")
     inside = F.lit(False)
