@@ -27,13 +27,15 @@ def minimax(rows, shards):
         g = groups[t]
         g[0] = i if g[0] is None else min(g[0], i)
         g[1] += len((t or "").encode()) + 1
-    sizes = [s for _, s in sorted(groups.values())]
+    return capacity([s for _, s in sorted(groups.values())], shards)
 
-    def needed(capacity):
-        n, room = 1, capacity
+
+def capacity(sizes, shards):
+    def needed(most):
+        n, room = 1, most
         for s in sizes:
             if s > room:
-                n, room = n + 1, capacity
+                n, room = n + 1, most
             room -= s
         return n
 
