@@ -95,7 +95,7 @@ def _decided(docs: DataFrame, min_docs: int, id_col: str, text_col: str) -> Data
     gone = (
         held.select("id", "th", F.explode("keys").alias("k"))
         .select("k.k1", "k.k2", "k.pos", "id", "th")
-        .join(known.select("k1", "k2", "first"), ["k1", "k2"])
+        .join(known.select("k1", "k2", "first").hint("merge"), ["k1", "k2"])
         .where(~F.col("id").eqNullSafe(F.col("first")))
         .groupBy(F.col("id").alias("gone_id"), F.col("th").alias("gone_th"))
         .agg(F.collect_set("pos").alias("gone"))
