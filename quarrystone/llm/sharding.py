@@ -160,7 +160,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
         compact=True,
     )
     placed = (
-        rows.join(shared.select("key", "ord", "gsize"), "key", "left")
+        rows.join(shared.select("key", "ord", "gsize").hint("merge"), "key", "left")
         .select("id", "size", "crc", "key", F.coalesce("ord", "id").alias("ord"), F.coalesce("gsize", "size").alias("gsize"))
         .withColumn("no_id", F.col("ord").isNotNull())
     )
