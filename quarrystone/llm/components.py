@@ -30,10 +30,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         least = materialize(least, "least", compact=True)  # apart, so that Spark can split a hub's edges in the join
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
+        large = both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
         large = materialize(large, "large-star", compact=True)
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "low", compact=True)
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        small = large.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         e = materialize(small.where(F.col("u") != F.col("v")).distinct(), "small-star", compact=True)
         now = _mark(e)
         if now == before:
