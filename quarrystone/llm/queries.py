@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import table
-from . import bpe, chosen_path, fm_index, host_rules, line_templates, recompression, secrets, sharding, surrogates, warc
+from . import bpe, chosen_path, fm_index, host_rules, line_templates, oracle, recompression, secrets, sharding, surrogates, warc
 
 SHARDS = 8
 SURROGATE_KEY = "registered-query-key"  # a caller keeps its own key secret
@@ -83,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)

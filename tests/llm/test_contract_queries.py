@@ -90,3 +90,10 @@ def test_op3(spark, sf, docs):
     got = rows(q.op3_jaccard_join(spark, sf), "doc_id", "class_id", "n_links")
     want = sorted(brute.near(docs))
     assert got == want and any(r[2] for r in got)
+
+
+@pytest.mark.parametrize("name", sorted(q.oracle_sql()))
+def test_sql(spark, sf, name):
+    from tests.oracle_check import compare, connect
+
+    assert compare(spark, connect(sf), name, q.queries()[name], q.oracle_sql()[name], sf) == ""
