@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import numbers as fn
-from .operators import audit, connectors, reconcile, registry, report, sampling, site, synthesis
-from .plans import oracle
+from .operators import audit, brief, connectors, reconcile, registry, report, sampling, site, synthesis
+from .plans import engine, oracle
 from .plans import projection as px
 from .storage import table
 
@@ -359,6 +359,55 @@ def lookup_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("chunk", F.size("members").cast("long").alias("n"), F.element_at("members", 1).alias("first"))
 
 
+@_query
+def site_briefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two texts stand for the pages of each organisation."""
+    pages = _texts(spark, sf_dir).select("org", F.col("doc_id").cast("string").alias("url"), "text")
+    agreed = px.companies(spark, sf_dir).select("org", (F.col("key") % 2 == 0).alias("corroborated"))
+    return brief.site_briefs(brief.page_findings(pages), agreed).select("org", "ours", F.array_join("others", ",").alias("others"), "corroborated", "hint")
+
+
+@_query
+def hint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brief.hint_counts(site_briefs(spark, sf_dir))
+
+
+@_query
+def knowledge_briefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    entities = p.select(px.org_of(k).alias("org"), F.col("p_name").alias("label"), F.concat(F.lit("https://www.s"), (k % 5).cast("string"), F.lit(".no/")).alias("website"))
+    registered = p.select(px.org_of(k).alias("org"), F.when(k % 2 == 0, F.col("p_name")).otherwise("ZZZ").alias("name"), F.concat(F.lit("http://s"), (k % 7).cast("string"), F.lit(".no")).alias("site"))
+    return brief.knowledge_briefs(entities, registered).select("org", "same_site", "corroborated")
+
+
+@_query
+def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as attempts: three on each address."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    status = F.element_at(F.array(*(F.lit(x) for x in (200, 503, 404, 403, 429, None))), (k * 7 % 11 % 6 + 1).cast("int"))
+    rows = e.select(F.floor(k / 3).cast("string").alias("url"), (k % 3).cast("int").alias("attempt"), F.when(F.floor(k / 3) % 4 == 0, "POST").otherwise("GET").alias("method"), status.alias("status"), (k % 2).alias("redirects"), F.lit(None).cast("string").alias("error"))
+    return brief.fetch_outcomes(rows)
+
+
+@_query
+def viewer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = px.observations(spark, sf_dir).select(F.col("organisation_number").alias("org"), "platform")
+    rows = brief.viewer_profiles(_claims(spark, sf_dir), seen)
+    return rows.select("org", "name", "municipality", F.array_join("platforms", ",").alias("platforms"), F.size("fields").cast("long").alias("n_fields"), F.col("fields")["financials.revenue"].alias("revenue"))
+
+
+@_query
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One envelope for each company, also for those without claims."""
+    c = px.companies(spark, sf_dir)
+    none = lambda df: df.withColumn("note", F.lit(None).cast("string"))
+    seen = px.observations(spark, sf_dir).select(F.col("organisation_number").alias("org"), "platform")
+    out = engine.run(c, none(px.snapshot(spark, sf_dir, True).where("availability != 'failed'")), none(px.snapshot(spark, sf_dir, False).where("availability = 'available'")), seen)
+    return out.envelopes.select("org", "status", F.coalesce(F.size("claims"), F.lit(0)).cast("long").alias("n_claims"), F.when(F.col("changes").isNull(), 0).otherwise(F.size("changes")).cast("long").alias("n_changes"), F.array_join("platforms", ",").alias("platforms"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

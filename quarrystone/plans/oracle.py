@@ -78,6 +78,14 @@ def _money(x: str) -> str:
     return f"'NOK ' || replace(CASE WHEN {x} >= 1000000000 THEN format('{{:,.1f}}bn', {x} / 1e9) WHEN {x} >= 1000000 THEN format('{{:,.1f}}m', {x} / 1e6) WHEN {x} >= 1000 THEN format('{{:,.1f}}k', {x} / 1e3) ELSE format('{{:,.0f}}', CAST({x} AS DOUBLE)) END, ',', ' ')"
 
 
+_WORDS = ", ".join(f"'{w}'" for w in fn.LEGAL_WORDS)
+_BRIEFS = f"""{_TEXTS}, {px.COMPANIES_SQL},
+said AS (SELECT org, doc_id % 4 = 0 OR (doc_id % 4 = 1 AND {_valid('org')}) OR (doc_id % 4 = 2 AND org = other AND {_valid('org')}) AS ours, CASE WHEN doc_id % 4 = 2 AND other <> org AND {_valid('other')} THEN other END AS other FROM texts),
+both_ AS (SELECT org, bool_or(ours) AS ours, coalesce(string_agg(DISTINCT other, ',' ORDER BY other), '') AS others FROM said GROUP BY 1),
+briefs AS (SELECT org, ours, others, coalesce(key % 2 = 0, false) AS corroborated, CASE WHEN ours THEN 'likely YES - the organisation number appears on the site' WHEN others <> '' THEN 'CHECK CAREFULLY - the site shows a different organisation number'
+  WHEN key % 2 = 0 THEN 'likely YES - a registry address or phone matches, no conflict found' ELSE 'UNCLEAR - only the registry declaration and the name match' END AS hint FROM both_ LEFT JOIN companies USING (org))"""
+
+
 SQL: dict[str, str] = {
     "reconcile_changes": f"WITH {_CHANGES} SELECT * FROM changes",
     "reconcile_claims": f"""WITH {_CHANGES} SELECT org, 'financials.revenue' AS field, CASE WHEN k THEN pv ELSE cv END AS value, CASE WHEN k THEN pa ELSE ca END AS availability,
@@ -175,4 +183,20 @@ SQL: dict[str, str] = {
     "snapshot_dedupe": "SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, count(*) AS n FROM events GROUP BY 1, 2",
     "lookup_chunks": f"WITH {px.COMPANIES_SQL}, n AS (SELECT org, (row_number() OVER (ORDER BY org) - 1) // 50 AS chunk FROM companies) SELECT chunk, count(*) AS n, min(org) AS first FROM n GROUP BY 1",
     "page_titles": r"""SELECT page_id, left(regexp_replace(replace(replace(replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '^$', ''), 300) AS title, CAST(len(regexp_extract_all(html, '<a [^>]*href')) AS BIGINT) AS n_links FROM pages""",
+    "site_briefs": f"""WITH {_BRIEFS} SELECT * FROM briefs""",
+    "hint_counts": f"""WITH {_BRIEFS} SELECT split_part(hint, ' - ', 1) AS hint, count(*) AS n FROM briefs GROUP BY 1""",
+    "knowledge_briefs": f"WITH t AS (SELECT {px.org_sql('p_partkey')} AS org, p_partkey % 5 = p_partkey % 7 AS same_site, p_partkey % 2 = 0 AND len(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda t: len(t) > 1 AND NOT list_contains([{_WORDS}], t))) > 0 AS named FROM part) SELECT org, same_site, same_site OR named AS corroborated FROM t",
+    "fetch_outcomes": """WITH a AS (SELECT CAST(event_id // 3 AS VARCHAR) AS url, event_id % 3 AS attempt, event_id // 3 % 4 <> 0 AS get, [200, 503, 404, 403, 429, NULL][event_id * 7 % 11 % 6 + 1] AS status, event_id % 2 AS redirects FROM events),
+        t AS (SELECT *, status IS NOT NULL AND (NOT get OR status NOT IN (429, 500, 502, 503, 504)) AS settled FROM a WHERE get OR attempt = 0),
+        e AS (SELECT url, attempt AS last, status, get FROM t QUALIFY row_number() OVER (PARTITION BY url ORDER BY settled DESC, CASE WHEN settled THEN attempt ELSE -attempt END) = 1)
+        SELECT e.url, e.status, CASE WHEN e.status < 400 THEN 'ok' WHEN e.status IN (401, 403, 451) OR (NOT e.get AND e.status = 429) THEN 'blocked' ELSE 'failed' END AS state, CAST(count(*) + sum(redirects) AS BIGINT) AS requests
+        FROM e JOIN t ON t.url = e.url AND t.attempt <= e.last GROUP BY ALL""",
+    "viewer_profiles": f"""WITH {_CLAIMS}, {px.OBSERVATIONS_SQL}, o AS (SELECT organisation_number AS org, string_agg(DISTINCT platform, ',' ORDER BY platform) AS platforms FROM observations GROUP BY 1)
+        SELECT org, max(value) FILTER (field = 'legal_name') AS name, max(value) FILTER (field = 'municipality') AS municipality, coalesce(any_value(platforms), '') AS platforms,
+          count(value) FILTER (field IN ('legal_name', 'employees_registered', 'official_website', 'places.rating', 'financials.revenue', 'financials.net_result')) AS n_fields, max(value) FILTER (field = 'financials.revenue') AS revenue
+        FROM claims LEFT JOIN o USING (org) GROUP BY org""",
+    "envelopes": f"""WITH {px.SNAPSHOTS_SQL}, {px.OBSERVATIONS_SQL}, o AS (SELECT organisation_number AS org, string_agg(DISTINCT platform, ',' ORDER BY platform) AS platforms FROM observations GROUP BY 1),
+        a AS (SELECT companies.org, p.value AS pv, p.period AS pp, p.availability = 'available' AS was, c.availability <> 'failed' AS now_, c.availability AS ca, c.value AS cv, c.period AS cp FROM companies JOIN p USING (org) JOIN c USING (org))
+        SELECT org, CASE WHEN was OR now_ THEN 'complete' ELSE 'failed' END AS status, CAST(CASE WHEN was OR now_ THEN 1 ELSE 0 END AS BIGINT) AS n_claims,
+          CAST(CASE WHEN was AND now_ AND NOT (ca = 'available' AND pv IS NOT DISTINCT FROM cv AND pp IS NOT DISTINCT FROM cp) THEN 1 ELSE 0 END AS BIGINT) AS n_changes, platforms FROM a LEFT JOIN o USING (org)""",
 }

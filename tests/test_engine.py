@@ -231,3 +231,19 @@ def test_report_edges(spark):
     df = spark.createDataFrame([("a", v) for v in (4, 1, 3, 2)] + [("b", None)], "g string, v long")
     assert rows(report.percentiles(df, ["g"], "v"), "g", "p50", "p95") == [("a", 3, 4)]
     assert rows(report.upper_median(df, ["g"], "v")) == [("a", 3)]
+
+
+def test_briefs_and_fetches(spark):
+    from quarrystone.operators import brief
+
+    pages = spark.createDataFrame([(ORG, "a", f"Org.nr {ORG} her"), (ORG, "b", "intet"), (OTHER, "c", f"Org.nr {ORG}"), ("1", "d", "x")], "org string, url string, text string")
+    found = brief.page_findings(pages)
+    assert [r.span for r in found.where("url = 'a'").collect()] == [f"Org.nr {ORG} her"]
+    held = spark.createDataFrame([("1", True)], "org string, corroborated boolean")
+    got = {r.org: r.hint.split(" - ")[0] for r in brief.site_briefs(found, held).collect()}
+    assert got == {ORG: "likely YES", OTHER: "CHECK CAREFULLY", "1": "likely YES"}
+    tries = [("a", 0, "GET", 503, 0), ("a", 1, "GET", 200, 2), ("b", 0, "GET", 403, 0), ("c", 0, "GET", 429, 0), ("c", 1, "GET", None, 0), ("c", 2, "GET", 500, 0), ("d", 0, "POST", 429, 0), ("e", 0, "GET", None, 0)]
+    out = brief.fetch_outcomes(spark.createDataFrame([(*t, None) for t in tries], "url string, attempt int, method string, status int, redirects int, error string"))
+    assert rows(out, "url", "state", "requests") == [("a", "ok", 4), ("b", "blocked", 1), ("c", "failed", 3), ("d", "blocked", 1), ("e", "failed", 1)]
+    linked = brief.contact_candidates(spark.createDataFrame([(ORG, "https://x.no/", '<a href="/Om-oss#top">vi</a><a href="//y.no/kontakt">y</a>')], "org string, url string, html string"))
+    assert [r.candidate for r in linked.orderBy("pos").collect()] == ["https://x.no/Om-oss", "https://x.no/kontakt", "https://x.no/contact"]
