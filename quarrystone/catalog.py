@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import numbers as fn
-from .operators import audit, brief, connectors, reconcile, registry, report, sampling, site, synthesis
+from .operators import audit, brief, connectors, observe, reconcile, registry, report, sampling, site, synthesis
 from .plans import engine, oracle
 from .plans import projection as px
 from .storage import table
@@ -408,6 +408,17 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.envelopes.select("org", "status", F.coalesce(F.size("claims"), F.lit(0)).cast("long").alias("n_claims"), F.when(F.col("changes").isNull(), 0).otherwise(F.size("changes")).cast("long").alias("n_changes"), F.array_join("platforms", ",").alias("platforms"))
 
 
+@_query
+def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return observe.source_stats(px.observations(spark, sf_dir))
+
+
+@_query
+def registry_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = px.companies(spark, sf_dir).select("org", F.concat(F.lit("https://r.example/"), "org").alias("url"), F.when(F.col("key") % 3 != 0, "2024-01-01").alias("retrieved_at"), F.sha2("org", 256).alias("sha"))
+    return observe.published(observe.registry(rows)).select("id", "source_url", "identity_proof", audit.risk_tier().alias("tier"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

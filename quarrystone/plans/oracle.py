@@ -199,4 +199,6 @@ SQL: dict[str, str] = {
         a AS (SELECT companies.org, p.value AS pv, p.period AS pp, p.availability = 'available' AS was, c.availability <> 'failed' AS now_, c.availability AS ca, c.value AS cv, c.period AS cp FROM companies JOIN p USING (org) JOIN c USING (org))
         SELECT org, CASE WHEN was OR now_ THEN 'complete' ELSE 'failed' END AS status, CAST(CASE WHEN was OR now_ THEN 1 ELSE 0 END AS BIGINT) AS n_claims,
           CAST(CASE WHEN was AND now_ AND NOT (ca = 'available' AND pv IS NOT DISTINCT FROM cv AND pp IS NOT DISTINCT FROM cp) THEN 1 ELSE 0 END AS BIGINT) AS n_changes, platforms FROM a LEFT JOIN o USING (org)""",
+    "source_stats": f"WITH {px.OBSERVATIONS_SQL} SELECT platform, count(*) AS observations, count(DISTINCT organisation_number) AS organisations, count_if(len(reasons) = 0) AS published FROM gated GROUP BY 1",
+    "registry_observations": f"WITH {px.COMPANIES_SQL} SELECT org || '-brreg-entity' AS id, 'https://r.example/' || org AS source_url, 'organisation_number_primary_key' AS identity_proof, 'primary_key' AS tier FROM companies WHERE key % 3 <> 0",
 }

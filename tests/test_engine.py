@@ -247,3 +247,17 @@ def test_briefs_and_fetches(spark):
     assert rows(out, "url", "state", "requests") == [("a", "ok", 4), ("b", "blocked", 1), ("c", "failed", 3), ("d", "blocked", 1), ("e", "failed", 1)]
     linked = brief.contact_candidates(spark.createDataFrame([(ORG, "https://x.no/", '<a href="/Om-oss#top">vi</a><a href="//y.no/kontakt">y</a>')], "org string, url string, html string"))
     assert [r.candidate for r in linked.orderBy("pos").collect()] == ["https://x.no/Om-oss", "https://x.no/kontakt", "https://x.no/contact"]
+
+
+def test_observations_pass_the_gate(spark):
+    from quarrystone.operators import observe
+
+    sha = "a" * 64
+    site_rows = spark.createDataFrame([(ORG, "https://x.no", "2024", sha, "org_number_on_page", "s", ("T",)), (OTHER, "https://y.no", "2024", sha, "", None, ("U",))], "org string, url string, retrieved_at string, sha string, proof string, span string, page struct<title:string>")
+    linked = spark.createDataFrame([(ORG, 0, "x", "https://x.com/a", "https://x.no", "2024", sha, "org_number_on_page")], "org string, place int, platform string, url string, site_url string, retrieved_at string, sha string, proof string")
+    entity = spark.createDataFrame([(ORG, "Q1", "L", None, "https://no.wikipedia.org/wiki/A", None, "https://x.com/a", None, None, None, None, "2024", sha)], "org string, qid string, label string, website string, wikipedia_no string, wikipedia_en string, handle_x string, handle_facebook string, handle_instagram string, handle_youtube string, handle_linkedin string, retrieved_at string, sha string")
+    dated = spark.createDataFrame([(ORG, 0, ("t", "2024-01-02", None), "https://x.no/n", "2024", sha, "org_number_on_page"), (ORG, 1, ("", "2024-01-01", None), "https://x.no/n", "2024", sha, "org_number_on_page")], "org string, pos int, post struct<title:string,date:string,url:string>, page_url string, retrieved_at string, sha string, proof string")
+    every = observe.sites(site_rows).unionByName(observe.handles(linked)).unionByName(observe.knowledge(entity)).unionByName(observe.posts(dated))
+    got = {r.id.removeprefix(ORG): r.tier for r in observe.published(every).withColumn("tier", audit.risk_tier()).collect()}
+    assert got == {"-company_site-home": "proven_on_page", "-x-handle-0": "declared", "-wikidata-entity": "proven_on_page", "-wikipedia-no": "declared", "-x-wikidata-0": "declared", "-company_site-post-0": "declared"}
+    assert rows(observe.activity_claims(dated)) == [(ORG, "2024-01-02", 2)]
