@@ -245,7 +245,7 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
     nodes = keep(records.mapInArrow(_first_nodes(runs_for(recall, threshold, depth), tokens, threshold), "path long, rec long"))
     leaves, links = [], []
     for level in range(1, depth + 1):
-        sizes = materialize(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes", compact=True)  # apart, so that Spark can split a hot node in the join
+        sizes = keep(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))  # apart, so that Spark can split a hot node in the join
         met = materialize(nodes.join(sizes.hint("merge"), "path").select("path", "rec", (F.col("n") > leaf).alias("large")), "nodes", compact=True)
         leaves.append(met.where(~F.col("large")).select("path", "rec"))
         large = met.where("large").select("path", "rec")
@@ -254,7 +254,7 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
         if level < depth:
             nodes = keep(large.join(records, "rec").select("path", "rec", "sig").mapInArrow(_next_nodes(tokens, threshold), "path long, rec long"))
         else:
-            head = materialize(large.groupBy("path").agg(F.min("rec").alias("b")), "heads", compact=True)
+            head = keep(large.groupBy("path").agg(F.min("rec").alias("b")))
             links.append(large.join(head.hint("merge"), "path").select(F.col("rec").alias("a"), "b").where(F.col("a") != F.col("b")))
     every = leaves[0]
     for x in leaves[1:]:
@@ -264,7 +264,7 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
     found = compared.repartition(n, "path").sortWithinPartitions("path", "rec").mapInArrow(_leaf_links(tokens, threshold - SKETCH_SLACK), "a long, b long")
     for x in links:
         found = found.unionByName(x)
-    return found.distinct()
+    return found
 
 
 def _compare(left: list[np.ndarray], right: list[np.ndarray] | None, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -353,7 +353,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
 
     records = materialize(tokens.mapInArrow(sketch8, "rec long, sig binary, sketch binary"), "tokens", compact=True)
     loose = (components(loose_links(records, threshold, recall, depth, leaf, TOKENS)))
-    counted = materialize(loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "class-sizes", compact=True)
+    counted = keep(loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
     sized = loose.join(counted.hint("merge"), "root").select(F.col("node").alias("rec"), F.col("root").alias("comp"), F.ceil(F.col("n") / tile).cast("int").alias("blocks"))
     members = (
         sized.join(known.select("rec", "weight"), "rec")
@@ -388,7 +388,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     rows = seen.select("id", "th", "row", "key").join(classes, "key", "left").select("id", "th", "row", F.coalesce("root", "row").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     rows = materialize(rows, "classed", compact=True)
     named = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "row")).alias("m")).select("root", F.col("m.id").alias("class_id"), F.col("m.row").alias("kept_row"))
-    named = materialize(named, "named", compact=True)
+    named = keep(named)
     return rows.join(named.hint("merge"), "root").select(
         F.col("id").alias(id_col), "th", "row", F.when(F.col("n_links") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"), "n_links", (F.col("row") == F.col("kept_row")).alias("first")
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import keep, materialize
 
 MOST_ROUNDS = 60  # more than enough: rounds grow with the logarithm of the nodes
 
@@ -27,14 +27,15 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = _mark(e)
     for _ in range(MOST_ROUNDS):
+        # least neighbours are kept apart from the joins, so that Spark can split a hub's edges there
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        least = materialize(least, "least", compact=True)  # apart, so that Spark can split a hub's edges in the join
-        large = both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
-        large = materialize(large, "large-star", compact=True)
-        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "low", compact=True)
+        least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = keep(both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")))
+        low = keep(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         e = materialize(small.where(F.col("u") != F.col("v")).distinct(), "small-star", compact=True)
+        for x in (least, large, low):
+            x.unpersist()
         now = _mark(e)
         if now == before:
             break
