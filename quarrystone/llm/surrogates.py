@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import keep, materialize
 
 MOST_ROUNDS = 12
 
@@ -41,7 +41,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NO_BEFORE, _NO_AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _WORD = r"\p{Lu}[\p{Ll}\p{M}]+"
 PATTERNS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": _NO_BEFORE + r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.[0-9])",
     "phone": rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,5}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_NO_AFTER}|{_NO_BEFORE}(?:1[ .-]?)?\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_NO_AFTER}|{_NO_BEFORE}[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}{_NO_AFTER}",
     "ssn": rf"{_NO_BEFORE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_NO_AFTER}",
@@ -179,7 +179,7 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     """(id, text, n_entities, kinds): texts with surrogates, and the kinds of entity found with their counts."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     has = F.coalesce(F.col("text").rlike(ENTITY), F.lit(False))
-    keyed = rows.where(has).select("id", "text", F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("ik"), F.xxhash64("text").alias("th"))
+    keyed = keep(rows.where(has).select("id", "text", F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("ik"), F.xxhash64("text").alias("th")))  # searched once
     found = keyed.select("ik", "th", F.posexplode(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).alias("e", "entity"))
     tokens = materialize(_tokens(found), "tokens")
     words = dictionary(tokens, key)
