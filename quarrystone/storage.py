@@ -50,13 +50,19 @@ def materialize(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, now: bool = False) -> DataFrame:
     """Keep df on the executors' disks for the jobs that read it again.
 
+    now: make it before anything reads it. Two stages of one job that read what
+    isn't there yet would both make it, and all that it is made from.
+
     Lost blocks are made again from their lineage, so df must give the same rows
     in the same order whenever it is run: see replayable().
     """
-    return df.persist(StorageLevel.DISK_ONLY)
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    if now:
+        kept.count()
+    return kept
 
 
 def release(spark: SparkSession) -> None:
