@@ -245,7 +245,7 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
     nodes = keep(records.mapInArrow(_first_nodes(runs_for(recall, threshold, depth), tokens, threshold), "path long, rec long"))
     leaves, links = [], []
     for level in range(1, depth + 1):
-        sizes = keep(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))  # apart, so that Spark can split a hot node in the join
+        sizes = keep(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), now=True)  # apart, so that Spark can split a hot node in the join
         met = materialize(nodes.join(sizes.hint("merge"), "path").select("path", "rec", (F.col("n") > leaf).alias("large")), "nodes", compact=True)
         leaves.append(met.where(~F.col("large")).select("path", "rec"))
         large = met.where("large").select("path", "rec")
@@ -254,7 +254,7 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
         if level < depth:
             nodes = keep(large.join(records, "rec").select("path", "rec", "sig").mapInArrow(_next_nodes(tokens, threshold), "path long, rec long"))
         else:
-            head = keep(large.groupBy("path").agg(F.min("rec").alias("b")))
+            head = keep(large.groupBy("path").agg(F.min("rec").alias("b")), now=True)
             links.append(large.join(head.hint("merge"), "path").select(F.col("rec").alias("a"), "b").where(F.col("a") != F.col("b")))
     every = leaves[0]
     for x in leaves[1:]:

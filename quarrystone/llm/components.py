@@ -29,9 +29,9 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         # least neighbours are kept apart from the joins, so that Spark can split a hub's edges there
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), now=True)
         large = keep(both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")))
-        low = keep(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = keep(large.groupBy("u").agg(F.min("v").alias("m")), now=True)
         small = large.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         e = materialize(small.where(F.col("u") != F.col("v")).distinct(), "small-star", compact=True)
         for x in (least, large, low):
