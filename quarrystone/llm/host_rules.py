@@ -17,12 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import keep as kept
 
 WORD = r"[^\x20\x09-\x0D]+"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 HOST_LIMIT = 0.8  # a host goes if the shrunk failure rate of a rule is beyond it
+FEW_HOSTS = 50_000  # verdicts of so many hosts are sent to all tasks, of more they are shuffled
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1e6  # bounds of the prior's weight in documents
 
 
@@ -94,10 +95,9 @@ def host_verdicts(judged: DataFrame, names: list[str], limit: float = HOST_LIMIT
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """Features, base_failed, host_rejected and kept of each row of docs."""
     named = rules()
-    seen = materialize(
-        features(docs, id_col, text_col, host_col).select("*", *(rule.alias(f"fail_{r}") for r, rule in named.items())), "host-features"
-    )
-    verdicts = host_verdicts(seen, [*named], limit).select(F.col("host").alias("judged_host"), "host_rejected")
+    seen = kept(features(docs, id_col, text_col, host_col).select("*", *(rule.alias(f"fail_{r}") for r, rule in named.items())), now=True)
+    verdicts = kept(host_verdicts(seen, [*named], limit).select(F.col("host").alias("judged_host"), "host_rejected"))
+    verdicts = verdicts.hint("broadcast" if verdicts.count() <= FEW_HOSTS else "merge")
     return (
         seen.join(verdicts, F.col("host").eqNullSafe(F.col("judged_host")))
         .withColumn("base_failed", F.col("fail_short") | F.col("fail_repetitive"))
