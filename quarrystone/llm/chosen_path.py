@@ -247,6 +247,8 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
     for level in range(1, depth + 1):
         sizes = keep(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), now=True)  # apart, so that Spark can split a hot node in the join
         met = materialize(nodes.join(sizes.hint("merge"), "path").select("path", "rec", (F.col("n") > leaf).alias("large")), "nodes", compact=True)
+        for x in (nodes, sizes):
+            x.unpersist()
         leaves.append(met.where(~F.col("large")).select("path", "rec"))
         large = met.where("large").select("path", "rec")
         if large.isEmpty():
