@@ -3,17 +3,17 @@
 DataFrame functions only. A line's tokens with digits become ``<*>``. The tree's
 first level is the token count, the next levels are the leading tokens; the rest
 of the line is divided into ``SEGMENTS`` stretches, and a template leaves one of
-them free, so that variable fields without digits are generalised too. Templates
-that recur in at least ``min_docs`` documents are dropped from all but the first
+them free, so that variable fields without digits are generalised too. A line of
+fewer than ``MIN_TOKENS`` tokens is one template as a whole, with nothing free;
+if all its tokens have digits, it stands for itself only. Templates that recur in at least ``min_docs`` documents are dropped from all but the first
 document that holds them.
 
 Lines travel as hashes; texts move once, when each meets the list of its lines
 that go. Rows for a template are counted before the exchange, so a template that
 a third of all documents share costs a row for each task.
 
-Defined cases: a null text has no lines and stays null; lines of fewer than
-``min_tokens`` tokens stay (they are no evidence of a template); equal lines
-within one document count once; repeated rows are separate documents, of which
+Defined cases: a null text has no lines and stays null; lines without tokens
+stay; equal lines within one document count once; repeated rows are separate documents, of which
 those with the smallest id stay whole; with null ids only, none is first and
 recurring lines go from all; further columns are ignored; an empty table gives
 an empty result.
@@ -31,7 +31,7 @@ UNEVEN = r"[\t\x0B\f\r]|\x20\x20"  # what isn't a single space between tokens
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 DEPTH = 3  # leading tokens in the tree
 SEGMENTS = 3  # stretches of the rest, one of which a template leaves free
-MIN_TOKENS = 6
+MIN_TOKENS = 6  # from here on a line has templates with a free stretch
 MIN_DOCS = 3
 
 
@@ -41,7 +41,7 @@ def _once(value: Column, then) -> Column:  # noqa: ANN001
 
 
 def _keys(line: Column, pos: Column) -> Column:
-    """Two 64-bit keys of each template of an evenly spaced line: array<struct<k1, k2, pos>>, empty for short lines.
+    """Two 64-bit keys of each template of an evenly spaced line: array<struct<k1, k2, pos>>, empty for lines without tokens.
 
     Stretches are cut out by counting spaces, so that no token becomes a value of its own.
     """
@@ -51,7 +51,11 @@ def _keys(line: Column, pos: Column) -> Column:
         edge = lambda j: F.lit(DEPTH) + F.floor((x["n"] - DEPTH) * j / SEGMENTS).cast("int")
         # as bytes, which are cut without counting characters
         heads = F.struct(x["n"].alias("n"), *(F.call_function("substring_index", x["l"], F.lit(" "), edge(j)).cast("binary").alias(f"h{j}") for j in range(SEGMENTS)), x["l"].cast("binary").alias(f"h{SEGMENTS}"))
-        return F.when(x["n"] >= MIN_TOKENS, _once(heads, parts)).otherwise(empty)
+        return F.when(x["n"] >= MIN_TOKENS, _once(heads, parts)).when(x["l"] != "", F.array(whole(x))).otherwise(empty)
+
+    def whole(x: Column) -> Column:
+        own = F.when(x["l"].rlike(r"^<\*>(\x20<\*>)*+$"), F.trim(line)).otherwise(x["l"]).cast("binary")
+        return F.struct(F.xxhash64(F.lit(SEGMENTS), x["n"], own).alias("k1"), F.xxhash64(own, x["n"], F.lit(-1 - SEGMENTS)).alias("k2"), pos.alias("pos"))
 
     def parts(h: Column) -> Column:
         rest = lambda j: F.substring(h[f"h{j + 1}"], F.octet_length(h[f"h{j}"]) + 2, F.octet_length(h[f"h{j + 1}"]))

@@ -177,6 +177,14 @@ def test_templates_leave_one_stretch_free(spark):
     assert [r.n_dropped for r in line_templates.drop_recurring(df).orderBy("doc_id").collect()] == [0, 1, 1, 0, 1, 1]
 
 
+def test_short_lines_recur_as_a_whole(spark):
+    texts = [f"All rights reserved.\nVersion {n} of this\n{n}\n\nfree {x} line" for n, x in zip((7, 8, 9), "pqr")] + ["All\trights  reserved. \n7", "All rights left.\n7"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.n_dropped, r.kept_text) for r in line_templates.drop_recurring(df).orderBy("doc_id").collect()]
+    # the lone 7 stands in three documents; 8 and 9 are other lines, though all tokens of them are variable
+    assert got == [(0, texts[0]), (2, "8\n\nfree q line"), (2, "9\n\nfree r line"), (2, ""), (1, "All rights left.")]
+
+
 def test_byte_bpe(frame, pairs):
     ranks = str(P.path("byte_bpe_50k.tiktoken"))
     got = bpe.round_trip(frame, ranks, P.PATTERN)
