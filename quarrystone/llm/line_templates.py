@@ -3,9 +3,11 @@
 DataFrame functions only. A line's tokens with digits become ``<*>``. The tree's
 first level is the token count, the next levels are the leading tokens; the rest
 of the line is divided into ``SEGMENTS`` stretches, and a template leaves one of
-them free, so that variable fields without digits are generalised too. A line of
-fewer than ``MIN_TOKENS`` tokens is one template as a whole, with nothing free;
-if all its tokens have digits, it stands for itself only. Templates that recur in at least ``min_docs`` documents are dropped from all but the first
+them free, so that variable fields without digits are generalised too. Each line
+is a template as a whole, too, with nothing free; if all its tokens have digits,
+it stands for itself only. Lines of fewer than ``MIN_TOKENS`` tokens have no
+other. Whole lines that recur in at least ``whole_docs`` documents, and templates
+with a free stretch in at least ``min_docs``, are dropped from all but the first
 document that holds them.
 
 Lines travel as hashes; texts move once, when each meets the list of its lines
@@ -33,6 +35,7 @@ DEPTH = 3  # leading tokens in the tree
 SEGMENTS = 3  # stretches of the rest, one of which a template leaves free
 MIN_TOKENS = 6  # from here on a line has templates with a free stretch
 MIN_DOCS = 3
+WHOLE_DOCS = 2  # for templates without a free stretch
 
 
 def _once(value: Column, then) -> Column:  # noqa: ANN001
@@ -43,6 +46,8 @@ def _once(value: Column, then) -> Column:  # noqa: ANN001
 def _keys(line: Column, pos: Column) -> Column:
     """Two 64-bit keys of each template of an evenly spaced line: array<struct<k1, k2, pos>>, empty for lines without tokens.
 
+    The last bit of k2 tells the whole line from templates with a free stretch.
+
     Stretches are cut out by counting spaces, so that no token becomes a value of its own.
     """
     empty = F.array().cast("array<struct<k1:bigint,k2:bigint,pos:int>>")
@@ -51,11 +56,12 @@ def _keys(line: Column, pos: Column) -> Column:
         edge = lambda j: F.lit(DEPTH) + F.floor((x["n"] - DEPTH) * j / SEGMENTS).cast("int")
         # as bytes, which are cut without counting characters
         heads = F.struct(x["n"].alias("n"), *(F.call_function("substring_index", x["l"], F.lit(" "), edge(j)).cast("binary").alias(f"h{j}") for j in range(SEGMENTS)), x["l"].cast("binary").alias(f"h{SEGMENTS}"))
-        return F.when(x["n"] >= MIN_TOKENS, _once(heads, parts)).when(x["l"] != "", F.array(whole(x))).otherwise(empty)
+        free = F.when(x["n"] >= MIN_TOKENS, _once(heads, parts)).otherwise(empty)
+        return F.when(x["l"] != "", F.array_append(free, whole(x))).otherwise(empty)
 
     def whole(x: Column) -> Column:
         own = F.when(x["l"].rlike(r"^<\*>(\x20<\*>)*+$"), F.trim(line)).otherwise(x["l"]).cast("binary")
-        return F.struct(F.xxhash64(F.lit(SEGMENTS), x["n"], own).alias("k1"), F.xxhash64(own, x["n"], F.lit(-1 - SEGMENTS)).alias("k2"), pos.alias("pos"))
+        return F.struct(F.xxhash64(F.lit(SEGMENTS), x["n"], own).alias("k1"), F.xxhash64(own, x["n"], F.lit(-1 - SEGMENTS)).bitwiseOR(F.lit(1)).alias("k2"), pos.alias("pos"))
 
     def parts(h: Column) -> Column:
         rest = lambda j: F.substring(h[f"h{j + 1}"], F.octet_length(h[f"h{j}"]) + 2, F.octet_length(h[f"h{j + 1}"]))
@@ -64,7 +70,7 @@ def _keys(line: Column, pos: Column) -> Column:
     def hashed(p: Column) -> Column:
         kept = lambda j: [p[f"p{i}"] for i in range(SEGMENTS) if i != j]
         return F.array(*(
-            F.struct(F.xxhash64(F.lit(j), p["n"], p["lead"], *kept(j)).alias("k1"), F.xxhash64(*kept(j), p["lead"], p["n"], F.lit(-1 - j)).alias("k2"), pos.alias("pos"))
+            F.struct(F.xxhash64(F.lit(j), p["n"], p["lead"], *kept(j)).alias("k1"), F.xxhash64(*kept(j), p["lead"], p["n"], F.lit(-1 - j)).bitwiseAND(F.lit(-2)).alias("k2"), pos.alias("pos"))
             for j in range(SEGMENTS)
         ))
 
@@ -81,14 +87,14 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.where(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.flatten(F.transform(F.split(even, "\n"), _keys)).alias("keys"))
 
 
-def recurring(held: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(k1, k2, docs, first): templates that at least min_docs documents hold, and the smallest id among those."""
+def recurring(held: DataFrame, min_docs: int = MIN_DOCS, whole_docs: int = WHOLE_DOCS) -> DataFrame:
+    """(k1, k2, docs, first): templates that at least min_docs documents hold (whole lines: whole_docs), and the smallest id among those."""
     own = F.array_distinct(F.transform("keys", lambda k: F.struct(k["k1"].alias("k1"), k["k2"].alias("k2"))))
     return (
         held.select("id", F.explode(own).alias("k"))
         .groupBy("k.k1", "k.k2")
         .agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
-        .where(F.col("docs") >= min_docs)
+        .where(F.col("docs") >= F.when(F.col("k2").bitwiseAND(F.lit(1)) == 1, whole_docs).otherwise(min_docs))
     )
 
 

@@ -185,6 +185,15 @@ def test_short_lines_recur_as_a_whole(spark):
     assert got == [(0, texts[0]), (2, "8\n\nfree q line"), (2, "9\n\nfree r line"), (2, ""), (1, "All rights left.")]
 
 
+def test_whole_lines_recur_from_two_documents_on(spark):
+    line = "the same long line stands in two documents only"
+    texts = [f"{line} 1\nshort one\nx a b c d e f g", f"{line} 2\nshort one\nx a b c d e f h", "one of its own"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.n_dropped, r.kept_text) for r in line_templates.drop_recurring(df).orderBy("doc_id").collect()]
+    # the last lines share two templates with a free stretch, in two documents
+    assert got == [(0, texts[0]), (2, "x a b c d e f h"), (0, texts[2])]
+
+
 def test_byte_bpe(frame, pairs):
     ranks = str(P.path("byte_bpe_50k.tiktoken"))
     got = bpe.round_trip(frame, ranks, P.PATTERN)
