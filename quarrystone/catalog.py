@@ -202,10 +202,10 @@ def machine_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def token_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adverts (parts) and the first company (the two leading words of every hundredth part) whose words they hold."""
+    """Adverts (parts) and the first company (the words of each part's type) whose words they hold."""
     p = table(spark, sf_dir, "part")
     entries = p.select(F.col("p_partkey").alias("entry_id"), F.concat_ws(" ", "p_name", "p_type").alias("name"))
-    wanted = p.where("p_partkey % 100 = 0").select(px.org_of(F.col("p_partkey")).alias("org"), F.col("p_partkey").alias("pos"), F.col("p_type").alias("name"))
+    wanted = p.select(px.org_of(F.col("p_partkey")).alias("org"), F.col("p_partkey").alias("pos"), F.col("p_type").alias("name"))
     return connectors.contained(entries, wanted).select("entry_id", "org", "exact")
 
 

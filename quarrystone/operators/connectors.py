@@ -26,10 +26,12 @@ def contained(entries: DataFrame, companies: DataFrame) -> DataFrame:
     """entries with the first company (by pos) whose name tokens are all in the entry's: org, exact.
 
     A company's tokens can only be contained where its rarest token stands, so
-    the join is an equi-join on that anchor; no pair is formed without it.
+    the join is an equi-join on that anchor; no pair is formed without it. Of
+    companies with the same tokens only the first can win, so only it is matched.
     entries: (entry_id, name, ...), companies: (org, pos, name).
     """
-    want = companies.select("org", F.col("pos").alias("company_pos"), F.array_distinct(fn.name_tokens(F.col("name"))).alias("want")).where(F.size("want") > 0)
+    named = companies.select("org", F.col("pos").alias("company_pos"), F.array_sort(F.array_distinct(fn.name_tokens(F.col("name")))).alias("want")).where(F.size("want") > 0)
+    want = named.groupBy("want").agg(F.min_by(F.struct("org", "company_pos"), "company_pos").alias("m")).select("m.org", "m.company_pos", "want")
     have = entries.withColumn("have", F.array_distinct(fn.name_tokens(F.col("name")))).where(F.size("have") > 0)
     rare = have.select(F.explode("have").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     spread = want.select("org", "company_pos", "want", F.explode("want").alias("token")).join(rare, "token", "left")

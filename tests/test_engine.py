@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import gzip
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from quarrystone import sinks, streaming
+from quarrystone import catalog, sinks, streaming
 from quarrystone.functions import numbers as fn
 from quarrystone.operators import audit, connectors, reconcile, registry, report, sampling, site, synthesis
-from quarrystone.plans import engine
+from quarrystone.plans import engine, projection
 from quarrystone.sources import captured
 
 ORG, OTHER = "923609016", "914778271"  # two numbers with right check digits
@@ -261,3 +262,17 @@ def test_observations_pass_the_gate(spark):
     got = {r.id.removeprefix(ORG): r.tier for r in observe.published(every).withColumn("tier", audit.risk_tier()).collect()}
     assert got == {"-company_site-home": "proven_on_page", "-x-handle-0": "declared", "-wikidata-entity": "proven_on_page", "-wikipedia-no": "declared", "-x-wikidata-0": "declared", "-company_site-post-0": "declared"}
     assert rows(observe.activity_claims(dated)) == [(ORG, "2024-01-02", 2)]
+
+
+def test_every_part_is_a_company_and_the_first_of_equal_names_wins(spark, sf):
+    companies = spark.createDataFrame([("b", 2, "DRIFT NORD"), ("a", 1, "NORD DRIFT"), ("c", 0, "SKIP"), ("d", 3, "NORD DRIFT BERGEN")], "org string, pos int, name string")
+    entries = spark.createDataFrame([(1, "Nord Drift Bergen"), (2, "Drift Nord"), (3, "Nord")], "entry_id int, name string")
+    assert sorted(rows(connectors.contained(entries, companies), "entry_id", "org", "exact")) == [(1, "a", False), (2, "a", True)]
+    p = spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", "p_name", "p_type", projection.org_of(F.col("p_partkey")).alias("org")).orderBy("p_partkey").collect()
+    tokens = lambda t: {x for x in re.findall("[a-z0-9]+", t.lower()) if len(x) > 1 and x not in fn.LEGAL_WORDS}
+    want = []
+    for r in p:
+        have = tokens(f"{r.p_name} {r.p_type}")
+        org, own = next((c.org, own) for c in p if (own := tokens(c.p_type)) and own <= have)
+        want.append((r.p_partkey, org, len(own) == len(have)))
+    assert sorted(rows(catalog.token_containment(spark, sf), "entry_id", "org", "exact")) == want
