@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +31,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ with 24 characters or more
 
 SENSITIVE = re.compile(r"passw|secret|token|api.?key|access.?key|private.?key|auth|cred|bearer|signature", re.IGNORECASE | re.ASCII)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20  # characters of a candidate
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 REACH = 80  # characters behind a sensitive word within which a candidate begins
 AROUND = 256  # characters of the surroundings on either side
 NOVELTY = 0.85  # share of the bytes that a random string over the same alphabet needs
@@ -74,18 +76,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def novel_spans(text: str, meter: NoveltyMeter) -> list[tuple[int, int, int]]:
     """(start, kind, end) of incompressible strings close behind a sensitive word."""
-    found: dict[int, int] = {}
+    found: list[tuple[int, int, int]] = []
+    seen: set[int] = set()
+    runs = [c.span() for c in CANDIDATE.finditer(text)]
     for m in SENSITIVE.finditer(text):
-        for c in CANDIDATE.finditer(text, m.end(), min(len(text), m.end() + REACH + 4096)):
-            if c.start() - m.end() > REACH:
+        for i in range(bisect_right(runs, m.end(), key=lambda r: r[1]), len(runs)):
+            start, e = runs[i]
+            if start - m.end() > REACH:
                 break
-            if c.start() in found or not re.search("[0-9]", c[0]) or len(set(c[0])) < 8:
+            s = max(start, m.end())  # a run that holds the word counts from behind it
+            if e - s < LEAST or s in seen or not re.search("[0-9]", text[s:e]) or len(set(text[s:e])) < 8:
                 continue
-            s, e = c.span()
-            before, after = text[max(0, s - AROUND) : s], text[e : e + AROUND]
-            if meter.novelty(before, c[0], after) >= NOVELTY:
-                found[s] = e
-    return sorted((s, 3, e) for s, e in found.items())
+            seen.add(s)
+            if meter.novelty(text[max(0, s - AROUND) : s], text[s:e], text[e : e + AROUND]) >= NOVELTY:
+                found.append((s, 3, e))
+    return sorted(found)
 
 
 def _line(spans: list[tuple[int, int, int]]) -> str:

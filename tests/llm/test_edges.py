@@ -129,6 +129,13 @@ def test_novelty(spark):
     assert got == ["novel:12:36", "", ""]
 
 
+def test_novelty_reaches_the_end_of_long_strings():
+    body = "".join(random.Random(9).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=9000))
+    meter = secrets.NoveltyMeter()
+    assert secrets.novel_spans(f"private_key: {body} end", meter) == [(13, 3, 9013)]
+    assert secrets.novel_spans("secret " + "x " * 41 + body, meter) == [] and len(secrets.novel_spans("secret " + "x " * 39 + body, meter)) == 1
+
+
 def test_surrogates(frame, pairs):
     got = bag(surrogates.pseudonymise(frame, "k"), "doc_id", "text")
     assert sum(got.values()) == len(pairs)
