@@ -136,6 +136,14 @@ def test_novelty_reaches_the_end_of_long_strings():
     assert secrets.novel_spans("secret " + "x " * 41 + body, meter) == [] and len(secrets.novel_spans("secret " + "x " * 39 + body, meter)) == 1
 
 
+def test_novelty_alone_decides():
+    meter = secrets.NoveltyMeter()
+    for key in ("QwkZjXvbNmplRtYuHgFd", "qzjxkvwpbmfhgytrlcnd"):
+        assert secrets.novel_spans(f"bearer {key} x", meter) == [(7, 3, 27)]
+    for plain in ("authenticationprovider", "internationalization", "responsibilities/management", "a" * 30, "=" * 30):
+        assert secrets.novel_spans(f"the auth {plain} is here", meter) == [], plain
+
+
 def test_surrogates(frame, pairs):
     got = bag(surrogates.pseudonymise(frame, "k"), "doc_id", "text")
     assert sum(got.values()) == len(pairs)
