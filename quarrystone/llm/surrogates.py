@@ -1,20 +1,37 @@
 """PII: keyed surrogates that keep type, format, script and gender.
 
-DataFrame functions only. Entities are found by patterns; each distinct entity
-(in a normal form, so that all its spellings agree) gets a surrogate from a keyed
-digest: digits for digits, letters of the same script for letters, card numbers
-with a valid check digit where the original has one, names by syllables with an
-ending of the same gender. Surrogates that fall on another entity's surrogate or
-on any entity of the corpus are drawn again, round by round, until all differ, so
-distinct entities stay distinct and equal ones stay equal across documents.
+DataFrame functions only. One search marks all entities of a text. Words of names
+found so are then marked wherever else the same text has them alone, so that a
+person who is named once stays one person. Each distinct entity (in a normal form,
+so that all its spellings agree) gets a surrogate:
+
+* mails, phones, social security, card and bank account numbers by a keyed
+  permutation of the strings of the same form (a Feistel network whose rounds
+  shift the characters of one half, each within its own alphabet, by a digest of
+  the other half). Top-level domains, country codes and the first digit of cards
+  stay. Check digits are made again: valid numbers stay valid, others invalid;
+* addresses of machines by a keyed permutation of all 32-bit numbers;
+* names by syllables of the same script drawn from a keyed digest, with an ending
+  of the same gender, longer with each round of drawing.
+
+A permutation never gives two entities one surrogate. Surrogates are checked
+against each other and against all entities of the corpus; who collides draws
+again. What still collides after ``MOST_ROUNDS`` takes the plain permutation,
+which differs from every other surrogate though it is an entity of the corpus
+elsewhere (only in a space of numbers that the corpus nearly fills), and names
+take all syllables of their digest. So every draw ends.
 
 Only entities travel; texts with entities move once to meet their surrogates, and
 texts without any don't move.
 
 Defined cases: null texts stay null and empty texts empty; repeated rows get equal
 results; an entity that stands in very many rows is counted before the exchange;
-further columns are ignored; an empty table gives an empty result. Running out of
-``MOST_ROUNDS`` rounds of drawing is an error, never a silent collision.
+private-use characters in texts are kept; further columns are ignored; an empty
+table gives an empty result. Patterns take time in proportion to a text's length.
+
+Not found: names behind no title, label or listed given name that the same text
+doesn't introduce elsewhere; numbers of phones without a + sign, a leading zero or
+the North American form.
 """
 
 from __future__ import annotations
@@ -24,68 +41,152 @@ from pyspark.sql import functions as F
 
 from ..storage import keep, materialize
 
-MOST_ROUNDS = 12
+MOST_ROUNDS = 6
+FEISTEL_ROUNDS = 4
 
 #: Titles and given names by gender, and the parts of surrogate names by script.
 TITLES_F = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Señora", "Sra")
 TITLES_M = ("Mr", "Herr", "Monsieur", "Señor", "Sr")
-GIVEN_F = ("Anna", "Maria", "Emma", "Julia", "Laura", "Sophie", "Marie", "Claire", "Carmen", "Lucia", "Elena", "Sarah", "Emily", "Mary", "Jennifer", "Elizabeth", "Ольга", "Анна", "Мария", "Елена")
-GIVEN_M = ("John", "James", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Hans", "Klaus", "Pierre", "Jean", "Carlos", "Juan", "Pedro", "Miguel", "Иван", "Сергей", "Дмитрий", "Алексей")
-SYLLABLES = {"latin": ("ba", "ce", "di", "fo", "ga", "he", "ki", "lo", "ma", "ne", "pi", "ro", "sa", "te", "vi", "zo"), "cyrillic": ("ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "ма", "не", "пи", "ро", "са", "те", "фи", "хо")}
-ENDINGS = {("f", "latin"): "lina", ("m", "latin"): "nard", ("u", "latin"): "ris", ("s", "latin"): "sen", ("f", "cyrillic"): "лина", ("m", "cyrillic"): "слав", ("u", "cyrillic"): "рис", ("s", "cyrillic"): "ский"}
-ACCENTED = "àáâäçèéêëíîïñóôöùúûüß"
-CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
-GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
+TITLES_U = ("Dr", "Prof", "Professor")
+GIVEN_F = ("Anna", "Maria", "Emma", "Julia", "Laura", "Sophie", "Marie", "Claire", "Carmen", "Lucia", "Elena", "Sarah", "Emily", "Mary", "Jennifer", "Elizabeth", "Angela", "Priya", "Ольга", "Анна", "Мария", "Елена", "Ελένη", "Μαρία")
+GIVEN_M = ("John", "James", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Hans", "Klaus", "Pierre", "Jean", "Carlos", "Juan", "Pedro", "Miguel", "Иван", "Сергей", "Дмитрий", "Алексей", "Γιώργος", "Νίκος")
+LABELS = ("[Nn]ame: ", "[Nn]ame is ", "[Cc]ontact: ", "[Aa]uthor: ", "[Ss]igned: ", "[Aa]ttn: ")
+SYLLABLES = {
+    "latin": ("ba", "ce", "di", "fo", "ga", "he", "ki", "lo", "ma", "ne", "pi", "ro", "sa", "te", "vi", "zo"),
+    "cyrillic": ("ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "ма", "не", "пи", "ро", "са", "те", "фи", "хо"),
+    "greek": ("βα", "γε", "δι", "ζο", "θα", "κε", "λι", "μο", "να", "ξε", "πι", "ρο", "σα", "τε", "φι", "χο"),
+}
+ENDINGS = {
+    "latin": {"f": "lina", "m": "nard", "u": "ris", "s": "sen"},
+    "cyrillic": {"f": "лина", "m": "слав", "u": "рис", "s": "ский"},
+    "greek": {"f": "ίνα", "m": "άνδρος", "u": "ιδα", "s": "ίδης"},
+}
+#: Alphabets as ranges of code points; letters outside of them stay within their block of 16.
+ALPHABETS = (("0", "9"), ("a", "z"), ("A", "Z"), ("à", "ö"), ("ø", "þ"), ("α", "ω"), ("Α", "Ρ"), ("Σ", "Ω"), ("а", "я"), ("А", "Я"), ("א", "ת"), ("ぁ", "ゖ"), ("ァ", "ヺ"), ("一", "鿿"), ("가", "힣"))
+#: Country codes of one and two digits in phone numbers; all others have three.
+COUNTRY_CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NO_BEFORE, _NO_AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-_WORD = r"\p{Lu}[\p{Ll}\p{M}]+"
+_WORD = r"\p{Lu}[\p{Ll}\p{M}]++"
+_LABEL = r"[\p{L}\p{N}-]++"
 PATTERNS = {
-    "email": _NO_BEFORE + r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    # begun where a run of its characters begins and never given back, so that long runs cost no more than their length
+    "email": rf"(?<![\p{{L}}\p{{N}}._%+-])[._%+-]*+[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}._%+-]*+@(?=[\p{{L}}\p{{N}}.-]*?\.\p{{L}}{{2}}){_LABEL}(?:\.{_LABEL})++",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.[0-9])",
-    "phone": rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,5}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_NO_AFTER}|{_NO_BEFORE}(?:1[ .-]?)?\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_NO_AFTER}|{_NO_BEFORE}[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}{_NO_AFTER}",
+    "phone": rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,5}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_NO_AFTER}"
+    rf"|{_NO_BEFORE}(?:1[ .-]?)?\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_NO_AFTER}|{_NO_BEFORE}[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}{_NO_AFTER}"
+    rf"|{_NO_BEFORE}0[1-9](?:[ .-][0-9]{{2}}){{4}}{_NO_AFTER}|{_NO_BEFORE}0[1-9][0-9]{{1,3}}[ /-][0-9]{{5,8}}{_NO_AFTER}",
     "ssn": rf"{_NO_BEFORE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_NO_AFTER}",
     "card": rf"{_NO_BEFORE}[0-9](?:[ -]?[0-9]){{12,18}}{_NO_AFTER}",
     "iban": rf"{_NO_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_NO_AFTER}",
-    "name": rf"{_NO_BEFORE}(?:(?:{'|'.join(TITLES_F + TITLES_M)})\.? {_WORD}(?: {_WORD})?|(?:{'|'.join(GIVEN_F + GIVEN_M)}) {_WORD}){_NO_AFTER}",
+    "name": rf"{_NO_BEFORE}(?:(?:{'|'.join(TITLES_F + TITLES_M + TITLES_U)})\.? {_WORD}(?: {_WORD})?|(?:{'|'.join(GIVEN_F + GIVEN_M)}) {_WORD}|(?<={'|'.join(LABELS)}){_WORD} {_WORD}){_NO_AFTER}",
 }
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_UNION = lambda *kinds: "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
+#: All patterns in their order, those that cannot begin at a character left out by a glance at it.
+ENTITY = rf"(?:(?<![\p{{L}}\p{{N}}])|(?=\+))(?:{_UNION('email')}|(?=[0-9(+])(?:{_UNION('ip', 'phone', 'ssn', 'card')})|(?=\p{{Lu}})(?:{_UNION('iban', 'name')}))"
+CAPITALISED = rf"{_NO_BEFORE}\p{{Lu}}[\p{{L}}\p{{M}}]++{_NO_AFTER}"
+NAME_ONLY = r"^[\p{L}\p{M}. ]+$"
+NAME_KINDS = ("name_s", "name_f", "name_m", "name_u")
+
+#: Marks around entities. A private-use character of a text that could be taken for one gets an escape behind it.
+_P = "\ue000"
+SEP, WORD_SEP, ESCAPED = _P + "\ue001", _P + "\ue002", _P + "\ue003"
+
+
+def _once(value: Column, then) -> Column:  # noqa: ANN001
+    """then(value), with the value made once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _kind(entity: Column) -> Column:
-    kind = F.when(F.lit(False), "")
+    kind = F.when(entity.rlike(NAME_ONLY), "name")
     for k, p in PATTERNS.items():
         kind = kind.when(entity.rlike(rf"^(?:{p})$"), k)
     return kind.otherwise("name")
 
 
-def _byte(kind: Column, norm: Column, attempt: Column, key: str, i: Column) -> Column:
-    """The i-th keyed byte of an entity."""
-    block = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), F.floor(i / 32).cast("string"), norm), 256)
-    return F.conv(F.substring(block, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+def _gender(entity: Column) -> Column:
+    begins = lambda titles, given: entity.rlike(rf"^(?:{'|'.join(titles)})\b|^(?:{'|'.join(given)}) ")
+    return F.when(begins(TITLES_F, GIVEN_F), "f").when(begins(TITLES_M, GIVEN_M), "m").otherwise("u")
 
 
-def _pick(letters: str, b: Column) -> Column:
-    return F.substring(F.lit(letters), b % len(letters) + 1, F.lit(1))
+def _norm_name(word: Column) -> Column:
+    return F.initcap(F.lower(word))
 
 
-def _substitute(text: Column, byte) -> Column:  # noqa: ANN001
-    """A character of the same class for each letter and digit."""
+def _without_title(entity: Column) -> Column:
+    return F.regexp_replace(entity, rf"^(?:{'|'.join(TITLES_F + TITLES_M + TITLES_U)})\.? ", "")
 
-    def one(c: Column, i: Column) -> Column:
-        b = byte(i)
-        return (
-            F.when(c.rlike("[0-9]"), (b % 10).cast("string"))
-            .when(c.rlike("[a-z]"), _pick("abcdefghijklmnopqrstuvwxyz", b))
-            .when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", b))
-            .when(c.rlike(r"\p{IsCyrillic}"), _pick(CYRILLIC, b))
-            .when(c.rlike(r"\p{IsGreek}"), _pick(GREEK, b))
-            .when(c.rlike(r"\p{L}"), _pick(ACCENTED, b))
-            .when(c.rlike(r"\p{N}"), (b % 10).cast("string"))
-            .otherwise(c)
-        )
 
-    return F.array_join(F.transform(F.split(text, ""), one), "")
+def marked(text: Column) -> Column:
+    """(m, names): the text with marks around its entities, and the words of names that it holds as `` kind:Word ... ``."""
+    searched = F.regexp_replace(F.replace(text, F.lit(_P), F.lit(ESCAPED)), ENTITY, f"{SEP}$0{SEP}")
+
+    def words_of(entity: Column) -> Column:
+        words = F.split(_without_title(entity), " ")
+        kind = lambda i: F.when(i == F.size(words) - 1, F.lit("name_s")).otherwise(F.concat(F.lit("name_"), _gender(entity)))
+        return F.transform(words, lambda w, i: F.concat(kind(i), F.lit(":"), _norm_name(w)))
+
+    def mentions(gap: Column, names: Column) -> Column:
+        parts = F.split(F.regexp_replace(gap, CAPITALISED, f"{WORD_SEP}$0{WORD_SEP}"), WORD_SEP)
+        return F.array_join(F.transform(parts, lambda w, j: F.when((j % 2 == 1) & _held(names, w).isNotNull(), F.concat(F.lit(SEP), w, F.lit(SEP))).otherwise(w)), "")
+
+    def with_mentions(x: Column) -> Column:
+        again = F.array_join(F.transform(x["p"], lambda p, i: F.when(i % 2 == 0, mentions(p, x["n"])).otherwise(p)), SEP)
+        return F.struct(F.when(x["n"] != "", again).otherwise(F.array_join(x["p"], SEP)).alias("m"), x["n"].alias("names"))
+
+    def with_names(p: Column) -> Column:
+        names = F.filter(p, lambda e, i: (i % 2 == 1) & e.rlike(NAME_ONLY))
+        words = F.array_distinct(F.flatten(F.transform(names, words_of)))
+        return _once(F.struct(p.alias("p"), F.when(F.size(words) > 0, F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))).otherwise("").alias("n")), with_mentions)
+
+    plain = F.struct(F.lit(None).cast("string").alias("m"), F.lit("").alias("names"))
+    return _once(searched, lambda s: F.when(F.contains(s, F.lit(SEP)), _once(F.split(s, SEP, -1), with_names)).otherwise(plain))
+
+
+def _held(names: Column, word: Column) -> Column:
+    """The kind under which a word stands among names; null if it doesn't."""
+    kind = F.when(F.lit(False), "")
+    for k in NAME_KINDS:
+        kind = kind.when(F.contains(names, F.concat(F.lit(f" {k}:"), _norm_name(word), F.lit(" "))), k)
+    return kind
+
+
+def _number(key: str, *parts: Column) -> Column:
+    """A keyed number of 60 bits."""
+    return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), *parts), 256), 1, 15), 16, 10).cast("long")
+
+
+def _shifted(c: Column, by: Column) -> Column:
+    """The code point that stands `by` places behind c in its alphabet, around its end; signs stay."""
+    out = F.when(c < 0x30, c)
+    for lo, hi in ALPHABETS:
+        size = ord(hi) - ord(lo) + 1
+        out = out.when((c >= ord(lo)) & (c <= ord(hi)), (c - ord(lo) + by % size) % size + ord(lo))
+    return out.when(c < 0xC0, c).otherwise(c - c % 16 + (c + by % 16) % 16)
+
+
+def permuted(text: Column, key: str, tweak: Column) -> Column:
+    """A keyed permutation of the strings that have the same alphabets at the same places."""
+
+    def round_of(r: int):  # noqa: ANN202
+        def one(x: Column) -> Column:
+            moved, other = (x["a"], x["b"]) if r % 2 == 0 else (x["b"], x["a"])
+            seed = F.sha2(F.concat_ws("|", F.lit(key), tweak, F.lit(str(r)), F.array_join(F.transform(other, lambda c: c.cast("string")), ",")), 256)
+            new = _once(seed, lambda s: F.transform(moved, lambda c, i: _shifted(c, F.conv(F.substring(F.sha2(F.concat_ws("|", s, i.cast("string")), 256), 1, 12), 16, 10).cast("long")).cast("int")))
+            return F.struct((new if r % 2 == 0 else x["a"]).alias("a"), (x["b"] if r % 2 == 0 else new).alias("b"))
+
+        return one
+
+    half = lambda cs: F.floor(F.size(cs) / 2).cast("int")
+    points = F.transform(F.split(text, ""), lambda c: F.ascii(c))
+    state = _once(points, lambda cs: F.struct(F.slice(cs, F.lit(1), half(cs)).alias("a"), F.slice(cs, half(cs) + 1, F.size(cs)).alias("b")))
+    for r in range(FEISTEL_ROUNDS):
+        state = _once(state, round_of(r))
+    written = lambda cs: F.array_join(F.transform(cs, lambda c: F.lpad(F.hex(c.cast("long")), 8, "0")), "")
+    joined = _once(state, lambda x: F.decode(F.unhex(F.concat(written(x["a"]), written(x["b"]))), "UTF-32"))
+    return F.when(text == "", text).otherwise(joined)
 
 
 def _luhn(digits: Column) -> Column:
@@ -96,26 +197,59 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda a, i: a + twice(i)) % 10
 
 
+def _iban_check(country: Column, body: Column) -> Column:
+    """The two check digits that a bank account number ought to have."""
+    step = lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + c.cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97)
+    rest = F.aggregate(F.split(F.concat(body, country, F.lit("00")), ""), F.lit(0), step)
+    return F.lpad((F.lit(98) - rest).cast("string"), 2, "0")
+
+
 def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a normal form."""
-    byte = lambda i: _byte(kind, norm, attempt, key, F.lit(i) if isinstance(i, int) else i)
-    plain = _substitute(norm, byte)
-    local = _substitute(F.substring_index(norm, "@", 1), byte)
-    domain = F.substring_index(norm, "@", -1)
-    host = _substitute(F.regexp_replace(domain, r"\.[^.]*$", ""), lambda i: byte(i + 64))
-    email = F.concat(local, F.lit("@"), host, F.lit(".example"))
-    ip = F.concat_ws(".", (byte(0) % 16 + 240).cast("string"), *(byte(i).cast("string") for i in (1, 2, 3)))  # a reserved block
-    phone = F.concat(F.substring(norm, 1, 2), F.substring(plain, F.lit(3), F.length(norm)))
-    kept_head = F.concat(F.substring(norm, 1, 1), F.substring(plain, F.lit(2), F.length(norm) - 2))
-    card = F.when(_luhn(norm) == 0, F.concat(kept_head, ((10 - _luhn(F.concat(kept_head, F.lit("0")))) % 10).cast("string"))).otherwise(F.concat(F.substring(norm, 1, 1), F.substring(plain, F.lit(2), F.length(norm))))
-    iban = F.concat(F.substring(norm, 1, 2), F.substring(plain, F.lit(3), F.length(norm)))
-    script = F.when(norm.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    syllable = lambda s, i: F.get(F.array(*(F.lit(x) for x in SYLLABLES[s])), byte(i) % len(SYLLABLES[s]))
+    """The surrogate of a normal form, for each attempt another one."""
+    tweak = F.concat_ws("|", kind, attempt.cast("string"))
+    keyed = lambda text: permuted(text, key, tweak)
+    end = F.length(norm)
+    after = lambda text, n: F.substring(text, n + 1, F.length(text))
+
+    top = F.regexp_extract(norm, r"\.(\p{L}{2,63})$", 0)  # with its dot; empty where the last label isn't one
+    email = F.concat(keyed(F.substring(norm, F.lit(1), end - F.length(top))), top, F.lit(".example"))
+
+    octet = lambda i: F.get(F.split(norm, r"\."), F.lit(i)).cast("long")
+    high, low = octet(0) * 256 + octet(1), octet(2) * 256 + octet(3)
+    for r in range(FEISTEL_ROUNDS):  # two halves of 16 bits
+        high, low = low, high.bitwiseXOR(_number(key, tweak, F.lit(str(r)), low.cast("string")) % 65536)
+    ip = F.concat_ws(".", *((F.floor(x / 256) % 256).cast("string") if part == 0 else (x % 256).cast("string") for x in (high, low) for part in (0, 1)))
+
+    code = F.regexp_extract(norm, COUNTRY_CODE, 0)
+    phone = F.concat(code, keyed(after(norm, F.length(code))))
+
+    # what a card's last digit lacks to the check sum is kept, and so is whether it is valid
+    body = F.concat(F.substring(norm, 1, 1), keyed(F.substring(norm, F.lit(2), end - 2)))
+    card = _once(body, lambda b: F.concat(b, F.pmod(_luhn(norm) - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
+
+    country, check, account = F.substring(norm, 1, 2), F.substring(norm, 3, 2), F.substring(norm, F.lit(5), end)
+
+    def bank(x: Column) -> Column:
+        was, ought = _iban_check(country, account), _iban_check(country, x)
+        return F.concat(country, F.when(check == was, ought).when(check == ought, was).otherwise(check), x)
+
+    script = F.when(norm.rlike(r"\p{IsCyrillic}"), "cyrillic").when(norm.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("name"), kind, attempt.cast("string"), norm), 256)
+    length = F.when(attempt < MOST_ROUNDS, 4 + 2 * attempt).otherwise(64)  # syllables
+    spelt = lambda s: F.array_join(F.transform(F.split(F.substring(digest, F.lit(1), length), ""), lambda c: F.get(F.array(*(F.lit(x) for x in SYLLABLES[s])), F.conv(c, 16, 10).cast("int"))), "")
     name = F.when(F.lit(False), "")
-    for gender in "fmus":
-        for s in SYLLABLES:
-            name = name.when((kind == f"name_{gender}") & (script == s), F.initcap(F.concat(*(syllable(s, i) for i in range(5 if gender == "s" else 4)), F.lit(ENDINGS[gender, s]))))
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "iban", iban).when(kind.startswith("name_"), name).otherwise(plain)
+    for s, endings in ENDINGS.items():
+        for gender, ending in endings.items():
+            name = name.when((kind == f"name_{gender}") & (script == s), F.initcap(F.concat(spelt(s), F.lit(ending))))
+    return (
+        F.when(kind == "email", email)
+        .when(kind == "ip", ip)
+        .when(kind == "phone", phone)
+        .when(kind == "card", card)
+        .when(kind == "iban", _once(keyed(account), bank))
+        .when(kind.startswith("name_"), name)
+        .otherwise(keyed(norm))
+    )
 
 
 def _dressed(kind: Column, original: Column, core: Column) -> Column:
@@ -128,60 +262,78 @@ def _dressed(kind: Column, original: Column, core: Column) -> Column:
         lambda a: a["out"],
     )
     cased = F.when((original == F.upper(original)) & (F.lower(original) != original), F.upper(core)).otherwise(core)
-    return F.when(kind.isin("phone", "ssn", "card", "iban"), walk).otherwise(cased)
+    lead = F.regexp_extract(original, r"^[._%+-]*", 0)
+    return F.when(kind.isin("phone", "ssn", "card", "iban"), walk).when(kind == "email", F.concat(lead, cased)).otherwise(cased)
 
 
 def _tokens(found: DataFrame) -> DataFrame:
-    """Entities of rows (ik, th, e, entity) as tokens (ik, th, e, sub, kind, original, norm); a null kind stays as it is."""
+    """Entities of rows (ik, th, e, entity, names) as tokens (ik, th, e, sub, etype, original, kind, norm); a null kind stays as it is."""
     kinds = found.withColumn("etype", _kind(F.col("entity")))
-    titles_f = F.col("entity").rlike(rf"^(?:{'|'.join(TITLES_F)})\b|^(?:{'|'.join(GIVEN_F)}) ")
-    titles_m = F.col("entity").rlike(rf"^(?:{'|'.join(TITLES_M)})\b|^(?:{'|'.join(GIVEN_M)}) ")
+    entity, named = F.col("entity"), F.col("etype") == "name"
     parts = kinds.select(
-        "ik", "th", "e", "etype",
-        F.when(titles_f, "f").when(titles_m, "m").otherwise("u").alias("gender"),
-        F.posexplode(F.when(F.col("etype") == "name", F.split("entity", " ")).otherwise(F.array("entity"))).alias("sub", "original"),
-        F.size(F.split("entity", " ")).alias("n"),
+        "ik", "th", "e", "etype", "names",
+        F.when(named, _gender(entity)).alias("gender"),
+        F.posexplode(F.when(named, F.split("entity", " ")).otherwise(F.array("entity"))).alias("sub", "original"),
+        F.when(named, F.size(F.split("entity", " "))).otherwise(1).alias("n"),
+    )
+    original = F.col("original")
+    title = (F.col("n") > 1) & (F.col("sub") == 0) & F.rtrim(original, F.lit(".")).isin(*TITLES_F, *TITLES_M, *TITLES_U)
+    name_kind = (
+        F.when(title, F.lit(None))
+        .when(F.col("n") == 1, _held(F.col("names"), original))
+        .when(F.col("sub") == F.col("n") - 1, "name_s")
+        .otherwise(F.concat(F.lit("name_"), F.col("gender")))
     )
-    title = F.col("original").isin(*TITLES_F, *TITLES_M, *(x + "." for x in TITLES_F + TITLES_M))
-    name_kind = F.when(title & (F.col("sub") == 0), F.lit(None)).when(F.col("sub") == F.col("n") - 1, "name_s").otherwise(F.concat(F.lit("name_"), F.col("gender")))
     kind = F.when(F.col("etype") == "name", name_kind).otherwise(F.col("etype"))
     norm = (
-        F.when(F.col("etype").isin("phone", "ssn", "card", "iban"), F.regexp_replace("original", r"[^\p{L}\p{N}+]", ""))
-        .when(F.col("etype") == "email", F.lower("original"))
-        .when(F.col("etype") == "name", F.initcap(F.lower("original")))
-        .otherwise(F.col("original"))
+        F.when(F.col("etype").isin("phone", "ssn", "card", "iban"), F.regexp_replace(original, r"[^\p{L}\p{N}+]", ""))
+        .when(F.col("etype") == "email", F.regexp_replace(F.lower(original), r"^[._%+-]+", ""))
+        .when(F.col("etype") == "ip", F.array_join(F.transform(F.split(original, r"\."), lambda x: x.cast("int").cast("string")), "."))
+        .when(F.col("etype") == "name", _norm_name(original))
+        .otherwise(original)
     )
     return parts.select("ik", "th", "e", "sub", "etype", "original", kind.alias("kind"), norm.alias("norm"))
 
 
+def _family(kind: Column) -> Column:
+    """Kinds among which surrogates and entities must differ."""
+    return F.when(kind.startswith("name_"), "name").otherwise(kind)
+
+
 def dictionary(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, core) for distinct (kind, norm): all cores of a kind differ, and none is a norm of its kind."""
-    known = entities.where("kind is not null").select("kind", "norm").distinct()
-    known = materialize(known, "entities")
-    todo, done = known.withColumn("attempt", F.lit(0)), None
-    for _ in range(MOST_ROUNDS):
-        drawn = materialize(todo.withColumn("core", _core(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "drawn")
-        first = drawn.groupBy("kind", "core").agg(F.min("norm").alias("norm"))
-        real = known.select("kind", F.col("norm").alias("core"))
-        good = first.join(real, ["kind", "core"], "left_anti")
+    """(kind, norm, core) for distinct (kind, norm): all cores of a kind differ, and none is an entity of the corpus where there is room."""
+    spread = max(1, int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    known = materialize(entities.where("kind is not null").select("kind", "norm").distinct(), "entities", compact=True)
+    real = known.select(_family(F.col("kind")).alias("family"), F.col("norm").alias("core")).distinct()
+    todo, done = known, None
+    for attempt in range(MOST_ROUNDS):
+        drawn = todo.repartition(spread, "kind", "norm").withColumn("core", _core(F.col("kind"), F.col("norm"), F.lit(attempt), key)).withColumn("family", _family(F.col("kind")))
+        drawn = materialize(drawn, "drawn", compact=True)
+        first = drawn.groupBy("family", "core").agg(F.min(F.struct("kind", "norm")).alias("x"))
+        good = first.join(real, ["family", "core"], "left_anti")
         if done is not None:
-            good = good.join(done.select("kind", "core"), ["kind", "core"], "left_anti")
-        good = materialize(good.select("kind", "norm", "core"), "accepted")
+            good = good.join(done.select(_family(F.col("kind")).alias("family"), "core"), ["family", "core"], "left_anti")
+        good = materialize(good.select("x.kind", "x.norm", "core"), "accepted", compact=True)
         done = good if done is None else done.unionByName(good)
-        rest = drawn.join(good, ["kind", "norm"], "left_anti")
-        if rest.isEmpty():
+        todo = drawn.join(good, ["kind", "norm"], "left_anti").select("kind", "norm")
+        if todo.isEmpty():
             return done
-        todo = rest.select("kind", "norm", (F.col("attempt") + 1).alias("attempt"))
-    raise RuntimeError("surrogates still collide; the space of a format is too small for its entities")
+    # free for those who are left: an accepted surrogate is no entity of the corpus, and theirs of the first round is one
+    last = F.when(F.col("kind").startswith("name_"), F.lit(MOST_ROUNDS)).otherwise(F.lit(0))
+    return done.unionByName(todo.select("kind", "norm", _core(F.col("kind"), F.col("norm"), last, key).alias("core")))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, n_entities, kinds): texts with surrogates, and the kinds of entity found with their counts."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    has = F.coalesce(F.col("text").rlike(ENTITY), F.lit(False))
-    keyed = keep(rows.where(has).select("id", "text", F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("ik"), F.xxhash64("text").alias("th")))  # searched once
-    found = keyed.select("ik", "th", F.posexplode(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).alias("e", "entity"))
-    tokens = materialize(_tokens(found), "tokens")
+    text = F.col(text_col)
+    searched = keep(  # searched once; marked texts in place of the plain ones
+        docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("ik"), F.xxhash64(text).alias("th"), text.alias("text"), marked(text).alias("x")).select(
+            "id", "ik", "th", F.coalesce("x.m", "text").alias("text"), "x.names", F.col("x.m").isNotNull().alias("has")
+        )
+    )
+    held = searched.where("has").withColumn("pieces", F.split("text", SEP, -1))
+    found = held.select("ik", "th", "names", F.posexplode(F.filter("pieces", lambda p, i: i % 2 == 1)).alias("e", "entity"))
+    tokens = materialize(_tokens(found), "tokens", compact=True)
     words = dictionary(tokens, key)
     told = (
         tokens.join(words, ["kind", "norm"], "left")
@@ -189,14 +341,14 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
         .groupBy("ik", "th")
         .agg(F.sort_array(F.collect_set("p")).alias("p"))
     )
-    met = keyed.join(told, ["ik", "th"]).withColumn("gaps", F.split("text", ENTITY, -1))
-    text = F.concat(
+    met = held.join(told, ["ik", "th"]).withColumn("gaps", F.filter("pieces", lambda x, i: i % 2 == 0))
+    rebuilt = F.concat(
         F.array_join(F.transform("p", lambda p: F.concat(F.when(p["sub"] == 0, F.get("gaps", p["e"])).otherwise(" "), p["s"])), ""),
         F.get("gaps", F.size("gaps") - 1),
     )
     heads = F.filter("p", lambda p: p["sub"] == 0)
     kinds = F.array_join(F.transform(F.array(*(F.lit(k) for k in PATTERNS)), lambda k: F.concat(k, F.lit(":"), F.size(F.filter(heads, lambda p: p["etype"] == k)).cast("string"))), ",")
     none = ",".join(f"{k}:0" for k in PATTERNS)
-    changed = met.select(F.col("id").alias(id_col), text.alias(text_col), F.size(heads).cast("long").alias("n_entities"), kinds.alias("kinds"))
-    plain = rows.where(~has).select(F.col("id").alias(id_col), F.col("text").alias(text_col), F.lit(0).cast("long").alias("n_entities"), F.lit(none).alias("kinds"))
+    changed = met.select(F.col("id").alias(id_col), F.replace(rebuilt, F.lit(ESCAPED), F.lit(_P)).alias(text_col), F.size(heads).cast("long").alias("n_entities"), kinds.alias("kinds"))
+    plain = searched.where("not has").select(F.col("id").alias(id_col), F.col("text").alias(text_col), F.lit(0).cast("long").alias("n_entities"), F.lit(none).alias("kinds"))
     return changed.unionByName(plain)
