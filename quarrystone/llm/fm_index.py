@@ -1,25 +1,26 @@
 """Benchmark decontamination by an FM-index over each training shard.
 
-A shard is a stretch of documents of bounded size. Words are symbols over the
-alphabet of the benchmark; other words end a run, and runs shorter than the
-shortest window cannot hold one and stay out of the index. Over the runs a suffix
-array is built by prefix doubling; its Burrows-Wheeler transform is kept as a
-wavelet tree of bit vectors with ranks. All windows of the benchmark are searched
-backwards at once; occurrences are located by walking to sampled suffix positions,
-and their spans are merged.
+A shard is a stretch of documents of bounded size. All its words are symbols over
+its own alphabet. A suffix array of the whole shard is built by prefix doubling;
+its Burrows-Wheeler transform is kept as a wavelet tree of bit vectors with ranks.
+All windows of the benchmark are searched backwards at once; occurrences are
+located by walking to sampled suffix positions, and their spans are merged.
 
 A window is 10 consecutive words of an item; an item with fewer words, but some,
 is one window. The benchmark reaches the tasks as a broadcast only in slices whose
-size is checked; more slices mean more passes, and their spans are merged by row.
+size is checked. One slice is searched as soon as a shard is indexed; for more, the
+indexes are written once, each slice is searched in all of them, and the spans are
+merged by row.
 
 Defined cases: null and empty texts have no words; an item without words has no
-window; repeated item ids count once; repeated documents give repeated rows;
-further columns are ignored; empty tables give empty results, an empty benchmark
-marks nothing.
+window; repeated item ids count once; repeated documents give repeated rows; a
+very long text is a shard of its own; further columns are ignored; empty tables
+give empty results, an empty benchmark marks nothing.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from ..storage import materialize, ship
 
 WINDOW = 10
-SHARD_BYTES = 32 << 20  # bytes of text in a shard
+SHARD_BYTES = 8 << 20  # bytes of text in a shard
 SLICE_BYTES = 32 << 20  # bytes of benchmark text in a pass
 SAMPLED = 8  # every so many text positions is kept in the index
 
@@ -46,37 +47,45 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Order of all suffixes, by prefix doubling; suffixes that are told apart already are left alone."""
+    """Order of all suffixes, by prefix doubling; suffixes that are told apart already are left alone.
+
+    The first round sorts by as many symbols as fit into 63 bits.
+    """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
-    sorted_symbols = symbols[order]
+    width = max(1, int(symbols.max(initial=0) + 1).bit_length())
+    k = max(1, 63 // width)
+    packed = np.zeros(n, np.int64)
+    for d in range(k):  # 0 stands behind the end, below all symbols
+        packed <<= width
+        packed[: n - d] |= symbols[d:] + 1
+    order = np.argsort(packed, kind="stable")
+    packed = packed[order]
     new = np.empty(n, bool)
     new[:1] = True
-    np.not_equal(sorted_symbols[1:], sorted_symbols[:-1], out=new[1:])
+    np.not_equal(packed[1:], packed[:-1], out=new[1:])
     starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, n))
     rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
-    k = 1
-    while True:
-        sizes = np.diff(np.append(starts, n))
-        open_groups = sizes > 1
-        if not open_groups.any():
-            return order
-        at = np.flatnonzero(np.repeat(open_groups, sizes))  # places in the order that aren't settled
+    rank[order] = np.repeat(starts, sizes)
+    wide = sizes > 1
+    at = np.flatnonzero(np.repeat(wide, sizes))  # places in the order that aren't settled
+    while len(at):
         here = order[at]
         behind = here + k
+        first = rank[here]
         second = np.where(behind < n, rank[np.minimum(behind, n - 1)], -1)
-        by = np.lexsort((second, rank[here]))
-        here, second = here[by], second[by]
+        by = np.lexsort((second, first))
+        here, first, second = here[by], first[by], second[by]
         order[at] = here
-        first = rank[here]
         fresh = np.empty(len(here), bool)
         fresh[:1] = True
         fresh[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-        own = at[fresh]
-        rank[here] = np.repeat(own, np.diff(np.append(np.flatnonzero(fresh), len(here))))
-        starts = np.union1d(starts, own)
+        edges = np.flatnonzero(fresh)
+        sizes = np.diff(np.append(edges, len(here)))
+        rank[here] = np.repeat(at[edges], sizes)
+        at = at[np.repeat(sizes > 1, sizes)]
         k *= 2
+    return order
 
 
 class BitVector:
@@ -107,7 +116,8 @@ class WaveletTree:
             bits = (now >> shift) & 1
             zeros = len(bits) - int(bits.sum())
             self.levels.append((shift, BitVector(bits.astype(np.uint8)), zeros))
-            now = now[np.argsort(bits, kind="stable")]
+            one = bits == 1
+            now = np.concatenate((now[~one], now[one]))
 
     def rank(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
         """How often each symbol stands before each place."""
@@ -172,69 +182,64 @@ class FMIndex:
 
 
 class Phrases:
-    """The windows of a benchmark over its own alphabet."""
+    """The windows of a benchmark, by their number of words."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW) -> None:
-        self.symbol: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[str]] = {}
+        windows: dict[tuple[bytes, ...], set[str]] = {}
         for item, text in items:
-            w = [self.symbol.setdefault(x, len(self.symbol) + 2) for x in words_of(text)]  # 0 ends a text, 1 a run
+            w = words_of(text)
             size = min(window, len(w))
             for i in range(len(w) - size + 1 if size else 0):
                 windows.setdefault(tuple(w[i : i + size]), set()).add(str(item))
+        self.alphabet = {x: i for i, x in enumerate(dict.fromkeys(x for w in windows for x in w))}
         self.by_length: dict[int, tuple[np.ndarray, list[set[str]]]] = {}
         for size in sorted({len(w) for w in windows}):
             own = [w for w in windows if len(w) == size]
-            self.by_length[size] = (np.array(own, np.int64), [windows[w] for w in own])
-        self.shortest = min(self.by_length, default=0)
-
-
-def search_shard(texts: list[str | None], phrases: Phrases) -> tuple[list[int], list[list[tuple[int, int]]], list[set[str]]]:
-    """For each text of a shard: its number of words, merged spans of hit words, and the items that hit."""
-    counts: list[int] = []
-    coded: list[np.ndarray] = []
-    get = phrases.symbol.get
-    for t in texts:
-        w = words_of(t)
-        counts.append(len(w))
-        coded.append(np.fromiter((get(x, 1) for x in w), np.int64, len(w)))
-        coded.append(np.ones(1, np.int64))
-    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    items: list[set[str]] = [set() for _ in texts]
-    if not phrases.by_length or not texts:
-        return counts, spans, items
-    every = np.concatenate(coded)
-    starts = np.cumsum([0] + [c + 1 for c in counts])[:-1]
-    inside = every > 1
-    edge = np.diff(np.concatenate(([0], inside.astype(np.int8), [0])))
-    run_from, run_to = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    long = run_to - run_from >= phrases.shortest
-    run_from, run_to = run_from[long], run_to[long]
-    if not len(run_from):
-        return counts, spans, items
-    length = run_to - run_from + 1  # with the symbol that ends the run
-    at = np.repeat(run_from - np.concatenate(([0], np.cumsum(length)[:-1])), length) + np.arange(length.sum())
-    symbols = np.where(np.isin(at, run_to), 1, every[at])
-    index = FMIndex(symbols)
-    marks = np.zeros(len(every) + 1, np.int32)
-    for size, (patterns, owners) in phrases.by_length.items():
-        lo, hi = index.search(patterns)
-        met = np.flatnonzero(hi > lo)
-        if not len(met):
-            continue
-        each = (hi - lo)[met]
-        rows = np.repeat(lo[met] - np.concatenate(([0], np.cumsum(each)[:-1])), each) + np.arange(each.sum())
-        where = at[index.locate(rows)]
-        np.add.at(marks, where, 1)
-        np.add.at(marks, where + size, -1)
-        docs = np.searchsorted(starts, where, side="right") - 1
-        for d, p in set(zip(docs.tolist(), np.repeat(met, each).tolist(), strict=True)):
-            items[d] |= owners[p]
-    hit = np.diff(np.concatenate(([0], (np.cumsum(marks[:-1]) > 0).astype(np.int8), [0])))
-    for s, e in zip(np.flatnonzero(hit == 1).tolist(), np.flatnonzero(hit == -1).tolist(), strict=True):
-        d = int(np.searchsorted(starts, s, side="right")) - 1
-        spans[d].append((s - int(starts[d]), e - int(starts[d])))
-    return counts, spans, items
+            self.by_length[size] = (np.array([[self.alphabet[x] for x in w] for w in own], np.int64), [windows[w] for w in own])
+
+
+class Shard:
+    """All words of some texts, and the FM-index over them."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        self.symbol: dict[bytes, int] = {}
+        counts, coded = [], []
+        name = self.symbol.setdefault
+        for t in texts:
+            w = words_of(t)
+            counts.append(len(w))
+            coded.append(np.fromiter((name(x, len(self.symbol) + 2) for x in w), np.int64, len(w)))  # 0 ends the shard, 1 a text
+            coded.append(np.ones(1, np.int64))
+        self.counts = np.array(counts, np.int64)
+        self.starts = np.cumsum(np.append(0, self.counts + 1))[:-1]
+        self.index = FMIndex(np.concatenate(coded) if coded else np.zeros(0, np.int64))
+
+    def search(self, phrases: Phrases) -> tuple[list[list[tuple[int, int]]], list[set[str]]]:
+        """For each text: merged spans of hit words, and the items that hit."""
+        spans: list[list[tuple[int, int]]] = [[] for _ in self.counts]
+        items: list[set[str]] = [set() for _ in self.counts]
+        own = np.fromiter((self.symbol.get(x, 0) for x in phrases.alphabet), np.int64, len(phrases.alphabet))
+        marks = np.zeros(self.index.n + 1, np.int32)
+        for size, (patterns, owners) in phrases.by_length.items():
+            symbols = own[patterns]
+            held = np.flatnonzero((symbols > 0).all(1))  # the others have a word that the shard lacks
+            lo, hi = self.index.search(symbols[held])
+            met = np.flatnonzero(hi > lo)
+            if not len(met):
+                continue
+            each = (hi - lo)[met]
+            rows = np.repeat(lo[met] - np.concatenate(([0], np.cumsum(each)[:-1])), each) + np.arange(each.sum())
+            where = self.index.locate(rows)
+            np.add.at(marks, where, 1)
+            np.add.at(marks, where + size, -1)
+            docs = np.searchsorted(self.starts, where, side="right") - 1
+            for d, p in set(zip(docs.tolist(), np.repeat(held[met], each).tolist(), strict=True)):
+                items[d] |= owners[p]
+        hit = np.diff(np.concatenate(([0], (np.cumsum(marks[:-1]) > 0).astype(np.int8), [0])))
+        for s, e in zip(np.flatnonzero(hit == 1).tolist(), np.flatnonzero(hit == -1).tolist(), strict=True):
+            d = int(np.searchsorted(self.starts, s, side="right")) - 1
+            spans[d].append((s - int(self.starts[d]), e - int(self.starts[d])))
+        return spans, items
 
 
 def remove_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -249,35 +254,76 @@ def remove_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _pass(docs: DataFrame, id_col: str, text_col: str, items: list[tuple[object, str | None]], shard_bytes: int) -> DataFrame:
+_SPANS = "array<struct<start:long,end:long>>"
+_SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[pa.DataType, list, list]]:
+    """(type of ids, ids, texts) of stretches of rows whose texts reach shard_bytes."""
+    ids, texts, held, kind = [], [], 0, None
+    for b in batches:
+        kind = b.schema.field(0).type
+        for i, t in zip(b[0].to_pylist(), b[1].to_pylist(), strict=True):
+            ids.append(i)
+            texts.append(t)
+            held += len(t or "")
+            if held >= shard_bytes:
+                yield kind, ids, texts
+                ids, texts, held = [], [], 0
+    if ids:
+        yield kind, ids, texts
+
+
+def _found(kind: pa.DataType, names: list[str], ids: list, counts: list, spans: list, items: list, texts: list) -> pa.RecordBatch:
+    clean = [remove_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
+    rows = [[{"start": a, "end": b} for a, b in s] for s in spans]
+    return pa.record_batch([pa.array(ids, kind), pa.array(counts, pa.int64()), pa.array(rows, _SPAN_TYPE), pa.array(items, pa.list_(pa.string())), pa.array(clean, pa.string())], names)
+
+
+def _one_slice(docs: DataFrame, id_col: str, text_col: str, items: list[tuple[object, str | None]], shard_bytes: int) -> DataFrame:
+    """Index each shard and search the whole benchmark in it."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
-    kind = docs.schema[id_col].dataType.simpleString()
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     names = [id_col, "n_words", "spans", "items", "clean_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(shared.value)
+        for kind, ids, texts in _shards(batches, shard_bytes):
+            shard = Shard(texts)
+            spans, hits = shard.search(phrases)
+            yield _found(kind, names, ids, shard.counts.tolist(), spans, [sorted(h) for h in hits], texts)
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_words long, spans {_SPANS}, items array<string>, clean_text string")
+
+
+def _indexes(keyed: DataFrame, shard_bytes: int) -> DataFrame:
+    """(rows, index): the index of each shard of (row, text), and the rows of its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows, texts in _shards(batches, shard_bytes):
+            yield pa.record_batch([pa.array([rows], pa.list_(pa.int64())), pa.array([pickle.dumps(Shard(texts), 5)], pa.large_binary())], ["rows", "index"])
 
-        def done(ids: list, texts: list) -> pa.RecordBatch:
-            counts, spans, hits = search_shard(texts, phrases)
-            clean = [remove_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
-            rows = [[{"start": a, "end": b} for a, b in s] for s in spans]
-            return pa.record_batch([pa.array(ids, id_type), pa.array(counts, pa.int64()), pa.array(rows, span), pa.array([sorted(h) for h in hits], pa.list_(pa.string())), pa.array(clean, pa.string())], names)
+    return keyed.select("row", "text").mapInArrow(run, "rows array<long>, index binary")
 
-        ids, texts, held, id_type = [], [], 0, None
+
+def _searched(indexes: DataFrame, items: list[tuple[object, str | None]]) -> DataFrame:
+    """(row, spans, items) of the texts that a slice of the benchmark hits."""
+    shared = indexes.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = Phrases(shared.value)
         for b in batches:
-            id_type = b.schema.field(0).type
-            for i, t in zip(b[0].to_pylist(), b[1].to_pylist(), strict=True):
-                ids.append(i)
-                texts.append(t)
-                held += len(t or "")
-                if held >= shard_bytes:
-                    yield done(ids, texts)
-                    ids, texts, held = [], [], 0
-        if ids:
-            yield done(ids, texts)
+            for k in range(b.num_rows):
+                spans, hits = pickle.loads(b[1][k].as_py()).search(phrases)  # written by _indexes
+                rows = b[0][k].as_py()
+                met = [d for d, s in enumerate(spans) if s]
+                yield pa.record_batch([
+                    pa.array([rows[d] for d in met], pa.int64()),
+                    pa.array([[{"start": x, "end": y} for x, y in spans[d]] for d in met], _SPAN_TYPE),
+                    pa.array([sorted(hits[d]) for d in met], pa.list_(pa.string())),
+                ], ["row", "spans", "items"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_words long, spans array<struct<start:long,end:long>>, items array<string>, clean_text string")
+    return indexes.mapInArrow(run, f"row long, spans {_SPANS}, items array<string>")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shard_bytes: int = SHARD_BYTES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -288,34 +334,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     part = F.pmod(F.xxhash64(item_col, item_text_col), F.lit(slices))
     take = lambda k: [(r[0], r[1]) for r in benchmark.where(part == k).select(item_col, item_text_col).collect()]  # noqa: E731  one slice, of checked size
     if slices == 1:
-        return _pass(docs, id_col, text_col, [(r[0], r[1]) for r in benchmark.select(item_col, item_text_col).collect()], shard_bytes)
-    keyed = materialize(docs.select(F.struct(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row")).alias("key"), F.col(text_col).alias("text")), "fm-rows")
+        return _one_slice(docs, id_col, text_col, take(0), shard_bytes)
+    keyed = materialize(docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text")), "fm-rows")
+    indexes = materialize(_indexes(keyed, shard_bytes), "fm-indexes")
     found = None
     for k in range(slices):
-        one = materialize(_pass(keyed, "key", "text", take(k), shard_bytes).where(F.size("spans") > 0).select("key", "spans", "items"), "fm-pass")
+        one = materialize(_searched(indexes, take(k)), "fm-found")
         found = one if found is None else found.unionByName(one)
-    merged = found.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))  # a row for each pass at most
-    rows = keyed.join(merged, "key", "left")
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    kind = docs.schema[id_col].dataType.simpleString()
+    merged = found.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))  # a row for each slice at most
     names = [id_col, "n_words", "spans", "items", "clean_text"]
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            spans, counts, clean = [], [], []
-            for t, s in zip(b[1].to_pylist(), b[2].to_pylist(), strict=True):
+            texts, spans = b[1].to_pylist(), []
+            for s in b[2].to_pylist():
                 own: list[tuple[int, int]] = []
                 for x, y in sorted((x["start"], x["end"]) for x in s or []):
                     if own and x <= own[-1][1]:
                         own[-1] = (own[-1][0], max(y, own[-1][1]))
                     else:
                         own.append((x, y))
-                spans.append([{"start": x, "end": y} for x, y in own])
-                counts.append(len(words_of(t)))
-                clean.append(remove_spans(t, own) if own else t)
-            yield pa.record_batch([b[0], pa.array(counts, pa.int64()), pa.array(spans, span), pa.array([x or [] for x in b[3].to_pylist()], pa.list_(pa.string())), pa.array(clean, pa.string())], names)
+                spans.append(own)
+            yield _found(b.schema.field(0).type, names, b[0].to_pylist(), [len(words_of(t)) for t in texts], spans, [x or [] for x in b[3].to_pylist()], texts)
 
-    return rows.select(F.col("key.id").alias(id_col), "text", "spans", "items").mapInArrow(close, f"`{id_col}` {kind}, n_words long, spans array<struct<start:long,end:long>>, items array<string>, clean_text string")
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = keyed.join(merged, "row", "left").select(F.col("id").alias(id_col), "text", "spans", "items")
+    return rows.mapInArrow(close, f"`{id_col}` {kind}, n_words long, spans {_SPANS}, items array<string>, clean_text string")
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
