@@ -14,11 +14,12 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import ship
 
@@ -75,19 +76,18 @@ def serialise_model(entries: list[bytes]) -> bytes:
 
 
 class ByteBPE:
-    """Encoder and decoder of one rank file."""
+    """Encoder and decoder of one serialised model."""
 
-    def __init__(self, rank_path: str, pattern: str) -> None:
+    def __init__(self, model: bytes, pattern: str) -> None:
         import regex
         import sentencepiece
 
-        entries = read_ranks(rank_path)
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(entries))
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.split = regex.compile(pattern).findall
         shown = byte_characters()
         self.to_shown = {b: shown[b] for b in range(256)}
         back = {c: b for b, c in enumerate(shown)}
-        self.bytes_of = [bytes(back[c] for c in self.model.id_to_piece(i)) for i in range(len(entries))]
+        self.bytes_of = [bytes(back[c] for c in self.model.id_to_piece(i)) for i in range(self.model.get_piece_size() - 1)]
         self.kept: dict[str, bytes] = {}
 
     def _pre_token(self, token: str) -> bytes:
@@ -108,21 +108,29 @@ class ByteBPE:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I")))
 
 
-_made: dict[tuple[str, str], ByteBPE] = {}
+_made: dict[str, ByteBPE] = {}
 
 
-def _codec(rank_path: str, pattern: str) -> ByteBPE:
-    if (rank_path, pattern) not in _made:
-        _made[rank_path, pattern] = ByteBPE(rank_path, pattern)
-    return _made[rank_path, pattern]
+def _shared(spark: SparkSession, rank_path: str, pattern: str) -> Callable[[], ByteBPE]:
+    """The codec in a task. The rank file is read by the driver alone; the model made from it goes to the executors."""
+    model = serialise_model(read_ranks(rank_path))  # some MB: a rank file's entries are a vocabulary
+    name, sent = hashlib.sha256(model + pattern.encode()).hexdigest(), spark.sparkContext.broadcast((model, pattern))
+
+    def codec() -> ByteBPE:
+        if name not in _made:
+            _made[name] = ByteBPE(*sent.value)
+        return _made[name]
+
+    return codec
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): ids is the packed token ids of the whole text, 4 bytes each."""
     ship(docs.sparkSession)
+    made = _shared(docs.sparkSession, rank_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(rank_path, pattern)
+        codec = made()
         for b in batches:
             yield pa.record_batch([b[0], pa.array([codec.encode(t or "") for t in b[1].to_pylist()], pa.binary())], [id_col, "ids"])
 
@@ -133,9 +141,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
 def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, decoded): encode, then decode the ids, in one worker (one codec in memory)."""
     ship(docs.sparkSession)
+    made = _shared(docs.sparkSession, rank_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(rank_path, pattern)
+        codec = made()
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
@@ -149,9 +158,10 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
 def decode(encoded: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
     """(id, ids, decoded): the bytes for which the ids stand."""
     ship(encoded.sparkSession)
+    made = _shared(encoded.sparkSession, rank_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(rank_path, pattern)
+        codec = made()
         for b in batches:
             yield pa.record_batch([b[0], b[1], pa.array([codec.decode(x) for x in b[1].to_pylist()], pa.binary())], [id_col, "ids", "decoded"])
 
