@@ -10,7 +10,11 @@ Files are reached through pyarrow's file systems by URI, so the folder can be in
 any store that executors share. A task that is run again writes under another
 name, and only the names that committed tasks returned are read.
 
-Defined cases: a null payload is an empty one; of rows with equal payloads and
+An archive can be one gzip stream or several behind each other; records can go
+across their borders. An archive that ends within a stream or a record is an error.
+
+Defined cases: a null payload is an empty one; white space in a url is written as
+%XX; ids are whole numbers; of rows with equal payloads and
 the same largest page_id each is a response; rows whose group has no id at all
 are responses; payloads shorter than ``min_revisit_bytes`` are never revisits;
 null urls are written as empty; further columns are ignored; an empty table
@@ -23,9 +27,11 @@ import base64
 import hashlib
 import io
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +41,7 @@ from ..storage import materialize, new_path, ship
 
 ARCHIVE_BYTES = 64 << 20  # an archive is closed once it holds so many bytes before compression
 PIECE = 1 << 20
+SPACES = re.compile(r"[\s\x00-\x1F]+")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -50,7 +57,7 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        f"WARC-Target-URI: {''.join(url.split())}",
+        f"WARC-Target-URI: {SPACES.sub(lambda m: quote(m[0]), url)}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}",
         f"X-Payload-Length: {len(payload)}",
@@ -65,7 +72,7 @@ def parse_heads(data: bytes) -> dict[str, str]:
     lines = data.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
-    return dict(x.split(": ", 1) for x in lines[1:] if x)
+    return {k: v.strip() for k, _, v in (x.partition(":") for x in lines[1:] if x)}
 
 
 class RecordCutter:
@@ -158,18 +165,22 @@ def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
             for name in b["archive"].to_pylist():
                 to = f"members-{uuid.uuid4().hex}.warc.gz"
                 at = n = 0
-                inflate, cut = zlib.decompressobj(31), RecordCutter()
+                inflate, cut = zlib.decompressobj(31), RecordCutter()  # a new inflater for each member of the archive
                 with store.open_input_stream(f"{base}/{name}", compression=None) as source, store.open_output_stream(f"{base}/{to}", compression=None) as sink, store.open_output_stream(f"{base}/{to}.idx", compression=None) as side:
                     while piece := source.read(PIECE):
                         while piece:
+                            if inflate.eof:
+                                if not (piece := piece.lstrip(b"\0")):  # padding behind a member
+                                    break
+                                inflate = zlib.decompressobj(31)
                             data = inflate.decompress(piece, 4 * PIECE)
-                            piece = inflate.unconsumed_tail
+                            piece = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
                             for whole in cut.feed(data):
                                 squeeze = zlib.compressobj(3, zlib.DEFLATED, 31)
                                 member = squeeze.compress(whole) + squeeze.flush()
                                 heads = parse_heads(whole[: whole.index(b"\r\n\r\n")])
                                 sink.write(member)
-                                side.write((json.dumps({"offset": at, "length": len(member), "id": heads["WARC-Record-ID"], "type": heads["WARC-Type"], "digest": heads["WARC-Payload-Digest"]}) + "\n").encode())
+                                side.write((json.dumps({"offset": at, "length": len(member), "id": heads.get("WARC-Record-ID"), "type": heads.get("WARC-Type"), "digest": heads.get("WARC-Payload-Digest")}) + "\n").encode())
                                 at += len(member)
                                 n += 1
                 if not inflate.eof or cut.rest:

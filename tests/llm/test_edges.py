@@ -225,7 +225,7 @@ def test_byte_bpe_matches_the_library():
 
     path = str(P.path("byte_bpe_50k.tiktoken"))
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
-    plain, own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}), bpe.ByteBPE(path, P.PATTERN)
+    plain, own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}), bpe.ByteBPE(bpe.serialise_model(bpe.read_ranks(path)), P.PATTERN)
     alphabet = "aAbzZ09 \n\t.,'\"-_é中🙂\x00‍<|endoftext|>"
     for _ in range(3000):
         t = "".join(rng.choice(alphabet) for _ in range(rng.randrange(60)))
@@ -245,6 +245,29 @@ def test_warc(spark, tmp_path):
     assert warc.round_trip(df.limit(0), folder=f"file://{tmp_path}/c").count() == 0
 
 
+@pytest.mark.parametrize("cut", [None, 0, 1])
+def test_warc_archives_of_several_members(spark, tmp_path, cut):
+    import gzip
+
+    records = [warc.record(i, f"http://a/{i} b", f"text {i} ".encode() * 5000, None, False) for i in range(4)]
+    whole = b"".join(records)
+    at = len(whole) if cut is None else len(records[0]) + len(records[1]) if cut == 0 else len(records[0]) + 77  # between records, and within one
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(whole[:at]) + (gzip.compress(whole[at:]) if cut is not None else b"") + b"\0" * 512)
+    members = warc.normalise_archives(spark.createDataFrame([("a.warc.gz",)], "archive string"), f"file://{tmp_path}")
+    got = warc.read_archives(members, f"file://{tmp_path}").orderBy("page_id").collect()
+    assert [(r.page_id, r.url, bytes(r.payload)) for r in got] == [(i, f"http://a/{i}%20b", f"text {i} ".encode() * 5000) for i in range(4)]
+
+
+def test_warc_archives_that_end_early(spark, tmp_path):
+    import gzip
+
+    data = warc.record(1, "u", b"x" * 5000, None, False)
+    for name, body in (("a", gzip.compress(data)[:-9]), ("b", gzip.compress(data[:-50]))):
+        (tmp_path / name).write_bytes(body)
+        with pytest.raises(Exception, match="cut short"):
+            warc.normalise_archives(spark.createDataFrame([(name,)], "archive string"), f"file://{tmp_path}").collect()
+
+
 def test_empty_tables(empty):
     assert sharding.shard(empty).count() == chosen_path.join(empty).count() == secrets.scan(empty).count() == surrogates.pseudonymise(empty, "k").count() == 0
     assert host_rules.judge(empty).count() == recompression.dedup(empty).count() == line_templates.drop_recurring(empty).count() == 0
