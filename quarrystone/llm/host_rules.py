@@ -3,8 +3,11 @@
 DataFrame functions only. Rules are evaluated on each whole text; their failures
 are counted by host; each host's failure rate of each rule is shrunk towards all
 hosts by a beta prior whose two parameters come from the hosts themselves (method
-of moments); a host whose shrunk rate of any rule is beyond the limit is rejected
-with all its documents.
+of moments, with what chance alone explains taken off). The limit of a rate comes
+from the prior, too: three of its deviations beyond its mean, though not below a
+tenth nor, unless the mean itself is, above a half. A host whose shrunk rate of any rule is beyond the limit by
+a deviation of its posterior is rejected with all its documents. Where hosts differ by no more than chance, the
+prior is so strong that none is.
 
 Defined cases: a null text has no words and fails; a null host is a host of its
 own; repeated rows are separate documents; hash ties of 3-word windows within one
@@ -14,6 +17,8 @@ empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +27,8 @@ from ..storage import keep as kept
 WORD = r"[^\x20\x09-\x0D]+"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-HOST_LIMIT = 0.8  # a host goes if the shrunk failure rate of a rule is beyond it
+DEVIATIONS = 3.0  # the limit of a shrunk rate is so many deviations of the prior beyond its mean,
+LEAST_LIMIT, MOST_LIMIT = 0.1, 0.5  # within these: a rate of a tenth is borne by any host, of more than a half by none unless the mean is beyond it
 FEW_HOSTS = 50_000  # verdicts of so many hosts are sent to all tasks, of more they are shuffled
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1e6  # bounds of the prior's weight in documents
 
@@ -72,27 +78,47 @@ def rules() -> dict[str, Column]:
     }
 
 
-def host_verdicts(judged: DataFrame, names: list[str], limit: float = HOST_LIMIT) -> DataFrame:
-    """(host, host_docs, rate_<rule>..., host_rejected) from failures fail_<rule> by document."""
+def host_verdicts(judged: DataFrame, names: list[str], limit: float | None = None) -> DataFrame:
+    """(host, host_docs, rate_<rule>..., host_rejected) from failures fail_<rule> by document; limit: one for all rules in place of the prior's."""
     hosts = judged.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"), *(F.sum(F.col(f"fail_{r}").cast("long")).alias(f"f_{r}") for r in names))
     share = lambda r: F.col(f"f_{r}") / F.col("host_docs")
     moments = hosts.agg(
+        F.count(F.lit(1)).alias("hosts"),
         F.sum("host_docs").alias("docs"),
+        F.sum(F.col("host_docs").cast("double") * F.col("host_docs")).alias("squares"),
         *(F.sum(f"f_{r}").alias(f"f_{r}") for r in names),
         *(F.sum(F.col("host_docs") * share(r) * share(r)).alias(f"q_{r}") for r in names),
     ).first()  # one row
-    rates = []
+    rates, beyond = [], F.lit(False)
     for r in names:
-        docs = moments.docs or 1
-        mean = (moments[f"f_{r}"] or 0) / docs
-        spread = (moments[f"q_{r}"] or 0.0) / docs - mean * mean
-        strength = MOST_STRENGTH if spread <= 0 else min(MOST_STRENGTH, max(LEAST_STRENGTH, mean * (1 - mean) / spread - 1))
+        mean, strength, most = prior(moments.hosts, moments.docs or 0, moments.squares or 0.0, moments[f"f_{r}"] or 0, moments[f"q_{r}"] or 0.0)
         rates.append(((F.col(f"f_{r}") + F.lit(mean * strength)) / (F.col("host_docs") + F.lit(strength))).alias(f"rate_{r}"))
-    shrunk = hosts.select("host", "host_docs", *rates)
-    return shrunk.withColumn("host_rejected", F.greatest(*(F.col(f"rate_{r}") for r in names), F.lit(0.0)) > limit)
-
-
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+        rate = F.col(f"rate_{r}")
+        sure = rate - F.sqrt(rate * (1 - rate) / (F.col("host_docs") + F.lit(strength + 1)))  # a deviation of the posterior below its mean
+        beyond = beyond | (sure > F.lit(most if limit is None else limit))
+    return hosts.select("host", "host_docs", *rates).withColumn("host_rejected", beyond)
+
+
+def prior(hosts: int, docs: int, squares: float, failed: int, spread: float) -> tuple[float, float, float]:
+    """(mean, strength, limit) of a rule's beta prior by the method of moments.
+
+    squares: sum of squared documents by host; spread: sum over hosts of documents
+    times the squared failure rate. What rates differ by chance alone, as they are
+    counted over so many documents, is taken off before the rest is laid to hosts.
+    """
+    mean = failed / docs if docs else 0.0
+    within = mean * (1 - mean)
+    if within <= 0 or hosts < 2:
+        return mean, MOST_STRENGTH, max(LEAST_LIMIT, mean)
+    free = docs - squares / docs - (hosts - 1)
+    between = ((spread - docs * mean * mean) / within - (hosts - 1)) / free if free > 0 else 0.0
+    strength = MOST_STRENGTH if between <= 0 else min(MOST_STRENGTH, max(LEAST_STRENGTH, 1 / between - 1))
+    deviation = math.sqrt(within / (strength + 1))
+    limit = max(LEAST_LIMIT, mean + DEVIATIONS * deviation)
+    return mean, strength, limit if mean >= MOST_LIMIT else min(MOST_LIMIT, limit)
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float | None = None) -> DataFrame:
     """Features, base_failed, host_rejected and kept of each row of docs."""
     named = rules()
     seen = kept(features(docs, id_col, text_col, host_col).select("*", *(rule.alias(f"fail_{r}") for r, rule in named.items())), now=True)
@@ -107,7 +133,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     )
 
 
-def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float | None = None) -> DataFrame:
     """The rows of docs that are kept, with all their columns; each row travels with its features, so nothing is joined back by id."""
     whole = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"), F.col(host_col).alias("host"))
     return judge(whole, "doc", "text", "host", limit).where("kept").select("doc.*")

@@ -166,6 +166,37 @@ def test_hosts_are_shrunk(spark):
     assert got["h1"].host_rejected and not got["h0"].host_rejected and got["h0"].rate_r < 1 and not got["h2"].host_rejected
 
 
+def test_hosts_that_differ_by_chance_stay(spark):
+    draw = random.Random(3)
+    rows = [(f"h{h}", draw.random() < 0.3) for h in range(40) for _ in range(draw.choice([1, 3, 20, 200]))]
+    got = host_rules.host_verdicts(spark.createDataFrame(rows, "host string, fail_r boolean"), ["r"])
+    assert got.where("host_rejected").count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_a_bad_host_goes_with_its_good_documents(spark, sf, few, monkeypatch, tmp_path):
+    """Registered documents, of which one host has gathered most that fail: what the rules alone would keep of it goes, too; the SQL agrees."""
+    import duckdb
+
+    from quarrystone.llm import oracle
+
+    monkeypatch.setattr(host_rules, "FEW_HOSTS", few)  # on both sides of the plan's switch
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    plain = host_rules.judge(docs).select("doc_id", "base_failed", "kept", "fail_short").collect()
+    assert all(r.kept != r.base_failed for r in plain)  # as they are, hosts differ by chance
+    bad = [r.doc_id for r in plain if r.fail_short][:30] + [r.doc_id for r in plain if not r.base_failed][:6]
+    moved = docs.withColumn("source", F.when(F.col("doc_id").isin(bad), "farm").otherwise(F.col("source")))
+    path = f"{tmp_path}/documents.parquet"
+    moved.write.parquet(path)
+    got = {r.doc_id: r.kept for r in host_rules.judge(spark.read.parquet(path)).collect()}
+    alone = [r.doc_id for r in plain if not r.base_failed and not got[r.doc_id]]
+    assert sorted(alone) == sorted(bad[30:])
+    assert {r.doc_id for r in host_rules.keep(spark.read.parquet(path)).collect()} == {r.doc_id for r in plain if r.kept} - {*bad}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert {r[0]: r[-1] for r in con.sql(oracle.SQL["op7_host_rules"]).fetchall()} == got
+
+
 @pytest.mark.parametrize("chunk", [300, 1 << 20])
 def test_recompression(frame, pairs, chunk):
     ids = [(10_000 if i is None else i, t) for i, t in pairs]
