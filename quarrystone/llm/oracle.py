@@ -42,7 +42,9 @@ _RULES = {
     "long_words": "word_chars > 20 * n_words",
 }
 _LEAST, _MOST = host_rules.LEAST_STRENGTH, host_rules.MOST_STRENGTH
-_STRENGTH = lambda r: f"CASE WHEN q_{r} - m_{r} * m_{r} <= 0 THEN {_MOST} ELSE least({_MOST}, greatest({_LEAST}, m_{r} * (1 - m_{r}) / (q_{r} - m_{r} * m_{r}) - 1)) END"
+_BETWEEN = lambda r: f"((q_{r} - n * m_{r} * m_{r}) / (m_{r} * (1 - m_{r})) - (hosts - 1)) / (n - squares / n - (hosts - 1))"
+_STRENGTH = lambda r: f"CASE WHEN hosts < 2 OR m_{r} * (1 - m_{r}) <= 0 OR n - squares / n - (hosts - 1) <= 0 THEN {_MOST} WHEN {_BETWEEN(r)} <= 0 THEN {_MOST} ELSE least({_MOST}, greatest({_LEAST}, 1 / ({_BETWEEN(r)}) - 1)) END"
+_LIMIT = lambda r: f"CASE WHEN hosts < 2 OR m_{r} * (1 - m_{r}) <= 0 THEN greatest({host_rules.LEAST_LIMIT}, m_{r}) ELSE least(CASE WHEN m_{r} < {host_rules.MOST_LIMIT} THEN {host_rules.MOST_LIMIT} ELSE 2 END, greatest({host_rules.LEAST_LIMIT}, m_{r} + {host_rules.DEVIATIONS} * sqrt(m_{r} * (1 - m_{r}) / (s_{r} + 1)))) END"
 OP7 = f"""WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {PLAIN}) AS w FROM documents),
 g AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM t)),
 twice AS (SELECT doc_id, p FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
@@ -53,9 +55,10 @@ f AS (SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(arra
   FROM t LEFT JOIN rep USING (doc_id)),
 j AS (SELECT *, {', '.join(f'{x} AS fail_{r}' for r, x in _RULES.items())} FROM f),
 h AS (SELECT source, count(*) AS docs, {', '.join(f'count_if(fail_{r})::DOUBLE AS f_{r}' for r in _RULES)} FROM j GROUP BY source),
-m AS (SELECT {', '.join(f'sum(f_{r}) / sum(docs) AS m_{r}, sum(f_{r} * f_{r} / docs) / sum(docs) AS q_{r}' for r in _RULES)} FROM h),
+m AS (SELECT count(*) AS hosts, sum(docs)::DOUBLE AS n, sum(docs::DOUBLE * docs) AS squares, {', '.join(f'sum(f_{r}) / sum(docs) AS m_{r}, sum(f_{r} * f_{r} / docs) AS q_{r}' for r in _RULES)} FROM h),
 k AS (SELECT *, {', '.join(f'{_STRENGTH(r)} AS s_{r}' for r in _RULES)} FROM m),
-v AS (SELECT source, greatest({', '.join(f'(f_{r} + m_{r} * s_{r}) / (docs + s_{r})' for r in _RULES)}) > {host_rules.HOST_LIMIT} AS rejected FROM h, k)
+p AS (SELECT *, {', '.join(f'(f_{r} + m_{r} * s_{r}) / (docs + s_{r}) AS p_{r}' for r in _RULES)} FROM h, k),
+v AS (SELECT source, {' OR '.join(f'p_{r} - sqrt(p_{r} * (1 - p_{r}) / (docs + s_{r} + 1)) > {_LIMIT(r)}' for r in _RULES)} AS rejected FROM p)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_short OR fail_repetitive AS base_failed, NOT (fail_short OR fail_repetitive) AND NOT rejected AS kept
 FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source"""
 
@@ -71,10 +74,12 @@ _D, _S = line_templates.DEPTH, line_templates.SEGMENTS
 _EDGE = lambda j: f"({_D} + ((n - {_D}) * {j}) // {_S})"
 _STRETCH = lambda j: f"array_to_string(m[{_EDGE(j)} + 1 : {_EDGE(j + 1)}], ' ')"
 _TEMPLATE = lambda j: f"concat_ws(chr(10), '{j}', n, array_to_string(m[1 : {_D}], ' '), " + ", ".join(_STRETCH(i) for i in range(_S) if i != j) + ")"
+_OWN = "concat_ws(chr(10), 'whole', CASE WHEN len(list_filter(m, lambda t: t <> '<*>')) = 0 THEN array_to_string(w, ' ') ELSE array_to_string(m, ' ') END)"
 OP9 = f"""WITH l AS (SELECT doc_id, p, x[p] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p FROM documents)),
-m AS (SELECT doc_id, p, list_transform(regexp_extract_all(line, {PLAIN}), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS m FROM l),
-k AS (SELECT doc_id, p, unnest([{', '.join(_TEMPLATE(j) for j in range(_S))}]) AS k FROM (SELECT *, len(m) AS n FROM m WHERE len(m) >= {line_templates.MIN_TOKENS})),
-known AS (SELECT k, min(doc_id) AS first FROM k GROUP BY 1 HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCS}),
+m AS (SELECT doc_id, p, w, list_transform(w, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS m, len(w) AS n FROM (SELECT doc_id, p, regexp_extract_all(line, {PLAIN}) AS w FROM l)),
+k AS (SELECT doc_id, p, unnest([{', '.join(_TEMPLATE(j) for j in range(_S))}]) AS k, {line_templates.MIN_DOCS} AS least FROM m WHERE n >= {line_templates.MIN_TOKENS}
+  UNION ALL SELECT doc_id, p, {_OWN} AS k, {line_templates.WHOLE_DOCS} AS least FROM m WHERE n > 0),
+known AS (SELECT k, min(doc_id) AS first FROM k GROUP BY k, least HAVING count(DISTINCT doc_id) >= least),
 gone AS (SELECT DISTINCT doc_id, p FROM k JOIN known USING (k) WHERE doc_id <> first),
 kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS text, count(*) AS n FROM l ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
 n AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY 1)
