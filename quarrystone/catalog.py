@@ -23,7 +23,7 @@ def _query(f: Query) -> Query:
 
 
 def _both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return px.snapshot(spark, sf_dir, False), px.snapshot(spark, sf_dir, True)
+    return px.snapshots(spark, sf_dir, False), px.snapshots(spark, sf_dir, True)
 
 
 @_query
@@ -49,7 +49,7 @@ def list_item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dropped_and_new_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.membership(*(x.where("availability = 'available'") for x in _both(spark, sf_dir)))
+    return reconcile.membership(*_both(spark, sf_dir))
 
 
 @_query

@@ -2,8 +2,11 @@
 
 Claims are rows (org, field, value, availability, period, currency, statement,
 evidence_id, url, retrieved_at, sha, first_seen): value is a canonical string, so
-that order and number format never count as a change. One full outer join on
-(org, field) feeds every result here.
+that order and number format never count as a change. List-valued claims can have
+``items``, an array of (key, item, name, role, place), by which they are told
+apart; a claim without it, or a table without the column, is compared as a whole.
+One full outer join on (org, field) feeds every result here. Only organisations
+that the current run has are reconciled; others are reported as dropped.
 """
 
 from __future__ import annotations
@@ -24,10 +27,19 @@ def materiality(field: Column) -> Column:
     return F.when(field.isin(*MINOR), "minor").otherwise("material")
 
 
+ITEMS = "array<struct<key:string,item:string,name:string,role:string,place:string>>"
+
+
+def _with_items(claims: DataFrame) -> DataFrame:
+    return claims if "items" in claims.columns else claims.withColumn("items", F.lit(None).cast(ITEMS))
+
+
 def paired(previous: DataFrame, current: DataFrame) -> DataFrame:
     """(org, field, p, c): both sides as structs, for organisations that the current run has."""
+    previous, current = _with_items(previous), _with_items(current)
     side = lambda df, name: df.select("org", "field", F.struct(*(c for c in df.columns if c not in ("org", "field"))).alias(name))
-    return side(previous, "p").join(side(current, "c"), ["org", "field"], "full_outer")
+    mine = previous.join(current.select("org").distinct(), "org", "left_semi")
+    return side(mine, "p").join(side(current, "c"), ["org", "field"], "full_outer")
 
 
 def _comparable(p: Column, c: Column) -> Column:
@@ -43,7 +55,7 @@ def preserved() -> Column:
 
 
 def change_type() -> Column:
-    """The first rule that holds; null where nothing changed. List fields are told apart by item before this."""
+    """The first rule that holds; null where nothing changed. Lists whose items differ are told apart by them after this."""
     p, c, field = F.col("p"), F.col("c"), F.col("field")
     return (
         F.when(p.isNull() | c.isNull(), None)
@@ -59,6 +71,32 @@ def change_type() -> Column:
     )
 
 
+_ONE = "struct<change_type:string,old_value:string,new_value:string,item_name:string,item_role:string,item_place:string>"
+
+
+def _item_changes() -> Column:
+    """One change for each item that only one side has: what came, then what went, in the order of the lists."""
+    field = F.col("field")
+    none = F.array().cast(f"array<{_ONE}>")
+    items = lambda side: F.coalesce(F.col(side)["items"], F.array().cast(ITEMS))
+
+    def only(side: str, other: str) -> Column:
+        there = F.transform(items(other), lambda x: x["key"])
+        own = F.filter(items(side), lambda x: ~F.array_contains(there, x["key"]))
+        keys = F.transform(own, lambda x: x["key"])
+        return F.filter(own, lambda x, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), x["key"]))  # the last of a key
+
+    def told(kind: str, found: Column, came: bool) -> Column:
+        empty = F.lit(None).cast("string")
+        one = lambda x: F.struct(F.lit(kind).alias("change_type"), (empty if came else x["item"]).alias("old_value"), (x["item"] if came else empty).alias("new_value"), x["name"].alias("item_name"), x["role"].alias("item_role"), x["place"].alias("item_place"))
+        return F.transform(found, one).cast(f"array<{_ONE}>")
+
+    out = none
+    for name, (added, removed) in LIST_TYPES.items():
+        out = F.when(field == name, F.concat(told(added, only("c", "p"), True), told(removed, only("p", "c"), False))).otherwise(out)
+    return out
+
+
 def _note(kind: Column) -> Column:
     p, c = F.col("p"), F.col("c")
     text = lambda x: F.coalesce(x, F.lit("None"))
@@ -72,17 +110,24 @@ def _note(kind: Column) -> Column:
     )
 
 
-def changes(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """One row for each changed (org, field)."""
+def _changes(pairs: DataFrame) -> DataFrame:
     p, c = F.col("p"), F.col("c")
-    found = paired(previous, current).withColumn("change_type", change_type()).where("change_type is not null")
-    kind = F.col("change_type")
+    found = pairs.withColumn("kind", change_type()).where("kind is not null")
+    kind = F.col("kind")
     kept = kind == "source_unavailable"
-    return found.select(
+    empty = F.lit(None).cast("string")
+    whole = F.struct(
+        kind.alias("change_type"), p["value"].alias("old_value"), F.when(kept, p["value"]).when(kind == "became_unavailable", None).otherwise(c["value"]).alias("new_value"),
+        empty.alias("item_name"), empty.alias("item_role"), empty.alias("item_place"),
+    ).cast(_ONE)
+    items = F.when(kind == "value_changed", _item_changes())
+    told = found.select("org", "field", "p", "c", "kind", _note(kind).alias("note"), items.alias("items"))
+    by_item = F.size("items") > 0
+    rows = told.select("org", "field", "p", "c", "kind", F.when(~by_item | by_item.isNull(), F.col("note")).alias("note"), F.inline(F.when(by_item, F.col("items")).otherwise(F.array(whole))))
+    return rows.select(
         "org", "field", "change_type",
         F.when(kept | (kind == "availability_changed"), "minor").otherwise(materiality(F.col("field"))).alias("materiality"),
-        p["value"].alias("old_value"),
-        F.when(kept, p["value"]).when(kind == "became_unavailable", None).otherwise(c["value"]).alias("new_value"),
+        "old_value", "new_value",
         p["availability"].alias("old_availability"),
         c["availability"].alias("new_availability"),
         p["url"].alias("old_url"),
@@ -92,10 +137,15 @@ def changes(previous: DataFrame, current: DataFrame) -> DataFrame:
         p["sha"].alias("old_sha"),
         F.when(~kept, c["sha"]).alias("new_sha"),
         F.when(~kept, c["period"]).alias("reporting_period"),
-        _note(kind).alias("note"),
+        "note", "item_name", "item_role", "item_place",
     )
 
 
+def changes(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """One row for each changed (org, field), or for each item that came or went."""
+    return _changes(paired(previous, current))
+
+
 def claims(previous: DataFrame, current: DataFrame) -> DataFrame:
     """The reconciled claims: stamped, kept although the source failed, or carried because they are missing now."""
     p, c = F.col("p"), F.col("c")
@@ -139,15 +189,22 @@ def evidence_complete() -> Column:
 
 
 def membership(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """(org, membership): dropped and new organisations."""
-    a, b = previous.select("org").distinct(), current.select("org").distinct()
-    return a.join(b, "org", "left_anti").withColumn("membership", F.lit("dropped")).unionByName(b.join(a, "org", "left_anti").withColumn("membership", F.lit("new")))
+    """(org, membership): dropped and new organisations; one exchange of both lists."""
+    side = lambda df, was: df.select("org", F.lit(was).alias("was"), F.lit(not was).alias("now"))
+    orgs = side(previous, True).unionByName(side(current, False)).groupBy("org").agg(F.bool_or("was").alias("was"), F.bool_or("now").alias("now"))
+    return orgs.where("not (was and now)").select("org", F.when(F.col("was"), "dropped").otherwise("new").alias("membership"))
+
+
+def self_changes(current: DataFrame) -> DataFrame:
+    """One row: ordered pairs of claims on the same (org, field) that differ, which a comparison of the run with itself would report."""
+    variant = current.groupBy("org", "field", "value", "availability", "period", "currency", "statement").agg(F.count(F.lit(1)).alias("n"))
+    held = variant.groupBy("org", "field").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"))
+    return held.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("self_changes"))
 
 
 def refresh_report(previous: DataFrame, current: DataFrame) -> DataFrame:
     """One row: counts of changes, completeness of evidence, dropped organisations, and whether the current run differs from itself."""
     found = changes(previous, current).select("change_type", "materiality", evidence_complete().alias("ok"))
-    own = changes(current, current).agg(F.count(F.lit(1)).alias("self_changes"))
     dropped = membership(previous, current).agg(F.count_if(F.col("membership") == "dropped").alias("dropped"))
     return (
         found.agg(
@@ -156,7 +213,7 @@ def refresh_report(previous: DataFrame, current: DataFrame) -> DataFrame:
             F.count_if(F.col("change_type") == "source_unavailable").alias("preserved"),
             F.coalesce(F.every("ok"), F.lit(True)).alias("evidence_complete"),
         )
-        .join(own, F.lit(True))
+        .join(self_changes(current), F.lit(True))
         .join(dropped, F.lit(True))
         .withColumn("passed", F.col("evidence_complete") & (F.col("self_changes") == 0) & (F.col("dropped") == 0))
     )

@@ -5,20 +5,31 @@ from __future__ import annotations
 from ..functions import numbers as fn
 from . import projection as px
 
-_CHANGES = f"""{px.SNAPSHOTS_SQL},
-paired AS (SELECT p.org, p.availability AS pa, c.availability AS ca, p.value AS pv, c.value AS cv, p.period AS pp, c.period AS cp,
-    p.url AS purl, c.url AS curl, p.retrieved_at AS prt, c.retrieved_at AS crt, p.sha AS psha, c.sha AS csha, p.evidence_id AS pev, c.evidence_id AS cev
-  FROM p JOIN c USING (org)),
+_CHANGES = f"""{px.FULL_SQL},
+paired AS (SELECT org, field, p.org IS NOT NULL AS was, c.org IS NOT NULL AS now_, p.availability AS pa, c.availability AS ca, p.value AS pv, c.value AS cv, p.period AS pp, c.period AS cp, p.items AS pi, c.items AS ci,
+    p.url AS purl, c.url AS curl, p.retrieved_at AS prt, c.retrieved_at AS crt, p.sha AS psha, c.sha AS csha, p.evidence_id AS pev, c.evidence_id AS cev, p.first_seen AS pfirst
+  FROM (SELECT * FROM p_all WHERE org IN (SELECT org FROM c_all)) p FULL JOIN c_all c USING (org, field)),
 typed AS (SELECT *, CASE
+    WHEN NOT was OR NOT now_ THEN NULL
     WHEN ca IN ('failed', 'blocked') AND pa = 'available' THEN 'source_unavailable'
     WHEN pv IS NOT DISTINCT FROM cv AND pp IS NOT DISTINCT FROM cp AND pa = ca THEN NULL
     WHEN pa <> 'available' AND ca = 'available' THEN 'became_available'
     WHEN pa = 'available' AND ca = 'not_available' THEN 'became_unavailable'
     WHEN pv IS NULL AND cv IS NULL THEN 'availability_changed'
-    ELSE 'new_filing' END AS change_type FROM paired),
-changes AS (SELECT org, 'financials.revenue' AS field, change_type,
-    CASE WHEN change_type IN ('source_unavailable', 'availability_changed') THEN 'minor' ELSE 'material' END AS materiality,
-    pv AS old_value, CASE WHEN change_type = 'source_unavailable' THEN pv WHEN change_type = 'became_unavailable' THEN NULL ELSE cv END AS new_value,
+    WHEN field IN ('leadership', 'locations', 'social_handles') AND (len(list_filter(ci, lambda x: NOT list_contains(pi, x))) > 0 OR len(list_filter(pi, lambda x: NOT list_contains(ci, x))) > 0) THEN 'items'
+    WHEN field = 'financials.revenue' THEN 'new_filing'
+    WHEN field = 'legal_name' THEN 'changed_identity'
+    WHEN field = 'website_description' THEN 'changed_description'
+    ELSE 'value_changed' END AS kind FROM paired),
+came AS (SELECT *, unnest(list_filter(ci, lambda x: NOT list_contains(pi, x))) AS item FROM typed WHERE kind = 'items'),
+went AS (SELECT *, unnest(list_filter(pi, lambda x: NOT list_contains(ci, x))) AS item FROM typed WHERE kind = 'items'),
+told AS (
+  SELECT * EXCLUDE (kind), kind AS change_type, pv AS old_value, CASE kind WHEN 'source_unavailable' THEN pv WHEN 'became_unavailable' THEN NULL ELSE cv END AS new_value, NULL AS item FROM typed WHERE kind <> 'items'
+  UNION ALL BY NAME SELECT * EXCLUDE (kind), CASE field WHEN 'leadership' THEN 'new_role' WHEN 'locations' THEN 'new_location' ELSE 'new_handle' END AS change_type, NULL AS old_value, item AS new_value FROM came
+  UNION ALL BY NAME SELECT * EXCLUDE (kind), CASE field WHEN 'leadership' THEN 'departed_role' WHEN 'locations' THEN 'closed_location' ELSE 'removed_handle' END AS change_type, item AS old_value, NULL AS new_value FROM went),
+changes AS (SELECT org, field, change_type,
+    CASE WHEN change_type IN ('source_unavailable', 'availability_changed') OR field IN ('website_description', 'social_handles') THEN 'minor' ELSE 'material' END AS materiality,
+    old_value, new_value,
     pa AS old_availability, ca AS new_availability, purl AS old_url, CASE WHEN change_type <> 'source_unavailable' THEN curl END AS new_url,
     prt AS old_retrieved_at, CASE WHEN change_type <> 'source_unavailable' THEN crt END AS new_retrieved_at,
     psha AS old_sha, CASE WHEN change_type <> 'source_unavailable' THEN csha END AS new_sha,
@@ -26,8 +37,11 @@ changes AS (SELECT org, 'financials.revenue' AS field, change_type,
     CASE WHEN change_type = 'source_unavailable' THEN 'source could not be re-read; last supported value preserved'
       WHEN change_type = 'became_unavailable' THEN 'source was read successfully and no longer reports this value'
       WHEN change_type = 'availability_changed' THEN 'no value on either side; source state moved from ' || pa || ' to ' || ca
-      WHEN change_type = 'new_filing' AND pv IS NOT DISTINCT FROM cv AND pp IS DISTINCT FROM cp THEN 'value unchanged; reporting period ' || coalesce(pp, 'None') || ' -> ' || coalesce(cp, 'None') END AS note
-  FROM typed WHERE change_type IS NOT NULL)"""
+      WHEN change_type = 'new_filing' AND pv IS NOT DISTINCT FROM cv AND pp IS DISTINCT FROM cp THEN 'value unchanged; reporting period ' || coalesce(pp, 'None') || ' -> ' || coalesce(cp, 'None') END AS note,
+    CASE WHEN item IS NULL THEN NULL WHEN field = 'leadership' THEN 'person ' || substr(item, 3) WHEN field = 'locations' THEN 'shop ' || item END AS item_name,
+    CASE WHEN item IS NOT NULL AND field = 'leadership' THEN 'role_' || substr(item, 1, 1) END AS item_role,
+    CASE WHEN item IS NOT NULL AND field = 'locations' THEN 'place ' || item END AS item_place
+  FROM told)"""
 
 _ITEMS = f"""items AS (SELECT {px.org_sql('o_custkey')} AS org, CAST(l_suppkey AS VARCHAR) AS item_key, o_orderdate AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
 was AS (SELECT DISTINCT org, item_key FROM items WHERE d >= TIMESTAMP '{px.PREVIOUS[0]}' AND d < TIMESTAMP '{px.PREVIOUS[1]}'),
@@ -88,19 +102,21 @@ briefs AS (SELECT org, ours, others, coalesce(key % 2 = 0, false) AS corroborate
 
 SQL: dict[str, str] = {
     "reconcile_changes": f"WITH {_CHANGES} SELECT * FROM changes",
-    "reconcile_claims": f"""WITH {_CHANGES} SELECT org, 'financials.revenue' AS field, CASE WHEN k THEN pv ELSE cv END AS value, CASE WHEN k THEN pa ELSE ca END AS availability,
+    "reconcile_claims": f"""WITH {_CHANGES} SELECT org, field, CASE WHEN k THEN pv ELSE cv END AS value, CASE WHEN k THEN pa ELSE ca END AS availability,
         CASE WHEN k THEN pp ELSE cp END AS period, CASE WHEN k THEN pev ELSE cev END AS evidence_id,
-        CASE WHEN k THEN prt WHEN change_type IS NULL THEN coalesce(prt, crt) ELSE crt END AS first_observed_at,
-        CASE WHEN k THEN prt ELSE crt END AS last_observed_at, k AS stale, CASE WHEN k THEN ca END AS refresh_status
-        FROM (SELECT *, change_type IS NOT DISTINCT FROM 'source_unavailable' AS k FROM typed)""",
-    "carried_evidence": f"WITH {_CHANGES} SELECT DISTINCT org, pev AS evidence_id, purl AS url, psha AS sha FROM typed t WHERE change_type = 'source_unavailable' AND pev IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c WHERE c.org = t.org AND c.evidence_id = t.pev)",
+        CASE WHEN k THEN pfirst WHEN was AND kind IS NULL THEN coalesce(pfirst, crt) ELSE crt END AS first_observed_at,
+        CASE WHEN k THEN prt ELSE crt END AS last_observed_at, kind IS NOT DISTINCT FROM 'source_unavailable' AS stale, CASE WHEN kind = 'source_unavailable' THEN ca END AS refresh_status
+        FROM (SELECT *, kind IS NOT DISTINCT FROM 'source_unavailable' OR NOT now_ AS k FROM typed)""",
+    "carried_evidence": f"WITH {_CHANGES} SELECT DISTINCT org, pev AS evidence_id, purl AS url, psha AS sha FROM typed t WHERE (kind = 'source_unavailable' OR NOT now_) AND pev IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c_all c WHERE c.org = t.org AND c.evidence_id = t.pev)",
     "list_item_changes": f"""WITH {_ITEMS} SELECT org, 'locations' AS field, item_key, 'new_location' AS change_type, 'material' AS materiality FROM now_ ANTI JOIN was USING (org, item_key)
         UNION ALL SELECT org, 'locations', item_key, 'closed_location', 'material' FROM was ANTI JOIN now_ USING (org, item_key)""",
-    "dropped_and_new_orgs": f"""WITH {px.SNAPSHOTS_SQL}, a AS (SELECT org FROM p WHERE availability = 'available'), b AS (SELECT org FROM c WHERE availability = 'available')
+    "dropped_and_new_orgs": f"""WITH {px.FULL_SQL}, a AS (SELECT DISTINCT org FROM p_all), b AS (SELECT DISTINCT org FROM c_all)
         SELECT org, 'dropped' AS membership FROM a ANTI JOIN b USING (org) UNION ALL SELECT org, 'new' FROM b ANTI JOIN a USING (org)""",
     "refresh_report": f"""WITH {_CHANGES}, n AS (SELECT count(*) AS changes, count_if(materiality = 'material') AS material, count_if(change_type = 'source_unavailable') AS preserved,
-        coalesce(bool_and((new_value IS NULL OR old_url IS NOT NULL OR new_url IS NOT NULL) AND (old_value IS NULL OR change_type = 'became_available' OR old_url IS NOT NULL OR new_url IS NOT NULL)), true) AS evidence_complete FROM changes)
-        SELECT changes, material, preserved, evidence_complete, CAST(0 AS BIGINT) AS self_changes, CAST(0 AS BIGINT) AS dropped, evidence_complete AS passed FROM n""",
+        coalesce(bool_and((new_value IS NULL OR old_url IS NOT NULL OR new_url IS NOT NULL) AND (old_value IS NULL OR change_type = 'became_available' OR old_url IS NOT NULL OR new_url IS NOT NULL)), true) AS evidence_complete FROM changes),
+        again AS (SELECT count(*) AS self_changes FROM c_all x JOIN c_all y USING (org, field) WHERE x.value IS DISTINCT FROM y.value OR x.period IS DISTINCT FROM y.period OR x.availability IS DISTINCT FROM y.availability),
+        lost AS (SELECT count(DISTINCT org) AS dropped FROM p_all WHERE org NOT IN (SELECT org FROM c_all))
+        SELECT changes, material, preserved, evidence_complete, self_changes, dropped, evidence_complete AND self_changes = 0 AND dropped = 0 AS passed FROM n, again, lost""",
     "changes_by_type": f"WITH {_CHANGES} SELECT change_type, materiality, count(*) AS n FROM changes GROUP BY ALL",
     "select_representative": f"""WITH {_RANKED}, s AS (SELECT stratum, count(*) AS n FROM ranked GROUP BY 1), t AS (SELECT sum(n) AS total FROM s),
         e AS (SELECT stratum, n, least(n, CAST(floor(CAST(n AS DOUBLE) * 100 / total) AS BIGINT)) AS base, CAST(n AS DOUBLE) * 100 / total - floor(CAST(n AS DOUBLE) * 100 / total) AS rest FROM s, t),

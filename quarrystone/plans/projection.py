@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numbers as fn
+from ..operators.reconcile import ITEMS
 from ..storage import table
 
 PREVIOUS, CURRENT = ("1999-01-01", "2000-01-01"), ("1999-07-01", "2000-07-01")
@@ -99,6 +100,83 @@ def _snapshot_sql(name: str, window: tuple[str, str], current: bool) -> str:
 SNAPSHOTS_SQL = ",\n".join([COMPANIES_SQL, _snapshot_sql("p", PREVIOUS, False), _snapshot_sql("c", CURRENT, True)])
 
 
+#: Sides of the snapshots of all fields: when they were retrieved.
+STAMPS = {False: "1999-12-31", True: "2000-06-30"}
+
+
+def _in_window(spark: SparkSession, sf_dir: str, window: tuple[str, str]) -> DataFrame:
+    """(key, supplier, status, priority, flag) of the lines of a window's orders."""
+    o = table(spark, sf_dir, "orders").where((F.col("o_orderdate") >= F.lit(window[0]).cast("timestamp_ntz")) & (F.col("o_orderdate") < F.lit(window[1]).cast("timestamp_ntz")))
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
+    return o.join(line, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_custkey").alias("key"), F.col("l_suppkey").cast("string").alias("supplier"), F.col("o_orderstatus").alias("status"), F.substring("o_orderpriority", 1, 1).alias("priority"), F.col("l_returnflag").alias("flag")
+    )
+
+
+def snapshots(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
+    """Claims of seven fields, of which three are lists: every type of change occurs, and companies come and go."""
+    c = companies(spark, sf_dir).where(F.col("key") % 53 != 0 if current else F.col("key") % 59 != 0)
+    lines = _in_window(spark, sf_dir, CURRENT if current else PREVIOUS)
+    kinds = {
+        "leadership": (F.concat_ws("|", "priority", "status"), F.concat(F.lit("person "), "status"), F.concat(F.lit("role_"), "priority"), F.lit(None).cast("string")),
+        "locations": (F.col("supplier"), F.concat(F.lit("shop "), "supplier"), F.lit(None).cast("string"), F.concat(F.lit("place "), "supplier")),
+        "social_handles": (F.col("flag"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")),
+    }
+    item = lambda key, name, role, place: F.struct(key.alias("key"), key.alias("item"), name.alias("name"), role.alias("role"), place.alias("place"))
+    held = lines.groupBy("key").agg(*(F.array_sort(F.collect_set(item(*v))).alias(f) for f, v in kinds.items()))
+    rows = c.join(held, "key", "left")
+    k = F.col("key")
+    now = lambda n: F.lit(current) & (k % n == 0)
+    none = F.lit(None).cast("string")
+    plain = lambda field, value, state, items=None: F.struct(F.lit(field).alias("field"), F.when(state == "available", value).alias("value"), state.alias("availability"), F.when(state == "available", F.lit(None).cast(ITEMS) if items is None else items).cast(ITEMS).alias("items"))
+    there = lambda value: F.when(value.isNotNull(), "available").otherwise("not_available")
+    listed = lambda f: plain(f, F.to_json(F.transform(f, lambda x: x["key"])), F.when(now(17), "failed").otherwise(there(F.col(f))), F.col(f))
+    staff = F.when(~now(14), (F.col("employees").cast("long") + F.when(now(11), 1).otherwise(0)).cast("string"))
+    fields = rows.select("org", "key", F.inline(F.array(
+        plain("legal_name", F.concat("name", F.when(now(23), " AS").otherwise("")), F.lit("available")),
+        plain("website_description", F.concat(F.when(now(13), "e").otherwise("d"), "industry_code"), F.when(now(31), "blocked").otherwise(there(F.col("website")))),
+        plain("employees_registered", staff, there(staff)),
+        *(listed(f) for f in kinds),
+    )))
+    has = F.col("availability") == "available"
+    stamp = STAMPS[current]
+    told = fields.select(
+        "org", "field", "value", "availability", none.alias("period"), none.alias("currency"), none.alias("statement"),
+        F.when(has, F.concat(F.lit("ev-"), "field", F.lit(f"-{stamp}-"), "org")).alias("evidence_id"),
+        F.when(has & (F.col("key") % 37 != 0), F.concat(F.lit(f"https://registry.example/{stamp}/"), "org")).alias("url"),
+        F.when(has, F.lit(stamp)).alias("retrieved_at"),
+        F.when(has, F.sha2(F.concat_ws("|", "field", F.lit(stamp), "org"), 256)).alias("sha"),
+        (F.lit(None).cast("string") if current else F.when(has, F.lit("1998-01-01"))).alias("first_seen"),
+        "items",
+    )
+    money = snapshot(spark, sf_dir, current).join(c.select("org"), "org", "left_semi").withColumn("items", F.lit(None).cast(ITEMS))
+    return told.unionByName(money)
+
+
+def _full_sql(name: str, window: tuple[str, str], current: bool) -> str:
+    now = lambda n: f"key % {n} = 0" if current else "false"
+    stamp = STAMPS[current]
+    state = lambda v: f"CASE WHEN {v} IS NULL THEN 'not_available' ELSE 'available' END"
+    staff = f"CASE WHEN {now(14)} THEN NULL ELSE CAST(employees + CASE WHEN {now(11)} THEN 1 ELSE 0 END AS VARCHAR) END"
+    return f"""{name}_companies AS (SELECT * FROM companies WHERE key % {53 if current else 59} <> 0),
+{name}_lists AS (SELECT o_custkey AS key, list_sort(list(DISTINCT substr(o_orderpriority, 1, 1) || '|' || o_orderstatus)) AS leadership, list_sort(list(DISTINCT CAST(l_suppkey AS VARCHAR))) AS locations, list_sort(list(DISTINCT l_returnflag)) AS social_handles
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderdate >= TIMESTAMP '{window[0]}' AND o_orderdate < TIMESTAMP '{window[1]}' GROUP BY 1),
+{name}_rows AS (SELECT c.*, leadership, locations, social_handles FROM {name}_companies c LEFT JOIN {name}_lists USING (key)),
+{name}_fields AS (
+  SELECT org, key, 'legal_name' AS field, name || CASE WHEN {now(23)} THEN ' AS' ELSE '' END AS value, 'available' AS availability, CAST(NULL AS VARCHAR[]) AS items FROM {name}_rows
+  UNION ALL SELECT org, key, 'website_description', CASE WHEN {now(13)} THEN 'e' ELSE 'd' END || industry_code, CASE WHEN {now(31)} THEN 'blocked' WHEN has_web THEN 'available' ELSE 'not_available' END, NULL FROM {name}_rows
+  UNION ALL SELECT org, key, 'employees_registered', {staff}, {state(f'({staff})')}, NULL FROM {name}_rows
+  {' '.join(f"UNION ALL SELECT org, key, '{f}', '[' || list_aggregate(list_transform({f}, lambda x: chr(34) || x || chr(34)), 'string_agg', ',') || ']', CASE WHEN {now(17)} THEN 'failed' WHEN {f} IS NULL THEN 'not_available' ELSE 'available' END, {f} FROM {name}_rows" for f in ('leadership', 'locations', 'social_handles'))}),
+{name}_all AS (
+  SELECT org, field, CASE WHEN availability = 'available' THEN value END AS value, availability, NULL AS period, CASE WHEN availability = 'available' THEN items END AS items,
+    CASE WHEN availability = 'available' THEN 'ev-' || field || '-{stamp}-' || org END AS evidence_id, CASE WHEN availability = 'available' AND key % 37 <> 0 THEN 'https://registry.example/{stamp}/' || org END AS url,
+    CASE WHEN availability = 'available' THEN '{stamp}' END AS retrieved_at, CASE WHEN availability = 'available' THEN sha256(field || '|{stamp}|' || org) END AS sha, {"NULL" if current else "CASE WHEN availability = 'available' THEN '1998-01-01' END"} AS first_seen FROM {name}_fields
+  UNION ALL SELECT org, field, value, availability, period, NULL, evidence_id, url, retrieved_at, sha, {"NULL" if current else "retrieved_at"} FROM {name} SEMI JOIN {name}_companies USING (org))"""
+
+
+FULL_SQL = ",\n".join([SNAPSHOTS_SQL, _full_sql("p", PREVIOUS, False), _full_sql("c", CURRENT, True)])
+
+
 def items(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
     """List items by company: suppliers of the window's orders stand for workplaces."""
     lo, hi = CURRENT if current else PREVIOUS
