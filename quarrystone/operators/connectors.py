@@ -94,11 +94,12 @@ def snak(entity: Column, prop: str) -> Column:
 def wikidata(entities: DataFrame, companies: DataFrame) -> DataFrame:
     """The entity of each company by organisation number, a later one replaces an earlier; entities: (pos, qid, entity)."""
     rows = entities.withColumn("org", fn.digits(snak(F.col("entity"), "P2333"))).join(companies.select("org").distinct(), "org", "left_semi")
-    last = rows.groupBy("org").agg(F.max_by(F.struct("qid", "entity"), "pos").alias("m")).select("org", "m.qid", "m.entity")
+    captured = [c for c in ("retrieved_at", "sha") if c in entities.columns]
+    last = rows.groupBy("org").agg(F.max_by(F.struct("qid", "entity", *captured), "pos").alias("m")).select("org", "m.qid", "m.entity", *(f"m.{c}" for c in captured))
     label = F.coalesce(F.get_json_object("entity", "$.labels.nb.value"), F.get_json_object("entity", "$.labels.en.value"))
     wiki = lambda site, lang: F.when(F.get_json_object("entity", f"$.sitelinks.{site}.title").isNotNull(), F.concat(F.lit(f"https://{lang}.wikipedia.org/wiki/"), F.replace(F.get_json_object("entity", f"$.sitelinks.{site}.title"), F.lit(" "), F.lit("_"))))
     handle = lambda p, url: F.when(F.coalesce(snak(F.col("entity"), p), F.lit("")) != "", F.replace(F.lit(url), F.lit("{}"), snak(F.col("entity"), p)))
-    return last.select("org", "qid", label.alias("label"), *(snak(F.col("entity"), p).alias(f.split(".")[1]) for p, f in VALUE_PROPERTIES.items()), *(wiki(s, g).alias(f"wikipedia_{g}") for s, g in WIKIPEDIAS.items()), *(handle(p, url).alias(f"handle_{name}") for p, (name, url) in HANDLE_PROPERTIES.items()))
+    return last.select("org", "qid", *captured, label.alias("label"), *(snak(F.col("entity"), p).alias(f.split(".")[1]) for p, f in VALUE_PROPERTIES.items()), *(wiki(s, g).alias(f"wikipedia_{g}") for s, g in WIKIPEDIAS.items()), *(handle(p, url).alias(f"handle_{name}") for p, (name, url) in HANDLE_PROPERTIES.items()))
 
 
 def chunks(rows: DataFrame, order: str, size: int = 50) -> DataFrame:

@@ -146,8 +146,11 @@ def changes(previous: DataFrame, current: DataFrame) -> DataFrame:
     return _changes(paired(previous, current))
 
 
-def claims(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """The reconciled claims: stamped, kept although the source failed, or carried because they are missing now."""
+def claims(previous: DataFrame, current: DataFrame, *more: str) -> DataFrame:
+    """The reconciled claims: stamped, kept although the source failed, or carried because they are missing now.
+
+    more: further columns of both tables that go with the value.
+    """
     p, c = F.col("p"), F.col("c")
     old, silent = preserved(), c.isNull()
     take = lambda k: F.when(old | silent, p[k]).otherwise(c[k])
@@ -159,6 +162,7 @@ def claims(previous: DataFrame, current: DataFrame) -> DataFrame:
         F.when(old | silent, p["retrieved_at"]).otherwise(c["retrieved_at"]).alias("last_observed_at"),
         F.coalesce(old, F.lit(False)).alias("stale"),
         F.when(old, c["availability"]).alias("refresh_status"),
+        *(take(k).alias(k) for k in more),
     )
 
 

@@ -81,7 +81,8 @@ def identity(responses: DataFrame) -> DataFrame:
     return rows.select("org", F.coalesce("e.navn", F.lit("")).alias("legal_name"), some(F.col("a.postnummer")).alias("postcode"), some(F.col("a.poststed")).alias("city"), some(fn.digits(F.col("e.telefon"))).alias("phone"))
 
 
-def _holder(r: Column) -> Column:
+def holder(r: Column) -> Column:
+    """The name of a role's holder, a person or a unit; null if it has none."""
     n = r["person"]["navn"]
     person = F.array_join(F.filter(F.array(n["fornavn"], n["mellomnavn"], n["etternavn"]), lambda x: F.coalesce(x, F.lit("")) != ""), " ")
     return F.coalesce(F.when(person != "", person), F.when(r["enhet"]["navn"] != "", r["enhet"]["navn"]))
@@ -92,7 +93,7 @@ def roles(responses: DataFrame) -> DataFrame:
     every = F.flatten(F.transform(F.col("r.rollegrupper"), lambda g: F.coalesce(g["roller"], F.array())))
     rows = responses.select("org", F.from_json("body", ROLES).alias("r")).select("org", F.posexplode(every).alias("pos", "role"))
     label = F.create_map(*(F.lit(x) for kv in ROLE_LABELS.items() for x in kv))
-    out = rows.select("org", "pos", F.col("role.type.kode").alias("role_code"), _holder(F.col("role")).alias("name"), F.coalesce("role.avregistrert", F.lit(False)).alias("gone"))
+    out = rows.select("org", "pos", F.col("role.type.kode").alias("role_code"), holder(F.col("role")).alias("name"), F.coalesce("role.avregistrert", F.lit(False)).alias("gone"))
     return out.where(~F.col("gone") & F.col("role_code").isin(*ROLE_LABELS) & F.col("name").isNotNull()).select("org", "pos", label[F.col("role_code")].alias("role"), "role_code", "name")
 
 

@@ -71,4 +71,23 @@ def coverage_flags(claims: DataFrame) -> DataFrame:
 def identity_summary(claims: DataFrame) -> DataFrame:
     """The four identity claims of each organisation side by side, where available."""
     take = lambda field: F.max(F.when((F.col("field") == field) & (F.col("availability") == "available"), F.col("value")))
-    return claims.groupBy("org").agg(*(take(f).alias(f) for f in ("legal_name", "legal_form", "registration_date", "municipality")))
+    return claims.groupBy("org").agg(*(take(f).alias(f) for f in ("legal_name", "legal_form", "municipality", "industry_code")))
+
+
+def run_totals(envelopes: DataFrame, run_id: str, requested: int, budget: int | None = None) -> DataFrame:
+    """One row about a run; envelopes: (org, status, observations, changes, operations) as engine.run builds them."""
+    ops = F.col("operations")
+    total = envelopes.agg(
+        F.count(F.lit(1)).alias("emitted_envelopes"),
+        F.coalesce(F.sum(ops["requests"]), F.lit(0)).alias("requests"),
+        F.round(F.coalesce(F.sum(ops["third_party_cost_usd"]), F.lit(0.0)), 4).alias("third_party_cost_usd"),
+        F.coalesce(F.sum(F.size("observations")), F.lit(0)).alias("observations"),
+        F.coalesce(F.sum(F.size("changes")), F.lit(0)).alias("changes"),
+        F.coalesce(F.sum(F.size(F.filter("changes", lambda x: x["materiality"] == "material"))), F.lit(0)).alias("material_changes"),
+    )
+    states = status_counts(envelopes, "status").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("terminal_states"))
+    took = percentiles(envelopes.select(ops["runtime_ms"].alias("ms")), [], "ms").select(F.coalesce("p50", F.lit(0)).alias("p50_ms"), F.coalesce("p95", F.lit(0)).alias("p95_ms"))
+    within = F.lit(True) if budget is None else F.col("requests") <= budget
+    return total.join(states, F.lit(True)).join(took, F.lit(True)).select(
+        F.lit(run_id).alias("run_id"), F.lit(requested).cast("long").alias("requested"), "*", F.lit(budget).cast("long").alias("request_budget"), ((F.col("emitted_envelopes") == requested) & within).alias("passed")
+    )

@@ -146,3 +146,57 @@ def unknowns(claims: DataFrame) -> DataFrame:
 def text(*sections: Column, external: Column) -> Column:
     """All sections that say something; without any external source, that is said, too."""
     return F.concat_ws(" ", *sections, F.when(~external, OFFICIAL_ONLY))
+
+
+#: The fields that sections speak of, whose evidence goes with the summary; and its method.
+TOLD_FIELDS = (
+    "legal_name", "legal_form", "industry_code", "municipality", "registration_date", "operating_status", "financials.revenue", "financials.net_result", "employees_registered",
+    "managing_director", "board_chair", "leadership", "official_website", "places.rating", "places.rating_count", "jobs.active_count", "activity.latest_post_date", "activity.posts",
+)
+METHOD = "deterministic_claim_template_v1"
+BOARD = ("MEDL", "LEDE", "NEST")
+
+
+def board_size(leadership: Column) -> Column:
+    """Members of the board in a JSON list of roles."""
+    held = F.from_json(leadership, "array<struct<role_code:string>>")
+    return F.coalesce(F.size(F.filter(held, lambda x: x["role_code"].isin(*BOARD))), F.lit(0))
+
+
+def build(claims: DataFrame, observations: DataFrame, changes: DataFrame) -> DataFrame:
+    """(org, text, sections, unknowns, evidence_ids, method) of each organisation that has claims.
+
+    claims: (org, field, value, availability, period, currency, statement, identity_proof, evidence_id, note),
+    observations: (org, platform), changes as reconcile gives them. One exchange
+    of claims by organisation; all sections are columns over its map of values.
+    """
+    there = (F.col("availability") == "available") & (F.coalesce(F.col("value"), F.lit("")) != "")
+    place = F.array_position(F.array(*(F.lit(x) for x in UNKNOWN_FIELDS)), F.col("field"))
+    reason = fn.or_else(F.col("note"), F.lit("no permitted source established this value"))
+    of = lambda field, column: F.max(F.when(F.col("field") == field, F.col(column))).alias(column)
+    rows = claims.groupBy("org").agg(
+        F.map_from_entries(F.collect_list(F.when(there, F.struct("field", "value")))).alias("f"),
+        F.array_sort(F.collect_set(F.when(there & F.col("field").isin(*TOLD_FIELDS), F.col("evidence_id")))).alias("evidence_ids"),
+        F.array_sort(F.collect_list(F.when(F.col("field").isin(*UNKNOWN_FIELDS) & (F.col("availability") != "available"), F.struct(place.alias("place"), "field", F.col("availability").alias("state"), reason.alias("reason"))))).alias("unknown"),
+        *(of("financials.revenue", k) for k in ("period", "currency", "statement")),
+        of("official_website", "identity_proof"),
+    )
+    other = observations.where(F.col("platform") != "brreg").groupBy("org").agg(F.array_sort(F.collect_set("platform")).alias("platforms"))
+    rows = rows.join(other, "org", "left").join(change_sentence(changes).withColumnRenamed("changes", "changed"), "org", "left")
+    f = F.col("f")
+    posts = F.size(F.from_json(f["activity.posts"], "array<string>"))
+    sections = {
+        "identity": identity(f, F.col("org")),
+        "standing": standing(f),
+        "scale": scale(f, F.col("period"), F.col("currency"), F.col("statement"), f["financials.revenue"].try_cast("double") == 0),
+        "people": people(f, board_size(f["leadership"])),
+        "presence": presence(f, F.col("identity_proof"), F.col("platforms")),
+        "activity": activity(f["jobs.active_count"].try_cast("long"), F.coalesce(posts, F.lit(0)), f["activity.latest_post_date"]),
+        "changes": F.col("changed"),
+    }
+    said = rows.select("org", "unknown", "evidence_ids", F.col("platforms").isNotNull().alias("external"), *(v.alias(k) for k, v in sections.items()))
+    told = F.map_filter(F.create_map(*(x for k in sections for x in (F.lit(k), F.col(k)))), lambda _, v: v.isNotNull())
+    return said.select(
+        "org", text(*(F.col(k) for k in sections), external=F.col("external")).alias("text"), told.alias("sections"),
+        F.transform("unknown", lambda u: F.struct(u["field"].alias("field"), u["state"].alias("state"), u["reason"].alias("reason"))).alias("unknowns"), "evidence_ids", F.lit(METHOD).alias("method"),
+    )

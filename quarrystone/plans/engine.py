@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import audit, reconcile, registry, report, sampling, site, synthesis
+from ..storage import materialize
+from . import collect
 
 
 @dataclass
@@ -16,8 +18,12 @@ class Run:
 
     claims: DataFrame
     changes: DataFrame
+    evidence: DataFrame
     envelopes: DataFrame
-    report: DataFrame
+    report: DataFrame  # envelopes by terminal status
+
+    def totals(self, run_id: str, requested: int, budget: int | None = None) -> DataFrame:
+        return report.run_totals(self.envelopes, run_id, requested, budget)
 
 
 def official_claims(entities: DataFrame, roles: DataFrame, accounts: DataFrame, subunits: DataFrame) -> DataFrame:
@@ -42,23 +48,81 @@ def site_claims(companies: DataFrame, pages: DataFrame) -> DataFrame:
     return site.website_claims(gated)
 
 
-def run(organisations: DataFrame, claims: DataFrame, previous: DataFrame | None, observations: DataFrame) -> Run:
+#: Columns of claims that go with their value.
+CARRIED = {"confidence": "double", "currency": "string", "statement": "string", "identity_proof": "string", "url": "string", "sha": "string", "note": "string"}
+NO_RESULT = "no result produced for this organisation number"
+
+
+def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """df with the columns that it lacks, null."""
+    return df.select("*", *(F.lit(None).cast(t).alias(c) for c, t in columns.items() if c not in df.columns))
+
+
+def _gathered(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+    return rows.groupBy("org").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+
+
+def run(
+    organisations: DataFrame, claims: DataFrame, previous: DataFrame | None, observations: DataFrame, evidence: DataFrame | None = None,
+    errors: DataFrame | None = None, anchors: DataFrame | None = None, operations: DataFrame | None = None, run_id: str = "run-1",
+) -> Run:
     """Reconcile, assemble one envelope for each input organisation, and report.
 
     organisations: (org, pos), claims and previous: as in reconcile, with note;
-    observations: (org, platform). An organisation without any claim gets a
-    failed envelope, so that none is missing.
+    observations: (org, platform) or as operators.observe builds them; evidence:
+    (org, evidence_id, url, sha, ...); errors: (org, stage, message); anchors: (org)
+    with a registry record, all if None; operations: (org, requests, runtime_ms,
+    third_party_cost_usd). The claims of this run alone decide an organisation's
+    state: one without any gets a failed envelope with a claim that says so, and
+    what the previous run knew of it isn't passed off as this run's.
     """
-    if previous is None:
-        previous = claims.limit(0)
-    changes = reconcile.changes(previous.drop("note"), claims.drop("note"))
-    kept = reconcile.claims(previous.drop("note"), claims.drop("note"))
-    by_org = kept.groupBy("org").agg(F.array_sort(F.collect_list(F.struct("field", "value", "availability", "period", "evidence_id", "first_observed_at", "last_observed_at", "stale"))).alias("claims"))
-    moved = changes.groupBy("org").agg(F.array_sort(F.collect_list(F.struct("field", "change_type", "materiality", "old_value", "new_value"))).alias("changes"))
-    seen = observations.groupBy("org").agg(F.array_sort(F.collect_set("platform")).alias("platforms"))
-    rows = organisations.select("org", "pos").join(by_org, "org", "left").join(moved, "org", "left").join(seen, "org", "left")
-    envelopes = rows.select("org", "pos", F.when(F.col("claims").isNull(), "failed").otherwise("complete").alias("status"), "claims", "changes", "platforms")
-    return Run(kept, changes, envelopes, report.status_counts(envelopes, "status"))
+    claims = _with(claims, CARRIED)
+    previous = claims.limit(0) if previous is None else _with(previous, CARRIED)
+    seen = observations if "org" in observations.columns else observations.withColumnRenamed("organisation_number", "org")
+    evidence = (claims if evidence is None else evidence).where("evidence_id is not null").select("org", "evidence_id", "url", "sha").distinct()
+    changes = materialize(reconcile.changes(previous, claims), "changes")
+    kept = reconcile.claims(previous, claims, *CARRIED)
+    present = claims.select("org").distinct()
+    silent = organisations.select("org").join(present, "org", "left_anti")
+    given = {"field": F.lit("legal_name"), "availability": F.lit("failed"), "confidence": F.lit(0.0), "note": F.lit(NO_RESULT), "stale": F.lit(False)}
+    kept = kept.unionByName(silent.select("org", *(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kept.schema if f.name != "org")))
+    kept = materialize(kept, "claims")  # a run's tables are read by every part of its envelopes
+    cited = evidence.unionByName(reconcile.carried_evidence(previous, claims, evidence))
+    told = synthesis.build(kept, seen, changes)
+
+    state = F.when(F.col("present").isNull(), "failed")
+    rows = organisations.select("org", "pos").join(present.withColumn("present", F.lit(True)), "org", "left")
+    if anchors is not None:
+        rows = rows.join(anchors.select("org").distinct().withColumn("anchored", F.lit(True)), "org", "left")
+        state = state.when(F.col("anchored").isNull(), "completed_without_registry_anchor")
+    parts = {
+        "claims": _gathered(kept, "claims", "field", "value", "availability", "confidence", "period", "currency", "statement", "evidence_id", "first_observed_at", "last_observed_at", "stale", "refresh_status", "note"),
+        "evidence": _gathered(cited, "evidence", "evidence_id", "url", "sha"),
+        "observations": _gathered(seen, "observations", *(c for c in ("platform", "id", "signal_type", "source_url", "identity_proof") if c in seen.columns)),
+        "changes": _gathered(changes, "changes", "field", "change_type", "materiality", "old_value", "new_value", "old_url", "new_url", "note"),
+    }
+    if errors is not None:
+        parts["errors"] = _gathered(errors, "errors", "stage", "message")
+    for name, part in parts.items():
+        rows = rows.join(part, "org", "left").withColumn(name, F.coalesce(name, F.array().cast(part.schema[name].dataType)))
+    rows = rows.join(report.identity_summary(kept), "org", "left").join(told, "org", "left")
+    spent = {"requests": "long", "runtime_ms": "long", "third_party_cost_usd": "double"}
+    rows = rows.join(operations.select("org", *spent), "org", "left") if operations is not None else _with(rows, spent)
+    envelopes = rows.select(
+        "org", "pos", F.lit(run_id).alias("run_id"), state.otherwise("completed").alias("status"),
+        F.struct(F.col("org").alias("organisation_number"), "legal_name", "legal_form", "municipality", "industry_code").alias("legal_identity"),
+        *parts,
+        F.array_distinct(F.transform("observations", lambda o: o["platform"])).alias("platforms"),
+        F.struct(*(F.coalesce(F.col(k), F.lit(0).cast(t)).alias(k) for k, t in spent.items())).alias("operations"),
+        F.struct("text", "sections", "unknowns", "evidence_ids", "method").alias("summary"),
+    )
+    return Run(kept, changes, cited, envelopes, report.status_counts(envelopes, "status"))
+
+
+def run_collected(organisations: DataFrame, found: collect.Collected, previous: DataFrame | None = None, operations: DataFrame | None = None, run_id: str = "run-1") -> Run:
+    """A run over what collect.collect has made of captured responses; its tables are written before they are read again."""
+    claims, observations, evidence = (materialize(x, n) for x, n in ((found.claims, "collected"), (found.observations, "observations"), (found.evidence, "evidence")))
+    return run(organisations, claims, previous, observations, evidence, found.errors, found.anchors, operations, run_id)
 
 
 def refresh(previous: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,15 +136,8 @@ def select(universe: DataFrame, count: int, seed: str, exclude: DataFrame | None
 
 
 def summarise(claims: DataFrame, observations: DataFrame, changes: DataFrame) -> DataFrame:
-    """(org, text) from stored tables; claims: (org, field, value, availability, period, currency, statement), observations: (org, platform)."""
-    f = F.col("f")
-    revenue = claims.where(F.col("field") == "financials.revenue").select("org", "period", "currency", "statement")
-    other = observations.where(F.col("platform") != "brreg").groupBy("org").agg(F.array_sort(F.collect_set("platform")).alias("platforms"))
-    rows = synthesis.facts(claims).join(revenue, "org", "left").join(other, "org", "left").join(synthesis.change_sentence(changes), "org", "left")
-    scale = synthesis.scale(f, F.col("period"), F.col("currency"), F.col("statement"), f["financials.revenue"].try_cast("double") == 0)
-    board = F.size(F.filter(F.split(F.coalesce(f["leadership"], F.lit("")), ";"), lambda x: x.rlike("^(MEDL|LEDE|NEST)=")))
-    parts = (synthesis.identity(f, F.col("org")), synthesis.standing(f), scale, synthesis.people(f, board), synthesis.presence(f, f["identity_proof"], F.col("platforms")), synthesis.activity(f["jobs.active_count"].try_cast("long"), f["activity.posts"].try_cast("int"), f["activity.latest_post_date"]), F.col("changes"))
-    return rows.select("org", synthesis.text(*parts, external=F.col("platforms").isNotNull()).alias("text"))
+    """(org, text, sections, unknowns, evidence_ids, method) from stored tables."""
+    return synthesis.build(_with(claims, CARRIED), observations, changes)
 
 
 def audit_queue(observations: DataFrame, count: int, blobs: DataFrame | None = None, seed: str = "audit-1") -> tuple[DataFrame, DataFrame | None]:

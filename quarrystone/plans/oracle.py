@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from ..functions import numbers as fn
+from ..operators.reconcile import FINANCIAL
+from . import collect
 from . import projection as px
 
 _CHANGES = f"""{px.FULL_SQL},
@@ -100,6 +102,82 @@ briefs AS (SELECT org, ours, others, coalesce(key % 2 = 0, false) AS corroborate
   WHEN key % 2 = 0 THEN 'likely YES - a registry address or phone matches, no conflict found' ELSE 'UNCLEAR - only the registry declaration and the name match' END AS hint FROM both_ LEFT JOIN companies USING (org))"""
 
 
+def _one(source: str, field: str, value: str, evidence: str | None, *, state: str | None = None, note: str = "NULL", sure: str = "1.0", period: str = "NULL", statement: str = "NULL") -> str:
+    """A claim of each row of source; without a state it is available where it has a value, and only else tells a note."""
+    state, note = (state, note) if state else ("CASE WHEN v IS NULL THEN 'not_available' ELSE 'available' END", f"CASE WHEN v IS NULL THEN {note} END")
+    cited = f"'{evidence}'" if evidence else "NULL"
+    return f"SELECT org, '{field}' AS field, v AS value, {state} AS availability, CAST(CASE WHEN v IS NULL THEN 0 ELSE {sure} END AS DOUBLE) AS confidence, {period} AS period, {statement} AS statement, {cited} AS evidence_id, {note} AS note FROM (SELECT *, CAST({value} AS VARCHAR) AS v FROM {source})"
+
+
+def _lost(source: str, fields: tuple[str, ...], state: str, note: str, evidence: str | None = None) -> list[str]:
+    return [_one(source, f, "NULL", evidence, state=state, note=note) for f in fields]
+
+
+_WEB, _KNOWN = collect.WEBSITE, collect.KNOWLEDGE
+_NO_ENTITY, _NO_UNITS = "'registry entity not returned for this organisation number'", "'no registered subunits; the company has no separate registered workplaces'"
+_NO_ACCOUNTS, _NO_LINE = "'no annual accounts filed or returned for this entity; not zero'", "'line item not present in the filed statement; not zero'"
+_DOUBT = "'registry-declared site lacks exact-entity evidence; not published as verified'"
+_FILED = f"""known AS (SELECT * FROM companies WHERE key % 19 <> 0), mine AS (SELECT * FROM known WHERE key % 41 <> 0),
+filed AS (SELECT o_custkey AS key, max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS company, '[' || string_agg(DISTINCT '"' || year(o_orderdate) || '"', ',' ORDER BY '"' || year(o_orderdate) || '"' DESC) || ']' AS years FROM orders GROUP BY 1),
+newest AS (SELECT o_custkey AS key, o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, CASE WHEN o_orderstatus = 'F' THEN 'SELSKAP' ELSE 'KONSERN' END AS kind, strftime(o_orderdate, '%Y-%m-%d') AS until FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'F' DESC, strftime(o_orderdate, '%Y-%m-%d') DESC, o_orderkey) = 1),
+accounts AS (SELECT * FROM known JOIN filed USING (key) JOIN newest USING (key) WHERE key % 29 <> 0),
+unfiled AS (SELECT * FROM known WHERE key % 29 = 0 OR key NOT IN (SELECT key FROM filed)),
+proven AS (SELECT * FROM known WHERE has_web AND key % 27 <> 0 AND key % 2 = 0),
+placed AS (SELECT * FROM known WHERE has_web AND key % 4 = 0 AND key % 16 <> 0 AND key % 10 <> 0),
+unplaced AS (SELECT *, CASE WHEN key % 16 = 0 THEN 'failed' WHEN key % 10 = 0 THEN 'not_available' ELSE 'ambiguous' END AS state, CASE WHEN key % 16 = 0 THEN 'Places search failed: HTTP 500' WHEN key % 10 = 0 THEN 'Places returned no candidate for this company' ELSE 'no Places result could be tied to this legal entity by domain, phone or address' END AS why FROM known WHERE key NOT IN (SELECT key FROM placed))"""
+_ENTITY_FIELDS = {
+    "legal_name": "name", "legal_form": "'AS - ' || legal_form", "registration_date": "NULL", "industry_code": "NULL", "business_address": "name || ', 0150 OSLO, Norge'", "postal_address": "NULL", "municipality": "'K' || industry_code",
+    "latest_submitted_accounts": "NULL", "registry_website": "CASE WHEN has_web THEN 'https://c' || key || '.example.com' END", "registry_phone": "CASE WHEN key % 2 = 0 THEN '22' || key END", "operating_status": "key % 10 = 0",
+}
+_COLLECTED = [
+    *(_one("mine", f, v, "ev-registry") for f, v in _ENTITY_FIELDS.items()),
+    _one("mine", "employees_registered", "employees", "ev-registry", note="'no employee count registered in Enhetsregisteret; not zero employees'"),
+    _one("(SELECT * FROM companies WHERE key % 19 = 0 OR key % 41 = 0)", "legal_name", "NULL", None, state="CASE WHEN key % 38 = 0 THEN 'blocked' ELSE 'not_available' END", note=_NO_ENTITY),
+    _one("(SELECT * FROM known WHERE key % 23 = 0)", "leadership", "NULL", None, state="'failed'", note="'roles endpoint returned no usable payload'"),
+    _one("(SELECT * FROM known WHERE key % 23 <> 0 AND key % 3 = 0 AND key % 4 <> 0)", "leadership", "NULL", "ev-roles", state="'not_available'", note="'no current registered leadership roles of a published type'"),
+    *(
+        _one("(SELECT * FROM known WHERE key % 23 <> 0 AND (key % 3 <> 0 OR key % 4 = 0))", f, v, "ev-roles")
+        for f, v in (("leadership", "(key % 3 <> 0)::INT + (key % 4 = 0)::INT"), ("managing_director", "CASE WHEN key % 3 <> 0 THEN 'Kari ' || name END"), ("board_chair", "CASE WHEN key % 4 = 0 THEN 'Kari L' END"))
+    ),
+    *_lost("unfiled", (*FINANCIAL, "financial_history.years"), "CASE WHEN key % 29 = 0 THEN 'blocked' ELSE 'not_available' END", _NO_ACCOUNTS),
+    *(
+        _one("accounts", f, v, "ev-accounts", note=_NO_LINE, period="CASE WHEN v IS NOT NULL THEN substr(until, 1, 4) || '-01-01/' || until END", statement="CASE WHEN v IS NOT NULL THEN kind END")
+        for f, v in ((f, {"financials.revenue": "cents", "financials.net_result": "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END"}.get(f, "NULL")) for f in FINANCIAL)
+    ),
+    _one("accounts", "financial_history.years", "years", "ev-accounts"),
+    _one("(SELECT * FROM known WHERE key % 5 = 0 OR key % 7 <> 0)", "locations", "CASE WHEN key % 5 <> 0 THEN 2 END", "ev-subunits", note=_NO_UNITS),
+    _one("(SELECT * FROM known WHERE key % 5 <> 0 AND key % 7 = 0)", "locations", "NULL", None, state="'not_available'", note="'subunit endpoint returned no usable payload'"),
+    *_lost("(SELECT * FROM known WHERE NOT has_web)", _WEB, "'not_available'", "'no website registered in Enhetsregisteret and search discovery is not enabled in v1'"),
+    *_lost("(SELECT * FROM known WHERE has_web AND key % 27 = 0)", _WEB, "'blocked'", "'registry website could not be retrieved: HTTP 403'"),
+    _one("(SELECT * FROM known WHERE has_web AND key % 27 <> 0 AND key % 2 = 1)", "official_website", "'https://c' || key || '.example.com'", "ev-website", state="'ambiguous'", note=_DOUBT, sure="0.5"),
+    *_lost("(SELECT * FROM known WHERE has_web AND key % 27 <> 0 AND key % 2 = 1)", _WEB[1:], "'ambiguous'", _DOUBT, "ev-website"),
+    *(_one("proven", f, v, "ev-website") for f, v in (("official_website", "'https://c' || key || '.example.com'"), ("website_title", "name"), ("website_description", "NULL"), ("social_handles", "2"))),
+    *(_one("proven", f, v, "ev-activity", sure="0.9") for f, v in (("activity.latest_post_date", "'2026-09-14'"), ("activity.posts", "1"))),
+    *_lost("(SELECT * FROM known WHERE key NOT IN (SELECT key FROM proven))", collect.ACTIVITY, "'not_available'", "'no verified company website, so no company-owned activity can be attributed'"),
+    _one("placed", "places.rating", "CASE WHEN key % 8 <> 0 THEN '4.5' END", "ev-places", note="'place found but Google holds no rating for it'", sure="0.95"),
+    *(_one("placed", f, v, "ev-places", sure="0.95") for f, v in (("places.rating_count", "key"), ("places.address", "NULL"))),
+    *_lost("unplaced", collect.PLACES, "state", "why"),
+    *(_one("(SELECT * FROM known WHERE key % 6 = 0)", f, v, "ev-wikidata", sure=sure) for f, v, sure in (("wikidata.qid", "'Q' || key", "1.0"), ("wikidata.wikipedia", "1", "0.9"))),
+    *(_one("(SELECT * FROM known WHERE key % 6 = 0)", f, "CASE WHEN has_web THEN 'https://c' || key || '.example.com' END" if f == "wikidata.website" else "NULL", "ev-wikidata", sure="0.9", note="'not recorded on the Wikidata entity'") for f in _KNOWN[1:-1]),
+    *_lost("(SELECT * FROM known WHERE key % 6 <> 0)", _KNOWN, "'not_available'", "'no Wikidata entity carries this organisation number'"),
+    *(_one("(SELECT * FROM known WHERE key % 8 = 0)", f, "2", "ev-job-0") for f in collect.JOBS),
+    _one("(SELECT * FROM known WHERE key % 8 <> 0)", "jobs.active_count", "0", None, state="'available'", note="'NAV vacancy feed was read; no active advert carries this organisation number'"),
+    _one("(SELECT * FROM known WHERE key % 8 <> 0)", "jobs.postings", "NULL", None),
+]
+_COLLECTED_SQL = f"{px.COMPANIES_SQL}, {_FILED}, claims AS ({' UNION ALL '.join(_COLLECTED)})"
+
+_SEEN = f"""{px.COMPANIES_SQL}, {_FILED}, seen AS (
+  SELECT org || '-brreg-entity' AS id, org, 'brreg' AS platform, 'company_profile' AS signal_type, 'https://s.example/entity/' || org AS source_url, 'organisation_number_primary_key' AS identity_proof, NULL AS observed_at FROM known
+  UNION ALL SELECT org || '-company_site-home', org, 'company_site', 'company_profile', 'https://c' || key || '.example.com', 'org_number_labelled_on_page', NULL FROM proven
+  UNION ALL SELECT org || '-' || p.platform || '-handle-' || p.n, org, p.platform, 'profile_handle', 'https://c' || key || '.example.com', 'declared_on_verified_company_site:org_number_labelled_on_page', NULL FROM proven, (VALUES ('linkedin', 0), ('x', 1)) p(platform, n)
+  UNION ALL SELECT org || '-company_site-post-0', org, 'company_site', 'public_post', 'https://s.example/news/' || org, 'published_on_verified_company_site:org_number_labelled_on_page', '2026-09-14' FROM proven
+  UNION ALL SELECT org || '-google_places-place', org, 'google_places', 'place_summary', 'https://maps.google.com/?cid=p', 'places_website_matches_verified_domain', NULL FROM placed
+  UNION ALL SELECT org || '-wikidata-entity', org, 'wikidata', 'company_profile', 'https://www.wikidata.org/wiki/Q' || key, 'wikidata_p2333_organisation_number', NULL FROM known WHERE key % 6 = 0
+  UNION ALL SELECT org || '-wikipedia-en', org, 'wikipedia', 'company_profile', 'https://en.wikipedia.org/wiki/' || replace(name, ' ', '_'), 'wikidata_p2333_sitelink:Q' || key, NULL FROM known WHERE key % 6 = 0
+  UNION ALL SELECT org || '-job_board-posting-' || n, org, 'job_board', 'job_posting', 'https://ads.example/' || org || '/' || (n + 1), 'employer_org_number_in_official_feed', '2026-01-01' FROM known, (VALUES (0), (1)) t(n) WHERE key % 8 = 0)"""
+
+
 SQL: dict[str, str] = {
     "reconcile_changes": f"WITH {_CHANGES} SELECT * FROM changes",
     "reconcile_claims": f"""WITH {_CHANGES} SELECT org, field, CASE WHEN k THEN pv ELSE cv END AS value, CASE WHEN k THEN pa ELSE ca END AS availability,
@@ -192,9 +270,13 @@ SQL: dict[str, str] = {
         CASE WHEN employees IS NOT NULL THEN employees || ' employees are registered.' END, CASE WHEN NOT has_web THEN 'No permitted external source could be tied to this entity, so the profile rests on official records alone.' END) AS text FROM companies""",
     "unknowns": f"""WITH {_CLAIMS} SELECT org, CAST(CASE field WHEN 'official_website' THEN 1 WHEN 'employees_registered' THEN 2 WHEN 'financials.revenue' THEN 3 ELSE 6 END AS BIGINT) AS place, field, 'not_available' AS state, CASE WHEN field = 'employees_registered' THEN 'not registered' ELSE 'no permitted source established this value' END AS reason
         FROM claims WHERE value IS NULL AND field IN ('official_website', 'employees_registered', 'financials.revenue', 'places.rating')""",
-    "change_sentences": f"""WITH {_CHANGES} SELECT org, 'Since the previous run: ' || string_agg(CASE change_type WHEN 'new_filing' THEN 'financials revenue moved from ' || coalesce(old_value, 'None') || ' to ' || coalesce(new_value, 'None') WHEN 'became_available' THEN 'financials revenue became available'
-        WHEN 'became_unavailable' THEN 'financials revenue is no longer reported' END, '; ') || '.' AS changes FROM changes WHERE materiality = 'material' GROUP BY org""",
-    "identity_summary": f"WITH {_CLAIMS} SELECT org, max(value) FILTER (field = 'legal_name') AS legal_name, max(value) FILTER (field = 'legal_form') AS legal_form, max(value) FILTER (field = 'registration_date') AS registration_date, max(value) FILTER (field = 'municipality') AS municipality FROM claims GROUP BY org",
+    "change_sentences": f"""WITH {_CHANGES}, w AS (SELECT org, field, change_type, translate(field, '_.', '  ') AS f, substr(coalesce(old_value, 'None'), 1, 40) AS o, substr(coalesce(new_value, 'None'), 1, 40) AS n, item_name, replace(item_role, '_', ' ') AS item_role, item_place FROM changes WHERE materiality = 'material'),
+        s AS (SELECT org, field, change_type, CASE change_type WHEN 'new_role' THEN item_name || ' joined as ' || item_role WHEN 'departed_role' THEN item_name || ' left the role of ' || item_role WHEN 'new_location' THEN 'a workplace was registered in ' || item_place
+          WHEN 'closed_location' THEN 'a registered workplace closed in ' || item_place WHEN 'new_filing' THEN f || ' moved from ' || o || ' to ' || n WHEN 'changed_identity' THEN f || ' changed from ' || o || ' to ' || n WHEN 'became_available' THEN f || ' became available'
+          WHEN 'became_unavailable' THEN f || ' is no longer reported' ELSE f || ' changed' END AS said FROM w),
+        r AS (SELECT *, row_number() OVER (PARTITION BY org ORDER BY field, change_type, said) AS place FROM s)
+        SELECT org, 'Since the previous run: ' || string_agg(said, '; ' ORDER BY place) || '.' AS changes FROM r WHERE place <= 6 GROUP BY org""",
+    "identity_summary": f"WITH {_CLAIMS} SELECT org, max(value) FILTER (field = 'legal_name') AS legal_name, max(value) FILTER (field = 'legal_form') AS legal_form, max(value) FILTER (field = 'municipality') AS municipality, max(value) FILTER (field = 'industry_code') AS industry_code FROM claims GROUP BY org",
     "coverage_flags": f"WITH {_CLAIMS} SELECT org, {_has('places.rating', 'rating')}, {_has('official_website', 'website')}, {_has('wikidata.qid', 'wikidata')}, {_has('financials.revenue', 'accounts')} FROM claims GROUP BY org",
     "snapshot_dedupe": "SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, count(*) AS n FROM events GROUP BY 1, 2",
     "lookup_chunks": f"WITH {px.COMPANIES_SQL}, n AS (SELECT org, (row_number() OVER (ORDER BY org) - 1) // 50 AS chunk FROM companies) SELECT chunk, count(*) AS n, min(org) AS first FROM n GROUP BY 1",
@@ -211,10 +293,25 @@ SQL: dict[str, str] = {
         SELECT org, max(value) FILTER (field = 'legal_name') AS name, max(value) FILTER (field = 'municipality') AS municipality, coalesce(any_value(platforms), '') AS platforms,
           count(value) FILTER (field IN ('legal_name', 'employees_registered', 'official_website', 'places.rating', 'financials.revenue', 'financials.net_result')) AS n_fields, max(value) FILTER (field = 'financials.revenue') AS revenue
         FROM claims LEFT JOIN o USING (org) GROUP BY org""",
-    "envelopes": f"""WITH {px.SNAPSHOTS_SQL}, {px.OBSERVATIONS_SQL}, o AS (SELECT organisation_number AS org, string_agg(DISTINCT platform, ',' ORDER BY platform) AS platforms FROM observations GROUP BY 1),
-        a AS (SELECT companies.org, p.value AS pv, p.period AS pp, p.availability = 'available' AS was, c.availability <> 'failed' AS now_, c.availability AS ca, c.value AS cv, c.period AS cp FROM companies JOIN p USING (org) JOIN c USING (org))
-        SELECT org, CASE WHEN was OR now_ THEN 'complete' ELSE 'failed' END AS status, CAST(CASE WHEN was OR now_ THEN 1 ELSE 0 END AS BIGINT) AS n_claims,
-          CAST(CASE WHEN was AND now_ AND NOT (ca = 'available' AND pv IS NOT DISTINCT FROM cv AND pp IS NOT DISTINCT FROM cp) THEN 1 ELSE 0 END AS BIGINT) AS n_changes, platforms FROM a LEFT JOIN o USING (org)""",
+    "envelopes": f"""WITH {px.FULL_SQL}, {px.OBSERVATIONS_SQL}, o AS (SELECT organisation_number AS org, string_agg(DISTINCT platform, ',' ORDER BY platform) AS platforms FROM observations GROUP BY 1),
+        cc AS (SELECT * FROM c_all WHERE availability <> 'failed' AND substr(org, 8, 1) <> '7'), pp AS (SELECT * FROM p_all WHERE availability = 'available' AND org IN (SELECT org FROM cc)),
+        x AS (SELECT org, field, pp.org IS NOT NULL AS was, cc.org IS NOT NULL AS now_, pp.value AS pv, cc.value AS cv, cc.availability AS ca, pp.period AS pper, cc.period AS cper, pp.evidence_id AS pe, cc.evidence_id AS ce, pp.items AS pi, cc.items AS ci FROM pp FULL JOIN cc USING (org, field)),
+        k AS (SELECT *, was AND now_ AND ca = 'blocked' AS kept FROM x),
+        n AS (SELECT org, count(*) AS n_claims, count(CASE WHEN kept OR NOT now_ THEN pe ELSE ce END) AS n_ev,
+          sum(CASE WHEN NOT was OR NOT now_ THEN 0 WHEN kept THEN 1 WHEN ca = 'available' AND pv = cv AND pper IS NOT DISTINCT FROM cper THEN 0 WHEN ca = 'available' AND pi IS NOT NULL THEN len(list_filter(ci, lambda v: NOT list_contains(pi, v))) + len(list_filter(pi, lambda v: NOT list_contains(ci, v))) ELSE 1 END) AS n_changes,
+          max(CASE WHEN field = 'legal_name' THEN CASE WHEN now_ THEN cv ELSE pv END END) AS legal_name FROM k GROUP BY org)
+        SELECT org, CASE WHEN n.org IS NULL THEN 'failed' WHEN key % 7 = 0 THEN 'completed_without_registry_anchor' ELSE 'completed' END AS status, coalesce(n_claims, 1) AS n_claims, CAST(coalesce(n_changes, 0) AS BIGINT) AS n_changes, coalesce(n_ev, 0) AS n_evidence, legal_name, coalesce(platforms, '') AS platforms
+        FROM companies LEFT JOIN n USING (org) LEFT JOIN o USING (org)""",
+    "collected_claims": f"WITH {_COLLECTED_SQL} SELECT * FROM claims",
+    "collected_observations": f"WITH {_SEEN} SELECT id, org AS organisation_number, platform, signal_type, source_url, identity_proof, observed_at FROM seen",
+    "collected_evidence": f"""WITH {_COLLECTED_SQL}, e AS (SELECT DISTINCT org, evidence_id FROM claims WHERE evidence_id IS NOT NULL UNION SELECT org, 'ev-job-1' FROM known WHERE key % 8 = 0)
+        SELECT evidence_id, CASE WHEN evidence_id IN ('ev-registry', 'ev-roles', 'ev-accounts', 'ev-subunits') THEN 'official_registry' WHEN evidence_id IN ('ev-website', 'ev-activity') THEN 'company_owned' WHEN evidence_id = 'ev-places' THEN 'customer_review' ELSE 'public_mention' END AS source_class,
+          CASE evidence_id WHEN 'ev-registry' THEN 'json_field' WHEN 'ev-roles' THEN 'json_roles' WHEN 'ev-accounts' THEN 'json_accounts' WHEN 'ev-subunits' THEN 'json_subunits' WHEN 'ev-website' THEN 'html_identity_gate_v1' WHEN 'ev-activity' THEN 'company_news_page_v1'
+          WHEN 'ev-places' THEN 'places_text_search_v1' WHEN 'ev-wikidata' THEN 'wikidata_wbgetentities_v1' ELSE 'nav_stilling_feed_v1' END AS method, count(*) AS n, count(DISTINCT org) AS orgs FROM e GROUP BY ALL""",
+    "run_totals": f"""WITH {_SEEN}, ms AS (SELECT key % 97 * 10 AS ms, row_number() OVER (ORDER BY key % 97 * 10) - 1 AS place, count(*) OVER () AS n FROM companies)
+        SELECT count(*) AS requested, count(*) AS emitted_envelopes, count(*) * 6 AS requests, CAST(round(count_if(key % 2 = 0) * 0.035, 3) AS DOUBLE) AS usd, (SELECT count(*) FROM seen) AS observations, 0 AS changes, 0 AS material_changes,
+          (SELECT max(ms) FROM ms WHERE place = CAST(round_even(0.5 * (n - 1), 0) AS BIGINT)) AS p50_ms, (SELECT max(ms) FROM ms WHERE place = CAST(round_even(0.95 * (n - 1), 0) AS BIGINT)) AS p95_ms, count(*) * 6 <= 12000000 AS passed,
+          count_if(key % 19 <> 0) AS completed, count_if(key % 19 = 0) AS completed_without_registry_anchor, 0 AS failed FROM companies""",
     "source_stats": f"WITH {px.OBSERVATIONS_SQL} SELECT platform, count(*) AS observations, count(DISTINCT organisation_number) AS organisations, count_if(len(reasons) = 0) AS published FROM gated GROUP BY 1",
     "registry_observations": f"WITH {px.COMPANIES_SQL} SELECT org || '-brreg-entity' AS id, 'https://r.example/' || org AS source_url, 'organisation_number_primary_key' AS identity_proof, 'primary_key' AS tier FROM companies WHERE key % 3 <> 0",
 }

@@ -230,3 +230,63 @@ gated AS (
     CASE WHEN bad_sentiment THEN 'unsupported sentiment label' END, CASE WHEN bad_sentiment THEN 'missing sentiment model version' END], lambda x: x IS NOT NULL) AS reasons,
     CASE event_id_7 WHEN 0 THEN 'primary_key' WHEN 1 THEN 'proven_on_page' WHEN 2 THEN 'declared' WHEN 3 THEN 'proven_on_page' WHEN 4 THEN 'declared' WHEN 5 THEN 'corroborated' ELSE 'inferred' END AS tier
   FROM (SELECT *, pos % 7 AS event_id_7 FROM observations))"""
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured responses about every company, of all kinds and states, with payloads in the forms of their sources."""
+    c = companies(spark, sf_dir)
+    k, org = F.col("key"), F.col("org")
+    o = table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    filing = F.struct(
+        F.when(F.col("o_orderstatus") == "F", "SELSKAP").otherwise("KONSERN").alias("regnskapstype"), F.lit("NOK").alias("valuta"),
+        F.struct(F.concat(F.substring(day, 1, 4), F.lit("-01-01")).alias("fraDato"), day.alias("tilDato")).alias("regnskapsperiode"),
+        F.struct(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("aarsresultat"), F.struct(F.struct(F.round(F.col("o_totalprice") * 100).cast("long").alias("sumDriftsinntekter")).alias("driftsinntekter")).alias("driftsresultat")).alias("resultatregnskapResultat"),
+    )
+    filed = o.groupBy(F.col("o_custkey").alias("key")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", filing.alias("f")))).alias("fs"))
+    rows = c.join(filed, "key", "left")
+    place = F.struct(F.array(F.col("name")).alias("adresse"), F.lit("0150").alias("postnummer"), F.lit("OSLO").alias("poststed"), F.concat(F.lit("K"), "industry_code").alias("kommune"), F.lit("Norge").alias("land"))
+    entity = F.struct(
+        F.when(k % 41 == 0, "0").otherwise(org).alias("organisasjonsnummer"), F.col("name").alias("navn"), F.struct(F.lit("AS").alias("kode"), F.col("legal_form").alias("beskrivelse")).alias("organisasjonsform"), place.alias("forretningsadresse"),
+        F.col("website").alias("hjemmeside"), F.when(k % 2 == 0, F.concat(F.lit(" 22"), k.cast("string"))).alias("telefon"), F.col("employees").isNotNull().alias("harRegistrertAntallAnsatte"), F.col("employees").cast("long").alias("antallAnsatte"), (k % 10 == 0).alias("konkurs"),
+    )
+    role = lambda code, gone, name: F.struct(F.struct(F.lit(code).alias("kode")).alias("type"), gone.alias("avregistrert"), F.struct(F.struct(F.lit("Kari").alias("fornavn"), name.alias("etternavn")).alias("navn")).alias("person"))
+    roles = F.struct(F.array(F.struct(F.array(role("REVI", F.lit(False), F.lit("R")), role("DAGL", k % 3 == 0, F.col("name")), role("LEDE", k % 4 != 0, F.lit("L"))).alias("roller"))).alias("rollegrupper"))
+    unit = lambda n: F.struct(F.concat(org, F.lit(f"-{n}")).alias("organisasjonsnummer"), F.lit(f"shop {n}").alias("navn"), place.alias("beliggenhetsadresse"))
+    units = F.struct(F.struct(F.when(k % 5 == 0, F.array().cast("array<string>")).alias("underenheter")).alias("_embedded"), F.struct(F.lit(2).alias("totalElements")).alias("page"))
+    shops = F.struct(F.struct(F.array(unit(1), unit(2)).alias("underenheter")).alias("_embedded"))
+    number = F.when(k % 2 == 0, F.concat(F.lit("Org.nr "), org)).otherwise("")
+    html = F.concat(F.lit("<html><head><title>"), "name", F.lit('</title></head><body><a href="https://www.linkedin.com/company/c"></a><a href="//x.com/c"></a><a href="/om"></a><p>'), number, F.lit("</p></body></html>"))
+    found = F.struct(F.array(F.struct(F.lit("p").alias("id"), F.when(k % 4 == 0, F.col("website")).alias("websiteUri"), F.when(k % 8 != 0, F.lit(4.5)).alias("rating"), k.alias("userRatingCount"))).alias("places"))
+    news = F.lit("<article><h2>Nytt</h2><p>Vi flyttet den 14. september 2026 til nye lokaler</p></article>")
+    kinds = (  # kind, rank, status, body
+        ("entity", 0, F.when(k % 38 == 0, 403).when(k % 19 == 0, 404).otherwise(200), F.to_json(entity)),
+        ("roles", 0, F.when(k % 23 == 0, 500).otherwise(200), F.to_json(roles)),
+        ("accounts", 0, F.when(k % 29 == 0, 451).otherwise(200), F.to_json(F.transform("fs", lambda x: x["f"]))),
+        ("subunits", 0, F.lit(200), F.when(k % 5 == 0, F.to_json(units)).when(k % 7 == 0, F.lit("not json")).otherwise(F.to_json(shops))),
+        ("website", 0, F.when(k % 27 == 0, 403).otherwise(200), html),
+        ("news", 0, F.lit(200), F.lit("<p>nothing dated here</p>")),
+        ("news", 1, F.lit(200), news),
+        ("places", 0, F.when(k % 16 == 0, 500).otherwise(200), F.when(k % 10 == 0, F.lit('{"places": []}')).otherwise(F.to_json(found))),
+    )
+    each = rows.select("org", "key", "website", F.inline(F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), status.cast("int").alias("status"), body.alias("body")) for kind, rank, status, body in kinds))))
+    ok = F.col("status") == 200
+    asked = each.where((F.col("kind") != "website") | F.col("website").isNotNull())
+    url = F.when(F.col("kind") == "website", F.col("website")).otherwise(F.concat(F.lit("https://s.example/"), "kind", F.lit("/"), "org"))
+    return asked.select("org", "kind", "rank", url.alias("url"), F.lit(None).cast("string").alias("final_url"), ok.alias("ok"), F.col("status").isin(401, 403, 451).alias("blocked"), "status", F.when(~ok, F.concat(F.lit("HTTP "), F.col("status").cast("string"))).alias("error"), F.when(ok, F.col("body")).alias("body"), F.lit("2026-01-02T03:04:05Z").alias("retrieved_at"), F.sha2(F.concat_ws("|", "kind", "org"), 256).alias("sha"))
+
+
+def knowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the knowledge base for one company in six: (pos, qid, entity, retrieved_at, sha)."""
+    k = F.col("key")
+    value = lambda text: F.array(F.struct(F.struct(F.lit("value").alias("snaktype"), F.struct(text.alias("value")).alias("datavalue")).alias("mainsnak")))
+    entity = F.struct(F.struct(value(F.col("org")).alias("P2333"), value(F.col("website")).alias("P856")).alias("claims"), F.struct(F.struct(F.col("name").alias("value")).alias("en")).alias("labels"), F.struct(F.struct(F.col("name").alias("title")).alias("enwiki")).alias("sitelinks"))
+    rows = companies(spark, sf_dir).where("key % 6 = 0")
+    return rows.select(k.alias("pos"), F.concat(F.lit("Q"), k.cast("string")).alias("qid"), F.to_json(entity).alias("entity"), F.lit("2026-01-02").alias("retrieved_at"), F.sha2("org", 256).alias("sha"))
+
+
+def adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adverts with the number of their employer, two for one company in eight: (url, body, retrieved_at, sha)."""
+    c = companies(spark, sf_dir).where("key % 8 = 0").select("org", "name", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
+    body = F.to_json(F.struct(F.struct(F.concat("org", F.lit("-"), F.col("n").cast("string")).alias("uuid"), F.col("name").alias("title"), F.struct(F.col("org").alias("orgnr")).alias("employer"), F.lit("2026-01-01").alias("published")).alias("ad_content")))
+    return c.select(F.concat(F.lit("https://ads.example/"), "org", F.lit("/"), F.col("n").cast("string")).alias("url"), body.alias("body"), F.lit("2026-01-02").alias("retrieved_at"), F.sha2("org", 256).alias("sha"))
