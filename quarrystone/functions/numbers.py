@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,9 +46,21 @@ def shown(number: Column) -> Column:
     return F.when(F.length(d) == 9, F.concat_ws(" ", F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 3))).otherwise(d)
 
 
+@cache
+def _plain_letters(form: str) -> tuple[str, str]:
+    """Characters that a normal form of compatibility turns into one ASCII character (marks left out), and what they become."""
+    one = {}
+    for c in map(chr, (*range(0x80, 0x3400), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800))):  # beside these ranges, no character becomes ASCII
+        base = "".join(x for x in unicodedata.normalize(form, c) if form == "NFKC" or not unicodedata.combining(x))
+        if len(base) == 1 and base.isascii():
+            one[c] = base
+    return "".join(one), "".join(one.values())
+
+
 def flat(text: Column) -> Column:
-    """Compatibility spaces as plain ones, so that patterns see them."""
-    return F.translate(F.coalesce(text, F.lit("")), "   ", "   ")
+    """Compatibility characters (wide and raised digits and letters, all kinds of blanks) as plain ones, so that patterns see them."""
+    x = F.coalesce(text, F.lit(""))
+    return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(x, *_plain_letters("NFKC"))).otherwise(x)
 
 
 def proof(text: Column, expected: Column) -> Column:
@@ -75,7 +90,8 @@ def name_tokens(name: Column) -> Column:
     """Distinctive small tokens of a legal name; letters with marks lose them."""
     spelt = F.translate(F.coalesce(name, F.lit("")), "øØåÅ", "oOaA")
     spelt = F.lower(F.regexp_replace(F.regexp_replace(spelt, "æ", "ae"), "Æ", "AE"))
-    plain = F.translate(spelt, "àáâãäçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaceeeeiiiinooooouuuuyy")
+    marked = spelt.rlike(r"[^\x00-\x7F]")
+    plain = F.lower(F.when(marked, F.regexp_replace(F.translate(spelt, *_plain_letters("NFKD")), r"[^\x00-\x7F]+", "")).otherwise(spelt))
     return F.filter(F.regexp_extract_all(plain, F.lit("[a-z0-9]+"), F.lit(0)), lambda t: ~t.isin(*LEGAL_WORDS) & (F.length(t) > 1))
 
 

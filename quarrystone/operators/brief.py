@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers as fn
-from ..storage import ship
 from . import site
 
 #: The places of contact pages, and statuses by their meaning.
@@ -25,13 +23,8 @@ VIEWER_FIELDS = (
 
 def contact_candidates(pages: DataFrame, most: int = 3) -> DataFrame:
     """(org, pos, candidate): pages of the same host that may name the organisation."""
-    ship(pages.sparkSession)
-
-    @F.pandas_udf("array<string>")
-    def extract(h: pd.Series, u: pd.Series) -> pd.Series:
-        return pd.Series([site.same_host_pages(a, b or "", CONTACT_HINT, CONTACT_PATHS)[:most] for a, b in zip(h, u, strict=True)])
-
-    return pages.select("org", F.posexplode(extract("html", "url")).alias("pos", "candidate"))
+    rows = site.parsed(pages)
+    return rows.select("org", F.posexplode(F.slice(site.linked_pages(F.col("page"), F.col("url"), CONTACT_HINT, CONTACT_PATHS), 1, most)).alias("pos", "candidate"))
 
 
 def page_findings(pages: DataFrame) -> DataFrame:

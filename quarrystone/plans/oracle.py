@@ -248,7 +248,7 @@ SQL: dict[str, str] = {
     "machine_labels": f"WITH {px.OBSERVATIONS_SQL} SELECT id FROM observations WHERE pos % 7 = 0 AND url_ok AND pos % 2 = 0",
     "token_containment": f"""WITH toks AS (SELECT p_partkey AS entry_id, list_distinct(list_filter(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]+'), lambda t: len(t) > 1 AND NOT list_contains([{", ".join(f"'{w}'" for w in fn.LEGAL_WORDS)}], t))) AS have,
           list_distinct(list_filter(regexp_extract_all(lower(p_type), '[a-z0-9]+'), lambda t: len(t) > 1 AND NOT list_contains([{", ".join(f"'{w}'" for w in fn.LEGAL_WORDS)}], t))) AS own FROM part),
-        want AS (SELECT entry_id AS pos, own AS want, {px.org_sql('entry_id')} AS org FROM toks WHERE entry_id % 100 = 0 AND len(own) > 0)
+        sets AS (SELECT min(entry_id) AS pos, list_sort(own) AS want FROM toks WHERE len(own) > 0 GROUP BY 2), want AS (SELECT pos, want, {px.org_sql('pos')} AS org FROM sets)
         SELECT entry_id, org, len(want) = len(have) AS exact FROM toks JOIN want ON list_has_all(have, want) QUALIFY row_number() OVER (PARTITION BY entry_id ORDER BY pos) = 1""",
     "job_candidates": "WITH c AS (SELECT p_partkey AS entry_id, p_brand AS url, p_size > 25 AS exact, lpad(CAST(p_size AS VARCHAR), 3, '0') AS changed FROM part), d AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY url ORDER BY exact DESC, changed DESC, entry_id) = 1) SELECT * FROM d ORDER BY exact DESC, changed DESC, entry_id LIMIT 20",
     "place_match": f"""WITH {px.COMPANIES_SQL}, n AS (SELECT org, key, has_web, CAST(unnest([0, 1, 2, 3]) AS INT) AS pos FROM companies), r AS (SELECT org, pos, CASE WHEN has_web AND pos = key % 5 THEN 0 WHEN pos = key % 7 OR pos = key % 6 THEN 1 END AS k FROM n)

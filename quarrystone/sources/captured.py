@@ -6,7 +6,8 @@ lines are skipped or fatal as each format demands.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as fn
@@ -22,14 +23,16 @@ LABEL = "id STRING, exact_entity BOOLEAN, metric_correct BOOLEAN, sentiment_corr
 def lines(spark: SparkSession, *paths: str) -> DataFrame:
     """(file_no, pos, line) of text files, gzip or plain; pos orders the lines of a file.
 
-    pos is the byte-free row id of a whole-file read: a text file is one row and
-    its lines are numbered within it.
+    Files are read line by line and cut into as many tasks as Spark likes. A line's
+    pos is made of the start of its stretch of the file and its number there.
     """
+    start = F.col("_metadata.file_block_start").cast("decimal(38,0)") * F.lit(1 << 34)
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the task, whose stretches of a file follow each other
     every = None
     for n, path in enumerate(paths):
-        one = spark.read.text(path, wholetext=True).select(F.lit(n).alias("file_no"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "line")).where(F.trim("line") != "")
+        one = spark.read.text(path).select(F.lit(n).alias("file_no"), (start + within).cast("decimal(38,0)").alias("pos"), F.col("value").alias("line"))
         every = one if every is None else every.unionByName(one)
-    return every
+    return every.where(F.trim("line") != "")
 
 
 def _field(line: str, *names: str):  # noqa: ANN202
@@ -72,19 +75,42 @@ def claims_of(held: DataFrame) -> DataFrame:
     return rows.select("org", "c.field", canonical(F.col("c.value")).alias("value"), "c.availability", F.col("c.reporting_period").alias("period"), F.col("c.qualifiers")["currency"].alias("currency"), F.col("c.qualifiers")["statement_type"].alias("statement"), F.col("ev.id").alias("evidence_id"), F.col("ev.source_url").alias("url"), F.col("ev.retrieved_at").alias("retrieved_at"), F.col("ev.content_sha256").alias("sha"), F.col("c.qualifiers")["first_observed_at"].alias("first_seen"), "c.note")
 
 
-def canonical(value):  # noqa: ANN001, ANN201
-    """A text of a value that neither key order nor number format changes; top-level lists are sorted."""
-    as_list = F.from_json(value, "ARRAY<STRING>")
-    plain = F.to_json(F.try_parse_json(value))
-    items = F.concat(F.lit("["), F.array_join(F.array_sort(F.transform(as_list, lambda x: F.coalesce(F.to_json(F.try_parse_json(x)), x))), ","), F.lit("]"))
-    return F.when(value.startswith("["), items).otherwise(F.coalesce(plain, value))
+def canonical(value: Column) -> Column:
+    """A text of a JSON value that neither key order, number format nor the order of any list in it changes; other text stays.
+
+    Spark's own parser orders keys and forms numbers; lists are sorted from the
+    innermost outwards, which built-in functions cannot do at any depth, so values
+    that hold a list go through one vectorised function, in Arrow batches.
+    """
+    import json
+
+    @F.pandas_udf("string")
+    def settled(values: pd.Series) -> pd.Series:
+        def sort(x):  # noqa: ANN001, ANN202
+            if isinstance(x, dict):
+                return {k: sort(x[k]) for k in sorted(x)}
+            if isinstance(x, list):
+                return sorted(map(sort, x), key=lambda v: json.dumps(v, ensure_ascii=False))
+            return int(x) if isinstance(x, float) and x.is_integer() else x
+
+        def one(text):  # noqa: ANN001, ANN202
+            try:
+                return json.dumps(sort(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
+            except (TypeError, ValueError, RecursionError):
+                return text
+
+        return values.map(one)
+
+    plain = F.coalesce(F.to_json(F.try_parse_json(value)), value)
+    listed = F.contains(plain, F.lit("["))
+    return F.when(listed, settled(F.when(listed, plain))).otherwise(plain)
 
 
 def observations_of(held: DataFrame) -> DataFrame:
     """Observations of envelopes with their places."""
     of = OBSERVATION.replace(" STRING", ": STRING").replace(" BOOLEAN", ": BOOLEAN")
     rows = held.select("file_no", "pos", F.posexplode(F.from_json("envelope", f"observations ARRAY<STRUCT<{of}>>")["observations"]).alias("i", "o"))
-    return rows.select("o.*", "file_no", (F.col("pos").cast("long") * 1_000_000 + F.col("i")).alias("pos"))
+    return rows.select("o.*", "file_no", (F.col("pos") * 1_000_000 + F.col("i")).cast("decimal(38,0)").alias("pos"))
 
 
 def labels(spark: SparkSession, path: str) -> DataFrame:

@@ -118,15 +118,32 @@ def test_gate(spark):
     assert gated(spark, "22334455", legal_name="NORD AS").proof == ""
 
 
-def test_pages_and_posts():
-    page = site.parse_page('<title> T </title><meta name="description" content=" D "><script type="application/ld+json">{"x":1}</script><style>no</style><p>a<p>b<div id=footer>F <a href="/n">n</a></div>')
-    assert (page["title"], page["description"], page["identity_excerpt"], page["links"]) == ("T", "D", "F n", ["/n"]) and "no" not in page["body_text"].split()
+def page(spark, html, url="https://x.no/"):
+    return one(spark, html=html, url=url)
+
+
+def posts(spark, html):
+    return [r.post.asDict() for r in site.dated_posts(page(spark, html)).orderBy("pos").collect()]
+
+
+def test_pages_and_posts(spark):
+    body = '<title> T </title><meta name="description" content=" D "><script type="application/ld+json">{"x":1}</script><style>no</style><p>a<p>b<div id=footer>F <a href="/n">n</a></div>'
+    got = site.parsed(page(spark, body)).first().page
+    assert (got["title"], got["description"], got["identity_excerpt"], got["links"]) == ("T", "D", "F n", ["/n"]) and "no" not in got["body_text"].split()
     html = '<article><h2>A</h2><time datetime="2024-05-06T00:00">x</time> some longer text here</article><article><h2>B</h2> publisert 14. september 2025 her</article><article><h2>C</h2>den 31.02.2024 var det ingen</article><article>uten dato men lang nok tekst</article>'
-    assert [(p["title"], p["date"]) for p in site.posts(html, "https://x.no/")] == [("B", "2025-09-14"), ("A", "2024-05-06")]
+    assert [(p["title"], p["date"]) for p in posts(spark, html)] == [("B", "2025-09-14"), ("A", "2024-05-06")]
     ld = '<script type="application/ld+json">[{"@type":"NewsArticle","headline":"L","datePublished":"2023-01-02T03","url":"/l"},{"@type":"Thing"}]</script>' + html
-    assert site.posts(ld, "https://x.no/") == [{"title": "L", "date": "2023-01-02", "url": "https://x.no/l"}]
-    found = site.news_candidates('<a href="/Nyheter/">x</a><a href="https://y.no/news">y</a><a href="/om">Presse</a>', "https://www.x.no/")
-    assert found[:2] == ["https://www.x.no/Nyheter/", "https://www.x.no/om"] and "https://www.x.no/aktuelt" in found and "https://www.x.no/nyheter" not in found
+    assert posts(spark, ld) == [{"title": "L", "date": "2023-01-02", "url": "https://x.no/l"}]
+    assert posts(spark, '<script type="application/ld+json">{broken</script><li>kort 1.2.2024</li><li>en lengre tekst om noe 7.3.2024</li>') == [{"title": "en lengre tekst om noe 7.3.2024", "date": "2024-03-07", "url": None}]
+    news = site.candidates(page(spark, '<a href="/Nyheter/">x</a><a href="https://y.no/news">y</a><a href="/om">Presse</a><a href="/om#a">presse</a><a href="http://[x/news">n</a>', "https://www.x.no/"), most=9)
+    found = [r.candidate for r in news.orderBy("pos").collect()]
+    assert found[:2] == ["https://www.x.no/Nyheter/", "https://www.x.no/om"] and "https://www.x.no/aktuelt" in found and "https://www.x.no/nyheter" not in found and len(found) == 7
+
+
+def test_compatibility_characters(spark):
+    df = one(spark, t="Org.nr " + "".join(chr(ord(c) + 0xFEE0) for c in ORG) + " her", n="Ñandú Façade ﹏ Ǻlesund Ｗide ÆRLIG ŁÓDŹ Kołata Café\u0301s")
+    got = df.select(fn.proof(F.col("t"), F.lit(ORG)), fn.name_tokens(F.col("n"))).first()
+    assert got[0] == "org_number_labelled_on_page" and got[1] == ["nandu", "facade", "alesund", "wide", "aerlig", "odz", "koata", "cafes"]
 
 
 def test_feed_places_and_wikidata(spark):
@@ -148,6 +165,7 @@ def test_sources_and_sinks(spark, tmp_path):
     listed = tmp_path / "orgs.txt"
     listed.write_text(f'{ORG}\n{{"organisasjonsnummer": "{OTHER}", "navn": "A"}}\nbad\n{{"organisation_number": "{OTHER}", "name": "B"}}\n\n{ORG}\n{{broken\n')
     assert rows(captured.organisations(spark, str(listed)), "pos", "org") == [(0, ORG), (1, OTHER)]
+    assert captured.lines(spark, str(listed)).count() == 6
     assert rows(captured.company_names(spark, str(listed))) == [(OTHER, "B")]
     with gzip.open(tmp_path / "u.jsonl.gz", "wt") as f:
         f.write('{"organisation_number": "1", "employees": 7}\n')
@@ -161,6 +179,8 @@ def test_sources_and_sinks(spark, tmp_path):
     assert (got.value, got.evidence_id, got.url, got.currency) == ('{"a":1,"b":[1]}', "e", "u", "NOK") and captured.observations_of(held).count() == 1
     order = one(spark, a="[3, 1]", b="[1,3.0]").select(captured.canonical(F.col("a")), captured.canonical(F.col("b"))).first()
     assert order[0] == order[1]
+    deep = one(spark, a='{"k":[{"z":[2,1]},{"b":1.0,"a":2}],"x":1}', b='{"x":1,"k":[{"a":2,"b":1},{"z":[1,2.0]}]}', c="plain [text").select(*(captured.canonical(F.col(k)) for k in "abc")).first()
+    assert deep[0] == deep[1] == '{"k":[{"a":2,"b":1},{"z":[1,2]}],"x":1}' and deep[2] == "plain [text"
     people = spark.createDataFrame([("b", 1), ("a", None)], "org string, n int")
     digest = sinks.write_snapshot(people, str(tmp_path / "out"))
     assert spark.read.text(str(tmp_path / "out")).count() == 2 and digest.first().rows == 2
