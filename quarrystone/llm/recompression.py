@@ -4,23 +4,28 @@ Documents are packed in chunks of bounded size: word codes over the chunk's own
 vocabulary. Rounds of recompression rename each chunk's word sequence: maximal
 runs of a symbol, then pairs of a symbol from one half of the alphabet and a
 symbol from the other. A name is a function of the names that it stands for, so
-it is the same in every chunk and equal substrings get equal interior symbols.
-With each symbol goes its context, the words on which its making depends: a
-symbol whose context lies within a window is the same in every occurrence of the
-window.
-
-A window's anchor is the longest such symbol of any round, in bytes: rare words are long. First exchange:
-anchors by name, which tells the ones that more than one document holds. Second
-exchange: only windows whose anchor is shared (or that have none, as within long
-runs) are verified by 128 bits of their words, and the smallest document id of
-each is found. What comes back to a chunk is a bit for each of its anchors and
-windows; all counting is done on sorted arrays, and a chunk sends each name once,
-so a passage that a third of all documents share costs a name for each chunk.
+equal substrings get equal interior symbols in every chunk. With each symbol goes
+its context, the words on which its making depends: a symbol whose context lies
+within a window is the same in every occurrence of the window.
+
+After each round Spark exchanges the names of its new symbols, which tells for the
+whole corpus the ones that more than one document holds. A pair or run is sent only
+if all its parts are held so, for else it cannot be; so a round costs less than the
+one before. There are as many rounds as have contexts that fit into a window. A
+window that covers a symbol which one document alone holds, context and all, stands
+in no other document. The windows that are left, whose symbols of all levels are
+shared, are verified by 96 bits of all their words, and the smallest document id of
+each is found.
+
+What comes back to a chunk is a bit for each of its names and windows; all counting
+is done on sorted arrays, and a chunk sends each name once, so a passage that a
+third of all documents share costs a name for each chunk. Chunks are dealt out once
+and stay where they are; only names and bits travel after that.
 
 Defined cases: null and empty texts have no words; texts of fewer words than a
 window lose nothing; null ids count as larger than any other; rows with equal ids
-never remove each other's words; further columns are ignored; an empty table
-gives an empty result.
+never remove each other's words; ids that aren't whole numbers are taken by their
+order; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,15 +34,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from ..storage import keep, materialize, release, replayable, ship
 
 WINDOW = 13
-ROUNDS = 2
-CHUNK_BYTES = 1 << 20  # bytes of text in a chunk
-BUCKET_BYTES = 16 << 20  # bytes of text for which there is a bucket of names
+ROUNDS = 2  # a symbol of the third depends on more words than a window has, but for few
+CHUNK_BYTES = 4 << 20  # bytes of text in a chunk
+BUCKET_BYTES = 32 << 20  # bytes of text for which there is a bucket of names
 NO_ID = np.iinfo(np.int64).max
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64's constants
@@ -100,30 +106,16 @@ class Level:
         return Level(name, start, end, left, right, self.doc[head])
 
 
-def recompress(words: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> list[Level]:
-    """The levels after each round over the words' names; doc is the document of each word."""
-    at = np.arange(len(words), dtype=np.int64)
-    level = Level(words, at, at + 1, at, at + 1, doc)
-    out = []
-    for k in range(rounds):
-        level = level.runs().pairs(k + 1)
-        out.append(level)
-    return out
-
-
-def anchors(words: np.ndarray, doc: np.ndarray, sizes: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
-    """For the window at each word, the key of its longest symbol (by the sizes of its words) with its context inside; 0 if it has none."""
-    upto = np.concatenate(([0], np.cumsum(sizes)))
-    best = np.zeros(len(words), np.uint64)
-    for level in recompress(words, doc, rounds):
-        wide = level.right - level.left
-        fit = (wide <= window) & (level.left >= 0)
-        left, wide = level.left[fit], wide[fit]
-        key = np.clip(upto[level.end[fit]] - upto[level.start[fit]], 1, 63).astype(np.uint64) << np.uint64(58) | mix(level.name[fit]) >> np.uint64(6)
-        for d in range(window):
-            ok = (d + wide <= window) & (left - d >= 0)
-            np.maximum.at(best, left[ok] - d, key[ok])
-    return best
+def distinct(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once, in order; whether two documents hold it; the place of each key among them."""
+    order = np.argsort(keys, kind="stable")
+    s, d = keys[order], docs[order]
+    if not len(s):
+        return s, np.zeros(0, bool), np.zeros(0, np.int64)
+    head = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+    place = np.empty(len(s), np.int64)
+    place[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(s))))
+    return s[head], np.minimum.reduceat(d, head) != np.maximum.reduceat(d, head), place
 
 
 def window_names(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -194,19 +186,43 @@ class ChunkWindows:
         order = np.lexsort((h[:, 1], h[:, 0]))
         return h[order, 0], h[order, 1], docs[order]
 
-    def names(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each anchor once, in order; whether two documents of the chunk hold it; the place of each window's anchor or -1."""
-        own = anchors(self.words, self.doc, self.sizes, window)[self.start] if len(self.start) else np.zeros(0, np.uint64)
-        has = np.flatnonzero(own)
-        keys = mix(own[has])
-        order = np.argsort(keys, kind="stable")
-        sorted_keys, docs = keys[order], self.doc[self.start[has]][order]
-        head = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        several = np.minimum.reduceat(docs, head) != np.maximum.reduceat(docs, head) if len(head) else np.zeros(0, bool)
-        place = np.full(len(self.start), -1, np.int64)
-        if len(head):
-            place[has[order]] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(keys))))
-        return sorted_keys[head], several, place
+    def levels(self, window: int, shared: list[np.ndarray]) -> Iterator[tuple[Level, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each round: its level, the symbols whose names are sent, those names in order, whether two documents of the chunk hold them, and each symbol's place among them.
+
+        shared: of the rounds that have come back, which of the names sent stand
+        in several documents; one round more than these is given.
+        """
+        at = np.arange(len(self.words), dtype=np.int64)
+        level = Level(self.words, at, at + 1, at, at + 1, self.doc)
+        lonely = np.zeros(len(self.words) + 1, np.int64)  # by first word: symbols that one document alone holds
+        before: np.ndarray | None = None
+        for k in range(len(shared) + 1):
+            level = level.runs().pairs(k + 1)
+            fit = (level.right - level.left <= window) if len(level.name) else np.zeros(0, bool)
+            if before is None:
+                sent = np.arange(len(level.name))
+            else:
+                alone = np.concatenate(([0], np.cumsum(lonely[:-1])))
+                new = np.diff(np.searchsorted(before, np.append(level.start, len(self.words)))) > 1  # made of several symbols of the last round
+                sent = np.flatnonzero(new & fit & (alone[level.end] == alone[level.start]))
+            keys, several, place = distinct(mix(level.name[sent]), level.doc[sent])
+            if k < len(shared):
+                lost = sent[~shared[k][place]] if len(sent) else sent
+                lonely[level.start[lost]] = 1
+            yield level, sent, keys, several, place
+            before = level.start
+
+    def open_windows(self, window: int, shared: list[np.ndarray]) -> np.ndarray:
+        """Which windows cover no symbol, context and all, that one document alone holds."""
+        closed = np.zeros(len(self.words) + 1, np.int32)
+        for k, (level, sent, _, _, place) in enumerate(self.levels(window, shared[:-1])):
+            lost = sent[~shared[k][place]] if len(sent) else sent
+            left, right = level.left[lost], level.right[lost]
+            fit = (right - left <= window) & (left >= 0)
+            first, last = np.maximum(right[fit] - window, 0), left[fit]  # windows that start so cover it
+            np.add.at(closed, first, 1)
+            np.add.at(closed, last + 1, -1)
+        return np.cumsum(closed[:-1])[self.start] == 0
 
     def candidates(self, window: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Each chosen window's content once: two names, its smallest id in the chunk; and the place of each chosen window."""
@@ -296,8 +312,8 @@ def _back(table: pa.Table, flags: list[np.ndarray]) -> pa.Table:
 
 
 def _first_exchange(buckets: int):  # noqa: ANN202
-    """Buckets of anchors, then as many of whole documents."""
-    return lambda table: (_shared_anchors if table["bucket"][0].as_py() < buckets else _earlier)(table)
+    """Buckets of names, then as many of whole documents."""
+    return lambda table: (_shared_names if table["bucket"][0].as_py() < buckets else _earlier)(table)
 
 
 def _second_exchange(table: pa.Table) -> pa.Table:
@@ -307,8 +323,8 @@ def _second_exchange(table: pa.Table) -> pa.Table:
     return _back(table, [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table["a"].to_pylist(), (int.from_bytes(y, "little") for y in table["b"].to_pylist()), strict=True)])
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """Which of the anchors of a bucket more than one document holds."""
+def _shared_names(table: pa.Table) -> pa.Table:
+    """Which of the names of a bucket more than one document holds."""
     keys = [np.frombuffer(x, np.uint64) for x in table["a"].to_pylist()]
     several = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)).astype(bool) for x, k in zip(table["b"].to_pylist(), keys, strict=True)]
     every = np.concatenate(keys)
@@ -340,41 +356,73 @@ def _earlier(table: pa.Table) -> pa.Table:
     return _back(table, np.split(flag, np.cumsum([len(k) for k in h1])[:-1]))
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def _numbered(docs: DataFrame, id_col: str) -> DataFrame:
+    """(id, rank): the ids in their order, numbered by range, not in one task."""
+    n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ids = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct()
+    laid = materialize(ids.repartitionByRange(n, "id").select("id", F.spark_partition_id().alias("part")), "ids")
+    counts = {r.part: r.n for r in laid.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each partition
+    before, at = F.lit(0).cast("long"), 0
+    for part in sorted(counts):
+        before = F.when(F.col("part") == part, F.lit(at).cast("long")).otherwise(before)
+        at += counts[part]
+    return materialize(laid.select("id", (F.row_number().over(Window.partitionBy("part").orderBy("id")) + before).alias("rank")), "ranks")
+
+
+def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, rounds: int = ROUNDS) -> DataFrame:
     """(id, n_words, n_removed, kept_text) for each row: without words of windows that a document with a smaller id also has."""
     spark = docs.sparkSession
     ship(spark)
-    chunks = keep(pack(replayable(docs.select(F.col(id_col).cast("long").alias(id_col), text_col)), id_col, text_col, chunk_bytes))
-    total = chunks.count() * chunk_bytes
-    buckets = max(1, -(-total // bucket_bytes))
-    windows = 2 * buckets  # windows take more bytes than anchors
-    parts = lambda df: df.groupBy(F.col("chunk").alias("c")).agg(F.collect_list(F.struct("bucket", "n", "bits")).alias("parts"))  # noqa: E731  a row for each bucket at most
-
-    def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = ChunkWindows(row, window)
-                keys, several, _ = c.names(window)
-                rows = [(k, row["chunk"], keys[x:y].tobytes(), np.packbits(several[x:y]).tobytes(), b"") for k, (x, y) in enumerate(zip(*_by_bucket(keys, buckets), strict=True)) if y > x]
-                h1, h2, docs = c.copies(window)
-                h2, ids = (h2 >> np.uint64(32)).astype(np.uint32), c.ids[docs]
-                rows += [(buckets + k, row["chunk"], h1[x:y].tobytes(), h2[x:y].tobytes(), _pack_ids(ids[x:y])) for k, (x, y) in enumerate(zip(*_by_bucket(h1, buckets), strict=True)) if y > x]
-                if rows:
-                    yield _sent(rows)
-
-    first = materialize(chunks.mapInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(_first_exchange(buckets), _BACK), "anchor-bits", compact=True)
-    release(spark)
+    if not isinstance(docs.schema[id_col].dataType, ByteType | ShortType | IntegerType | LongType):
+        ranks = _numbered(docs, id_col)
+        placed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ranks, "id", "left").select("rank", "text")
+        left = dedup(placed, window, "rank", "text", chunk_bytes, bucket_bytes, rounds)
+        return left.join(ranks, "rank", "left").select(F.col("id").alias(id_col), "n_words", "n_removed", "kept_text")
+    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed = pack(replayable(docs.select(F.col(id_col).cast("long").alias(id_col), text_col)), id_col, text_col, chunk_bytes)
+    chunks = keep(packed.repartition(spread, "chunk"))  # dealt out once
+    buckets = max(1, -(-chunks.count() * chunk_bytes // bucket_bytes))
+    windows = 2 * buckets  # windows take more bytes than names
+    parts = lambda df, name: df.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "bits")).alias(name))  # noqa: E731  a row for each bucket at most
+    back: list[DataFrame] = []
+
+    def met() -> DataFrame:
+        """Chunks with the bits that have come back in each exchange."""
+        out = chunks
+        for k, bits in enumerate(back):
+            out = out.join(parts(bits, f"p{k}"), "chunk", "left")
+        return out
+
+    def send_names(number: int):  # noqa: ANN202
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    c = ChunkWindows(row, window)
+                    shared = [_gather(row[f"p{k}"], range(buckets)) for k in range(number)]
+                    *_, (_, _, keys, several, _) = c.levels(window, shared)
+                    rows = [(k, row["chunk"], keys[x:y].tobytes(), np.packbits(several[x:y]).tobytes(), b"") for k, (x, y) in enumerate(zip(*_by_bucket(keys, buckets), strict=True)) if y > x]
+                    if not number:  # whole documents go with the first round
+                        h1, h2, held = c.copies(window)
+                        h2, ids = (h2 >> np.uint64(32)).astype(np.uint32), c.ids[held]
+                        rows += [(buckets + k, row["chunk"], h1[x:y].tobytes(), h2[x:y].tobytes(), _pack_ids(ids[x:y])) for k, (x, y) in enumerate(zip(*_by_bucket(h1, buckets), strict=True)) if y > x]
+                    if rows:
+                        yield _sent(rows)
+
+        return run
+
+    for number in range(rounds):
+        named = met().mapInArrow(send_names(number), _SENT).groupBy("bucket").applyInArrow(_first_exchange(buckets), _BACK)
+        back.append(materialize(named, "name-bits", compact=True))
+        release(spark)
 
     def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 c = ChunkWindows(row, window)
-                _, _, place = c.names(window)
-                shared = np.append(_gather(row["parts"], range(buckets)), True)[place]  # windows without an anchor, at -1, are verified
-                _, _, docs = c.copies(window)
+                _, _, held = c.copies(window)
                 copied = np.zeros(len(c.counts), bool)  # of a document with a smaller id: all words go
-                copied[docs] = _gather(row["parts"], range(buckets, 2 * buckets))
-                chosen = shared & ~copied[c.doc[c.start]]
+                copied[held] = _gather(row["p0"], range(buckets, 2 * buckets))
+                chosen = c.open_windows(window, [_gather(row[f"p{k}"], range(buckets)) for k in range(rounds)]) & ~copied[c.doc[c.start]]
                 h1, h2, least, _ = c.candidates(window, np.flatnonzero(chosen))
                 h2 = h2.astype(np.uint32)
                 rows = [(k, row["chunk"], h1[x:y].tobytes(), h2[x:y].tobytes(), _pack_ids(least[x:y])) for k, (x, y) in enumerate(zip(*_by_bucket(h1, windows), strict=True)) if y > x]
@@ -382,8 +430,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
                     rows.append((-1 - 2 * row["chunk"] - mark, row["chunk"], np.packbits(bits).tobytes(), len(bits).to_bytes(8, "little"), b""))
                 yield _sent(rows)
 
-    met = chunks.join(parts(first), F.col("chunk") == F.col("c"), "left").drop("c")
-    second = materialize(met.mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_second_exchange, _BACK), "window-bits", compact=True)
+    verified = materialize(met().mapInArrow(send_windows, _SENT).groupBy("bucket").applyInArrow(_second_exchange, _BACK), "window-bits", compact=True)
     release(spark)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,5 +458,5 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
                 ids = [None if i == NO_ID else i for i in c.ids.tolist()]
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(c.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], [id_col, "n_words", "n_removed", "kept_text"])
 
-    done = chunks.join(parts(second), F.col("chunk") == F.col("c"), "left").drop("c")
+    done = chunks.join(parts(verified, "parts"), "chunk", "left")
     return done.mapInArrow(remove, f"`{id_col}` long, n_words long, n_removed long, kept_text string")

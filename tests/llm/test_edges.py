@@ -205,6 +205,26 @@ def test_recompression(frame, pairs, chunk):
     assert bag(got, "doc_id", "n_words", "n_removed", "sha") == want
 
 
+def test_recompression_takes_ids_by_their_order(spark):
+    same = words(40)
+    rows = [("b", same), ("a", "x " + same), (None, same + " y"), ("c", "z"), ("b", same)]
+    got = recompression.dedup(spark.createDataFrame(rows, "name string, text string"), id_col="name")
+    assert bag(got, "name", "n_removed") == Counter({("a", 0): 1, ("b", 40): 2, (None, 40): 1, ("c", 0): 1})
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3, 4])
+def test_recompression_is_exact_after_any_number_of_rounds(spark, rounds):
+    draw = random.Random(rounds)
+    base = [draw.choice("abcde") for _ in range(400)]
+    rows = []
+    for i in range(60):
+        a = draw.randrange(380)
+        own = base[a : a + draw.randrange(10, 60)]
+        rows.append((i, " ".join([draw.choice("abcdefgh") for _ in range(draw.randrange(12))] + own + ["a"] * draw.choice([0, 0, 30]) + own[:20])))
+    got = recompression.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), chunk_bytes=400, bucket_bytes=1 << 11, rounds=rounds).withColumn("sha", F.sha2("kept_text", 256))
+    assert bag(got, "doc_id", "n_words", "n_removed", "sha") == Counter(brute.substring_dedup(rows))
+
+
 def test_line_templates(frame, pairs):
     got = {(r.doc_id, r.text): r for r in line_templates.drop_recurring(frame).collect()}
     assert got[0, None].kept_text is None and got[1, ""].kept_text == ""
