@@ -12,7 +12,9 @@ depth hold near copies of one text; all their records are taken as candidates.
 
 Candidates form loose classes. Within each, the whole shingle sets are compared
 exactly, in tiles of bounded size when a class is large; tiles return counts of
-links and a spanning forest, never pairs. Exact classes are the components.
+links and a spanning forest, never pairs. A class of n records is dealt into about
+sqrt(n / tile) blocks, each of which meets each other one in a task, so a record is
+sent as often as there are blocks; within the task, tiles are compared one by one. Exact classes are the components.
 
 Defined cases: a null text is alone; texts without words are linked only to equal
 texts; equal texts are always linked, so repeated rows are links of each other;
@@ -43,22 +45,33 @@ LEAF = 128  # records of a node that is compared by brute force
 RECALL = 0.999  # of pairs at the threshold, by the paths alone
 SKETCH_SLACK = 0.25  # sketches may fall short of the threshold by so much (five deviations)
 TILE = 512  # records on a side of an exact comparison
+BLOCK_BYTES = 64 << 20  # shingles of a block of records that travels as a whole
 
 _B = np.uint64(0xD1342543DE82EF95)
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
-def runs_for(recall: float, threshold: float, depth: int) -> int:
-    """Runs after which a pair at the threshold has met with the wanted probability.
+def path_recall(similarity: float, runs: int, threshold: float = THRESHOLD, depth: int = DEPTH, tokens: int = TOKENS) -> float:
+    """The probability that a pair meets in a node of the deepest level in some run.
 
-    The nodes in which a pair stays together are a branching process; each has
-    1/threshold children on average, in which the pair agrees with probability
-    threshold, so one on average: a Poisson number.
+    Runs choose their places anew, but all from the same tokens: of these a pair
+    shares a binomial number. The nodes in which it stays together are a branching
+    process; each has 1/threshold children on average, a Poisson number, of which
+    the pair shares as many as it shares tokens.
     """
-    alive = 1.0
-    for _ in range(depth):
-        alive = 1 - math.exp(-alive)
-    return math.ceil(math.log(1 - recall) / math.log(1 - alive))
+    missed = 0.0
+    for shared in range(tokens + 1):
+        alive = 1.0
+        for _ in range(depth):
+            alive = 1 - math.exp(-alive * shared / tokens / threshold)
+        missed += math.comb(tokens, shared) * similarity**shared * (1 - similarity) ** (tokens - shared) * (1 - alive) ** runs
+    return 1 - missed
+
+
+def runs_for(recall: float, threshold: float, depth: int, tokens: int = TOKENS) -> int:
+    """The least number of runs after which a pair at the threshold has met with the wanted probability."""
+    most = 1_000  # beyond, a pair that shares too few tokens isn't met by more runs either
+    return next((r for r in range(1, most) if path_recall(threshold, r, threshold, depth, tokens) >= recall), most)
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
@@ -172,7 +185,7 @@ def _fixed(column: pa.ChunkedArray, kind: type, width: int) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, key, sig): key is a digest of the shingle set, sig the record's tokens."""
+    """(id, th, key, sig, n): key is a digest of the shingle set, sig the record's tokens, n the number of its shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,10 +198,10 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sets = shingle_sets(texts)
                 keys = [xxhash.xxh3_128_digest(b"s" + s.tobytes()) if len(s) else None if t is None else xxhash.xxh3_128_digest(b"t" + t.encode()) for s, t in zip(sets, texts, strict=True)]
                 sig = signatures(sets)
-                yield pa.record_batch([b[0], b[1], pa.array(keys, pa.binary()), pa.array([x.tobytes() if len(s) else None for x, s in zip(sig, sets, strict=True)], pa.binary())], ["id", "th", "key", "sig"])
+                yield pa.record_batch([b[0], b[1], pa.array(keys, pa.binary()), pa.array([x.tobytes() if len(s) else None for x, s in zip(sig, sets, strict=True)], pa.binary()), pa.array(map(len, sets), pa.int64())], ["id", "th", "key", "sig", "n"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, th long, key binary, sig binary").withColumn("row", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, f"id {kind}, th long, key binary, sig binary, n long").withColumn("row", F.monotonically_increasing_id())
 
 
 def _first_nodes(runs: int, tokens: int, threshold: float):  # noqa: ANN202
@@ -297,38 +310,45 @@ def _compare(left: list[np.ndarray], right: list[np.ndarray] | None, least: floa
     return np.nonzero(hit)
 
 
-def _exact_tiles(least: float):  # noqa: ANN202
-    """Within each tile: links counted with the copies of the other record, and a spanning forest."""
+def _blocks_compared(left: list[np.ndarray], right: list[np.ndarray] | None, least: float, tile: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The index pairs of _compare(), tile by tile."""
+    other = left if right is None else right
+    for a in range(0, len(left), tile):
+        for b in range(a if right is None else 0, len(other), tile):
+            own = right is None and a == b
+            x, y = _compare(left[a : a + tile], None if own else other[b : b + tile], least)
+            yield x + a, y + b
+
+
+def _exact_tiles(least: float, tile: int):  # noqa: ANN202
+    """Within each pair of blocks: links counted with the copies of the other record, and a spanning forest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 3):
             comp, i, j, rec, block, weight = (t.column(k).combine_chunks().to_numpy() for k in range(6))
-            sets = t.column(6).to_pylist()
+            sets = t.column(6)
             edge = np.flatnonzero(np.concatenate(([True], (comp[1:] != comp[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True])))
             out: list[list[np.ndarray]] = [[], [], []]
             for s, e in zip(edge[:-1], edge[1:], strict=True):
                 _, own = np.unique(rec[s:e], return_index=True)  # repeated rows bring a record again
                 own += s
-                arrays = [np.frombuffer(sets[k], np.uint64) for k in own]
-                if i[s] == j[s]:
-                    a, b = _compare(arrays, None, least)
-                else:
-                    first = block[own] == i[s]
-                    x, y = np.flatnonzero(first), np.flatnonzero(~first)
-                    if not len(x) or not len(y):
-                        continue
-                    a, b = _compare([arrays[k] for k in x], [arrays[k] for k in y], least)
-                    a, b = x[a], y[b]
-                if not len(a):
-                    continue
-                links = np.zeros(len(own), np.int64)
-                np.add.at(links, a, weight[own][b])
-                np.add.at(links, b, weight[own][a])
-                label = _labels(len(own), a, b)
+                arrays = [np.frombuffer(sets[k].as_buffer(), np.uint64) for k in own.tolist()]
+                x = y = np.arange(len(own))
+                if i[s] != j[s]:
+                    x, y = np.flatnonzero(block[own] == i[s]), np.flatnonzero(block[own] == j[s])
+                left = [arrays[k] for k in x]
+                links, label = np.zeros(len(own), np.int64), np.arange(len(own))
+                if len(x) and len(y):
+                    for a, b in _blocks_compared(left, None if i[s] == j[s] else [arrays[k] for k in y], least, tile):
+                        a, b = x[a], y[b]
+                        np.add.at(links, a, weight[own][b])
+                        np.add.at(links, b, weight[own][a])
+                        label = _labels(len(own), np.concatenate((np.arange(len(own)), a)), np.concatenate((label, b))) if len(a) else label
                 met = np.flatnonzero(links)
-                out[0].append(rec[own][met])
-                out[1].append(links[met])
-                out[2].append(rec[own][label[met]])
+                if len(met):
+                    out[0].append(rec[own][met])
+                    out[1].append(links[met])
+                    out[2].append(rec[own][label[met]])
             if out[0]:
                 yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], ["rec", "links", "root"])
 
@@ -345,7 +365,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     spark = docs.sparkSession
     ship(spark)
     seen = keep(_sketch(replayable(docs.select(id_col, text_col)), id_col, text_col))
-    known = materialize(seen.where("key is not null").groupBy("key").agg(F.min("row").alias("rec"), F.count(F.lit(1)).alias("weight")), "records", compact=True)
+    known = materialize(seen.where("key is not null").groupBy("key").agg(F.min("row").alias("rec"), F.count(F.lit(1)).alias("weight"), F.max("n").alias("shingle_count")), "records", compact=True)
     tokens = seen.where("sig is not null").select(F.col("row").alias("rec"), "sig").join(known.select("rec"), "rec", "left_semi")
 
     def sketch8(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,10 +375,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
 
     records = materialize(tokens.mapInArrow(sketch8, "rec long, sig binary, sketch binary"), "tokens", compact=True)
     loose = (components(loose_links(records, threshold, recall, depth, leaf, TOKENS)))
-    counted = keep(loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
-    sized = loose.join(counted.hint("merge"), "root").select(F.col("node").alias("rec"), F.col("root").alias("comp"), F.ceil(F.col("n") / tile).cast("int").alias("blocks"))
+    found = keep(loose.join(known.select(F.col("rec").alias("node"), "weight", "shingle_count"), "node"))
+    counted = keep(found.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("shingle_count").alias("shingles")))
+    blocks = F.greatest(F.ceil(F.sqrt(F.col("n") / tile)), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES), F.lit(1)).cast("int")
+    sized = found.join(counted.hint("merge"), "root").select(F.col("node").alias("rec"), F.col("root").alias("comp"), "weight", blocks.alias("blocks"))
     members = (
-        sized.join(known.select("rec", "weight"), "rec")
+        sized
         .join(seen.select(F.col("row").alias("rec"), "id", "th"), "rec")
         .select("rec", "comp", "weight", "blocks", F.pmod(F.xxhash64("rec"), "blocks").cast("int").alias("block"), F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("ik"), "th")
     )
@@ -376,7 +398,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
         "comp", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "rec", "block", "weight", "shingles"
     )
     exact = materialize(
-        tiles.repartition(n, "comp", "i", "j").sortWithinPartitions("comp", "i", "j", "rec").mapInArrow(_exact_tiles(threshold), "rec long, links long, root long"),
+        tiles.repartition(n, "comp", "i", "j").sortWithinPartitions("comp", "i", "j", "rec").mapInArrow(_exact_tiles(threshold, tile), "rec long, links long, root long"),
         "exact",
         compact=True,
     )
@@ -397,8 +419,10 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
 
 
 def thin_out(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class, all columns."""
+    """docs with one row of each class, all columns; of rows with equal ids and texts the one with the least hash of all columns."""
     names = docs.columns
     kept = join(docs, threshold, id_col, text_col).where("first").select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("__ik"), F.col("th").alias("__th"))
-    keyed = docs.select("*", F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("__ik"), F.xxhash64(text_col).alias("__th"))
-    return keyed.join(kept.distinct(), ["__ik", "__th"], "left_semi").dropDuplicates(["__ik", "__th"]).select(*names)
+    whole = F.struct(*(F.col(f"`{c}`") for c in names))
+    keyed = docs.select(whole.alias("__doc"), F.xxhash64(*(F.col(f"`{c}`") for c in names)).alias("__hash"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("__ik"), F.xxhash64(text_col).alias("__th"))
+    one = keyed.join(kept.distinct(), ["__ik", "__th"], "left_semi").groupBy("__ik", "__th").agg(F.min_by("__doc", "__hash").alias("__doc"))
+    return one.select(*(F.col("__doc")[c].alias(c) for c in names))

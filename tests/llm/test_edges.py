@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,46 @@ def test_jaccard(frame, pairs):
     assert thin.columns == frame.columns and thin.count() == sum(r["first"] for r in got.collect())
 
 
+def test_blocks_and_tiles_lose_no_link():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 60, 50, dtype=np.uint64)) for _ in range(37)]
+    want = {tuple(map(int, x)) for x in zip(*chosen_path._compare(sets, None, 0.5), strict=True)}
+    for tile in (1, 4, 16, 64):
+        got = [tuple(map(int, x)) for a, b in chosen_path._blocks_compared(sets, None, 0.5, tile) for x in zip(a, b, strict=True)]
+        assert sorted(got) == sorted(want) and want
+        across = [tuple(map(int, x)) for a, b in chosen_path._blocks_compared(sets[:20], sets[20:], 0.5, tile) for x in zip(a, b, strict=True)]
+        assert sorted(across) == sorted((a, b - 20) for a, b in want if a < 20 <= b)
+
+
+def test_recall_of_pairs_by_similarity():
+    """Measured over pairs of sets of a known similarity, each in paths of its own: as often as the formula says, and at the target."""
+    runs = chosen_path.runs_for(chosen_path.RECALL, 0.8, chosen_path.DEPTH)
+    assert chosen_path.path_recall(0.8, runs) >= chosen_path.RECALL > chosen_path.path_recall(0.8, runs - 1)
+    draw, pairs, few = np.random.default_rng(8), 400, 4
+    for similarity in (0.8, 0.85, 0.9):
+        same = round(300 * 2 * similarity / (1 + similarity))
+        names = [draw.integers(0, 1 << 63, 600 - same, dtype=np.uint64) for _ in range(pairs)]
+        a, b = (chosen_path.signatures([np.sort(np.concatenate((n[:same], n[same : same + 300 - same] if side == 0 else n[300:]))) for n in names]) for side in (0, 1))
+        met = np.zeros(pairs, bool)
+        for run in range(few):  # few runs, so that misses are seen
+            ways = []
+            for sig in (a, b):
+                rows, paths = np.arange(pairs), np.full(pairs, run + 1, np.uint64)
+                for _ in range(chosen_path.DEPTH):
+                    at, paths = chosen_path.children(paths, sig[rows], chosen_path.TOKENS, 0.8)
+                    rows = rows[at]
+                ways.append({*zip(rows.tolist(), paths.tolist(), strict=True)})
+            met[[r for r, _ in ways[0] & ways[1]]] = True
+        assert abs(met.mean() - chosen_path.path_recall(similarity, few)) < 0.08
+
+
+def test_thinning_takes_the_same_row_whatever_the_order(spark):
+    rows = [(1, "same words of a text", str(k)) for k in range(20)]
+    frames = [spark.createDataFrame(rows[k:] + rows[:k], "doc_id long, text string, note string").repartition(k + 1) for k in (0, 7)]
+    first, second = (chosen_path.thin_out(f).collect() for f in frames)
+    assert first == second and len(first) == 1
+
+
 def test_secrets(frame, pairs):
     want = Counter((i, ",".join(brute.secrets(t))) for i, t in pairs)
     assert bag(secrets.scan(frame), "doc_id", "base_spans") == want
