@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.llm import bpe, chosen_path, fm_index, host_rules, line_templates
-from quarrystone.storage import materialize, table
+from quarrystone.storage import materialize, scope, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -66,7 +66,9 @@ ORACLE_SQL = None  # byte-level BPE is not expressible in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each over the table that the one before has written; what a stage needs beside its result goes with it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scope(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,18 +7,22 @@ executor that wrote it, and it cuts the lineage of what follows.
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 _own: dict[str, str] = {}
+_held: dict[str, list[DataFrame | str]] = {}  # by application: what is kept and written, in its order
+#: Lets Spark drop the shuffle files of a query once it is done.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,7 +50,13 @@ def materialize(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    (df.hint("rebalance") if compact else df).write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # nothing reads the shuffles of a table that is written
+    try:
+        (df.hint("rebalance") if compact else df).write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    _held.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,15 +70,39 @@ def keep(df: DataFrame, now: bool = False) -> DataFrame:
     in the same order whenever it is run: see replayable().
     """
     kept = df.persist(StorageLevel.DISK_ONLY)
+    _held.setdefault(df.sparkSession.sparkContext.applicationId, []).append(kept)
     if now:
         kept.count()
     return kept
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+def _let_go(spark: SparkSession, held: list[DataFrame | str]) -> None:
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    for x in held:
+        if isinstance(x, str):
+            p = paths(x)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        else:
+            x.unpersist()
+
+
+def clear(spark: SparkSession) -> None:
+    """Let go of all that was kept or written so far; nothing that reads it may be used any more."""
+    _let_go(spark, _held.pop(spark.sparkContext.applicationId, []))
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Lets go of what is kept or written within, but for the last table that is written: the result."""
+    held = _held.setdefault(spark.sparkContext.applicationId, [])
+    mark = len(held)
+    try:
+        yield
+    finally:
+        last = next((x for x in reversed(held[mark:]) if isinstance(x, str)), None)
+        gone = [x for x in held[mark:] if x is not last]
+        held[mark:] = [] if last is None else [last]
+        _let_go(spark, gone)
 
 
 def replayable(df: DataFrame) -> DataFrame:
