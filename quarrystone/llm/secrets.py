@@ -1,11 +1,18 @@
 """Secret scan: fixed patterns, and novelty under zstandard primed with dictionaries.
 
 The patterns of the base find assignments to secret-like names, access keys and
-long hexadecimal runs. Beyond them, each long string that stands close behind a
-sensitive word is compressed after its surroundings, by a compressor primed with
-a dictionary of identifiers and everyday words: the bytes that it adds to the
-compressed surroundings, against what a random string over its alphabet would
-need, is its novelty. Strings that stay incompressible are reported as ``novel``.
+long hexadecimal runs. Beyond them, each long string that stands close to a
+sensitive word, behind or before it, is compressed after its surroundings, by a
+compressor primed with a dictionary of identifiers: a fixed list of what code says
+often, and the words that the corpus's documents share. The bytes that it adds to
+the compressed surroundings, against those that its own characters add in random
+order, are its novelty: 1 for a string of which the dictionary and the surroundings
+know nothing, less for one that is made of known words. Strings that stay
+incompressible are reported as ``novel``, one span for each string.
+
+The corpus's words are counted over all documents by Spark; the dictionary holds
+the ``WORDS`` that save most, letters only and shorter than any candidate, so that
+no key gets into it however often its document is copied.
 
 Defined cases: a null text is an empty one without spans; texts are scanned
 whole; offsets count code points, end exclusive; repeated rows give repeated
@@ -14,13 +21,14 @@ results; further columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
+import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..storage import ship
 
@@ -33,9 +41,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ with 24 characters o
 SENSITIVE = re.compile(r"passw|secret|token|api.?key|access.?key|private.?key|auth|cred|bearer|signature", re.IGNORECASE | re.ASCII)
 LEAST = 20  # characters of a candidate
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
-REACH = 80  # characters behind a sensitive word within which a candidate begins
+REACH = 80  # characters between a sensitive word and a candidate
+WORDS = 3000  # words of the corpus in the dictionary
+WORD = r"[A-Za-z][A-Za-z_]{3,18}(?![A-Za-z_])"
 AROUND = 256  # characters of the surroundings on either side
-NOVELTY = 0.85  # share of the bytes that a random string over the same alphabet needs
+NOVELTY = 0.95  # share of the bytes that the same characters add in random order
+SHUFFLES = 3  # random orders that are measured
+LEAST_BITS = 2.0  # bits that each character adds at least, lest uniform strings count, which have no order to lose
+LEVEL = 12
 
 IDENTIFIERS = """
 password passwd secret token api_key apikey access_key private_key authorization bearer credential credentials
@@ -61,17 +74,25 @@ example.com example.org http:// https:// www. .com .org .net -----BEGIN -----END
 class NoveltyMeter:
     """Marginal compressed bytes of a string against its surroundings."""
 
-    def __init__(self, dictionary: str = IDENTIFIERS, level: int = 3) -> None:
+    def __init__(self, words: list[str] | None = None, level: int = LEVEL) -> None:
         import zstandard
 
+        dictionary = " ".join(words or []) + IDENTIFIERS  # what stands nearer to the end costs less to refer to
         primed = zstandard.ZstdCompressionDict(dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        self.size = lambda data, c=zstandard.ZstdCompressor(level=level, dict_data=primed, write_content_size=False): len(c.compress(data))
+        primed.precompute_compress(level=level)
+        self.size = lambda data, c=zstandard.ZstdCompressor(dict_data=primed, write_content_size=False): len(c.compress(data))
 
     def novelty(self, before: str, text: str, after: str) -> float:
         near = (before + "\n" + after + "\n").encode()
-        added = self.size(near + text.encode()) - self.size(near)
-        kinds = 16 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text) else 10 if text.isdigit() else 36 if text.lower() == text or text.upper() == text else 64
-        return added / (len(text) * math.log2(kinds) / 8)
+        known = self.size(near)
+        added = self.size(near + text.encode()) - known
+        if added * 8 < LEAST_BITS * len(text):
+            return 0.0
+        draw, letters, apart = random.Random(text), list(text), 0  # the same orders wherever the string stands
+        for _ in range(SHUFFLES):
+            draw.shuffle(letters)
+            apart += self.size(near + "".join(letters).encode()) - known
+        return added * SHUFFLES / max(1, apart)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -82,36 +103,48 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def novel_spans(text: str, meter: NoveltyMeter) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of incompressible strings close behind a sensitive word."""
-    found: list[tuple[int, int, int]] = []
-    seen: set[int] = set()
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Long strings close to a sensitive word; of a string that holds such words, what follows the last one that leaves enough."""
     runs = [c.span() for c in CANDIDATE.finditer(text)]
-    for m in SENSITIVE.finditer(text):
-        for i in range(bisect_right(runs, m.end(), key=lambda r: r[1]), len(runs)):
-            start, e = runs[i]
-            if start - m.end() > REACH:
-                break
-            s = max(start, m.end())  # a run that holds the word counts from behind it
-            if e - s < LEAST or s in seen:
-                continue
-            seen.add(s)
-            if meter.novelty(text[max(0, s - AROUND) : s], text[s:e], text[e : e + AROUND]) >= NOVELTY:
-                found.append((s, 3, e))
-    return sorted(found)
+    if not runs:
+        return
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    starts, ends = [w[0] for w in words], [w[1] for w in words]
+    for start, end in runs:
+        inside = next((ends[k] for k in range(bisect_right(ends, end - LEAST) - 1, -1, -1) if ends[k] > start), None) if words else None
+        before = bisect_right(ends, start) - 1  # the last that ends before the run
+        after = bisect_left(starts, end)  # the first that begins behind it
+        if inside is not None:
+            yield inside, end
+        elif before >= 0 and start - ends[before] <= REACH or after < len(words) and starts[after] - end <= REACH:
+            yield start, end
+
+
+def novel_spans(text: str, meter: NoveltyMeter) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of incompressible strings close to a sensitive word."""
+    return [(s, 3, e) for s, e in candidates(text) if meter.novelty(text[max(0, s - AROUND) : s], text[s:e], text[e : e + AROUND]) >= NOVELTY]
+
+
+def corpus_words(docs: DataFrame, text_col: str = "text", most: int = WORDS) -> list[str]:
+    """The words that save most bytes, by the number of documents that hold them and their length; at least two documents do."""
+    held = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)))).alias("word"))
+    counted = held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    best = counted.orderBy(F.desc(F.col("n") * F.length("word")), "word").limit(most).collect()  # a dictionary of bounded size
+    return [r.word for r in reversed(best)]
 
 
 def _line(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_assign, n_access, n_hex, n_novel, base_spans, spans) for each row of docs."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: list[str] | None = None) -> DataFrame:
+    """(id, n_assign, n_access, n_hex, n_novel, base_spans, spans) for each row of docs; words: a dictionary in place of the corpus's own."""
     ship(docs.sparkSession)
+    known = corpus_words(docs, text_col) if words is None else words
     names = [id_col, "n_assign", "n_access", "n_hex", "n_novel", "base_spans", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        meter = NoveltyMeter()
+        meter = NoveltyMeter(known)
         for b in batches:
             counts: list[list[int]] = [[], [], [], []]
             base, every = [], []

@@ -185,6 +185,30 @@ def test_novelty_alone_decides():
         assert secrets.novel_spans(f"the auth {plain} is here", meter) == [], plain
 
 
+def test_novelty_on_both_sides_and_once_for_a_string():
+    meter, key = secrets.NoveltyMeter(), "Zq8xW2nLr5TyUv0BcD9eFg1H"
+    assert secrets.novel_spans(f"{key} is the secret key", meter) == [(0, 3, 24)]
+    assert secrets.novel_spans(f"x {key} " + "y " * 41 + "secret", meter) == []
+    text = f"secret_token_secret_{key}"
+    assert secrets.novel_spans(text, meter) == [(text.index("secret_Z") + 6, 3, len(text))]  # behind the last word, not from each
+
+
+def test_accuracy_of_novelty(spark, sf):
+    """Random keys against compounds of the corpus's words, between passages of registered documents."""
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    known = secrets.corpus_words(docs)
+    assert 500 < len(known) <= secrets.WORDS and not any(len(w) >= secrets.LEAST for w in known)
+    texts = [r.text for r in docs.select("text").orderBy("doc_id").collect() if r.text]
+    meter, draw = secrets.NoveltyMeter(known), random.Random(2)
+    letters, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0123456789"
+    kinds = (letters + digits + "+/", letters + digits, letters, letters.lower()[:26], digits + "ABCDEF", letters[:26] + digits)
+    words_ = [w for w in known if len(w) > 4]
+    made = ["".join(draw.choices(k, k=draw.choice([20, 24, 32, 40, 64]))) for k in kinds for _ in range(50)]
+    plain = [by.join(draw.choices(words_, k=5)) for by in ("_", "-", "", "/") for _ in range(75)]
+    rate = lambda xs: sum(bool(secrets.novel_spans(f"{texts[n][-300:]} bearer {x} {texts[n + 1][:300]}", meter)) for n, x in enumerate(xs)) / len(xs)
+    assert rate(made) >= 0.95 and rate([x for x in plain if len(x) >= secrets.LEAST]) <= 0.15
+
+
 def test_surrogates(frame, pairs):
     got = bag(surrogates.pseudonymise(frame, "k"), "doc_id", "text")
     assert sum(got.values()) == len(pairs)
