@@ -398,6 +398,19 @@ def viewer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("org", "name", "municipality", F.array_join("platforms", ",").alias("platforms"), F.size("fields").cast("long").alias("n_fields"), F.col("fields")["financials.revenue"].alias("revenue"))
 
 
+@_query
+def viewer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = px.observations(spark, sf_dir).select(F.col("organisation_number").alias("org"), "platform")
+    return report.viewer_stats(_claims(spark, sf_dir), seen)
+
+
+@_query
+def pending_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of all observations has no label yet, of the two riskiest tiers, in the order of review."""
+    left = audit.pending(px.observations(spark, sf_dir), _labels(spark, sf_dir), ("inferred", "corroborated"))
+    return left.select("id", "risk_tier", "turn.later", "organisation_number")
+
+
 @_query
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope for each company, also for those without claims."""

@@ -91,3 +91,11 @@ def run_totals(envelopes: DataFrame, run_id: str, requested: int, budget: int |
     return total.join(states, F.lit(True)).join(took, F.lit(True)).select(
         F.lit(run_id).alias("run_id"), F.lit(requested).cast("long").alias("requested"), "*", F.lit(budget).cast("long").alias("request_budget"), ((F.col("emitted_envelopes") == requested) & within).alias("passed")
     )
+
+
+def viewer_stats(claims: DataFrame, observations: DataFrame) -> DataFrame:
+    """One row: companies, and the whole percent of them with two or more platforms, a rating, a website, a knowledge-base record and accounts."""
+    several = observations.groupBy("org").agg((F.count_distinct("platform") > 1).alias("several"))
+    rows = coverage_flags(claims).join(several, "org", "left")
+    share = lambda flag: F.coalesce(F.floor(F.count_if(flag) * 100 / F.count(F.lit(1)) + 0.5), F.lit(0)).cast("long")
+    return rows.agg(F.count(F.lit(1)).alias("companies"), share(F.coalesce("several", F.lit(False))).alias("two_platforms"), *(share(F.col(k)).alias(k) for k in ("rating", "website", "wikidata", "accounts")))

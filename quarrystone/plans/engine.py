@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import audit, reconcile, registry, report, sampling, site, synthesis
+from ..operators import audit, brief, reconcile, registry, report, sampling, site, synthesis
+from ..sinks import review_sheet, write_viewer
 from ..storage import materialize
 from . import collect
 
@@ -146,6 +147,25 @@ def audit_queue(observations: DataFrame, count: int, blobs: DataFrame | None = N
     return queued, None if blobs is None else audit.machine_labels(queued, blobs)
 
 
+def audit_review(queued: DataFrame, labels: DataFrame, tiers: tuple[str, ...] = (), relabel: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """What a reviewer has still to decide, as blocks of text in their order, and the labels that stand.
+
+    Labels are a stored table: a session that was broken off goes on where the
+    labels end. relabel: (id) of rows whose labels are taken back.
+    """
+    kept = labels if relabel is None else labels.join(relabel.select("id"), "id", "left_anti")
+    left = audit.pending(queued, kept, tiers)
+    return left.join(review_sheet(left), "id").orderBy("turn").select("id", "risk_tier", "turn", "block"), kept
+
+
+def viewer(claims: DataFrame, observations: DataFrame, path: str, title: str = "Companies") -> None:
+    """Write the viewer's pages: profiles with flags, and the shares of all companies at the head."""
+    flags = report.coverage_flags(claims)
+    names = [c for c in flags.columns if c != "org"]
+    told = flags.select("org", F.create_map(*(x for c in names for x in (F.lit(c), F.col(c)))).alias("flags"))
+    write_viewer(brief.viewer_profiles(claims, observations).join(told, "org", "left"), path, title, report.viewer_stats(claims, observations))
+
+
 def audit_label(decisions: DataFrame, queued: DataFrame, observations: DataFrame) -> DataFrame:
     """Decisions (decision_no, id, org, verdict) as labels, handed on to what inherits; the last decision on a row wins."""
     met = audit.decided(decisions, queued).join(decisions.select("decision_no", "verdict"), "decision_no")

@@ -302,6 +302,10 @@ SQL: dict[str, str] = {
           max(CASE WHEN field = 'legal_name' THEN CASE WHEN now_ THEN cv ELSE pv END END) AS legal_name FROM k GROUP BY org)
         SELECT org, CASE WHEN n.org IS NULL THEN 'failed' WHEN key % 7 = 0 THEN 'completed_without_registry_anchor' ELSE 'completed' END AS status, coalesce(n_claims, 1) AS n_claims, CAST(coalesce(n_changes, 0) AS BIGINT) AS n_changes, coalesce(n_ev, 0) AS n_evidence, legal_name, coalesce(platforms, '') AS platforms
         FROM companies LEFT JOIN n USING (org) LEFT JOIN o USING (org)""",
+    "viewer_stats": f"""WITH {_CLAIMS}, s AS (SELECT {px.org_sql('(user_id + 1)')} AS org, count(DISTINCT event_id % 7) > 1 AS several FROM events GROUP BY 1),
+        f AS (SELECT org, {_has('places.rating', 'rating')}, {_has('official_website', 'website')}, {_has('wikidata.qid', 'wikidata')}, {_has('financials.revenue', 'accounts')} FROM claims GROUP BY 1)
+        SELECT count(*) AS companies, {', '.join(f"CAST(floor(count_if({x}) * 100 / count(*) + 0.5) AS BIGINT) AS {n}" for x, n in (("coalesce(several, false)", "two_platforms"), ("rating", "rating"), ("website", "website"), ("wikidata", "wikidata"), ("accounts", "accounts")))} FROM f LEFT JOIN s USING (org)""",
+    "pending_reviews": f"""WITH {px.OBSERVATIONS_SQL} SELECT id, tier AS risk_tier, signal_type <> 'company_profile' AS later, organisation_number FROM gated WHERE tier IN ('inferred', 'corroborated') AND id NOT IN (SELECT 'o' || doc_id FROM labels)""",
     "collected_claims": f"WITH {_COLLECTED_SQL} SELECT * FROM claims",
     "collected_observations": f"WITH {_SEEN} SELECT id, org AS organisation_number, platform, signal_type, source_url, identity_proof, observed_at FROM seen",
     "collected_evidence": f"""WITH {_COLLECTED_SQL}, e AS (SELECT DISTINCT org, evidence_id FROM claims WHERE evidence_id IS NOT NULL UNION SELECT org, 'ev-job-1' FROM known WHERE key % 8 = 0)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import html
 import json
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import ship
+
 
 def envelope_lines(envelopes: DataFrame) -> DataFrame:
     """(org, line): one JSON line for each envelope, nulls written out."""
@@ -15,20 +19,29 @@ def envelope_lines(envelopes: DataFrame) -> DataFrame:
 
 
 def write_snapshot(envelopes: DataFrame, path: str) -> DataFrame:
-    """Write JSON lines ordered by organisation over as many files as needed; one row back: rows and a digest of all lines.
+    """Write JSON lines ordered by organisation over as many files as needed; one row back: rows, a digest of all lines, and the payloads.
 
-    The digest is over the sorted digests of the lines in blocks of their first
-    byte, so no task needs all of them.
+    The digest (sha256) is over the sorted digests of the lines in blocks of their
+    first byte, so no task needs all of them and files don't matter to it. payloads
+    names each written file with its size and the SHA-256 of its bytes.
     """
     rows = envelope_lines(envelopes)
     rows.orderBy("org").select("line").write.mode("overwrite").text(path)
     blocks = rows.select(F.sha2("line", 256).alias("d")).groupBy(F.substring("d", 1, 3).alias("block")).agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ""), 256).alias("d"))
-    return blocks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "d"))), lambda x: x["d"]), ""), 256).alias("sha256"))
+    whole = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "d"))), lambda x: x["d"]), ""), 256)
+    files = payloads(envelopes.sparkSession, path).agg(F.array_sort(F.collect_list(F.struct("file", "bytes", "sha256"))).alias("payloads"))
+    return blocks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), whole.alias("sha256")).join(F.broadcast(files), F.lit(True))
+
+
+def payloads(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes, sha256) of the files of a written folder."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def manifest(run_id: str, organisations: DataFrame, digest: DataFrame) -> DataFrame:
     """(run_id, pos, org, count, sha256): the list of a run in order, with what was written."""
-    return organisations.select("pos", "org").join(F.broadcast(digest), F.lit(True)).select(F.lit(run_id).alias("run_id"), "pos", "org", F.col("rows").alias("count"), "sha256").orderBy("pos")
+    return organisations.select("pos", "org").join(F.broadcast(digest), F.lit(True)).select(F.lit(run_id).alias("run_id"), "pos", "org", F.col("rows").alias("count"), "sha256", *(["payloads"] if "payloads" in digest.columns else [])).orderBy("pos")
 
 
 def write_blobs(payloads: DataFrame, path: str) -> DataFrame:
@@ -65,19 +78,55 @@ def review_sheet(rows: DataFrame) -> DataFrame:
     return rows.select("id", block.alias("block"))
 
 
-VIEWER_ROWS = 20_000  # companies on one page; a larger selection has to be filtered first
+def write_changes(changes: DataFrame, path: str) -> None:
+    """Changes as JSON lines, by organisation, field, kind and value."""
+    write_jsonl(changes, path, ["org", "field", "change_type", "new_value", "old_value"])
+
+
+PAGE_ROWS = 20_000  # companies on a page of the viewer
 
+_STYLE = "body{font:15px system-ui;margin:2rem auto;max-width:60rem}.s{display:inline-block;margin-right:2rem}.s b{display:block;font-size:1.4rem}details{border-top:1px solid #ccc;padding:.4rem}td{padding:.1rem .6rem;vertical-align:top}.p{background:#eee;border-radius:1rem;padding:0 .6rem;margin-left:.3rem}"
+_SCRIPT = """
+const $=id=>document.getElementById(id),el=(t,x,c)=>{const e=document.createElement(t);if(x!=null)e.textContent=x;if(c)e.className=c;return e};
+for(const [k,v] of Object.entries(STATS)){const s=el('div',null,'s');s.append(el('b',v),k);$('stats').append(s)}
+const flags=[...new Set(ROWS.flatMap(r=>Object.keys(r.flags||{})))],on=new Set();
+for(const f of flags){const l=el('label',f+' '),b=el('input');b.type='checkbox';b.onchange=()=>{b.checked?on.add(f):on.delete(f);show()};l.prepend(b);$('flags').append(l)}
+function card(r){const d=el('details'),s=el('summary',(r.name||r.org)+' · '+r.org+' · '+(r.municipality||''));for(const p of r.platforms||[])s.append(el('span',p,'p'));const t=el('table');
+for(const [k,v] of Object.entries(r.fields||{})){const w=el('tr');w.append(el('td',k),el('td',v));t.append(w)}d.append(s,t);return d}
+function show(){const q=$('q').value.toLowerCase(),left=ROWS.filter(r=>[r.name,r.org,r.municipality].some(x=>(x||'').toLowerCase().includes(q))&&[...on].every(f=>(r.flags||{})[f]));$('n').textContent=left.length+' shown';$('list').replaceChildren(...left.slice(0,500).map(card))}
+$('q').oninput=show;show()
+"""
 
-def write_viewer(profiles: DataFrame, path: str, title: str = "Companies") -> None:
-    """One self-contained page over profiles (org, name, municipality, platforms array, flags...), those with most platforms first."""
-    rows = profiles.orderBy(F.desc(F.size("platforms")), "name", "org").limit(VIEWER_ROWS + 1).toJSON().collect()
-    if len(rows) > VIEWER_ROWS:
-        raise ValueError(f"a page holds {VIEWER_ROWS} companies; filter the profiles first")
-    data = ("[" + ",".join(rows) + "]").replace("</", "<\\/")
-    page = (
-        f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><input id=q placeholder=filter><ul id=l></ul>"
-        f"<script>const d={data};const l=document.getElementById('l'),q=document.getElementById('q');"
-        "function show(){const s=q.value.toLowerCase();l.replaceChildren(...d.filter(c=>[c.name,c.org,c.municipality].some(x=>(x||'').toLowerCase().includes(s)))"
-        ".map(c=>{const i=document.createElement('li');i.textContent=`${c.name||c.org} (${c.org}) ${(c.platforms||[]).join(', ')}`;return i}))}q.oninput=show;show()</script>"
-    )
-    profiles.sparkSession.createDataFrame([(page,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+def _page(rows: list[str], stats: str, title: str) -> str:
+    safe = lambda x: x.replace("</", "<\\/")
+    body = f"<h1>{html.escape(title)}</h1><div id=stats></div><p><input id=q placeholder=filter> <span id=flags></span> <span id=n></span></p><div id=list></div>"
+    script = f"const STATS={safe(stats)},ROWS=[{safe(','.join(rows))}];{_SCRIPT}"
+    return "".join((f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><style>{_STYLE}</style>{body}<script>{script}</script>").splitlines())
+
+
+def write_viewer(profiles: DataFrame, path: str, title: str = "Companies", stats: DataFrame | None = None, page_rows: int = PAGE_ROWS) -> None:
+    """Self-contained pages over profiles (org, name, municipality, platforms array, and fields map and flags map if they have them).
+
+    Companies with most platforms come first. A page holds page_rows of them; a
+    larger selection becomes several pages, each made by a task of its own, one
+    file for each page. stats: one row whose columns head every page.
+    """
+    spark = profiles.sparkSession
+    ship(spark)
+    head = "{}" if stats is None else (stats.limit(1).toJSON().first() or "{}")
+    key = [-F.size(F.coalesce("platforms", F.array())), F.coalesce("name", F.lit("")), F.col("org")]
+    pages = max(1, -(-profiles.count() // page_rows))
+    laid = profiles.withColumns({f"_k{n}": k for n, k in enumerate(key)})
+    order = [f"_k{n}" for n in range(len(key))]
+    told = laid.repartitionByRange(pages, *order).sortWithinPartitions(*order).select(F.to_json(F.struct(*profiles.columns)).alias("row"))
+
+    def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [x for b in batches for x in b["row"]]  # of about one page: ranges are cut by the number of pages
+        if rows:
+            yield pd.DataFrame({"value": [_page(rows, head, title)]})
+
+    written = told.mapInPandas(render, "value string")
+    if profiles.isEmpty():
+        written = spark.createDataFrame([(_page([], head, title),)], "value string")
+    written.write.mode("overwrite").text(path)

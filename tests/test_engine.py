@@ -193,6 +193,35 @@ def test_sources_and_sinks(spark, tmp_path):
     assert "<\\/script>" in "".join(r.value for r in spark.read.text(str(tmp_path / "v")).collect())
 
 
+def test_payload_digests_and_pages(spark, tmp_path):
+    import hashlib
+
+    people = spark.createDataFrame([(f"{n:03}", n) for n in range(9)], "org string, n int")
+    got = sinks.write_snapshot(people, str(tmp_path / "s")).first()
+    files = {f.name: f.read_bytes() for f in (tmp_path / "s").glob("part-*")}
+    assert got.rows == 9 and {x.file: (x.bytes, x.sha256) for x in got.payloads} == {k: (len(v), hashlib.sha256(v).hexdigest()) for k, v in files.items()}
+    told = sinks.manifest("r", spark.createDataFrame([(0, "000")], "pos int, org string"), spark.createDataFrame([got])).first()
+    assert told["count"] == 9 and told.payloads == got.payloads
+    claims = [(f"{n}", "legal_name", f"N{n}", "available") for n in range(7)] + [("1", "places.rating", "4.5", "available")]
+    seen = spark.createDataFrame([("1", "brreg"), ("1", "x")], "org string, platform string")
+    engine.viewer(spark.createDataFrame(claims, "org string, field string, value string, availability string"), seen, str(tmp_path / "v"))
+    page = "".join(r.value for r in spark.read.text(str(tmp_path / "v")).collect())
+    assert '"companies":7,"two_platforms":14,"rating":14' in page and page.index('"name":"N1"') < page.index('"name":"N0"') and '"rating":true' in page
+    profiles = spark.createDataFrame([(f"{n}", "n", "m", ["x"]) for n in range(25)], "org string, name string, municipality string, platforms array<string>")
+    sinks.write_viewer(profiles, str(tmp_path / "w"), page_rows=10)
+    pages = [r.value for r in spark.read.text(str(tmp_path / "w")).collect()]
+    assert 2 <= len(pages) <= 3 and sum(p.count('"municipality":"m"') for p in pages) == 25
+
+
+def test_reviews_go_on_where_labels_end(spark):
+    o = lambda i, signal, org: (i, org, "company_site", signal, "org_number_on_page", "u", "t", "h")
+    queued = spark.createDataFrame([o("a", "profile_handle", "1"), o("b", "company_profile", "2"), o("c", "company_profile", "1"), o("d", "company_profile", "3")], "id string, organisation_number string, platform string, signal_type string, identity_proof string, source_url string, retrieved_at string, content_sha256 string")
+    labels = spark.createDataFrame([("d", True), ("b", True)], "id string, exact_entity boolean")
+    left, kept = engine.audit_review(queued, labels, relabel=spark.createDataFrame([("b",)], "id string"))
+    assert [r.id for r in left.collect()] == ["c", "b", "a"] and [r.id for r in kept.collect()] == ["d"] and "company" in left.first().block
+    assert engine.audit_review(queued, labels, ("inferred",))[0].count() == 0
+
+
 def test_changes_to_itself_are_none_and_samples_are_stable(spark, sf):
     from quarrystone.plans import projection as px
 
@@ -209,6 +238,33 @@ def test_quotas_redistribute():
     assert sum(audit.quotas(100, dict.fromkeys(audit.WEIGHTS, 500)).values()) == 100
 
 
+def test_lists_change_by_item_and_only_for_present_companies(spark):
+    schema = f"org string, field string, value string, availability string, period string, currency string, statement string, evidence_id string, url string, retrieved_at string, sha string, first_seen string, items {reconcile.ITEMS}"
+    people = lambda *names: [(f"DAGL|{n}", n, n, "managing_director", None) for n in names]
+    row = lambda org, items, state="available", field="leadership": (org, field, json.dumps([x[1] for x in items]) if items else None, state, None, None, None, "e", "u", "t", "h", None, items)
+    before = spark.createDataFrame([row("1", people("A", "B")), row("2", people("A")), row("3", people("A")), row("4", people("A")), row("5", None, "not_available")], schema)
+    after = spark.createDataFrame([row("1", people("B", "C")), row("2", None, "blocked"), row("3", None, "not_available"), row("5", people("A"))], schema)
+    got = rows(reconcile.changes(before, after), "org", "change_type", "old_value", "new_value", "item_name")
+    assert got == [("1", "departed_role", "A", None, "A"), ("1", "new_role", None, "C", "C"), ("2", "source_unavailable", '["A"]', '["A"]', None), ("3", "became_unavailable", '["A"]', None, None), ("5", "became_available", None, '["A"]', None)]
+    assert rows(reconcile.claims(before, after), "org", "value", "stale") == [("1", '["B", "C"]', False), ("2", '["A"]', True), ("3", None, False), ("5", '["A"]', False)]
+    report_ = reconcile.refresh_report(before, after).first()
+    assert (report_.dropped, report_.self_changes, report_.passed) == (1, 0, False) and reconcile.self_changes(after.unionByName(before.where("org = '1'"))).first()[0] == 2
+
+
+def test_silent_companies_fail_whatever_was_known(spark):
+    claim = "org string, field string, value string, availability string, period string, currency string, statement string, evidence_id string, url string, retrieved_at string, sha string, first_seen string"
+    row = lambda org, value: (org, "legal_name", value, "available", None, None, None, f"e{org}", "u", "t", "h", None)
+    orgs = spark.createDataFrame([("1", 0), ("2", 1), ("3", 2)], "org string, pos int")
+    out = engine.run(orgs, spark.createDataFrame([row("1", "A"), row("3", "C")], claim), spark.createDataFrame([row("1", "A"), row("2", "B")], claim), spark.createDataFrame([("1", "x")], "org string, platform string"), anchors=orgs.where("org = '1'"))
+    got = {r.org: r for r in out.envelopes.collect()}
+    assert {k: r.status for k, r in got.items()} == {"1": "completed", "2": "failed", "3": "completed_without_registry_anchor"}
+    lost = got["2"]
+    assert [(c.field, c.value, c.availability) for c in lost.claims] == [("legal_name", None, "failed")] and lost.claims[0].note == engine.NO_RESULT and lost.changes == [] and lost.legal_identity.legal_name is None
+    assert got["1"].legal_identity.legal_name == "A" and got["1"].platforms == ["x"] and got["1"].summary.evidence_ids == ["e1"] and "A is a registered entity" in got["1"].summary.text
+    total = out.totals("r", 3, 10).first()
+    assert (total.emitted_envelopes, total.terminal_states["failed"], total.observations, total.passed) == (3, 1, 1, True)
+
+
 def test_run_has_every_input(spark, sf):
     from quarrystone.plans import projection as px
 
