@@ -325,6 +325,35 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("org", synthesis.text(synthesis.identity(f, F.col("org")), scale, external=f["official_website"].isNotNull()).alias("text"))
 
 
+def _full_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims of all fields that a summary speaks of, with their qualifiers and evidence."""
+    k = F.col("key")
+    flags = F.to_json(F.struct((k % 10 == 0).alias("bankruptcy"), (k % 11 == 0).alias("compulsory_liquidation"), (k % 13 == 0).alias("under_liquidation"), (k % 2 == 0).alias("in_group")))
+    board = F.to_json(F.transform(F.sequence(F.lit(0), (k % 4).cast("int")), lambda n: F.struct(F.when(n == 0, "DAGL").when(n == 1, "LEDE").otherwise("MEDL").alias("role_code"), F.lit("x").alias("name"))))
+    told = {
+        "operating_status": flags, "managing_director": F.when(k % 4 != 0, F.concat(F.lit("Kari "), k.cast("string"))), "board_chair": F.when(k % 8 == 1, F.concat(F.lit("Kari "), k.cast("string"))).when(k % 3 == 0, F.concat(F.lit("Ola "), k.cast("string"))),
+        "leadership": board, "places.rating_count": F.when(k % 8 == 0, k).when(k % 8 == 4, 0), "jobs.active_count": F.when(k % 5 != 4, k % 6), "activity.latest_post_date": F.when(k % 9 == 0, "2026-01-02"),
+        "activity.posts": F.when(k % 9 == 0, F.to_json(F.transform(F.sequence(F.lit(0), (k % 3).cast("int")), lambda n: F.struct(n.alias("n"))))),
+    }
+    more = px.companies(spark, sf_dir).select("org", F.inline(F.array(*(F.struct(F.lit(f).alias("field"), v.cast("string").alias("value")) for f, v in told.items()))))
+    rows = _claims(spark, sf_dir).select("org", "field", "value").unionByName(more).withColumn("key", F.substring("org", 1, 8).cast("long") - 80_000_000)
+    money = F.col("field") == "financials.revenue"
+    rows = rows.withColumn("value", F.when(money & (k % 7 == 0), "0").otherwise(F.col("value")))
+    proof = F.when(k % 2 == 0, "org_number_on_page").when(k % 3 == 0, "registry_site_corroborated").otherwise("other")
+    return rows.select(
+        "org", "field", "value", F.when(F.col("value").isNotNull(), "available").otherwise("not_available").alias("availability"), F.when(money & (k % 3 != 0), "2023-01-01/2023-12-31").alias("period"), F.lit(None).cast("string").alias("currency"),
+        F.when(money & (k % 2 == 0), "SELSKAP").alias("statement"), F.when(F.col("field") == "official_website", proof).alias("identity_proof"), F.concat(F.lit("ev-"), "field").alias("evidence_id"), F.lit(None).cast("string").alias("note"),
+    )
+
+
+@_query
+def summary_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = px.observations(spark, sf_dir).where("platform != 'news'").select(F.col("organisation_number").alias("org"), "platform")
+    built = synthesis.build(_full_claims(spark, sf_dir), seen, reconcile.changes(*_both(spark, sf_dir)))
+    part = lambda k: F.try_element_at("sections", F.lit(k)).alias(k)
+    return built.select("org", *(part(k) for k in ("identity", "standing", "scale", "people", "presence", "activity")), F.array_join("evidence_ids", ",").alias("evidence"), F.size("unknowns").cast("long").alias("n_unknowns"), F.contains("text", F.lit("rests on official records alone")).alias("official_only"))
+
+
 @_query
 def unknowns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthesis.unknowns(_claims(spark, sf_dir))

@@ -302,6 +302,29 @@ SQL: dict[str, str] = {
           max(CASE WHEN field = 'legal_name' THEN CASE WHEN now_ THEN cv ELSE pv END END) AS legal_name FROM k GROUP BY org)
         SELECT org, CASE WHEN n.org IS NULL THEN 'failed' WHEN key % 7 = 0 THEN 'completed_without_registry_anchor' ELSE 'completed' END AS status, coalesce(n_claims, 1) AS n_claims, CAST(coalesce(n_changes, 0) AS BIGINT) AS n_changes, coalesce(n_ev, 0) AS n_evidence, legal_name, coalesce(platforms, '') AS platforms
         FROM companies LEFT JOIN n USING (org) LEFT JOIN o USING (org)""",
+    "summary_sections": f"""WITH {px.COMPANIES_SQL}, {px.OBSERVATIONS_SQL},
+        o AS (SELECT org, list_sort(list(DISTINCT platform)) AS p FROM (SELECT organisation_number AS org, platform FROM observations WHERE platform NOT IN ('news', 'brreg')) GROUP BY 1),
+        c AS (SELECT *, {', '.join(f'{v} AS "{f}"' for f, v in (_CLAIM_VALUES | {"financials.revenue": "CASE WHEN key % 5 <> 0 OR key % 7 = 0 THEN CAST(CASE WHEN key % 7 = 0 THEN 0 ELSE key * 1250 END AS VARCHAR) END"}).items() if f not in ('legal_form', 'industry_code'))},
+          CASE WHEN key % 4 <> 0 THEN 'Kari ' || key END AS director, CASE WHEN key % 8 = 1 THEN 'Kari ' || key WHEN key % 3 = 0 THEN 'Ola ' || key END AS chair FROM companies),
+        s AS (SELECT org,
+          legal_name || ' is ' || CASE key % 3 WHEN 0 THEN 'a private limited company' WHEN 1 THEN 'a sole proprietorship' ELSE 'a registered entity' END || CASE WHEN key % 2 = 0 THEN ' in Nord-Aurdal' ELSE '' END || ', registered 2001-02-03. Its registered activity is drift av skip.' AS identity,
+          CASE WHEN key % 10 = 0 THEN 'The company is registered as bankrupt.' WHEN key % 11 = 0 THEN 'The company is under compulsory liquidation.' WHEN key % 13 = 0 THEN 'The company is being wound up.' WHEN key % 2 = 0 THEN 'The registry records this entity as part of a group.' END AS standing,
+          nullif(concat_ws(' ', CASE WHEN "financials.revenue" IS NOT NULL THEN CASE WHEN key % 3 <> 0 THEN 'Accounts filed for 2023 report revenue of ' ELSE 'Filed accounts report revenue of ' END || {_money('CAST("financials.revenue" AS BIGINT)')}
+            || CASE WHEN "financials.net_result" IS NOT NULL THEN ' and a net result of ' || {_money('CAST("financials.net_result" AS BIGINT)')} ELSE '' END || CASE WHEN key % 2 = 0 THEN ' (company accounts).' ELSE ' (group accounts).' END END,
+            CASE WHEN "financials.revenue" = '0' THEN 'The filed revenue figure is zero, which is a reported value rather than a missing one.' END, CASE WHEN employees IS NOT NULL THEN employees || ' employees are registered.' END), '') AS scale,
+          CASE WHEN director = chair THEN director || ' is both registered managing director and board chair.' WHEN director IS NOT NULL OR chair IS NOT NULL THEN concat_ws(' and ', director || ' is the registered managing director', chair || ' chairs the board') || '.' END
+            || CASE WHEN key % 4 > 1 THEN ' The board has ' || (key % 4) || ' registered members.' ELSE '' END AS people,
+          nullif(concat_ws(' ', 'Its verified website is ' || official_website || ', tied to this entity because ' || CASE WHEN key % 2 = 0 THEN 'the organisation number appears on the page' WHEN key % 3 = 0 THEN 'a registry address or phone number appears on the page' ELSE 'the registry declares it' END || '.',
+            CASE WHEN key % 4 = 0 THEN 'Google records a rating of 4.5 out of 5' || CASE WHEN key % 8 = 0 AND key > 0 THEN ' from ' || key || ' ratings' ELSE '' END || '.' END,
+            'Confirmed presence on ' || CASE WHEN len(p) > 1 THEN array_to_string(p[1 : len(p) - 1], ', ') || ' and ' || p[len(p)] ELSE p[1] END || '.'), '') AS presence,
+          nullif(concat_ws(' ', CASE WHEN key % 5 = 4 THEN NULL WHEN key % 6 = 0 THEN 'No active job advert in the national vacancy feed carries this organisation number.' ELSE (key % 6) || ' active job adverts carry this organisation number.' END,
+            CASE WHEN key % 9 = 0 THEN 'The company published ' || (key % 3 + 1) || ' dated ' || CASE WHEN key % 3 = 0 THEN 'post' ELSE 'posts' END || ' of its own, most recently on 2026-01-02.' END), '') AS activity,
+          array_to_string(list_sort(list_filter([CASE WHEN key % 9 = 0 THEN 'ev-activity.latest_post_date' END, CASE WHEN key % 9 = 0 THEN 'ev-activity.posts' END, CASE WHEN chair IS NOT NULL THEN 'ev-board_chair' END, CASE WHEN employees IS NOT NULL THEN 'ev-employees_registered' END,
+            CASE WHEN "financials.net_result" IS NOT NULL THEN 'ev-financials.net_result' END, CASE WHEN "financials.revenue" IS NOT NULL THEN 'ev-financials.revenue' END, 'ev-industry_code', CASE WHEN key % 5 <> 4 THEN 'ev-jobs.active_count' END, 'ev-leadership', 'ev-legal_form', 'ev-legal_name',
+            CASE WHEN director IS NOT NULL THEN 'ev-managing_director' END, CASE WHEN key % 2 = 0 THEN 'ev-municipality' END, CASE WHEN has_web THEN 'ev-official_website' END, 'ev-operating_status', CASE WHEN key % 4 = 0 THEN 'ev-places.rating' END, CASE WHEN key % 4 = 0 THEN 'ev-places.rating_count' END,
+            'ev-registration_date'], lambda x: x IS NOT NULL)), ',') AS evidence,
+          (NOT has_web)::BIGINT + (employees IS NULL)::BIGINT + ("financials.revenue" IS NULL)::BIGINT + (director IS NULL)::BIGINT + (key % 4 <> 0)::BIGINT + (key % 5 = 4)::BIGINT + (key % 9 <> 0)::BIGINT AS n_unknowns, p IS NULL AS official_only FROM c LEFT JOIN o USING (org))
+        SELECT * FROM s""",
     "viewer_stats": f"""WITH {_CLAIMS}, s AS (SELECT {px.org_sql('(user_id + 1)')} AS org, count(DISTINCT event_id % 7) > 1 AS several FROM events GROUP BY 1),
         f AS (SELECT org, {_has('places.rating', 'rating')}, {_has('official_website', 'website')}, {_has('wikidata.qid', 'wikidata')}, {_has('financials.revenue', 'accounts')} FROM claims GROUP BY 1)
         SELECT count(*) AS companies, {', '.join(f"CAST(floor(count_if({x}) * 100 / count(*) + 0.5) AS BIGINT) AS {n}" for x, n in (("coalesce(several, false)", "two_platforms"), ("rating", "rating"), ("website", "website"), ("wikidata", "wikidata"), ("accounts", "accounts")))} FROM f LEFT JOIN s USING (org)""",
