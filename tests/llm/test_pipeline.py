@@ -32,6 +32,56 @@ def test_run_has_no_benchmark_window_and_no_near_copies(spark, sf):
     assert cp.run(spark, sf).count() == len(left)
 
 
+CLASHING = ("doc", "ids", "decoded", "items", "spans", "clean_text", "row", "host", "gone", "kept", "page", "x")
+LONG = " ".join(f"long{n % 997} word{n % 89} and{n}" for n in range(12_000))
+
+
+def _edges(spark):
+    prose = "Each of these words stands here once or so, in an order that no other text has: " + " ".join(f"p{n} q{n * 7} r" for n in range(40))
+    texts = [None, "", " ", "short", prose, prose, prose + " and a tail", LONG, "\x00 odd \x01 " + prose.replace("p", "z"), "🙂 ünï " + prose.replace("q", "y")]
+    rows = [(i, t, "en", None if i % 4 == 0 else "s", None if t is None else -1, *("c",) * len(CLASHING)) for i, t in enumerate(texts)]
+    rows += [rows[4], (None, prose.replace("r", "null id"), None, "s", 1, *(None,) * len(CLASHING))]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame(rows, schema).repartition(3), [(r[0], r[1]) for r in rows]
+
+
+def test_each_stage_on_edge_cases(spark, sf):
+    import base64
+    import struct
+    from collections import Counter
+
+    import public_tokenizers as P
+    import tiktoken
+
+    docs, rows = _edges(spark)
+    for name, stage in cp.STAGES[:4]:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType, name
+        kept = Counter((r.doc_id, r.text) for r in got.collect())
+        if name == "quality_rules":
+            assert kept == Counter(x for x in rows if x[1] and len(x[1]) > 50)
+        if name == "decontamination":
+            assert kept == Counter(rows)  # nothing of the benchmark stands here
+        if name == "line_dedup":
+            assert kept[4, rows[4][1]] == 2 and kept[5, ""] == 1 and kept[0, None] == 1  # the first document keeps its line
+        if name == "near_duplicates":
+            assert sum(kept[x] for x in {*rows[4:7]}) == 1 and kept[7, LONG] == kept[0, None] == 1
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids = [(i, plain.encode_ordinary(t or ""), t or "") for i, t in rows]
+    want = Counter((i, len(x), struct.pack(f"<{len(x)}I", *x), brute.sha(t)) for i, x, t in ids)
+    assert Counter((r.doc_id, r.n_tokens, bytes(r.token_ids), r.text_sha256) for r in cp.tokenisation(spark, docs, sf).collect()) == want
+
+
+def test_the_chain_on_an_empty_table(spark, sf):
+    docs, _ = _edges(spark)
+    docs = docs.limit(0)
+    for _, stage in cp.STAGES:
+        docs = stage(spark, docs, sf)
+        assert docs.count() == 0
+    assert docs.columns == ["doc_id", "n_tokens", "token_ids", "text_sha256"]
+
+
 def test_surrogates_are_typed_consistent_and_distinct(spark):
     texts = [
         "Mail Und.34@mail7.example.com, UND.34@MAIL7.EXAMPLE.COM or +1 (826) 555-7388. Card 4111 1111 1111 1111.",
