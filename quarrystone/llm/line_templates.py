@@ -3,7 +3,9 @@
 DataFrame functions only. A line's tokens with digits become ``<*>``. The tree's
 first level is the token count, the next levels are the leading tokens; the rest
 of the line is divided into ``SEGMENTS`` stretches, and a template leaves one of
-them free, so that variable fields without digits are generalised too. Each line
+them free, so that variable fields without digits are generalised too. Long lines
+also have a template with the leading tokens free, for fields that stand there: the
+branch of the tree below their token count that takes any leading tokens. Each line
 is a template as a whole, too, with nothing free; if all its tokens have digits,
 it stands for itself only. Lines of fewer than ``MIN_TOKENS`` tokens have no
 other. Whole lines that recur in at least ``whole_docs`` documents, and templates
@@ -34,6 +36,7 @@ VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 DEPTH = 3  # leading tokens in the tree
 SEGMENTS = 3  # stretches of the rest, one of which a template leaves free
 MIN_TOKENS = 6  # from here on a line has templates with a free stretch
+LEAD_TOKENS = 12  # from here on it has one with the leading tokens free, too
 MIN_DOCS = 3
 WHOLE_DOCS = 2  # for templates without a free stretch
 
@@ -69,10 +72,12 @@ def _keys(line: Column, pos: Column) -> Column:
 
     def hashed(p: Column) -> Column:
         kept = lambda j: [p[f"p{i}"] for i in range(SEGMENTS) if i != j]
-        return F.array(*(
+        rest = kept(SEGMENTS)
+        lead = F.struct(F.xxhash64(F.lit(SEGMENTS + 1), p["n"], *rest).alias("k1"), F.xxhash64(*rest, p["n"], F.lit(-2 - SEGMENTS)).bitwiseAND(F.lit(-2)).alias("k2"), pos.alias("pos"))
+        return _once(F.array(*(
             F.struct(F.xxhash64(F.lit(j), p["n"], p["lead"], *kept(j)).alias("k1"), F.xxhash64(*kept(j), p["lead"], p["n"], F.lit(-1 - j)).bitwiseAND(F.lit(-2)).alias("k2"), pos.alias("pos"))
             for j in range(SEGMENTS)
-        ))
+        )), lambda own: F.when(p["n"] >= LEAD_TOKENS, F.array_append(own, lead)).otherwise(own))
 
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
     trimmed = F.trim(masked)

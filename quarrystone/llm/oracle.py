@@ -78,6 +78,7 @@ _OWN = "concat_ws(chr(10), 'whole', CASE WHEN len(list_filter(m, lambda t: t <>
 OP9 = f"""WITH l AS (SELECT doc_id, p, x[p] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p FROM documents)),
 m AS (SELECT doc_id, p, w, list_transform(w, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS m, len(w) AS n FROM (SELECT doc_id, p, regexp_extract_all(line, {PLAIN}) AS w FROM l)),
 k AS (SELECT doc_id, p, unnest([{', '.join(_TEMPLATE(j) for j in range(_S))}]) AS k, {line_templates.MIN_DOCS} AS least FROM m WHERE n >= {line_templates.MIN_TOKENS}
+  UNION ALL SELECT doc_id, p, concat_ws(chr(10), 'lead', n, {', '.join(_STRETCH(j) for j in range(_S))}) AS k, {line_templates.MIN_DOCS} AS least FROM m WHERE n >= {line_templates.LEAD_TOKENS}
   UNION ALL SELECT doc_id, p, {_OWN} AS k, {line_templates.WHOLE_DOCS} AS least FROM m WHERE n > 0),
 known AS (SELECT k, min(doc_id) AS first FROM k GROUP BY k, least HAVING count(DISTINCT doc_id) >= least),
 gone AS (SELECT DISTINCT doc_id, p FROM k JOIN known USING (k) WHERE doc_id <> first),

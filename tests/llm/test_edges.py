@@ -308,6 +308,13 @@ def test_templates_leave_one_stretch_free(spark):
     assert [r.n_dropped for r in line_templates.drop_recurring(df).orderBy("doc_id").collect()] == [0, 1, 1, 0, 1, 1]
 
 
+def test_templates_of_long_lines_leave_the_lead_free(spark):
+    rest = "left this comment on the page of our little shop"
+    texts = [f"{a} {rest}\n{b} the day went on" for a, b in (("Kari Olsen yesterday", "so then he"), ("Per Hansen today", "and when she"), ("The old neighbour", "but that it"))]
+    got = line_templates.drop_recurring(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_dropped for r in got] == [0, 1, 1] and got[1].kept_text == "and when she the day went on"
+
+
 def test_short_lines_recur_as_a_whole(spark):
     texts = [f"All rights reserved.\nVersion {n} of this\n{n}\n\nfree {x} line" for n, x in zip((7, 8, 9), "pqr")] + ["All\trights  reserved. \n7", "All rights left.\n7"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
