@@ -178,6 +178,23 @@ _SEEN = f"""{px.COMPANIES_SQL}, {_FILED}, seen AS (
   UNION ALL SELECT org || '-job_board-posting-' || n, org, 'job_board', 'job_posting', 'https://ads.example/' || org || '/' || (n + 1), 'employer_org_number_in_official_feed', '2026-01-01' FROM known, (VALUES (0), (1)) t(n) WHERE key % 8 = 0)"""
 
 
+_ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+
+
+def _shown(markup: str, collapsed: bool = True) -> str:
+    """What a reader sees of markup: no comments, scripts and styles, no tags, entities spelt out, blanks as one space."""
+    x = f"regexp_replace(regexp_replace({markup}, '(?s)<!--.*?-->|<(script|style|noscript|svg)[ >].*?</(script|style|noscript|svg)>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+    for name, char in _ENTITIES:
+        x = f"replace({x}, '{name}', '{char}')"
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))" if collapsed else f"trim({x})"
+
+
+_PAGES = f"""seen AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+parts AS (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, regexp_extract(html, '(?s)<body>(.*?)(</body>|$)', 1) AS body, regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1) AS foot FROM seen),
+page AS (SELECT page_id, substr({_shown('title')}, 1, 300) AS title, substr({_shown('body')}, 1, 200000) AS body_text, substr({_shown('foot', False)}, 1, 4000) AS identity_excerpt FROM parts)"""
+_CORE = f"list_distinct(list_filter(regexp_extract_all(lower(strip_accents(array_to_string(string_split(title, ' ')[1:2], ' '))), '[a-z0-9]+'), lambda t: len(t) > 1 AND NOT list_contains([{_WORDS}], t)))"
+
+
 SQL: dict[str, str] = {
     "reconcile_changes": f"WITH {_CHANGES} SELECT * FROM changes",
     "reconcile_claims": f"""WITH {_CHANGES} SELECT org, field, CASE WHEN k THEN pv ELSE cv END AS value, CASE WHEN k THEN pa ELSE ca END AS availability,
@@ -325,6 +342,12 @@ SQL: dict[str, str] = {
             'ev-registration_date'], lambda x: x IS NOT NULL)), ',') AS evidence,
           (NOT has_web)::BIGINT + (employees IS NULL)::BIGINT + ("financials.revenue" IS NULL)::BIGINT + (director IS NULL)::BIGINT + (key % 4 <> 0)::BIGINT + (key % 5 = 4)::BIGINT + (key % 9 <> 0)::BIGINT AS n_unknowns, p IS NULL AS official_only FROM c LEFT JOIN o USING (org))
         SELECT * FROM s""",
+    "site_parse": f"WITH {_PAGES} SELECT page_id, title, '' AS description, body_text, identity_excerpt FROM page",
+    "site_gate": f"""WITH {_PAGES}, n AS (SELECT page_id, {px.org_sql('(page_id % 150 + 1)')} AS org, {px.org_sql('(page_id % 140 + 7)')} AS other, len({_CORE}) AS core, length(body_text) AS size,
+          len(list_filter(list_transform(regexp_extract_all(body_text, '(?:^|[^0-9])([0-9]{{3}}[\\s. ]?[0-9]{{3}}[\\s. ]?[0-9]{{3}})(?:[^0-9]|$)', 1), lambda x: regexp_replace(x, '[^0-9]', '', 'g')), lambda x: {_valid('x')})) AS others FROM page),
+        p AS (SELECT *, CASE WHEN page_id % 4 = 0 OR (page_id % 4 = 1 AND org = other) THEN 'org_number_labelled_on_page' WHEN page_id % 4 = 2 AND others = 0 AND core > 0 AND NOT (core = 1 AND size < 100) THEN 'registry_site_corroborated' ELSE '' END AS proof FROM n)
+        SELECT page_id, org, proof, CAST(CASE proof WHEN 'org_number_labelled_on_page' THEN 1.0 WHEN 'registry_site_corroborated' THEN 0.93 ELSE 0.5 END AS DOUBLE) AS confidence, CASE WHEN proof <> '' THEN 'available' ELSE 'ambiguous' END AS state FROM p""",
+    "activity_posts": "SELECT page_id, 0 AS pos, 'Nytt' AS title, '2026-09-14' AS date, CAST(NULL AS VARCHAR) AS url FROM pages",
     "viewer_stats": f"""WITH {_CLAIMS}, s AS (SELECT {px.org_sql('(user_id + 1)')} AS org, count(DISTINCT event_id % 7) > 1 AS several FROM events GROUP BY 1),
         f AS (SELECT org, {_has('places.rating', 'rating')}, {_has('official_website', 'website')}, {_has('wikidata.qid', 'wikidata')}, {_has('financials.revenue', 'accounts')} FROM claims GROUP BY 1)
         SELECT count(*) AS companies, {', '.join(f"CAST(floor(count_if({x}) * 100 / count(*) + 0.5) AS BIGINT) AS {n}" for x, n in (("coalesce(several, false)", "two_platforms"), ("rating", "rating"), ("website", "website"), ("wikidata", "wikidata"), ("accounts", "accounts")))} FROM f LEFT JOIN s USING (org)""",
