@@ -193,6 +193,15 @@ def decided_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.decided(d, o)
 
 
+@_query
+def adjudicated_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels after decisions by id or organisation, with what inherits from the rows decided."""
+    n = F.col("doc_id")
+    verdict = F.element_at(F.array(F.lit("y"), F.lit("m"), F.lit("n")), (n % 3 + 1).cast("int"))
+    d = table(spark, sf_dir, "labels").select(n.alias("decision_no"), F.when(n % 2 == 0, F.concat(F.lit("o"), n.cast("string"))).alias("id"), F.when(n % 2 == 1, px.org_of(n % 150 + 1)).alias("org"), verdict.alias("verdict"))
+    return audit.labelled(d, px.observations(spark, sf_dir), reviewer="r").select("id", "exact_entity", "metric_correct", "basis", "risk_tier", "derived_from")
+
+
 @_query
 def machine_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = px.observations(spark, sf_dir)

@@ -68,18 +68,23 @@ def fetch_outcomes(attempts: DataFrame, retries: int = 2) -> DataFrame:
     """One row for each url of attempts (url, attempt, method, status, redirects, error): what came of it.
 
     A GET goes on after a transient status or an error while retries are left;
-    a POST never does, and there a 429 is a refusal, too.
+    a POST never does, and there a 429 is a refusal, too. Where attempts tell
+    whether they were ``verified``, one that was not counts only if it succeeded,
+    and the row says so in tls_verified.
     """
+    if "verified" in attempts.columns:
+        attempts = attempts.where(F.coalesce("verified", F.lit(True)) | (F.col("status") < 400))
+    checked = [F.coalesce("verified", F.lit(True)).alias("verified")] if "verified" in attempts.columns else []
     get = F.col("method") == "GET"
     settled = F.col("status").isNotNull() & (~get | ~F.col("status").isin(*TRANSIENT))
     last = F.struct((~settled).alias("open"), F.when(settled, F.col("attempt")).otherwise(-F.col("attempt")).alias("n"))
     tried = attempts.where(get & (F.col("attempt") <= retries) | ~get & (F.col("attempt") == 0))
-    end = tried.groupBy("url").agg(F.min_by(F.struct("attempt", "method", "status", "error"), last).alias("e"))
+    end = tried.groupBy("url").agg(F.min_by(F.struct("attempt", "method", "status", "error", *checked), last).alias("e"))
     used = tried.join(end, "url").where(F.col("attempt") <= F.col("e.attempt")).groupBy("url").agg((F.count(F.lit(1)) + F.sum(F.coalesce("redirects", F.lit(0)))).alias("requests"))
     status = F.col("e.status")
     refused = status.isin(*REFUSED) | ((F.col("e.method") == "POST") & (status == 429))
     state = F.when(status < 400, "ok").when(refused, "blocked").otherwise("failed")
-    return end.join(used, "url").select("url", status.alias("status"), state.alias("state"), "requests")
+    return end.join(used, "url").select("url", status.alias("status"), state.alias("state"), "requests", *([F.col("e.verified").alias("tls_verified")] if checked else []))
 
 
 def viewer_profiles(claims: DataFrame, observations: DataFrame) -> DataFrame:

@@ -166,11 +166,9 @@ def viewer(claims: DataFrame, observations: DataFrame, path: str, title: str = "
     write_viewer(brief.viewer_profiles(claims, observations).join(told, "org", "left"), path, title, report.viewer_stats(claims, observations))
 
 
-def audit_label(decisions: DataFrame, queued: DataFrame, observations: DataFrame) -> DataFrame:
-    """Decisions (decision_no, id, org, verdict) as labels, handed on to what inherits; the last decision on a row wins."""
-    met = audit.decided(decisions, queued).join(decisions.select("decision_no", "verdict"), "decision_no")
-    own = met.groupBy("id").agg(F.max_by("verdict", "decision_no").alias("verdict"))
-    return audit.cascade(own.select("id", (F.col("verdict") == "y").alias("exact_entity")), observations)
+def audit_label(decisions: DataFrame, queued: DataFrame, labels: DataFrame | None = None, by: str = "human", reviewer: str | None = None, at: str | None = None) -> DataFrame:
+    """Labels after decisions, handed on to what inherits; the last decision on a row wins."""
+    return audit.labelled(decisions, queued, labels, by, reviewer, at)
 
 
 def audit_score(labels: DataFrame, observations: DataFrame, minimum: int = 100) -> DataFrame:

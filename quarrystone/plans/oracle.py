@@ -342,6 +342,11 @@ SQL: dict[str, str] = {
             'ev-registration_date'], lambda x: x IS NOT NULL)), ',') AS evidence,
           (NOT has_web)::BIGINT + (employees IS NULL)::BIGINT + ("financials.revenue" IS NULL)::BIGINT + (director IS NULL)::BIGINT + (key % 4 <> 0)::BIGINT + (key % 5 = 4)::BIGINT + (key % 9 <> 0)::BIGINT AS n_unknowns, p IS NULL AS official_only FROM c LEFT JOIN o USING (org))
         SELECT * FROM s""",
+    "adjudicated_labels": f"""WITH {px.OBSERVATIONS_SQL}, d AS (SELECT doc_id AS n, CASE WHEN doc_id % 2 = 0 THEN 'o' || doc_id END AS id, CASE WHEN doc_id % 2 = 1 THEN {px.org_sql('(doc_id % 150 + 1)')} END AS org, ['y', 'm', 'n'][doc_id % 3 + 1] AS verdict FROM labels),
+        own AS (SELECT DISTINCT n, verdict, g.id, g.organisation_number AS org, g.platform, g.tier FROM d JOIN gated g ON g.id = d.id OR (g.organisation_number = d.org AND g.platform = 'company_site' AND g.signal_type = 'company_profile')),
+        low AS (SELECT own.n, own.verdict, g.id, g.tier, own.id AS root, own.platform FROM own JOIN gated g ON g.organisation_number = own.org AND g.id <> own.id AND ((own.platform = 'company_site' AND contains(g.identity_proof, '_on_verified_company_site')) OR (own.platform = 'wikidata' AND contains(g.identity_proof, 'wikidata_p2333_')))),
+        every AS (SELECT id, n, 0 AS step, verdict, CAST(NULL AS VARCHAR) AS basis, tier, CAST(NULL AS VARCHAR) AS root FROM own UNION ALL SELECT id, n, 1, verdict, 'inherited from the ' || platform || ' root adjudicated above', tier, root FROM low)
+        SELECT id, verdict <> 'n' AS exact_entity, verdict = 'y' AS metric_correct, basis, tier AS risk_tier, root AS derived_from FROM every QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, step DESC, root DESC) = 1""",
     "site_parse": f"WITH {_PAGES} SELECT page_id, title, '' AS description, body_text, identity_excerpt FROM page",
     "site_gate": f"""WITH {_PAGES}, n AS (SELECT page_id, {px.org_sql('(page_id % 150 + 1)')} AS org, {px.org_sql('(page_id % 140 + 7)')} AS other, len({_CORE}) AS core, length(body_text) AS size,
           len(list_filter(list_transform(regexp_extract_all(body_text, '(?:^|[^0-9])([0-9]{{3}}[\\s. ]?[0-9]{{3}}[\\s. ]?[0-9]{{3}})(?:[^0-9]|$)', 1), lambda x: regexp_replace(x, '[^0-9]', '', 'g')), lambda x: {_valid('x')})) AS others FROM page),

@@ -119,6 +119,36 @@ def labels(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("l.id").agg(F.max_by("l", "pos").alias("l")).select("l.*")
 
 
+DECISION = "id STRING, org STRING, verdict STRING, basis STRING"
+
+
+def queue(spark: SparkSession, path: str) -> DataFrame:
+    """Queued observations in their order; a malformed line is fatal."""
+    rows = lines(spark, path).select("pos", F.from_json("line", OBSERVATION, {"mode": "FAILFAST"}).alias("o"))
+    return rows.select("o.*", "pos")
+
+
+def decisions(spark: SparkSession, path: str) -> DataFrame:
+    """(decision_no, id, org, verdict, basis): recorded verdicts in their order; a malformed line is fatal."""
+    rows = lines(spark, path).select("pos", F.from_json("line", DECISION, {"mode": "FAILFAST"}).alias("d"))
+    return rows.select(F.col("pos").alias("decision_no"), "d.*")
+
+
+def briefs(spark: SparkSession, path: str) -> DataFrame:
+    """(id, brief): the last brief of each observation, as JSON text."""
+    rows = lines(spark, path).select("pos", "line", F.get_json_object("line", "$.id").alias("id"))
+    return rows.where("id is not null").groupBy("id").agg(F.max_by("line", "pos").alias("brief"))
+
+
+def settings(spark: SparkSession, path: str) -> dict[str, str]:
+    """KEY=value lines of a small file, the first of each key; comments, and lines without a key or a value, are left out."""
+    text = F.trim("line")
+    pair = F.split(text, "=", 2)
+    plain = F.trim(F.trim(F.trim(pair[1]), F.lit('"')), F.lit("'"))
+    rows = lines(spark, path).where(~text.startswith("#") & F.contains(text, F.lit("="))).select("pos", F.trim(pair[0]).alias("key"), plain.alias("value")).where("key != '' and value != ''")
+    return {r.key: r.value for r in rows.groupBy("key").agg(F.min_by("value", "pos").alias("value")).collect()}
+
+
 def responses(spark: SparkSession, path: str) -> DataFrame:
     """Captured responses: (org, kind, url, ok, blocked, status, body, retrieved_at, sha)."""
     return spark.read.parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarrystone import catalog, sinks, streaming
 from quarrystone.functions import numbers as fn
-from quarrystone.operators import audit, connectors, reconcile, registry, report, sampling, site, synthesis
+from quarrystone.operators import audit, brief, connectors, reconcile, registry, report, sampling, site, synthesis
 from quarrystone.plans import engine, projection
 from quarrystone.sources import captured
 
@@ -222,6 +222,31 @@ def test_reviews_go_on_where_labels_end(spark):
     assert engine.audit_review(queued, labels, ("inferred",))[0].count() == 0
 
 
+def test_readers_of_the_audit_and_settings(spark, tmp_path):
+    (tmp_path / "q").write_text('{"id": "a", "platform": "x"}\n{"id": "b"}\n')
+    (tmp_path / "d").write_text('{"id": "a", "verdict": "y"}\n{"org": "1", "verdict": "m", "basis": "seen"}\n')
+    (tmp_path / "b").write_text('{"id": "a", "n": 1}\n{"id": "a", "n": 2}\n{"n": 3}\n')
+    (tmp_path / "e").write_text("# no\nA = 'x=y'\nB=\"2\"\nA=z\n=3\nC=\nD\n")
+    assert [r.id for r in captured.queue(spark, str(tmp_path / "q")).orderBy("pos").collect()] == ["a", "b"]
+    assert [(r.id, r.org, r.verdict, r.basis) for r in captured.decisions(spark, str(tmp_path / "d")).orderBy("decision_no").collect()] == [("a", None, "y", None), (None, "1", "m", "seen")]
+    assert rows(captured.briefs(spark, str(tmp_path / "b"))) == [("a", '{"id": "a", "n": 2}')]
+    assert captured.settings(spark, str(tmp_path / "e")) == {"A": "x=y", "B": "2"}
+
+
+def test_verdicts_on_values_and_unverified_retries(spark):
+    o = lambda i, platform, signal, proof: (i, "1", platform, signal, proof)
+    queued = spark.createDataFrame([o("s", "company_site", "company_profile", "org_number_on_page"), o("h", "x", "profile_handle", "declared_on_verified_company_site:p"), o("w", "news", "public_post", "")], "id string, organisation_number string, platform string, signal_type string, identity_proof string")
+    d = spark.createDataFrame([(0, None, "1", "n"), (1, "s", None, "m"), (2, "h", None, "y")], "decision_no int, id string, org string, verdict string")
+    old = engine.audit_label(d.where("false"), queued).unionByName(spark.createDataFrame([("w", True, True, None, "machine", None, None, None, None, None)], "id string, exact_entity boolean, metric_correct boolean, sentiment_correct boolean, labelled_by string, labelled_at string, reviewer string, basis string, risk_tier string, derived_from string"))
+    got = rows(engine.audit_label(d, queued, old), "id", "exact_entity", "metric_correct", "labelled_by", "derived_from")
+    assert got == [("h", True, True, "human", None), ("s", True, False, "human", None), ("w", True, True, "machine", None)]
+    first = rows(engine.audit_label(d.where("decision_no < 2"), queued), "id", "exact_entity", "derived_from")
+    assert first == [("h", True, "s"), ("s", True, None)]
+    tries = [("a", 0, "GET", None, 0, "CERTIFICATE_VERIFY_FAILED", True), ("a", 1, "GET", 200, 1, None, False), ("b", 0, "GET", None, 0, "CERTIFICATE_VERIFY_FAILED", True), ("b", 1, "GET", 404, 0, None, False), ("c", 0, "GET", 200, 0, None, None)]
+    out = brief.fetch_outcomes(spark.createDataFrame(tries, "url string, attempt int, method string, status int, redirects int, error string, verified boolean"))
+    assert rows(out, "url", "state", "tls_verified") == [("a", "ok", False), ("b", "failed", True), ("c", "ok", True)]
+
+
 def test_changes_to_itself_are_none_and_samples_are_stable(spark, sf):
     from quarrystone.plans import projection as px
 
