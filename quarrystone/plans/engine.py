@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import audit, brief, reconcile, registry, report, sampling, site, synthesis
+from ..operators import audit, brief, reconcile, report, sampling, synthesis
 from ..sinks import review_sheet, write_viewer
 from ..storage import materialize
 from . import collect
@@ -27,28 +27,6 @@ class Run:
         return report.run_totals(self.envelopes, run_id, requested, budget)
 
 
-def official_claims(entities: DataFrame, roles: DataFrame, accounts: DataFrame, subunits: DataFrame) -> DataFrame:
-    """All registry claims of all organisations, one union over four payload tables."""
-    base = registry.entity_claims(entities)
-    held = registry.leadership(registry.roles(roles))
-    people = held.select("org", F.inline(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("leadership", "managing_director", "board_chair")))))
-    money = registry.financial_claims(registry.latest_filing(registry.filings(accounts))).select("org", "field", F.col("value").cast("string").alias("value"), "availability", "note")
-    places = registry.locations(subunits).groupBy("org").agg(F.array_join(F.array_sort(F.collect_list("item_key")), ",").alias("value"))
-    state = lambda df, field: df.select("org", field, "value", F.when(F.col("value").isNotNull(), "available").otherwise("not_available").alias("availability"), F.lit(None).cast("string").alias("note"))
-    return (
-        base.select("org", "field", "value", "availability", "note")
-        .unionByName(state(people, "field"))
-        .unionByName(money)
-        .unionByName(state(places.withColumn("field", F.lit("locations")), "field"))
-    )
-
-
-def site_claims(companies: DataFrame, pages: DataFrame) -> DataFrame:
-    """Website claims of organisations with a captured page; companies: the identity bundle."""
-    gated = site.gate(site.parsed(pages.select("org", "url", "html")).join(companies, "org"))
-    return site.website_claims(gated)
-
-
 #: Columns of claims that go with their value.
 CARRIED = {"confidence": "double", "currency": "string", "statement": "string", "identity_proof": "string", "url": "string", "sha": "string", "note": "string"}
 NO_RESULT = "no result produced for this organisation number"
