@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import ship
+from ..storage import keep, ship
 
 #: The kinds of the base in their order.
 KINDS = ("assign", "access", "hex", "novel")
@@ -42,7 +42,7 @@ SENSITIVE = re.compile(r"passw|secret|token|api.?key|access.?key|private.?key|au
 LEAST = 20  # characters of a candidate
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 REACH = 80  # characters between a sensitive word and a candidate
-WORDS = 3000  # words of the corpus in the dictionary
+WORDS = 3000  # words of the corpus in the dictionary, about
 WORD = r"[A-Za-z][A-Za-z_]{3,18}(?![A-Za-z_])"
 AROUND = 256  # characters of the surroundings on either side
 NOVELTY = 0.95  # share of the bytes that the same characters add in random order
@@ -126,11 +126,25 @@ def novel_spans(text: str, meter: NoveltyMeter) -> list[tuple[int, int, int]]:
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text", most: int = WORDS) -> list[str]:
-    """The words that save most bytes, by the number of documents that hold them and their length; at least two documents do."""
+    """About the `most` words that save most bytes, by the number of documents that hold them and their length; at least two documents do.
+
+    How many words save how much is counted first, in steps of a twentieth or so,
+    so that no more than the dictionary's own words ever come to the driver; of
+    the last step, which has too many, a hash chooses.
+    """
     held = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)))).alias("word"))
     counted = held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    best = counted.orderBy(F.desc(F.col("n") * F.length("word")), "word").limit(most).collect()  # a dictionary of bounded size
-    return [r.word for r in reversed(best)]
+    scored = keep(counted.select("word", (F.col("n") * F.length("word")).alias("score"), F.floor(F.log2(F.col("n") * F.length("word")) * 16).cast("int").alias("step")))
+    room, last, share = most, None, 1.0
+    for r in sorted(scored.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r.step):  # a thousand steps at most
+        last, share = r.step, room / r.words
+        if r.words >= room:
+            break
+        room -= r.words
+    few = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < F.lit(int(min(1.0, share) * (1 << 20)))
+    best = [] if last is None else scored.where((F.col("step") > last) | (F.col("step") == last) & few).collect()
+    scored.unpersist()
+    return [r.word for r in sorted(best, key=lambda r: (r.score, r.word))]
 
 
 def _line(spans: list[tuple[int, int, int]]) -> str:
