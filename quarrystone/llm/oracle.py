@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import host_rules, line_templates
+from . import host_rules, line_templates, mixing
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLDED = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -87,4 +87,22 @@ n AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY 1)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines, 0) - coalesce(n, 0) AS n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
-SQL = {"op2_decontaminate": OP2, "op3_jaccard_join": OP3, "op7_host_rules": OP7, "op8_recompression": OP8, "op9_line_templates": OP9}
+_ROUNDS = f"""t AS (SELECT source, source_size, weight, {mixing.MOST_EPOCHS} * source_size AS most FROM r),
+-- the share of a weight if the sources up to this one, by their limit for each weight, are at their limits
+o AS (SELECT *, sum(most) OVER w AS held, sum(weight) OVER w AS gone FROM t WINDOW w AS (ORDER BY most / weight, source NULLS LAST)),
+c AS (SELECT 0 AS held, 0 AS gone, 0::DOUBLE AS limit_ UNION ALL SELECT held, gone, most / weight FROM o),
+s AS (SELECT max(((SELECT sum(source_size) FROM t) - held)::DOUBLE / ((SELECT sum(weight) FROM t) - gone)) AS share FROM c WHERE gone < (SELECT sum(weight) FROM t) AND held <= (SELECT sum(source_size) FROM t))"""
+OP12 = f"""WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, CAST(len(regexp_extract_all(coalesce(text, ''), {PLAIN})) AS BIGINT) AS size FROM documents),
+k AS (SELECT doc_id, source, size, -ln((('0x' || substr(md5(concat_ws(chr(10), '{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), md5(text))), 1, {mixing.BITS // 4}))::BIGINT + 0.5::DOUBLE) / {1 << mixing.BITS}::DOUBLE)
+  / CASE WHEN size > 0 THEN {mixing.LEAST_QUALITY}::DOUBLE + {1 - mixing.LEAST_QUALITY}::DOUBLE * (size - len(list_filter(regexp_extract_all(text, {PLAIN}), lambda x: regexp_matches(x, '[{mixing.ODD}]')))) / size ELSE {mixing.LEAST_QUALITY}::DOUBLE END AS key FROM d),
+g AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM k GROUP BY source),
+r AS (SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM g),
+{_ROUNDS},
+p AS (SELECT source, source_size, least(most::DOUBLE, weight * share) AS target FROM t, s),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(least({mixing.MOST_EPOCHS}, floor(target / source_size)) AS BIGINT) ELSE 0 END AS epochs FROM p),
+b AS (SELECT *, CASE WHEN epochs < {mixing.MOST_EPOCHS} THEN CAST(round(target - epochs * source_size) AS BIGINT) ELSE 0 END AS budget FROM e),
+a AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM k)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + least(size, greatest(0, budget - ahead)) AS BIGINT) AS taken
+FROM a JOIN b ON a.source IS NOT DISTINCT FROM b.source"""
+
+SQL = {"op12_mixing": OP12, "op2_decontaminate": OP2, "op3_jaccard_join": OP3, "op7_host_rules": OP7, "op8_recompression": OP8, "op9_line_templates": OP9}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import table
-from . import bpe, chosen_path, fm_index, host_rules, line_templates, oracle, recompression, secrets, sharding, surrogates, warc
+from . import bpe, chosen_path, fm_index, host_rules, line_templates, mixing, oracle, recompression, secrets, sharding, surrogates, turns, warc, whitening
 
 SHARDS = 8
 SURROGATE_KEY = "registered-query-key"  # a caller keeps its own key secret
@@ -78,8 +78,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dropped = turns.damaged(table(spark, sf_dir, "conversations"))
+    found = turns.digests(turns.prepared(rows), dropped)
+    return found.withColumnRenamed("id", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_decontaminate, op3_jaccard_join, op4_secrets, op5_surrogates, op6_warc, op7_host_rules, op8_recompression, op9_line_templates, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_decontaminate, op3_jaccard_join, op4_secrets, op5_surrogates, op6_warc, op7_host_rules, op8_recompression, op9_line_templates, op10_byte_bpe, op11_whitening, op12_mixing, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
