@@ -70,15 +70,16 @@ words AS (SELECT doc_id, w[q] AS word, q FROM (SELECT doc_id, w, unnest(range(1,
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY q) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, q) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) AS BIGINT) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)"""
 
-_D, _S = line_templates.DEPTH, line_templates.SEGMENTS
-_EDGE = lambda j: f"({_D} + ((n - {_D}) * {j}) // {_S})"
-_STRETCH = lambda j: f"array_to_string(m[{_EDGE(j)} + 1 : {_EDGE(j + 1)}], ' ')"
-_TEMPLATE = lambda j: f"concat_ws(chr(10), '{j}', n, array_to_string(m[1 : {_D}], ' '), " + ", ".join(_STRETCH(i) for i in range(_S) if i != j) + ")"
+_S = line_templates.STRETCHES
+_STRETCH = lambda j: f"m[(n * {j}) // {_S} + 1 : (n * {j + 1}) // {_S}]"
+_HELD = lambda free: [_STRETCH(j) for j in range(_S) if j not in free]
+_FIXED = lambda free: " + ".join(f"len(list_filter({x}, lambda t: t <> '<*>'))" for x in _HELD(free))
+_PATH = lambda free: f"CASE WHEN {_FIXED(free)} >= greatest({line_templates.LEAST_FIXED}, n // 2) THEN concat_ws(chr(10), '{free}', n, {', '.join(f'array_to_string({x}, chr(32))' for x in _HELD(free))}) END"
 _OWN = "concat_ws(chr(10), 'whole', CASE WHEN len(list_filter(m, lambda t: t <> '<*>')) = 0 THEN array_to_string(w, ' ') ELSE array_to_string(m, ' ') END)"
+# all paths that hold enough, those that lie within wider ones, too
 OP9 = f"""WITH l AS (SELECT doc_id, p, x[p] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p FROM documents)),
 m AS (SELECT doc_id, p, w, list_transform(w, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS m, len(w) AS n FROM (SELECT doc_id, p, regexp_extract_all(line, {PLAIN}) AS w FROM l)),
-k AS (SELECT doc_id, p, unnest([{', '.join(_TEMPLATE(j) for j in range(_S))}]) AS k, {line_templates.MIN_DOCS} AS least FROM m WHERE n >= {line_templates.MIN_TOKENS}
-  UNION ALL SELECT doc_id, p, concat_ws(chr(10), 'lead', n, {', '.join(_STRETCH(j) for j in range(_S))}) AS k, {line_templates.MIN_DOCS} AS least FROM m WHERE n >= {line_templates.LEAD_TOKENS}
+k AS (SELECT * FROM (SELECT doc_id, p, unnest([{', '.join(_PATH(free) for free in line_templates.PATHS)}]) AS k, {line_templates.MIN_DOCS} AS least FROM m) WHERE k IS NOT NULL
   UNION ALL SELECT doc_id, p, {_OWN} AS k, {line_templates.WHOLE_DOCS} AS least FROM m WHERE n > 0),
 known AS (SELECT k, min(doc_id) AS first FROM k GROUP BY k, least HAVING count(DISTINCT doc_id) >= least),
 gone AS (SELECT DISTINCT doc_id, p FROM k JOIN known USING (k) WHERE doc_id <> first),

@@ -130,3 +130,29 @@ def near(rows, least=0.8):
     for i in range(len(rows)):
         classes[root(i)].append(rows[i][0])
     return [(rows[i][0], min(classes[root(i)]), links[i]) for i in range(len(rows))]
+
+
+def line_templates(rows, least_fixed=4, min_docs=3, whole_docs=2):
+    """(id, lines that stay) of (id, text): every choice of at most two free stretches of four, over plain tokens."""
+    from itertools import combinations
+
+    holders, of_line = defaultdict(set), {}
+    for i, text in rows:
+        for p, line in enumerate((text or "").split("\n")):
+            tokens = SPACE.findall(line)
+            masked = ["<*>" if re.search("[0-9]", t) else t for t in tokens]
+            n = len(masked)
+            if not n:
+                continue
+            keys = {("whole", *(masked if set(masked) != {"<*>"} else ["", *tokens]))}
+            cuts = [n * j // 4 for j in range(5)]
+            for free in [c for k in (1, 2) for c in combinations(range(4), k)]:
+                shown = tuple(tuple(masked[cuts[j] : cuts[j + 1]]) if j not in free else None for j in range(4))
+                fixed = sum(t != "<*>" for s in shown if s for t in s)
+                if fixed >= least_fixed and fixed >= n // 2:
+                    keys.add((n, shown))
+            of_line[i, text, p] = keys
+            for k in keys:
+                holders[k].add(i)
+    goes = lambda i, k: len(holders[k]) >= (whole_docs if k[0] == "whole" else min_docs) and i != min(holders[k])
+    return [(i, text and "\n".join(x for p, x in enumerate(text.split("\n")) if not any(goes(i, k) for k in of_line.get((i, text, p), ())))) for i, text in rows]
