@@ -4,11 +4,15 @@ The patterns of the base find assignments to secret-like names, access keys and
 long hexadecimal runs. Beyond them, each long string that stands close to a
 sensitive word, behind or before it, is compressed after its surroundings, by a
 compressor primed with a dictionary of identifiers: a fixed list of what code says
-often, and the words that the corpus's documents share. The bytes that it adds to
-the compressed surroundings, against those that its own characters add in random
-order, are its novelty: 1 for a string of which the dictionary and the surroundings
-know nothing, less for one that is made of known words. Strings that stay
-incompressible are reported as ``novel``, one span for each string.
+often, and the words that the corpus's documents share. Further copies of the string,
+or of twenty characters of it, are taken out of the surroundings, so that a key that is declared and used close by
+does not hide itself. The bytes that it adds to the compressed surroundings, against
+those that its own characters add in random order, are its novelty: 1 for a string of
+which the dictionary and the surroundings know nothing, less for one that is made of
+known words. Strings that stay incompressible are reported as ``novel``, one span for
+each string. A string that holds sensitive words is measured stretch by stretch, on
+both sides of each word; neighbours that are both novel are one span, the word with
+them. Parts joined by dots are one string.
 
 The corpus's words are counted over all documents by Spark; the dictionary holds
 the ``WORDS`` that save most, letters only and shorter than any candidate, so that
@@ -40,7 +44,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ with 24 characters o
 
 SENSITIVE = re.compile(r"passw|secret|token|api.?key|access.?key|private.?key|auth|cred|bearer|signature", re.IGNORECASE | re.ASCII)
 LEAST = 20  # characters of a candidate
-CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-][A-Za-z0-9+/_=.-]{{{LEAST - 2},}}[A-Za-z0-9+/_=-]")
 REACH = 80  # characters between a sensitive word and a candidate
 WORDS = 3000  # words of the corpus in the dictionary, about
 WORD = r"[A-Za-z][A-Za-z_]{3,18}(?![A-Za-z_])"
@@ -103,26 +107,54 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Long strings close to a sensitive word; of a string that holds such words, what follows the last one that leaves enough."""
-    runs = [c.span() for c in CANDIDATE.finditer(text)]
-    if not runs:
-        return
-    words = [m.span() for m in SENSITIVE.finditer(text)]
-    starts, ends = [w[0] for w in words], [w[1] for w in words]
-    for start, end in runs:
-        inside = next((ends[k] for k in range(bisect_right(ends, end - LEAST) - 1, -1, -1) if ends[k] > start), None) if words else None
-        before = bisect_right(ends, start) - 1  # the last that ends before the run
-        after = bisect_left(starts, end)  # the first that begins behind it
-        if inside is not None:
-            yield inside, end
-        elif before >= 0 and start - ends[before] <= REACH or after < len(words) and starts[after] - end <= REACH:
-            yield start, end
+def candidates(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Long strings close to a sensitive word, each as its stretches between the sensitive words that it holds."""
+    words: list[tuple[int, int]] | None = None
+    for run in CANDIDATE.finditer(text):
+        if words is None:
+            words = [m.span() for m in SENSITIVE.finditer(text)]
+            starts, ends = [w[0] for w in words], [w[1] for w in words]
+        start, end = run.span()
+        first, behind = bisect_right(ends, start), bisect_left(starts, end)  # words[first:behind] meet the run
+        if first < behind:
+            edges = [start, *(x for k in range(first, behind) for x in (max(start, starts[k]), min(end, ends[k]))), end]
+            yield [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if b - a >= LEAST]
+        elif first and start - ends[first - 1] <= REACH or behind < len(words) and starts[behind] - end <= REACH:
+            yield [(start, end)]
+
+
+def surroundings(text: str, start: int, end: int, reach: int = AROUND) -> tuple[str, str]:
+    """What stands before and behind a string, without copies of it or of LEAST characters of it; those that the border cuts go, too."""
+    own, half = text[start:end], LEAST // 2
+
+    def without(low: int, high: int) -> str:
+        # LEAST characters that are shared hold one of these blocks
+        if not any(text[i : i + half] in own for i in range(max(0, low - LEAST + 1), high + half, half + 1)):
+            return text[low:high]
+        kept, at = [], low
+        for i in range(max(0, low - LEAST + 1), min(high, len(text) - LEAST + 1)):
+            if text[i : i + LEAST] in own:
+                kept.append(text[at:i])  # nothing where copies meet
+                at = max(at, min(high, i + LEAST))
+        return "".join(kept) + text[at:high]
+
+    return without(max(0, start - reach), start), without(end, min(len(text), end + reach))
 
 
 def novel_spans(text: str, meter: NoveltyMeter) -> list[tuple[int, int, int]]:
     """(start, kind, end) of incompressible strings close to a sensitive word."""
-    return [(s, 3, e) for s, e in candidates(text) if meter.novelty(text[max(0, s - AROUND) : s], text[s:e], text[e : e + AROUND]) >= NOVELTY]
+    found: list[tuple[int, int, int]] = []
+    for stretches in candidates(text):
+        last = None  # the stretch before, if it is novel
+        for s, e in stretches:
+            before, after = surroundings(text, s, e)
+            novel = meter.novelty(before, text[s:e], after) >= NOVELTY
+            if novel and last is not None and SENSITIVE.fullmatch(text, last, s):
+                found[-1] = (found[-1][0], 3, e)
+            elif novel:
+                found.append((s, 3, e))
+            last = e if novel else None
+    return found
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text", most: int = WORDS) -> list[str]:

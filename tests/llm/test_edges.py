@@ -193,6 +193,60 @@ def test_novelty_on_both_sides_and_once_for_a_string():
     assert secrets.novel_spans(text, meter) == [(text.index("secret_Z") + 6, 3, len(text))]  # behind the last word, not from each
 
 
+def test_copies_of_a_key_do_not_hide_it():
+    meter, key = secrets.NoveltyMeter(), "Zq8xW2nLr5TyUv0BcD9eFg1H"
+    assert secrets.novel_spans(f"bearer {key} and bearer {key}", meter) == [(7, 3, 31), (43, 3, 67)]
+    assert len(secrets.novel_spans(f"token {key} " + "x " * 100 + f"auth {key}{'y ' * 30}", meter)) == 2
+    text = f"{key}X{key}Y{key}"
+    for reach in (5, 23, 256):  # a copy that the border cuts goes, too
+        assert secrets.surroundings(text, 25, 49, reach) == ("X", "Y")
+
+
+def test_strings_on_both_sides_of_a_word_within_them():
+    meter, draw = secrets.NoveltyMeter(), random.Random(12)
+    made = lambda k: "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=k))
+    a, b = made(60), made(40)
+    assert secrets.novel_spans(f"bearer {a}auth{b} x", meter) == [(7, 3, 111)]
+    assert secrets.novel_spans(f"bearer {a}authorization_provider_secret_{b} x", meter) == [(7, 3, 67), (96, 3, 137)]
+
+
+def test_parts_joined_by_dots_are_one_string():
+    meter, draw = secrets.NoveltyMeter(), random.Random(13)
+    parts = ["".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-", k=k)) for k in (36, 120, 43)]
+    token = ".".join(parts)
+    assert secrets.novel_spans(f"authorization: bearer {token}. Next", meter) == [(22, 3, 22 + len(token))]
+    assert secrets.novel_spans("auth " + "." * 90 + " end", meter) == []
+
+
+def test_texts_of_very_many_words_and_strings():
+    """In proportion to the text: looking back from each string over all words would take hours."""
+    import time
+
+    class Plain:
+        def novelty(self, *_):
+            return 0.0
+
+    text = " ".join(f"secret configurationconnections{n % 7}abcdefgh" for n in range(100_000))
+    began = time.time()
+    assert secrets.novel_spans(text, Plain()) == [] and sum(1 for _ in secrets.candidates(text)) == 100_000
+    assert sum(1 for _ in secrets.candidates("secret " * 100_000 + "x" * 100 + " " + "abcdefghijklmnopqrstu " * 100_000)) < 10
+    assert time.time() - began < 60
+
+
+def test_all_long_keys_are_novel(spark, sf):
+    """Whatever the base finds as hexadecimal beside a sensitive word, the measure finds by itself."""
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    meter, missed, all_ = secrets.NoveltyMeter(secrets.corpus_words(docs)), [], 0
+    for r in docs.where(F.col("text").rlike("[0-9a-f]{24}")).collect():
+        novel = secrets.novel_spans(r.text, meter)
+        near = [s for stretches in secrets.candidates(r.text) for s in stretches]
+        for s, k, e in secrets.base_spans(r.text):
+            if k == 2 and any(a <= s and e <= b for a, b in near):
+                all_ += 1
+                missed += [] if any(a <= s and e <= b for a, _, b in novel) else [(r.doc_id, s, e)]
+    assert all_ >= 10 and missed == []
+
+
 def test_words_of_the_dictionary(spark):
     rows = [(f"{'often ' if n < 9 else ''}{'sometimes ' if n < 4 else ''}alone{chr(97 + n)} common common pair{chr(97 + n // 2)}x a9b9c9d9",) for n in range(10)] + [(None,), ("",)]
     df = spark.createDataFrame(rows, "text string")
