@@ -185,7 +185,7 @@ def _shown(markup: str, collapsed: bool = True) -> str:
     """What a reader sees of markup: no comments, scripts and styles, no tags, entities spelt out, blanks as one space."""
     x = f"regexp_replace(regexp_replace({markup}, '(?s)<!--.*?-->|<(script|style|noscript|svg)[ >].*?</(script|style|noscript|svg)>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
     for name, char in _ENTITIES:
-        x = f"replace({x}, '{name}', '{char}')"
+        x = f"regexp_replace({x}, '{name}?', '{char}', 'g')"  # references are read without their semicolon, too
     return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))" if collapsed else f"trim({x})"
 
 
@@ -297,7 +297,7 @@ SQL: dict[str, str] = {
     "coverage_flags": f"WITH {_CLAIMS} SELECT org, {_has('places.rating', 'rating')}, {_has('official_website', 'website')}, {_has('wikidata.qid', 'wikidata')}, {_has('financials.revenue', 'accounts')} FROM claims GROUP BY org",
     "snapshot_dedupe": "SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, count(*) AS n FROM events GROUP BY 1, 2",
     "lookup_chunks": f"WITH {px.COMPANIES_SQL}, n AS (SELECT org, (row_number() OVER (ORDER BY org) - 1) // 50 AS chunk FROM companies) SELECT chunk, count(*) AS n, min(org) AS first FROM n GROUP BY 1",
-    "page_titles": r"""SELECT page_id, left(regexp_replace(replace(replace(replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '^$', ''), 300) AS title, CAST(len(regexp_extract_all(html, '<a [^>]*href')) AS BIGINT) AS n_links FROM pages""",
+    "page_titles": f"WITH {_PAGES} SELECT page_id, title, CAST(len(regexp_extract_all(html, '<a [^>]*href')) AS BIGINT) AS n_links FROM page JOIN seen USING (page_id)",
     "site_briefs": f"""WITH {_BRIEFS} SELECT * FROM briefs""",
     "hint_counts": f"""WITH {_BRIEFS} SELECT split_part(hint, ' - ', 1) AS hint, count(*) AS n FROM briefs GROUP BY 1""",
     "knowledge_briefs": f"WITH t AS (SELECT {px.org_sql('p_partkey')} AS org, p_partkey % 5 = p_partkey % 7 AS same_site, p_partkey % 2 = 0 AND len(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda t: len(t) > 1 AND NOT list_contains([{_WORDS}], t))) > 0 AS named FROM part) SELECT org, same_site, same_site OR named AS corroborated FROM t",
@@ -352,7 +352,10 @@ SQL: dict[str, str] = {
           len(list_filter(list_transform(regexp_extract_all(body_text, '(?:^|[^0-9])([0-9]{{3}}[\\s. ]?[0-9]{{3}}[\\s. ]?[0-9]{{3}})(?:[^0-9]|$)', 1), lambda x: regexp_replace(x, '[^0-9]', '', 'g')), lambda x: {_valid('x')})) AS others FROM page),
         p AS (SELECT *, CASE WHEN page_id % 4 = 0 OR (page_id % 4 = 1 AND org = other) THEN 'org_number_labelled_on_page' WHEN page_id % 4 = 2 AND others = 0 AND core > 0 AND NOT (core = 1 AND size < 100) THEN 'registry_site_corroborated' ELSE '' END AS proof FROM n)
         SELECT page_id, org, proof, CAST(CASE proof WHEN 'org_number_labelled_on_page' THEN 1.0 WHEN 'registry_site_corroborated' THEN 0.93 ELSE 0.5 END AS DOUBLE) AS confidence, CASE WHEN proof <> '' THEN 'available' ELSE 'ambiguous' END AS state FROM p""",
-    "activity_posts": "SELECT page_id, 0 AS pos, 'Nytt' AS title, '2026-09-14' AS date, CAST(NULL AS VARCHAR) AS url FROM pages",
+    "activity_posts": """SELECT page_id, 0 AS pos, 'Nytt' AS title, ['2026-09-', '2026-03-', '2025-11-', '2025-04-'][page_id % 5 + 1] || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS date, regexp_extract(url, '^https?://[^/]+') || '/nytt/' || page_id AS url FROM pages WHERE page_id % 5 <> 4""",
+    "listed_posts": """WITH t AS (SELECT page_id, lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS day, regexp_replace(url, '[^/]*$', '') AS base, regexp_extract(html, '<title>([A-Za-z ]*)', 1) AS words FROM pages)
+        SELECT page_id, 0 AS pos, trim(regexp_replace('Andre publisert ' || (page_id % 28 + 1) || '. mai 2025 avsnitt ' || words, ' +', ' ', 'g')) AS title, '2025-05-' || day AS date, CAST(NULL AS VARCHAR) AS url FROM t
+        UNION ALL SELECT page_id, 1, 'Sak ' || page_id, '2025-01-' || day, base || 'sak/' || page_id FROM t""",
     "viewer_stats": f"""WITH {_CLAIMS}, s AS (SELECT {px.org_sql('(user_id + 1)')} AS org, count(DISTINCT event_id % 7) > 1 AS several FROM events GROUP BY 1),
         f AS (SELECT org, {_has('places.rating', 'rating')}, {_has('official_website', 'website')}, {_has('wikidata.qid', 'wikidata')}, {_has('financials.revenue', 'accounts')} FROM claims GROUP BY 1)
         SELECT count(*) AS companies, {', '.join(f"CAST(floor(count_if({x}) * 100 / count(*) + 0.5) AS BIGINT) AS {n}" for x, n in (("coalesce(several, false)", "two_platforms"), ("rating", "rating"), ("website", "website"), ("wikidata", "wikidata"), ("accounts", "accounts")))} FROM f LEFT JOIN s USING (org)""",
