@@ -62,6 +62,34 @@ def changes_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.changes(*_both(spark, sf_dir)).groupBy("change_type", "materiality").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _repeated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    before, after = _both(spark, sf_dir)
+    return px.with_repeats(before, False), px.with_repeats(after, True)
+
+
+@_query
+def repeated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that tell of some fields twice: each claim is compared with the last one of its field."""
+    return reconcile.changes(*_repeated(spark, sf_dir)).select("org", "field", "change_type", "materiality", "old_value", "new_value", "note")
+
+
+@_query
+def repeated_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.refresh_report(*_repeated(spark, sf_dir))
+
+
+@_query
+def observed_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How long each state of a field lasted, over ten runs, and over thousands of one organisation's."""
+    return reconcile.intervals(px.runs(spark, sf_dir)).drop("currency", "statement")
+
+
+@_query
+def claims_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reconcile.as_of(px.probes(spark, sf_dir), px.dated_claims(spark, sf_dir))
+    return found.select("probe_id", "org", "at", "claim.claim_id", F.col("claim.at").alias("since"))
+
+
 @_query
 def select_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.representative(px.companies(spark, sf_dir), 100, "seed-1").select("org", "stratum", "rank")

@@ -7,10 +7,11 @@ from ..operators.reconcile import FINANCIAL
 from . import collect
 from . import projection as px
 
-_CHANGES = f"""{px.FULL_SQL},
-paired AS (SELECT org, field, p.org IS NOT NULL AS was, c.org IS NOT NULL AS now_, p.availability AS pa, c.availability AS ca, p.value AS pv, c.value AS cv, p.period AS pp, c.period AS cp, p.items AS pi, c.items AS ci,
+def _changes_of(previous: str, current: str) -> str:
+    """Changes between two tables of claims, of which the first has one for each field."""
+    return f"""paired AS (SELECT org, field, p.org IS NOT NULL AS was, c.org IS NOT NULL AS now_, p.availability AS pa, c.availability AS ca, p.value AS pv, c.value AS cv, p.period AS pp, c.period AS cp, p.items AS pi, c.items AS ci,
     p.url AS purl, c.url AS curl, p.retrieved_at AS prt, c.retrieved_at AS crt, p.sha AS psha, c.sha AS csha, p.evidence_id AS pev, c.evidence_id AS cev, p.first_seen AS pfirst
-  FROM (SELECT * FROM p_all WHERE org IN (SELECT org FROM c_all)) p FULL JOIN c_all c USING (org, field)),
+  FROM (SELECT * FROM {previous} WHERE org IN (SELECT org FROM {current})) p FULL JOIN {current} c USING (org, field)),
 typed AS (SELECT *, CASE
     WHEN NOT was OR NOT now_ THEN NULL
     WHEN ca IN ('failed', 'blocked') AND pa = 'available' THEN 'source_unavailable'
@@ -45,6 +46,13 @@ changes AS (SELECT org, field, change_type,
     CASE WHEN item IS NOT NULL AND field = 'locations' THEN 'place ' || item END AS item_place
   FROM told)"""
 
+
+_CHANGES = f"{px.FULL_SQL}, {_changes_of('p_all', 'c_all')}"
+_AGAIN = f"{px.REPEATS_SQL}, {_changes_of('p_last', 'c_rep')}"
+_FALSE = f"{px.REPEATS_SQL}, {_changes_of('c_last', 'c_rep')}"
+_REPORT = """count(*) AS changes, count_if(materiality = 'material') AS material, count_if(change_type = 'source_unavailable') AS preserved,
+        coalesce(bool_and((new_value IS NULL OR old_url IS NOT NULL OR new_url IS NOT NULL) AND (old_value IS NULL OR change_type = 'became_available' OR old_url IS NOT NULL OR new_url IS NOT NULL)), true) AS evidence_complete"""
+
 _ITEMS = f"""items AS (SELECT {px.org_sql('o_custkey')} AS org, CAST(l_suppkey AS VARCHAR) AS item_key, o_orderdate AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
 was AS (SELECT DISTINCT org, item_key FROM items WHERE d >= TIMESTAMP '{px.PREVIOUS[0]}' AND d < TIMESTAMP '{px.PREVIOUS[1]}'),
 now_ AS (SELECT DISTINCT org, item_key FROM items WHERE d >= TIMESTAMP '{px.CURRENT[0]}' AND d < TIMESTAMP '{px.CURRENT[1]}')"""
@@ -200,18 +208,27 @@ SQL: dict[str, str] = {
     "reconcile_claims": f"""WITH {_CHANGES} SELECT org, field, CASE WHEN k THEN pv ELSE cv END AS value, CASE WHEN k THEN pa ELSE ca END AS availability,
         CASE WHEN k THEN pp ELSE cp END AS period, CASE WHEN k THEN pev ELSE cev END AS evidence_id,
         CASE WHEN k THEN pfirst WHEN was AND kind IS NULL THEN coalesce(pfirst, crt) ELSE crt END AS first_observed_at,
-        CASE WHEN k THEN prt ELSE crt END AS last_observed_at, kind IS NOT DISTINCT FROM 'source_unavailable' AS stale, CASE WHEN kind = 'source_unavailable' THEN ca END AS refresh_status
+        CASE WHEN k THEN prt ELSE crt END AS last_observed_at, kind IS NOT DISTINCT FROM 'source_unavailable' AS stale, CASE WHEN kind = 'source_unavailable' THEN ca END AS refresh_status, CASE WHEN kind = 'source_unavailable' THEN prt END AS last_confirmed_at
         FROM (SELECT *, kind IS NOT DISTINCT FROM 'source_unavailable' OR NOT now_ AS k FROM typed)""",
     "carried_evidence": f"WITH {_CHANGES} SELECT DISTINCT org, pev AS evidence_id, purl AS url, psha AS sha FROM typed t WHERE (kind = 'source_unavailable' OR NOT now_) AND pev IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c_all c WHERE c.org = t.org AND c.evidence_id = t.pev)",
     "list_item_changes": f"""WITH {_ITEMS} SELECT org, 'locations' AS field, item_key, 'new_location' AS change_type, 'material' AS materiality FROM now_ ANTI JOIN was USING (org, item_key)
         UNION ALL SELECT org, 'locations', item_key, 'closed_location', 'material' FROM was ANTI JOIN now_ USING (org, item_key)""",
     "dropped_and_new_orgs": f"""WITH {px.FULL_SQL}, a AS (SELECT DISTINCT org FROM p_all), b AS (SELECT DISTINCT org FROM c_all)
         SELECT org, 'dropped' AS membership FROM a ANTI JOIN b USING (org) UNION ALL SELECT org, 'new' FROM b ANTI JOIN a USING (org)""",
-    "refresh_report": f"""WITH {_CHANGES}, n AS (SELECT count(*) AS changes, count_if(materiality = 'material') AS material, count_if(change_type = 'source_unavailable') AS preserved,
-        coalesce(bool_and((new_value IS NULL OR old_url IS NOT NULL OR new_url IS NOT NULL) AND (old_value IS NULL OR change_type = 'became_available' OR old_url IS NOT NULL OR new_url IS NOT NULL)), true) AS evidence_complete FROM changes),
-        again AS (SELECT count(*) AS self_changes FROM c_all x JOIN c_all y USING (org, field) WHERE x.value IS DISTINCT FROM y.value OR x.period IS DISTINCT FROM y.period OR x.availability IS DISTINCT FROM y.availability),
-        lost AS (SELECT count(DISTINCT org) AS dropped FROM p_all WHERE org NOT IN (SELECT org FROM c_all))
+    "refresh_report": f"""WITH {_CHANGES}, n AS (SELECT {_REPORT} FROM changes), lost AS (SELECT count(DISTINCT org) AS dropped FROM p_all WHERE org NOT IN (SELECT org FROM c_all))
+        SELECT changes, material, preserved, evidence_complete, 0 AS self_changes, dropped, evidence_complete AND dropped = 0 AS passed FROM n, lost""",
+    "repeated_changes": f"WITH {_AGAIN} SELECT org, field, change_type, materiality, old_value, new_value, note FROM changes",
+    "repeated_report": f"""WITH n AS (WITH {_AGAIN} SELECT {_REPORT} FROM changes), again AS (WITH {_FALSE} SELECT count(*) AS self_changes FROM changes), lost AS (WITH {px.FULL_SQL} SELECT count(DISTINCT org) AS dropped FROM p_all WHERE org NOT IN (SELECT org FROM c_all))
         SELECT changes, material, preserved, evidence_complete, self_changes, dropped, evidence_complete AND self_changes = 0 AND dropped = 0 AS passed FROM n, again, lost""",
+    "observed_intervals": f"""WITH {px.RUNS_SQL},
+        m AS (SELECT *, availability IN ('failed', 'blocked') AND last_value(CASE WHEN availability NOT IN ('failed', 'blocked') THEN availability END IGNORE NULLS) OVER w IS NOT DISTINCT FROM 'available' AS missing FROM runs WINDOW w AS (PARTITION BY org, field ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        c AS (SELECT *, value IS NOT DISTINCT FROM lag(value) OVER w AND availability = lag(availability) OVER w AND period IS NOT DISTINCT FROM lag(period) OVER w AS goes_on FROM m WHERE NOT missing WINDOW w AS (PARTITION BY org, field ORDER BY run)),
+        i AS (SELECT *, count_if(NOT coalesce(goes_on, false)) OVER (PARTITION BY org, field ORDER BY run) AS island FROM c),
+        s AS (SELECT org, field, island, any_value(value) AS value, any_value(availability) AS availability, any_value(period) AS period, min_by(retrieved_at, run) AS first_observed_at, max_by(retrieved_at, run) AS last_observed_at, count(*) AS runs, min(run) AS since FROM i GROUP BY ALL),
+        g AS (SELECT m.org, m.field, max(s.since) AS since, m.run FROM m JOIN s ON s.org = m.org AND s.field = m.field AND s.since < m.run WHERE missing GROUP BY m.org, m.field, m.run),
+        n AS (SELECT org, field, since, count(*) AS missed FROM g GROUP BY ALL)
+        SELECT org, field, value, availability, period, first_observed_at, last_observed_at, runs, coalesce(missed, 0) AS missed, since FROM s LEFT JOIN n USING (org, field, since)""",
+    "claims_as_of": f"WITH {px.AS_OF_SQL} SELECT probe_id, probes.org, probes.at, claim_id, held.at AS since FROM probes ASOF LEFT JOIN held ON probes.org = held.org AND probes.at >= held.at",
     "changes_by_type": f"WITH {_CHANGES} SELECT change_type, materiality, count(*) AS n FROM changes GROUP BY ALL",
     "select_representative": f"""WITH {_RANKED}, s AS (SELECT stratum, count(*) AS n FROM ranked GROUP BY 1), t AS (SELECT sum(n) AS total FROM s),
         e AS (SELECT stratum, n, least(n, CAST(floor(CAST(n AS DOUBLE) * 100 / total) AS BIGINT)) AS base, CAST(n AS DOUBLE) * 100 / total - floor(CAST(n AS DOUBLE) * 100 / total) AS rest FROM s, t),

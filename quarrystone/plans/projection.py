@@ -290,3 +290,67 @@ def adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = companies(spark, sf_dir).where("key % 8 = 0").select("org", "name", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
     body = F.to_json(F.struct(F.struct(F.concat("org", F.lit("-"), F.col("n").cast("string")).alias("uuid"), F.col("name").alias("title"), F.struct(F.col("org").alias("orgnr")).alias("employer"), F.lit("2026-01-01").alias("published")).alias("ad_content")))
     return c.select(F.concat(F.lit("https://ads.example/"), "org", F.lit("/"), F.col("n").cast("string")).alias("url"), body.alias("body"), F.lit("2026-01-02").alias("retrieved_at"), F.sha2("org", 256).alias("sha"))
+
+
+def with_repeats(claims: DataFrame, current: bool) -> DataFrame:
+    """claims with their places, and a second claim of the same field behind some of two fields' claims."""
+    key = F.substring("org", 1, 8).cast("long") - 80_000_000
+    again = claims.where(F.col("field").isin("website_description", "employees_registered", "locations") & (key % (7 if current else 5) == 0))
+    told = F.when(F.col("field") == "locations", F.col("value")).otherwise(F.concat("value", F.lit("-n" if current else "-p")))
+    return claims.withColumn("pos", F.lit(0)).unionByName(again.withColumn("value", told).withColumn("pos", F.lit(1)))
+
+
+def _repeats_sql(name: str, current: bool) -> str:
+    told = f"CASE WHEN field = 'locations' THEN value ELSE value || '-{'n' if current else 'p'}' END"
+    return f"""{name}_rep AS (SELECT *, 0 AS pos FROM {name}_all UNION ALL BY NAME SELECT * REPLACE ({told} AS value), 1 AS pos FROM {name}_all
+  WHERE field IN ('website_description', 'employees_registered', 'locations') AND (CAST(substr(org, 1, 8) AS BIGINT) - 80000000) % {7 if current else 5} = 0)"""
+
+
+REPEATS_SQL = f"""{FULL_SQL}, {_repeats_sql('p', False)}, {_repeats_sql('c', True)},
+p_last AS (SELECT * FROM p_rep QUALIFY row_number() OVER (PARTITION BY org, field ORDER BY pos DESC) = 1),
+c_last AS (SELECT * FROM c_rep QUALIFY row_number() OVER (PARTITION BY org, field ORDER BY pos DESC) = 1)"""
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims over many runs: a customer's last order of each priority in each of ten stretches of time.
+
+    A third of all customers' orders are told of one organisation, each in a run of its own.
+    """
+    o = table(spark, sf_dir, "orders")
+    hot = F.col("o_custkey") % 3 == 0
+    run = F.when(hot, F.col("o_orderkey")).otherwise(F.floor(F.datediff("o_orderdate", F.lit("1992-01-01")) / 250))
+    rows = o.select(org_of(F.when(hot, 1).otherwise(F.col("o_custkey"))).alias("org"), F.concat(F.lit("orders."), F.substring("o_orderpriority", 1, 1)).alias("field"), run.cast("long").alias("run"), F.struct("o_orderdate", "o_orderkey", "o_totalprice").alias("o"))
+    last = rows.groupBy("org", "field", "run").agg(F.max("o").alias("o")).select("org", "field", "run", "o.*")
+    k = F.col("o_orderkey")
+    state = F.when(k % 7 == 0, "failed").when(k % 11 == 0, "not_available").when(k % 13 == 0, "blocked").otherwise("available")
+    has = state == "available"
+    none = F.lit(None).cast("string")
+    return last.select(
+        "org", "field", "run", F.when(has, F.floor(F.col("o_totalprice") / 150_000).cast("string")).alias("value"), state.alias("availability"), F.when(has & (k % 5 == 0), "half").alias("period"),
+        none.alias("currency"), none.alias("statement"), F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("/"), k.cast("string")).alias("retrieved_at"),
+    )
+
+
+RUNS_SQL = f"""runs AS (
+  SELECT org, field, run, CASE WHEN has THEN CAST(CAST(floor(o_totalprice / 150000) AS BIGINT) AS VARCHAR) END AS value, availability, CASE WHEN has AND k % 5 = 0 THEN 'half' END AS period, strftime(o_orderdate, '%Y-%m-%d') || '/' || k AS retrieved_at
+  FROM (SELECT *, availability = 'available' AS has FROM (SELECT {org_sql('(CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE o_custkey END)')} AS org, 'orders.' || substr(o_orderpriority, 1, 1) AS field,
+    CASE WHEN o_custkey % 3 = 0 THEN o_orderkey ELSE CAST(floor(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) / 250) AS BIGINT) END AS run, o_orderkey AS k, o_orderdate, o_totalprice,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'failed' WHEN o_orderkey % 11 = 0 THEN 'not_available' WHEN o_orderkey % 13 = 0 THEN 'blocked' ELSE 'available' END AS availability FROM orders)
+    QUALIFY row_number() OVER (PARTITION BY org, field, run ORDER BY o_orderdate DESC, k DESC) = 1))"""
+
+
+def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as questions about organisations at days: a third of them are about one."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    return e.select(k.alias("probe_id"), org_of(F.when(k % 3 == 0, 1).otherwise(F.col("user_id") + 1)).alias("org"), F.date_add(F.lit("1992-01-01").cast("date"), (k * 7919 % 2700).cast("int")).alias("at"))
+
+
+def dated_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as claims about organisations from their days on; a third of them are about one, and a day can have several."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(org_of(F.when(F.col("o_custkey") % 3 == 0, 1).otherwise(F.col("o_custkey"))).alias("org"), F.col("o_orderdate").cast("date").alias("at"), F.col("o_orderkey").alias("claim_id"))
+
+
+AS_OF_SQL = f"""probes AS (SELECT event_id AS probe_id, {org_sql('(CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id + 1 END)')} AS org, DATE '1992-01-01' + CAST(event_id * 7919 % 2700 AS INTEGER) AS at FROM events),
+held AS (SELECT {org_sql('(CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE o_custkey END)')} AS org, CAST(o_orderdate AS DATE) AS at, max(o_orderkey) AS claim_id FROM orders GROUP BY ALL)"""
