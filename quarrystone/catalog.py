@@ -11,6 +11,7 @@ from .functions import numbers as fn
 from .operators import audit, brief, connectors, observe, reconcile, registry, report, sampling, site, synthesis
 from .plans import collect, engine, oracle
 from .plans import projection as px
+from .sources import fetching, transport
 from .storage import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -480,6 +481,32 @@ def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brief.fetch_outcomes(rows)
 
 
+class _Replayed:
+    """Answers as fetch_outcomes has them: a function of the address and the attempt."""
+
+    def __init__(self) -> None:
+        self.asked: dict[str, int] = {}
+
+    def __call__(self, method: str, url: str, headers: dict, payload: object = None, verify: bool = True) -> transport.Answer:
+        n = self.asked.get(url, 0)
+        self.asked[url] = n + 1
+        k = int(url.rsplit("/", 1)[1]) * 3 + n
+        status = (200, 503, 404, 403, 429, None)[k * 7 % 11 % 6]
+        if status is None:
+            raise transport.TransportError("no answer")
+        return transport.Answer(status, b"{}", url, k % 2)
+
+
+@_query
+def fetched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same attempts, made by the fetcher over a transport that replays them; addresses are on 50 hosts."""
+    n = F.floor(F.col("event_id") / 3)
+    whole = table(spark, sf_dir, "events").groupBy(n.alias("n")).agg(F.count(F.lit(1)).alias("attempts"))
+    asked = whole.select("n", F.concat(F.lit("https://h"), (F.col("n") % 50).cast("string"), F.lit(".example/"), F.col("n").cast("string")).alias("url"), F.when(F.col("n") % 4 == 0, "POST").otherwise("GET").alias("method"))
+    got = fetching.fetch(asked, _Replayed(), 1 << 40, ["n"], pause=fetching.no_pause, block=F.floor(F.col("n") / 1000))
+    return got.select(F.col("n").cast("string").alias("url"), "status", F.when(F.col("ok"), "ok").when(F.col("blocked"), "blocked").otherwise("failed").alias("state"), F.col("requests").cast("long").alias("requests"))
+
+
 @_query
 def viewer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = px.observations(spark, sf_dir).select(F.col("organisation_number").alias("org"), "platform")

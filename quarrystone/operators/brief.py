@@ -79,9 +79,10 @@ def fetch_outcomes(attempts: DataFrame, retries: int = 2) -> DataFrame:
     settled = F.col("status").isNotNull() & (~get | ~F.col("status").isin(*TRANSIENT))
     last = F.struct((~settled).alias("open"), F.when(settled, F.col("attempt")).otherwise(-F.col("attempt")).alias("n"))
     tried = attempts.where(get & (F.col("attempt") <= retries) | ~get & (F.col("attempt") == 0))
-    end = tried.groupBy("url").agg(F.min_by(F.struct("attempt", "method", "status", "error", *checked), last).alias("e"))
-    used = tried.join(end, "url").where(F.col("attempt") <= F.col("e.attempt")).groupBy("url").agg((F.count(F.lit(1)) + F.sum(F.coalesce("redirects", F.lit(0)))).alias("requests"))
-    status = F.col("e.status")
+    known = F.max_by("status", F.when(F.col("status").isNotNull(), F.col("attempt"))).alias("known")  # an error leaves the status that was seen before
+    end = tried.groupBy("url").agg(F.min_by(F.struct("attempt", "method", "status", "error", *checked), last).alias("e"), known)
+    used = tried.join(end, "url").where(F.col("attempt") <= F.col("e.attempt")).groupBy("url").agg((F.count(F.lit(1)) + F.sum(F.when(F.col("status").isNotNull(), F.coalesce("redirects", F.lit(0))).otherwise(0))).alias("requests"))
+    status = F.coalesce("e.status", "known")
     refused = status.isin(*REFUSED) | ((F.col("e.method") == "POST") & (status == 429))
     state = F.when(status < 400, "ok").when(refused, "blocked").otherwise("failed")
     return end.join(used, "url").select("url", status.alias("status"), state.alias("state"), "requests", *([F.col("e.verified").alias("tls_verified")] if checked else []))

@@ -129,7 +129,7 @@ def _note(kind: Column) -> Column:
     )
 
 
-def _changes(pairs: DataFrame, *more: str) -> DataFrame:
+def changes_of(pairs: DataFrame, *more: str) -> DataFrame:
     p, c = F.col("p"), F.col("c")
     found = pairs.withColumn("kind", change_type()).where("kind is not null")
     kind = F.col("kind")
@@ -162,7 +162,7 @@ def _changes(pairs: DataFrame, *more: str) -> DataFrame:
 
 def changes(previous: DataFrame, current: DataFrame) -> DataFrame:
     """One row for each changed (org, field), or for each item that came or went."""
-    return _changes(paired(previous, current))
+    return changes_of(paired(previous, current))
 
 
 def claims(previous: DataFrame, current: DataFrame, *more: str) -> DataFrame:
@@ -234,7 +234,7 @@ def self_changes(current: DataFrame) -> DataFrame:
 
     Each claim is compared with the last one of its field, as the previous run's are.
     """
-    return _changes(_against_itself(paired(current.limit(0), current))).agg(F.count(F.lit(1)).alias("self_changes"))
+    return changes_of(_against_itself(paired(current.limit(0), current))).agg(F.count(F.lit(1)).alias("self_changes"))
 
 
 def refresh_report(previous: DataFrame, current: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def refresh_report(previous: DataFrame, current: DataFrame) -> DataFrame:
         sides = F.when(F.col("s").isNull(), F.array(side("p", False))).otherwise(F.array(side("p", False), side("s", True)))
     else:
         sides = F.array(side("p", False))
-    found = _changes(pairs.select("org", "field", "c", F.inline(sides)), "own").select("change_type", "materiality", "own", evidence_complete().alias("ok"))
+    found = changes_of(pairs.select("org", "field", "c", F.inline(sides)), "own").select("change_type", "materiality", "own", evidence_complete().alias("ok"))
     dropped = membership(previous, current).agg(F.count_if(F.col("membership") == "dropped").alias("dropped"))
     real = ~F.col("own")
     return (

@@ -203,6 +203,14 @@ page AS (SELECT page_id, substr({_shown('title')}, 1, 300) AS title, substr({_sh
 _CORE = f"list_distinct(list_filter(regexp_extract_all(lower(strip_accents(array_to_string(string_split(title, ' ')[1:2], ' '))), '[a-z0-9]+'), lambda t: len(t) > 1 AND NOT list_contains([{_WORDS}], t)))"
 
 
+_FETCHED = """WITH a AS (SELECT CAST(event_id // 3 AS VARCHAR) AS url, event_id % 3 AS attempt, event_id // 3 % 4 <> 0 AS get, [200, 503, 404, 403, 429, NULL][event_id * 7 % 11 % 6 + 1] AS status, event_id % 2 AS redirects FROM events),
+        t AS (SELECT *, status IS NOT NULL AND (NOT get OR status NOT IN (429, 500, 502, 503, 504)) AS settled FROM a WHERE get OR attempt = 0),
+        e AS (SELECT url, attempt AS last, status, get FROM t QUALIFY row_number() OVER (PARTITION BY url ORDER BY settled DESC, CASE WHEN settled THEN attempt ELSE -attempt END) = 1),
+        s AS (SELECT url, max_by(status, attempt) AS seen FROM t WHERE status IS NOT NULL GROUP BY url)
+        SELECT e.url, coalesce(e.status, s.seen) AS status, CASE WHEN e.status < 400 THEN 'ok' WHEN e.status IN (401, 403, 451) OR (NOT e.get AND e.status = 429) THEN 'blocked' ELSE 'failed' END AS state, CAST(count(*) + sum(CASE WHEN t.status IS NULL THEN 0 ELSE redirects END) AS BIGINT) AS requests
+        FROM e LEFT JOIN s USING (url) JOIN t ON t.url = e.url AND t.attempt <= e.last GROUP BY ALL"""
+
+
 SQL: dict[str, str] = {
     "reconcile_changes": f"WITH {_CHANGES} SELECT * FROM changes",
     "reconcile_claims": f"""WITH {_CHANGES} SELECT org, field, CASE WHEN k THEN pv ELSE cv END AS value, CASE WHEN k THEN pa ELSE ca END AS availability,
@@ -318,11 +326,8 @@ SQL: dict[str, str] = {
     "site_briefs": f"""WITH {_BRIEFS} SELECT * FROM briefs""",
     "hint_counts": f"""WITH {_BRIEFS} SELECT split_part(hint, ' - ', 1) AS hint, count(*) AS n FROM briefs GROUP BY 1""",
     "knowledge_briefs": f"WITH t AS (SELECT {px.org_sql('p_partkey')} AS org, p_partkey % 5 = p_partkey % 7 AS same_site, p_partkey % 2 = 0 AND len(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda t: len(t) > 1 AND NOT list_contains([{_WORDS}], t))) > 0 AS named FROM part) SELECT org, same_site, same_site OR named AS corroborated FROM t",
-    "fetch_outcomes": """WITH a AS (SELECT CAST(event_id // 3 AS VARCHAR) AS url, event_id % 3 AS attempt, event_id // 3 % 4 <> 0 AS get, [200, 503, 404, 403, 429, NULL][event_id * 7 % 11 % 6 + 1] AS status, event_id % 2 AS redirects FROM events),
-        t AS (SELECT *, status IS NOT NULL AND (NOT get OR status NOT IN (429, 500, 502, 503, 504)) AS settled FROM a WHERE get OR attempt = 0),
-        e AS (SELECT url, attempt AS last, status, get FROM t QUALIFY row_number() OVER (PARTITION BY url ORDER BY settled DESC, CASE WHEN settled THEN attempt ELSE -attempt END) = 1)
-        SELECT e.url, e.status, CASE WHEN e.status < 400 THEN 'ok' WHEN e.status IN (401, 403, 451) OR (NOT e.get AND e.status = 429) THEN 'blocked' ELSE 'failed' END AS state, CAST(count(*) + sum(redirects) AS BIGINT) AS requests
-        FROM e JOIN t ON t.url = e.url AND t.attempt <= e.last GROUP BY ALL""",
+    "fetch_outcomes": _FETCHED,
+    "fetched_responses": _FETCHED,
     "viewer_profiles": f"""WITH {_CLAIMS}, {px.OBSERVATIONS_SQL}, o AS (SELECT organisation_number AS org, string_agg(DISTINCT platform, ',' ORDER BY platform) AS platforms FROM observations GROUP BY 1)
         SELECT org, max(value) FILTER (field = 'legal_name') AS name, max(value) FILTER (field = 'municipality') AS municipality, coalesce(any_value(platforms), '') AS platforms,
           count(value) FILTER (field IN ('legal_name', 'employees_registered', 'official_website', 'places.rating', 'financials.revenue', 'financials.net_result')) AS n_fields, max(value) FILTER (field = 'financials.revenue') AS revenue

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import reconcile
+from .refresh import reconciled, refresh
+
+__all__ = ["feed_entries", "reconciled", "refresh", "windowed_counts"]
 
 
 def feed_entries(entries: DataFrame, horizon: str = "60 days") -> DataFrame:
@@ -15,24 +15,6 @@ def feed_entries(entries: DataFrame, horizon: str = "60 days") -> DataFrame:
     return entries.where(F.col("status") == "ACTIVE").withWatermark("changed", horizon).dropDuplicatesWithinWatermark(["uuid"])
 
 
-def refresh(claims: DataFrame, load: Callable[[], DataFrame], store: Callable[[DataFrame], None], emit: Callable[[DataFrame], None], checkpoint: str):  # noqa: ANN201
-    """Reconcile each micro-batch of claims with the stored snapshot; changes are emitted, the new snapshot is stored.
-
-    A batch is one run. Claims that are older than the stored ones are left out.
-    """
-
-    def one(batch: DataFrame, _: int) -> None:
-        before = load()
-        seen = before.groupBy("org").agg(F.max("retrieved_at").alias("seen"))
-        fresh = batch.join(seen, "org", "left").where(F.col("seen").isNull() | F.col("retrieved_at").isNull() | (F.col("retrieved_at") >= F.col("seen"))).drop("seen").persist()
-        mine = before.join(fresh.select("org").distinct(), "org", "left_semi")
-        emit(reconcile.changes(mine, fresh))
-        store(before.join(fresh.select("org", "field"), ["org", "field"], "left_anti").unionByName(fresh))
-        fresh.unpersist()
-
-    return claims.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts by kind and window of event time; later rows than the watermark are dropped."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count(F.lit(1)).alias("n"))

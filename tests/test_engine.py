@@ -319,15 +319,6 @@ def test_streams(spark, tmp_path):
     q.awaitTermination()
     assert rows(spark.table("feed_out"), "uuid") == [("a",), ("c",)]
 
-    schema = "org string, field string, value string, availability string, period string, currency string, statement string, evidence_id string, url string, retrieved_at string, sha string, first_seen string"
-    row = lambda org, v, at: (org, "legal_name", v, "available", None, None, None, "e", "u", at, "h", None)
-    stored = [spark.createDataFrame([row("1", "A", "2024-01-02"), row("2", "B", "2024-01-02")], schema)]
-    spark.createDataFrame([row("1", "A2", "2024-01-03"), row("2", "OLD", "2024-01-01")], schema).write.parquet(str(tmp_path / "claims"))
-    seen: list = []
-    keep = lambda df: stored.append(spark.createDataFrame(df.collect(), schema))
-    streaming.refresh(spark.readStream.schema(schema).parquet(str(tmp_path / "claims")), lambda: stored[-1], keep, lambda df: seen.extend(df.collect()), str(tmp_path / "c2")).awaitTermination()
-    assert [(r.org, r.change_type) for r in seen] == [("1", "changed_identity")] and rows(stored[-1], "org", "value") == [("1", "A2"), ("2", "B")]
-
 
 def test_report_edges(spark):
     df = spark.createDataFrame([("a", v) for v in (4, 1, 3, 2)] + [("b", None)], "g string, v long")
