@@ -11,8 +11,9 @@ from .functions import numbers as fn
 from .operators import audit, brief, connectors, observe, reconcile, registry, report, sampling, site, synthesis
 from .plans import collect, engine, oracle
 from .plans import projection as px
-from .sources import fetching, transport
-from .storage import materialize, table
+from .sinks import commits
+from .sources import captured, fetching, transport
+from .storage import materialize, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -435,12 +436,79 @@ def coverage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.coverage_flags(_claims(spark, sf_dir))
 
 
+def _saved(rows: DataFrame, name: str, **how: str) -> str:
+    """A column of text, written as the files of a source."""
+    path = new_path(rows.sparkSession, name)
+    rows.write.options(**how).text(path)
+    return path
+
+
 @_query
 def snapshot_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last event of each user and type wins, as the last line of a snapshot does."""
-    e = table(spark, sf_dir, "events")
-    last = e.groupBy("user_id", "event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"), F.count(F.lit(1)).alias("n"))
-    return last.select("user_id", "event_type", "event_id", "n")
+    """Two snapshots: the last line of an organisation wins, so that of the second file where it has one."""
+    rows = px.snapshot_lines(spark, sf_dir).where(f"event_id % 7 >= {px.FAULTS}")
+    mine = rows.select("event_id", "user_id", F.regexp_replace("line", '"organisation_number":"[0-9]+"', F.concat(F.lit('"organisation_number":"'), "user_org", F.lit('"'))).alias("line"))
+    end = mine.groupBy("user_id").agg(F.min_by("line", "event_id").alias("first"), F.max_by("line", "event_id").alias("last"))
+    before, after = _saved(end.select(F.col("first").alias("value")), "snapshot"), _saved(end.where("user_id % 3 = 0").select(F.col("last").alias("value")), "snapshot")
+    held = captured.claims_of(captured.envelopes(spark, before, after))
+    return held.select("org", "value", "evidence_id", "url", "retrieved_at")
+
+
+@_query
+def strict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of lines with three kinds of fault only the good ones count."""
+    path = _saved(px.snapshot_lines(spark, sf_dir).select(F.col("line").alias("value")), "lines")
+    return captured.claims_of(captured.envelopes(spark, path)).select("org", "field", "value", "availability", "evidence_id", "url", "sha")
+
+
+@_query
+def snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims written as a snapshot in two phases, and read back by its manifest."""
+    folder = new_path(spark, "snapshot")
+    whole = px.strict_envelopes(px.snapshots(spark, sf_dir, True))
+    commits.committed_snapshot(whole.select("org", F.to_json("envelope").alias("line")).orderBy("org"), folder, run_id="r1")
+    held = captured.envelopes(spark, *commits.files_of(folder))
+    return captured.claims_of(held).select("org", "field", "value", "availability", "period", "currency", "statement", "evidence_id", "url", "retrieved_at", "sha")
+
+
+@_query
+def organisation_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of organisations in three forms, some of them twice, with the names that it tells."""
+    c = px.companies(spark, sf_dir)
+    k = F.col("key")
+    told = lambda number, name: F.to_json(F.struct(F.col("org").alias(number), F.col("name").alias(name)))
+    line = F.when(k % 3 == 0, fn.shown(F.col("org"))).when(k % 3 == 1, told("organisation_number", "name")).otherwise(told("organisasjonsnummer", "navn"))
+    path = _saved(c.select(F.explode(F.array_repeat(line, F.when(k % 10 == 0, 2).otherwise(1))).alias("value")).unionByName(c.where("key % 50 = 0").select(F.lit("not a number").alias("value"))), "list")
+    return captured.organisations(spark, path).select("org").join(captured.company_names(spark, path), "org", "left")
+
+
+@_query
+def universe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = px.companies(spark, sf_dir)
+    line = F.to_json(F.struct(F.col("org").alias("organisation_number"), "legal_form", "employees", "industry_code", "website"))
+    return captured.universe(spark, _saved(c.select(line.alias("value")), "universe", compression="gzip"))
+
+
+@_query
+def stored_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as stored payloads: each content once, under its digest."""
+    folder = new_path(spark, "blobs")
+    commits.committed_blobs(table(spark, sf_dir, "pages").where("html != ''").select(F.col("html").alias("content")), folder)
+    return captured.blobs(spark, folder).select("sha", F.length("content").cast("long").alias("chars"))
+
+
+@_query
+def stage_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles and organisations by kind, from sketches of each day that are merged."""
+    rows = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), F.round(F.col("value") * 100).cast("long").alias("ms"), F.col("user_id").cast("string").alias("who"))
+    daily = materialize(report.sketched(rows, ["event_type", "day"], "ms", "who"), "sketches", compact=True)
+    return report.merged(daily, ["event_type"])
+
+
+@_query
+def places_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts, _ = engine.places_check(_collected(spark, sf_dir), px.companies(spark, sf_dir), 0)
+    return verdicts
 
 
 @_query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import cache
 
@@ -46,21 +47,55 @@ def shown(number: Column) -> Column:
     return F.when(F.length(d) == 9, F.concat_ws(" ", F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 3))).otherwise(d)
 
 
+_BETWEEN = "\x1f"
+
+
 @cache
-def _plain_letters(form: str) -> tuple[str, str]:
-    """Characters that a normal form of compatibility turns into one ASCII character (marks left out), and what they become."""
-    one = {}
-    for c in map(chr, (*range(0x80, 0x3400), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800))):  # beside these ranges, no character becomes ASCII
-        base = "".join(x for x in unicodedata.normalize(form, c) if form == "NFKC" or not unicodedata.combining(x))
-        if len(base) == 1 and base.isascii():
-            one[c] = base
-    return "".join(one), "".join(one.values())
+def _forms(form: str) -> tuple[str, str, str, str, str]:
+    """Characters that a normal form of compatibility changes, by the rule of the standard.
+
+    (singles, what each becomes; others, what each becomes with _BETWEEN between them, a pattern of the others).
+    For NFKD only what is ASCII of it counts.
+    """
+    singles, single, others, several = [], [], [], []
+    for n in range(0x80, sys.maxunicode + 1):
+        c = chr(n)
+        if 0xAC00 <= n < 0xD7A4 or 0xD800 <= n < 0xE000:  # syllables that fall into letters by rule, none of them ASCII; halves of characters
+            continue
+        to = unicodedata.normalize(form, c)
+        if form == "NFKD":
+            to = to.encode("ascii", "ignore").decode()
+        if to == c or not to:
+            continue
+        if len(to) == 1:
+            singles.append(c)
+            single.append(to)
+        else:
+            others.append(c)
+            several.append(to)
+    ranges, points = [], [ord(c) for c in others]
+    for n in points:
+        if ranges and ranges[-1][1] == n - 1:
+            ranges[-1][1] = n
+        else:
+            ranges.append([n, n])
+    pattern = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
+    return "".join(singles), "".join(single), "".join(others), _BETWEEN.join(several), pattern
+
+
+def _spelt(text: Column, form: str) -> Column:
+    """The text with each character in its form; characters of their own are not put together."""
+    singles, single, others, several, pattern = _forms(form)
+    at = lambda c: F.call_function("instr", F.lit(others), c)
+    one = lambda c: F.when(c.rlike(pattern), F.get(F.split(F.lit(several), _BETWEEN), at(c) - 1)).otherwise(c)
+    plain = F.translate(text, singles, single)
+    return F.when(text.rlike(pattern), F.array_join(F.transform(F.split(plain, ""), one), "")).otherwise(plain)
 
 
 def flat(text: Column) -> Column:
-    """Compatibility characters (wide and raised digits and letters, all kinds of blanks) as plain ones, so that patterns see them."""
+    """Compatibility characters (wide, raised and ringed ones, ligatures, all kinds of blanks) as plain ones, so that patterns see them."""
     x = F.coalesce(text, F.lit(""))
-    return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(x, *_plain_letters("NFKC"))).otherwise(x)
+    return F.when(x.rlike(r"[^\x00-\x7F]"), _spelt(x, "NFKC")).otherwise(x)
 
 
 def proof(text: Column, expected: Column) -> Column:
@@ -91,7 +126,7 @@ def name_tokens(name: Column) -> Column:
     spelt = F.translate(F.coalesce(name, F.lit("")), "øØåÅ", "oOaA")
     spelt = F.lower(F.regexp_replace(F.regexp_replace(spelt, "æ", "ae"), "Æ", "AE"))
     marked = spelt.rlike(r"[^\x00-\x7F]")
-    plain = F.lower(F.when(marked, F.regexp_replace(F.translate(spelt, *_plain_letters("NFKD")), r"[^\x00-\x7F]+", "")).otherwise(spelt))
+    plain = F.lower(F.when(marked, F.regexp_replace(_spelt(spelt, "NFKD"), r"[^\x00-\x7F]+", "")).otherwise(spelt))
     return F.filter(F.regexp_extract_all(plain, F.lit("[a-z0-9]+"), F.lit(0)), lambda t: ~t.isin(*LEGAL_WORDS) & (F.length(t) > 1))
 
 

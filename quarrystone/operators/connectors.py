@@ -84,22 +84,32 @@ def places(responses: DataFrame) -> DataFrame:
 
 
 def snak(entity: Column, prop: str) -> Column:
-    """The first value of a property: a time's date, an amount's number, or a plain string; null for other kinds."""
+    """The first value of a property of a parsed entity (VARIANT): a time's date, an amount's number, or a plain string; null for other kinds."""
     at = f"$.claims.{prop}[0].mainsnak"
-    kind = F.get_json_object(entity, f"{at}.snaktype")
-    time, amount, plain = (F.get_json_object(entity, f"{at}.datavalue.value{x}") for x in (".time", ".amount", ""))
-    return F.when(kind == "value", F.when(time.isNotNull(), F.substring(F.ltrim(time, F.lit("+")), 1, 10)).when(amount.isNotNull(), F.ltrim(amount, F.lit("+"))).when(~plain.startswith("{"), plain))
+    said = lambda path: F.try_variant_get(entity, f"{at}{path}", "string")
+    value = F.try_variant_get(entity, f"{at}.datavalue.value", "variant")
+    time, amount = said(".datavalue.value.time"), said(".datavalue.value.amount")
+    plain = F.when(~F.schema_of_variant(value).startswith("OBJECT") & ~F.schema_of_variant(value).startswith("ARRAY"), F.try_variant_get(value, "$", "string"))
+    return F.when(said(".snaktype") == "value", F.when(time.isNotNull(), F.substring(F.ltrim(time, F.lit("+")), 1, 10)).when(amount.isNotNull(), F.ltrim(amount, F.lit("+"))).otherwise(plain))
 
 
 def wikidata(entities: DataFrame, companies: DataFrame) -> DataFrame:
-    """The entity of each company by organisation number, a later one replaces an earlier; entities: (pos, qid, entity)."""
-    rows = entities.withColumn("org", fn.digits(snak(F.col("entity"), "P2333"))).join(companies.select("org").distinct(), "org", "left_semi")
-    captured = [c for c in ("retrieved_at", "sha") if c in entities.columns]
-    last = rows.groupBy("org").agg(F.max_by(F.struct("qid", "entity", *captured), "pos").alias("m")).select("org", "m.qid", "m.entity", *(f"m.{c}" for c in captured))
-    label = F.coalesce(F.get_json_object("entity", "$.labels.nb.value"), F.get_json_object("entity", "$.labels.en.value"))
-    wiki = lambda site, lang: F.when(F.get_json_object("entity", f"$.sitelinks.{site}.title").isNotNull(), F.concat(F.lit(f"https://{lang}.wikipedia.org/wiki/"), F.replace(F.get_json_object("entity", f"$.sitelinks.{site}.title"), F.lit(" "), F.lit("_"))))
-    handle = lambda p, url: F.when(F.coalesce(snak(F.col("entity"), p), F.lit("")) != "", F.replace(F.lit(url), F.lit("{}"), snak(F.col("entity"), p)))
-    return last.select("org", "qid", *captured, label.alias("label"), *(snak(F.col("entity"), p).alias(f.split(".")[1]) for p, f in VALUE_PROPERTIES.items()), *(wiki(s, g).alias(f"wikipedia_{g}") for s, g in WIKIPEDIAS.items()), *(handle(p, url).alias(f"handle_{name}") for p, (name, url) in HANDLE_PROPERTIES.items()))
+    """The entity of each company by organisation number, a later one replaces an earlier; entities: (pos, qid, entity).
+
+    An entity is parsed once; only what is read from it is exchanged.
+    """
+    v = F.col("v")
+    told = lambda path: F.try_variant_get(v, path, "string")
+    label = F.coalesce(told("$.labels.nb.value"), told("$.labels.en.value"))
+    wiki = lambda site, lang: F.concat(F.lit(f"https://{lang}.wikipedia.org/wiki/"), F.replace(told(f"$.sitelinks.{site}.title"), F.lit(" "), F.lit("_")))
+    handle = lambda p, url: F.replace(F.lit(url), F.lit("{}"), F.nullif(snak(v, p), F.lit("")))
+    kept = [c for c in ("retrieved_at", "sha") if c in entities.columns]
+    read = {"label": label} | {f.split(".")[1]: snak(v, p) for p, f in VALUE_PROPERTIES.items()} | {f"wikipedia_{g}": wiki(s, g) for s, g in WIKIPEDIAS.items()} | {f"handle_{name}": handle(p, url) for p, (name, url) in HANDLE_PROPERTIES.items()}
+    parsed = entities.select("pos", "qid", *kept, F.try_parse_json("entity").alias("v"))
+    rows = parsed.select("pos", "qid", *kept, fn.digits(snak(v, "P2333")).alias("org"), *(c.alias(n) for n, c in read.items()))
+    mine = rows.join(companies.select("org").distinct(), "org", "left_semi")
+    names = ["qid", *kept, *read]
+    return mine.groupBy("org").agg(F.max_by(F.struct(*names), "pos").alias("m")).select("org", *(f"m.{n}" for n in names))
 
 
 def chunks(rows: DataFrame, order: str, size: int = 50) -> DataFrame:

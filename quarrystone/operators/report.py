@@ -99,3 +99,37 @@ def viewer_stats(claims: DataFrame, observations: DataFrame) -> DataFrame:
     rows = coverage_flags(claims).join(several, "org", "left")
     share = lambda flag: F.coalesce(F.floor(F.count_if(flag) * 100 / F.count(F.lit(1)) + 0.5), F.lit(0)).cast("long")
     return rows.agg(F.count(F.lit(1)).alias("companies"), share(F.coalesce("several", F.lit(False))).alias("two_platforms"), *(share(F.col(k)).alias(k) for k in ("rating", "website", "wikidata", "accounts")))
+
+
+def sketched(rows: DataFrame, by: list[str], value: str, key: str) -> DataFrame:
+    """(*by, values, keys): a KLL sketch of whole numbers and a theta sketch of keys, of a few kilobytes each however many rows there are.
+
+    Sketches of runs are kept and merged later; merged() gives what one sketch of
+    all their rows would give, within the same error.
+    """
+    return rows.groupBy(*by).agg(F.kll_sketch_agg_bigint(value).alias("values"), F.theta_sketch_agg(key).alias("keys"))
+
+
+def merged(sketches: DataFrame, by: list[str], shares: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """(*by, n, p50, p95, ..., distinct) of sketches, merged over all columns but by.
+
+    A percentile's rank is off by 0.0133 at most in 99 of 100 cases (k = 200); the
+    count of distinct keys by some hundredths beyond 4,096 and not at all below.
+    """
+    whole = sketches.groupBy(*by).agg(F.kll_merge_agg_bigint("values").alias("values"), F.theta_union_agg("keys").alias("keys"))
+    at = lambda p: F.kll_sketch_get_quantile_bigint("values", F.lit(p)).alias(f"p{round(p * 100)}")
+    return whole.select(*by, F.kll_sketch_get_n_bigint("values").alias("n"), *(at(p) for p in shares), F.theta_sketch_estimate("keys").alias("distinct"))
+
+
+def places_check(collected: DataFrame, names: DataFrame, searches: int, cost: float) -> tuple[DataFrame, DataFrame]:
+    """Verdicts on a place search from captured responses, and one row of what it has cost.
+
+    collected: claims as collect makes them (org, field, value, availability, note,
+    identity_proof), names: (org, name). A verdict is the state of the rating, its
+    proof, and why there is none.
+    """
+    rating = collected.where(F.col("field") == "places.rating").select("org", F.col("availability").alias("state"), F.col("value").alias("rating"), F.col("identity_proof").alias("proof"), "note")
+    rows = names.select("org", "name").join(rating, "org", "left")
+    published = rows.agg(F.count_if(F.col("state") == "available").alias("published"))
+    told = published.select(F.lit(True).alias("configured"), F.lit(searches).cast("long").alias("searches"), "published", F.round(F.lit(searches * cost), 4).alias("spent_usd"), F.lit(cost).alias("cost_per_search_usd"), F.lit(round(cost * 100, 2)).alias("projected_per_100_companies_usd"))
+    return rows, told

@@ -151,3 +151,8 @@ def audit_label(decisions: DataFrame, queued: DataFrame, labels: DataFrame | Non
 
 def audit_score(labels: DataFrame, observations: DataFrame, minimum: int = 100) -> DataFrame:
     return audit.score(labels, observations, minimum)
+
+
+def places_check(found: collect.Collected, names: DataFrame, searches: int, cost: float = 0.035) -> tuple[DataFrame, DataFrame]:
+    """Whether the place search works: a verdict on each company, and what was asked and spent."""
+    return report.places_check(found.claims, names, searches, cost)

@@ -320,7 +320,16 @@ SQL: dict[str, str] = {
         SELECT org, 'Since the previous run: ' || string_agg(said, '; ' ORDER BY place) || '.' AS changes FROM r WHERE place <= 6 GROUP BY org""",
     "identity_summary": f"WITH {_CLAIMS} SELECT org, max(value) FILTER (field = 'legal_name') AS legal_name, max(value) FILTER (field = 'legal_form') AS legal_form, max(value) FILTER (field = 'municipality') AS municipality, max(value) FILTER (field = 'industry_code') AS industry_code FROM claims GROUP BY org",
     "coverage_flags": f"WITH {_CLAIMS} SELECT org, {_has('places.rating', 'rating')}, {_has('official_website', 'website')}, {_has('wikidata.qid', 'wikidata')}, {_has('financials.revenue', 'accounts')} FROM claims GROUP BY org",
-    "snapshot_dedupe": "SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, count(*) AS n FROM events GROUP BY 1, 2",
+    "snapshot_dedupe": f"""WITH g AS (SELECT user_id, event_id, event_type, ts FROM events WHERE event_id % 7 >= {px.FAULTS}), k AS (SELECT user_id, CASE WHEN user_id % 3 = 0 THEN max(event_id) ELSE min(event_id) END AS event_id FROM g GROUP BY 1)
+        SELECT {px.org_sql('(user_id + 1)')} AS org, event_type AS value, 'e' || event_id AS evidence_id, 'https://e.example/' || event_id AS url, strftime(ts, '%Y-%m-%d') AS retrieved_at FROM k JOIN g USING (user_id, event_id)""",
+    "strict_lines": f"SELECT {px.org_sql('event_id')} AS org, 'event_type' AS field, event_type AS value, 'available' AS availability, 'e' || event_id AS evidence_id, 'https://e.example/' || event_id AS url, sha256(CAST(event_id AS VARCHAR)) AS sha FROM events WHERE event_id % 7 >= {px.FAULTS}",
+    "snapshot_round_trip": f"""WITH {px.FULL_SQL} SELECT org, field, value, availability, period, CASE WHEN field = 'financials.revenue' THEN 'NOK' END AS currency, CASE WHEN field = 'financials.revenue' THEN 'SELSKAP' END AS statement,
+        CASE WHEN url IS NOT NULL THEN evidence_id END AS evidence_id, url, CASE WHEN url IS NOT NULL THEN retrieved_at END AS retrieved_at, CASE WHEN url IS NOT NULL THEN sha END AS sha FROM c_all""",
+    "organisation_lists": f"WITH {px.COMPANIES_SQL} SELECT org, CASE WHEN key % 3 <> 0 THEN name END AS name FROM companies",
+    "universe_rows": f"WITH {px.COMPANIES_SQL} SELECT org, legal_form, CAST(employees AS VARCHAR) AS employees, industry_code, CASE WHEN has_web THEN 'https://c' || key || '.example.com' END AS website FROM companies",
+    "stored_payloads": "SELECT DISTINCT sha256(html) AS sha, CAST(length(html) AS BIGINT) AS chars FROM pages WHERE html <> ''",
+    "places_check": f"""WITH {_COLLECTED_SQL} SELECT c.org, c.name, availability AS state, value AS rating, CASE WHEN value IS NOT NULL THEN 'places_website_matches_verified_domain' END AS proof, note
+        FROM companies c LEFT JOIN (SELECT * FROM claims WHERE field = 'places.rating') p ON p.org = c.org""",
     "lookup_chunks": f"WITH {px.COMPANIES_SQL}, n AS (SELECT org, (row_number() OVER (ORDER BY org) - 1) // 50 AS chunk FROM companies) SELECT chunk, count(*) AS n, min(org) AS first FROM n GROUP BY 1",
     "page_titles": f"WITH {_PAGES} SELECT page_id, title, CAST(len(regexp_extract_all(html, '<a [^>]*href')) AS BIGINT) AS n_links FROM page JOIN seen USING (page_id)",
     "site_briefs": f"""WITH {_BRIEFS} SELECT * FROM briefs""",

@@ -354,3 +354,28 @@ def dated_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 AS_OF_SQL = f"""probes AS (SELECT event_id AS probe_id, {org_sql('(CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id + 1 END)')} AS org, DATE '1992-01-01' + CAST(event_id * 7919 % 2700 AS INTEGER) AS at FROM events),
 held AS (SELECT {org_sql('(CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE o_custkey END)')} AS org, CAST(o_orderdate AS DATE) AS at, max(o_orderkey) AS claim_id FROM orders GROUP BY ALL)"""
+
+
+FAULTS = 3  # kinds of fault in lines of a snapshot; the other four of seven events make good ones
+
+
+def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as lines of a snapshot, each of an organisation of its own: an unknown key in a claim, claims that are no list, evidence without an id, or none of these."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    text = lambda x: F.lit(x)
+    run = F.struct(*(text("x").alias(n) for n in ("run_id", "started_at", "completed_at", "terminal_status")))
+    claim = F.struct(text("event_type").alias("field"), F.col("event_type").alias("value"), text("available").alias("availability"), F.lit(1.0).alias("confidence"), F.array(F.concat(text("e"), k.cast("string"))).alias("evidence_ids"))
+    source = F.struct(F.concat(text("e"), k.cast("string")).alias("id"), F.concat(text("https://e.example/"), k.cast("string")).alias("source_url"), text("official_registry").alias("source_class"), F.date_format("ts", "yyyy-MM-dd").alias("retrieved_at"), F.sha2(k.cast("string"), 256).alias("content_sha256"))
+    line = F.to_json(F.struct(org_of(k).alias("organisation_number"), run.alias("run"), F.array(claim).alias("claims"), F.array(source).alias("evidence")))
+    faulty = F.when(k % 7 == 0, F.regexp_replace(line, '"field":', '"odd":1,"field":')).when(k % 7 == 1, F.regexp_replace(line, r'"claims":\[.*?\}\]', '"claims":"nonsense"')).when(k % 7 == 2, F.regexp_replace(line, '"id":"[^"]*",', "")).otherwise(line)
+    return e.select("event_id", "user_id", org_of(F.col("user_id") + 1).alias("user_org"), faulty.alias("line"), org_of(k).alias("org"))
+
+
+def strict_envelopes(claims: DataFrame) -> DataFrame:
+    """(org, organisation_number, run, claims, evidence) of claims, in the shape of a snapshot's lines."""
+    run = F.struct(*(F.lit("x").alias(n) for n in ("run_id", "started_at", "completed_at", "terminal_status")))
+    claim = F.struct("field", "value", "availability", F.col("period").alias("reporting_period"), F.array_compact(F.array("evidence_id")).alias("evidence_ids"), F.struct("currency", F.col("statement").alias("statement_type")).alias("qualifiers"))
+    source = F.when(F.col("url").isNotNull(), F.struct(F.col("evidence_id").alias("id"), F.col("url").alias("source_url"), F.lit("official_registry").alias("source_class"), "retrieved_at", F.col("sha").alias("content_sha256")))
+    held = claims.groupBy("org").agg(F.array_sort(F.collect_list(claim)).alias("claims"), F.array_sort(F.collect_list(source)).alias("evidence"))
+    return held.select("org", F.struct(F.col("org").alias("organisation_number"), run.alias("run"), "claims", "evidence").alias("envelope"))

@@ -7,10 +7,11 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import ship
+from . import commits
 
 
 def envelope_lines(envelopes: DataFrame) -> DataFrame:
@@ -18,25 +19,16 @@ def envelope_lines(envelopes: DataFrame) -> DataFrame:
     return envelopes.select("org", F.to_json(F.struct(*(c for c in envelopes.columns)), {"ignoreNullFields": "false"}).alias("line"))
 
 
-def write_snapshot(envelopes: DataFrame, path: str) -> DataFrame:
-    """Write JSON lines ordered by organisation over as many files as needed; one row back: rows, a digest of all lines, and the payloads.
+def write_snapshot(envelopes: DataFrame, path: str, **info: str) -> DataFrame:
+    """Write JSON lines ordered by organisation over as many files as needed; one row back: rows, a digest of all files, and the payloads.
 
-    The digest (sha256) is over the sorted digests of the lines in blocks of their
-    first byte, so no task needs all of them and files don't matter to it. payloads
-    names each written file with its size and the SHA-256 of its bytes.
+    The plan runs once; digests come from the bytes that are written, and nothing is
+    seen before all of it is (see commits). payloads names each file with its size
+    and the SHA-256 of its bytes, in the order of the rows.
     """
-    rows = envelope_lines(envelopes)
-    rows.orderBy("org").select("line").write.mode("overwrite").text(path)
-    blocks = rows.select(F.sha2("line", 256).alias("d")).groupBy(F.substring("d", 1, 3).alias("block")).agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ""), 256).alias("d"))
-    whole = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "d"))), lambda x: x["d"]), ""), 256)
-    files = payloads(envelopes.sparkSession, path).agg(F.array_sort(F.collect_list(F.struct("file", "bytes", "sha256"))).alias("payloads"))
-    return blocks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), whole.alias("sha256")).join(F.broadcast(files), F.lit(True))
-
-
-def payloads(spark: SparkSession, path: str) -> DataFrame:
-    """(file, bytes, sha256) of the files of a written folder."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    told = commits.committed_snapshot(envelope_lines(envelopes).orderBy("org"), path, **info)
+    files = [(f["file"], f["bytes"], f["sha256"]) for f in told["payloads"]]
+    return envelopes.sparkSession.createDataFrame([(told["rows"], told["sha256"], files)], "rows long, sha256 string, payloads array<struct<file:string,bytes:long,sha256:string>>")
 
 
 def manifest(run_id: str, organisations: DataFrame, digest: DataFrame) -> DataFrame:
@@ -44,19 +36,9 @@ def manifest(run_id: str, organisations: DataFrame, digest: DataFrame) -> DataFr
     return organisations.select("pos", "org").join(F.broadcast(digest), F.lit(True)).select(F.lit(run_id).alias("run_id"), "pos", "org", F.col("rows").alias("count"), "sha256", *(["payloads"] if "payloads" in digest.columns else [])).orderBy("pos")
 
 
-def write_blobs(payloads: DataFrame, path: str) -> DataFrame:
-    """Add payloads (content) to a table of blobs by digest; what is there stays. Returns the rows added."""
-    spark = payloads.sparkSession
-    rows = payloads.select(F.sha2("content", 256).alias("sha"), "content").dropDuplicates(["sha"])
-    try:
-        have = spark.read.parquet(path).select("sha")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        have = None
-    new = rows if have is None else rows.join(have, "sha", "left_anti")
-    new.write.mode("append").parquet(path)
-    return new
+def write_blobs(payloads: DataFrame, path: str) -> None:
+    """Add payloads (content) to a folder of blobs by digest; what is there stays, and two writers of one payload make one file."""
+    commits.committed_blobs(payloads.dropDuplicates(["content"]), path)
 
 
 def write_jsonl(rows: DataFrame, path: str, order: list[str] | None = None) -> None:

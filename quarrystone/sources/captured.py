@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as fn
+from . import strict
 
 UNIVERSE = "organisation_number STRING, legal_form STRING, employees STRING, industry_code STRING, website STRING"
 CLAIM = "field STRING, value VARIANT, availability STRING, confidence DOUBLE, reporting_period STRING, evidence_ids ARRAY<STRING>, qualifiers MAP<STRING, STRING>, note STRING"
 EVIDENCE = "id STRING, source_url STRING, source_class STRING, retrieved_at STRING, content_sha256 STRING, final_url STRING, claim_span STRING, extraction_method STRING, http_status INT, tls_verified BOOLEAN"
 OBSERVATION = "id STRING, organisation_number STRING, platform STRING, signal_type STRING, source_url STRING, retrieved_at STRING, content_sha256 STRING, exact_entity BOOLEAN, identity_proof STRING, acquisition_mode STRING, rights_status STRING, source_class STRING, evidence_span STRING, observed_at STRING, sentiment_label STRING, sentiment_model_version STRING, metrics STRING"
-ENVELOPE_KEYS = ("organisation_number", "run", "legal_identity", "claims", "evidence", "observations", "changes", "operations", "errors", "summary")
 LABEL = "id STRING, exact_entity BOOLEAN, metric_correct BOOLEAN, sentiment_correct BOOLEAN, labelled_by STRING, labelled_at STRING, reviewer STRING, basis STRING, risk_tier STRING, derived_from STRING"
 
 
@@ -59,9 +59,13 @@ def universe(spark: SparkSession, path: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, *paths: str) -> DataFrame:
-    """(org, file_no, pos, envelope): valid lines, the last of each organisation; a line with an unknown key is skipped."""
-    rows = lines(spark, *paths).withColumn("keys", F.json_object_keys("line")).withColumn("org", _field("line", "organisation_number"))
-    good = rows.where(F.col("keys").isNotNull() & F.col("org").isNotNull() & (F.size(F.array_except("keys", F.array(*(F.lit(k) for k in ENVELOPE_KEYS)))) == 0))
+    """(org, file_no, pos, envelope): the last valid line of each organisation.
+
+    A line that isn't an object of the known shape, in all its parts, is skipped:
+    unknown keys, missing ones and values of another kind at any depth.
+    """
+    rows = lines(spark, *paths).withColumn("parsed", F.try_parse_json("line")).where(strict.fits(F.col("parsed"), strict.ENVELOPE))
+    good = rows.select(F.try_variant_get("parsed", "$.organisation_number", "string").alias("org"), "file_no", "pos", "line")
     return good.groupBy("org").agg(F.max_by(F.struct("file_no", "pos", "line"), F.struct("file_no", "pos")).alias("m")).select("org", "m.file_no", "m.pos", F.col("m.line").alias("envelope"))
 
 

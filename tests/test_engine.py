@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,6 +144,9 @@ def test_pages_and_posts(spark):
 def test_compatibility_characters(spark):
     df = one(spark, t="Org.nr " + "".join(chr(ord(c) + 0xFEE0) for c in ORG) + " her", n="Ñandú Façade ﹏ Ǻlesund Ｗide ÆRLIG ŁÓDŹ Kołata Café\u0301s")
     got = df.select(fn.proof(F.col("t"), F.lit(ORG)), fn.name_tokens(F.col("n"))).first()
+    fi = one(spark, n="ﬁsk ⑩ ½ Ĳmuiden ㎏ ㏂").select(fn.name_tokens(F.col("n")), fn.flat(F.col("n"))).first()
+    assert fi[0] == ["fisk", "10", "12", "ijmuiden", "kg"]
+    assert fi[1] == unicodedata.normalize("NFKC", "ﬁsk ⑩ ½ Ĳmuiden ㎏ ㏂")
     assert got[0] == "org_number_labelled_on_page" and got[1] == ["nandu", "facade", "alesund", "wide", "aerlig", "odz", "koata", "cafes"]
 
 
@@ -171,7 +175,10 @@ def test_sources_and_sinks(spark, tmp_path):
         f.write('{"organisation_number": "1", "employees": 7}\n')
     assert rows(captured.universe(spark, str(tmp_path / "u.jsonl.gz")), "org", "employees") == [("1", "7")]
     claim = {"field": "f", "value": {"b": [1], "a": 1.0}, "availability": "available", "evidence_ids": ["gone", "e"], "qualifiers": {"currency": "NOK"}}
-    line = {"organisation_number": ORG, "claims": [claim], "evidence": [{"id": "e", "source_url": "u"}], "observations": [{"id": "o", "organisation_number": ORG}]}
+    source = {"id": "e", "source_url": "u", "source_class": "c", "retrieved_at": "t", "content_sha256": "h"}
+    seen = dict.fromkeys(("id", "organisation_number", "platform", "signal_type", "source_url", "retrieved_at", "content_sha256", "identity_proof", "acquisition_mode", "rights_status"), "o") | {"exact_entity": True}
+    run = dict.fromkeys(("run_id", "started_at", "completed_at", "terminal_status"), "r")
+    line = {"organisation_number": ORG, "run": run, "claims": [claim], "evidence": [source], "observations": [seen]}
     snap = tmp_path / "snap.jsonl"
     snap.write_text("\n".join([json.dumps(line | {"claims": []}), json.dumps(line), json.dumps(line | {"odd": 1}), "{"]))
     held = captured.envelopes(spark, str(snap))
@@ -186,9 +193,9 @@ def test_sources_and_sinks(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "out")).count() == 2 and digest.first().rows == 2
     assert sinks.write_snapshot(people.repartition(3), str(tmp_path / "out2")).first().sha256 == digest.first().sha256
     stored = str(tmp_path / "blobs")
-    assert sinks.write_blobs(spark.createDataFrame([("x",), ("x",)], "content string"), stored) is not None
+    sinks.write_blobs(spark.createDataFrame([("x",), ("x",)], "content string"), stored)
     sinks.write_blobs(spark.createDataFrame([("x",), ("y",)], "content string"), stored)
-    assert spark.read.parquet(stored).count() == 2
+    assert rows(captured.blobs(spark, stored), "content") == [("x",), ("y",)]
     sinks.write_viewer(spark.createDataFrame([("1", "</script>", "m", ["x"])], "org string, name string, municipality string, platforms array<string>"), str(tmp_path / "v"))
     assert "<\\/script>" in "".join(r.value for r in spark.read.text(str(tmp_path / "v")).collect())
 
@@ -258,9 +265,14 @@ def test_changes_to_itself_are_none_and_samples_are_stable(spark, sf):
     assert len(rows(sampling.risk_weighted(c, 40, "s"), "org")) == 40
 
 
-def test_quotas_redistribute():
-    assert audit.quotas(100, {"primary_key": 500}) == {"inferred": 0, "declared": 0, "corroborated": 0, "proven_on_page": 0, "primary_key": 100}
-    assert sum(audit.quotas(100, dict.fromkeys(audit.WEIGHTS, 500)).values()) == 100
+def test_quotas_redistribute(spark):
+    def take(count, have):
+        sizes = spark.createDataFrame(list(have.items()), "risk_tier string, have long")
+        return {r.risk_tier: r["take"] for r in audit.quotas(sizes, count).collect()}
+
+    assert take(100, {"primary_key": 500}) == {"inferred": 0, "declared": 0, "corroborated": 0, "proven_on_page": 0, "primary_key": 100}
+    assert sum(take(100, dict.fromkeys(audit.WEIGHTS, 500)).values()) == 100
+    assert take(100, {"inferred": 10, "declared": 500, "corroborated": 25, "proven_on_page": 500, "primary_key": 500}) == {"inferred": 10, "declared": 35, "corroborated": 25, "proven_on_page": 20, "primary_key": 10}
 
 
 def test_lists_change_by_item_and_only_for_present_companies(spark):
