@@ -11,7 +11,12 @@ any store that executors share. A task that is run again writes under another
 name, and only the names that committed tasks returned are read.
 
 An archive can be one gzip stream or several behind each other; records can go
-across their borders. An archive that ends within a stream or a record is an error.
+across their borders. Archives of other tools are read as they come: field names in
+any case, folded lines, any bytes in headers (what isn't UTF-8 is read as Latin-1),
+bare newlines for line ends, blank lines between records, records of any type, and
+responses without a digest or with one in another alphabet; those are made anew. Of
+their records, ids that aren't this module's are told as text. A record without a
+length, or an archive that ends within a stream or a record, is a named error.
 
 Defined cases: a null payload is an empty one; white space in a url is written as
 %XX; ids are whole numbers; of rows with equal payloads and
@@ -41,6 +46,11 @@ from ..storage import materialize, new_path, ship
 
 ARCHIVE_BYTES = 64 << 20  # an archive is closed once it holds so many bytes before compression
 PIECE = 1 << 20
+MOST_HEAD = 16 << 20  # bytes of a record's header
+HEAD_END = re.compile(rb"\r?\n\r?\n")
+BLANK = re.compile(rb"[\r\n]*")
+LINE_END = re.compile(r"\r?\n")
+OWN_ID = re.compile(r"<urn:page:(-?[0-9]+)>")
 SPACES = re.compile(r"[\s\x00-\x1F]+")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -68,33 +78,70 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
     return "\r\n".join(heads).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+class BrokenArchive(ValueError):
+    """An archive that can't be read to its end; the text tells where and why."""
+
+
 def parse_heads(data: bytes) -> dict[str, str]:
-    lines = data.decode().split("\r\n")
-    if not lines[0].startswith("WARC/"):
-        raise ValueError("not a WARC record")
-    return {k: v.strip() for k, _, v in (x.partition(":") for x in lines[1:] if x)}
+    """Fields of a header by their names in small letters; of a repeated one the first."""
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
+        text = data.decode("latin-1")
+    lines: list[str] = []
+    for line in LINE_END.split(text):
+        if line[:1] in (" ", "\t") and lines:
+            lines[-1] += " " + line.strip()  # goes on with the line before
+        elif line:
+            lines.append(line)
+    if not lines or not lines[0].upper().startswith("WARC/"):
+        raise BrokenArchive(f"not a WARC record: {data[:40]!r}")
+    heads: dict[str, str] = {}
+    for k, _, v in (x.partition(":") for x in lines[1:]):
+        heads.setdefault(k.strip().lower(), v.strip())
+    return heads
+
+
+def split_record(data: bytes | bytearray) -> tuple[dict[str, str], int, int] | None:
+    """(fields, start of the block, its length) of what begins with a record; None if its header isn't whole yet."""
+    m = HEAD_END.search(data)
+    if not m:
+        return None
+    heads = parse_heads(bytes(data[: m.start()]))
+    length = heads.get("content-length", "")
+    if not length.isdigit() or not length.isascii():
+        raise BrokenArchive(f"record {heads.get('warc-record-id')} has no length")
+    return heads, m.end(), int(length)
 
 
 class RecordCutter:
-    """Cuts whole records out of a stream that is fed in pieces."""
+    """Cuts whole records, header and block, out of a stream that is fed in pieces."""
 
     def __init__(self) -> None:
         self.rest = bytearray()
         self.need = 0
+        self.looked = 0  # no header ends before here
 
     def feed(self, data: bytes) -> Iterator[bytes]:
         self.rest += data
         while True:
             if not self.need:
-                end = self.rest.find(b"\r\n\r\n")
-                if end < 0:
+                blank = BLANK.match(self.rest).end()  # what divides records
+                del self.rest[:blank]
+                if blank:
+                    self.looked = 0
+                if not HEAD_END.search(self.rest, max(0, self.looked - 3)):
+                    self.looked = len(self.rest)
+                    if self.looked > MOST_HEAD:
+                        raise BrokenArchive("a header without an end")
                     return
-                self.need = end + 4 + int(parse_heads(bytes(self.rest[:end]))["Content-Length"]) + 4
+                _, start, length = split_record(self.rest)
+                self.need = start + length
             if len(self.rest) < self.need:
                 return
             yield bytes(self.rest[: self.need])
             del self.rest[: self.need]
-            self.need = 0
+            self.need = self.looked = 0
 
 
 def _open(uri: str):  # noqa: ANN202
@@ -169,7 +216,7 @@ def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
                 with store.open_input_stream(f"{base}/{name}", compression=None) as source, store.open_output_stream(f"{base}/{to}", compression=None) as sink, store.open_output_stream(f"{base}/{to}.idx", compression=None) as side:
                     while piece := source.read(PIECE):
                         while piece:
-                            if inflate.eof:
+                            if inflate.eof:  # another member follows
                                 if not (piece := piece.lstrip(b"\0")):  # padding behind a member
                                     break
                                 inflate = zlib.decompressobj(31)
@@ -177,24 +224,72 @@ def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
                             piece = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
                             for whole in cut.feed(data):
                                 squeeze = zlib.compressobj(3, zlib.DEFLATED, 31)
-                                member = squeeze.compress(whole) + squeeze.flush()
-                                heads = parse_heads(whole[: whole.index(b"\r\n\r\n")])
+                                member = squeeze.compress(whole) + squeeze.compress(b"\r\n\r\n") + squeeze.flush()
+                                heads = split_record(whole)[0]
                                 sink.write(member)
-                                side.write((json.dumps({"offset": at, "length": len(member), "id": heads.get("WARC-Record-ID"), "type": heads.get("WARC-Type"), "digest": heads.get("WARC-Payload-Digest")}) + "\n").encode())
+                                side.write((json.dumps({"offset": at, "length": len(member), "id": heads.get("warc-record-id"), "type": heads.get("warc-type"), "digest": heads.get("warc-payload-digest")}) + "\n").encode())
                                 at += len(member)
                                 n += 1
-                if not inflate.eof or cut.rest:
-                    raise ValueError(f"{name} is cut short")
+                if not inflate.eof or cut.rest.strip(b"\r\n"):
+                    raise BrokenArchive(f"{name} is cut short")
                 yield _rows(out, [(to, f"{to}.idx", n)])
 
     return archives.select("archive").mapInArrow(run, "archive string, idx string, records long")
 
 
+def _payload(heads: dict[str, str], block: bytes) -> bytes:
+    """What a record carries: of an HTTP message its body, else the whole block."""
+    if not heads.get("content-type", "").lower().startswith("application/http"):
+        return block
+    m = HEAD_END.search(block)
+    return block[m.end() :] if m else b""
+
+
+def _told_digest(text: str) -> tuple[str, bytes] | None:
+    """(algorithm, digest) of a field such as ``sha1:...``, in base32 or hexadecimal; None if it is neither."""
+    kind, _, value = text.strip().partition(":")
+    kind, size = kind.strip().lower().replace("-", ""), {"sha1": 20, "md5": 16, "sha256": 32}.get(kind.strip().lower().replace("-", ""))
+    value = value.strip()
+    if size is None:
+        return None
+    try:
+        if len(value) == 2 * size:
+            return kind, bytes.fromhex(value)
+        found = base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except ValueError:
+        return None
+    return (kind, found) if len(found) == size else None
+
+
+_RECORD = "record_id string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, refers_to_id string, payload binary"
+
+
 def read_archives(normalised: DataFrame, folder: str) -> DataFrame:
-    """Read every record by its offset: (page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload)."""
+    """Read every record by its offset: (record_id, page_id, url, payload_bytes, payload_digest, record_type, refers_to, refers_to_id, payload).
+
+    A payload whose digest isn't the one that its record tells is a named error. A
+    revisit has no payload; its length and digest are the ones told, or null.
+    """
     ship(normalised.sparkSession)
-    out = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "payload": pa.binary()}
-    number = lambda x: int(x) if (x := x.removeprefix("<urn:page:").removesuffix(">")) else None
+    out = {"record_id": pa.string(), "page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "refers_to_id": pa.string(), "payload": pa.binary()}
+
+    def number(x: str | None) -> int | None:
+        m = OWN_ID.fullmatch(x or "")
+        return int(m[1]) if m else None
+
+    def told(name: str, data: bytes) -> tuple:
+        heads, start, length = split_record(data)
+        payload = _payload(heads, data[start : start + length])
+        kind, own = heads.get("warc-type", ""), heads.get("warc-record-id")
+        said = _told_digest(heads.get("warc-payload-digest", ""))
+        size = heads.get("x-payload-length", "")
+        if kind == "revisit":
+            to = heads.get("warc-refers-to")
+            digest = base64.b32encode(said[1]).decode() if said and said[0] == "sha1" else None
+            return own, number(own), heads.get("warc-target-uri", ""), int(size) if size.isdigit() else None, digest, kind, number(to), to, None
+        if said and hashlib.new(said[0], payload).digest() != said[1] or size.isdigit() and int(size) != len(payload):
+            raise BrokenArchive(f"{name}: payload of {own} is damaged")
+        return own, number(own), heads.get("warc-target-uri", ""), len(payload), base32_sha1(payload), kind, None, None, payload
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _open(folder)
@@ -206,25 +301,15 @@ def read_archives(normalised: DataFrame, folder: str) -> DataFrame:
                     for line in io.BufferedReader(side):
                         entry = json.loads(line)
                         f.seek(entry["offset"])
-                        data = zlib.decompress(f.read(entry["length"]), 31)
-                        end = data.index(b"\r\n\r\n")
-                        heads = parse_heads(data[:end])
-                        block = data[end + 4 : end + 4 + int(heads["Content-Length"])]
-                        payload = block[block.index(b"\r\n\r\n") + 4 :]
-                        digest = heads["WARC-Payload-Digest"].removeprefix("sha1:")
-                        revisit = heads["WARC-Type"] == "revisit"
-                        if not revisit and (base32_sha1(payload) != digest or len(payload) != int(heads["X-Payload-Length"])):
-                            raise ValueError(f"{name}: payload of {heads['WARC-Record-ID']} is damaged")
-                        rows.append((number(heads["WARC-Record-ID"]), heads.get("WARC-Target-URI", ""), int(heads["X-Payload-Length"]), digest, heads["WARC-Type"], number(heads["WARC-Refers-To"]) if revisit else None, None if revisit else payload))
-                        held += len(payload)
+                        rows.append(told(name, zlib.decompress(f.read(entry["length"]), 31)))
+                        held += len(rows[-1][-1] or b"")
                         if held >= 8 << 20:
                             yield _rows(out, rows)
                             rows, held = [], 0
                 if rows:
                     yield _rows(out, rows)
 
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return normalised.select("archive", "idx").mapInArrow(run, schema)
+    return normalised.select("archive", "idx").mapInArrow(run, _RECORD)
 
 
 def round_trip(pages: DataFrame, min_revisit_bytes: int = 0, folder: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:

@@ -498,6 +498,63 @@ def test_warc_archives_that_end_early(spark, tmp_path):
             warc.normalise_archives(spark.createDataFrame([(name,)], "archive string"), f"file://{tmp_path}").collect()
 
 
+def foreign(kind, fields, block, newline=b"\r\n", between=b"\r\n\r\n"):
+    heads = [b"WARC/1.0", *fields, b"Content-Length: %d" % len(block)] if kind != "small" else [b"warc/0.18", *fields, b"content-length:%d" % len(block)]
+    return newline.join(heads) + newline * 2 + block + between
+
+
+def test_warc_archives_of_other_tools(spark, tmp_path):
+    """Small letters and bare newlines; folded lines, Latin-1 and other digests; records of other types, nothing between them."""
+    import gzip
+    import hashlib
+
+    http = b"HTTP/1.0 200 OK\nServer: x\n\n"
+    body = "blåbær".encode("latin-1")
+    hexed = hashlib.sha1(body).hexdigest().encode()
+    styles = {
+        "one": b"\r\n\r\n" + foreign("small", [b"warc-type: warcinfo", b"warc-record-id: <urn:uuid:1>"], b"software: x\r\n", b"\n", b"\n\n") + foreign("small", [b"warc-type:response", b"warc-record-id:<urn:uuid:2>", b"warc-target-uri:http://a/", b"content-type:application/http;msgtype=response"], http + body, b"\n", b"\n\n"),
+        "two": foreign("big", [b"WARC-Type: response", b"WARC-Record-ID: <urn:uuid:3>", b"WARC-Target-URI: http://b/" + body, b"X-Note: a", b"\tb\r\n c", b"WARC-Payload-Digest: SHA-1:" + hexed, b"CONTENT-TYPE: Application/HTTP; msgtype=response"], b"HTTP/1.1 200 OK\r\n\r\n" + body)
+        + foreign("big", [b"WARC-TYPE: revisit", b"warc-record-id: <urn:uuid:4>", b"WARC-Refers-To: <urn:uuid:3>", b"Content-Type: application/http"], b"HTTP/1.1 200 OK\r\n\r\n"),
+        "three": foreign("big", [b"WARC-Type: resource", b"WARC-Record-ID: <urn:uuid:5>", b"Content-Type: text/plain"], body, between=b"") + foreign("big", [b"WARC-Type: metadata", b"WARC-Record-ID: <urn:uuid:6>", b"WARC-Payload-Digest: other:123"], b"", between=b"\r\n"),
+    }
+    for name, data in styles.items():
+        (tmp_path / name).write_bytes(gzip.compress(data))
+    members = warc.normalise_archives(spark.createDataFrame([(n,) for n in styles], "archive string"), f"file://{tmp_path}")
+    got = {r.record_id: r for r in warc.read_archives(members, f"file://{tmp_path}").collect()}
+    assert {k[10:-1]: (r.record_type, None if r.payload is None else bytes(r.payload), r.page_id) for k, r in got.items()} == {
+        "1": ("warcinfo", b"software: x\r\n", None), "2": ("response", body, None), "3": ("response", body, None), "4": ("revisit", None, None), "5": ("resource", body, None), "6": ("metadata", b"", None)
+    }
+    assert got["<urn:uuid:3>"].url == "http://b/blåbær" and got["<urn:uuid:4>"].refers_to_id == "<urn:uuid:3>" and got["<urn:uuid:2>"].payload_digest == warc.base32_sha1(body)
+    assert warc.parse_heads(b"WARC/1.0\r\nX-Note: a\r\n\tb\r\n c\r\nx-note: d") == {"x-note": "a b c"}
+
+
+@pytest.mark.parametrize(("data", "why"), [(b"WARC/1.0\r\nWARC-Type: x\r\n\r\nabc", "has no length"), (b"HTTP/1.1 200 OK\r\n\r\n", "not a WARC record"), (b"WARC/1.0\r\nContent-Length: -3\r\n\r\n", "has no length"), (b"WARC/1.0\r\nContent-Length: 9\r\n\r\nabc", "cut short")])
+def test_warc_errors_are_named(spark, tmp_path, data, why):
+    import gzip
+
+    (tmp_path / "a").write_bytes(gzip.compress(data))
+    with pytest.raises(Exception, match=why):
+        warc.normalise_archives(spark.createDataFrame([("a",)], "archive string"), f"file://{tmp_path}").collect()
+
+
+def test_warc_damaged_payloads_are_told(spark, tmp_path):
+    import gzip
+
+    data = warc.record(1, "u", b"abc", None, False).replace(b"\r\n\r\nabc", b"\r\n\r\nabd")
+    (tmp_path / "a").write_bytes(gzip.compress(data))
+    members = warc.normalise_archives(spark.createDataFrame([("a",)], "archive string"), f"file://{tmp_path}")
+    with pytest.raises(Exception, match="is damaged"):
+        warc.read_archives(members, f"file://{tmp_path}").collect()
+
+
+def test_records_are_cut_wherever_pieces_end():
+    data = b"".join(foreign("big", [b"WARC-Type: resource", b"WARC-Record-ID: <%d>" % n], b"x\r\n\r\n" * n, between=b"\r\n" * (n % 3)) for n in range(6))
+    whole = list(warc.RecordCutter().feed(data))
+    for size in (1, 2, 7, 64):
+        cut = warc.RecordCutter()
+        assert [r for k in range(0, len(data), size) for r in cut.feed(data[k : k + size])] == whole and len(whole) == 6
+
+
 def test_empty_tables(empty):
     assert sharding.shard(empty).count() == chosen_path.join(empty).count() == secrets.scan(empty).count() == surrogates.pseudonymise(empty, "k").count() == 0
     assert host_rules.judge(empty).count() == recompression.dedup(empty).count() == line_templates.drop_recurring(empty).count() == 0
