@@ -2,7 +2,10 @@
 
 DataFrame functions only. One search marks all entities of a text. Words of names
 found so are then marked wherever else the same text has them alone, so that a
-person who is named once stays one person. Each distinct entity (in a normal form,
+person who is named once stays one person. What stands in the context of a name in
+several documents, and in few others, is learnt as a name: texts that have a learnt
+word among capitalised ones are searched again for it and for the surname behind a
+learnt given name. Each distinct entity (in a normal form,
 so that all its spellings agree) gets a surrogate:
 
 * mails, phones, social security, card and bank account numbers by a keyed
@@ -10,9 +13,10 @@ so that all its spellings agree) gets a surrogate:
   shift the characters of one half, each within its own alphabet, by a digest of
   the other half). Top-level domains, country codes and the first digit of cards
   stay. Check digits are made again: valid numbers stay valid, others invalid;
-* addresses of machines by a keyed permutation of all 32-bit numbers;
+* addresses of machines by a keyed permutation of all 32-bit numbers, or 128-bit ones;
 * names by syllables of the same script drawn from a keyed digest, with an ending
-  of the same gender, longer with each round of drawing.
+  of the same gender, longer with each round of drawing; each part of a name with
+  hyphens by its own, while particles (van, de, O') stay.
 
 A permutation never gives two entities one surrogate. Surrogates are checked
 against each other and against all entities of the corpus; who collides draws
@@ -29,9 +33,9 @@ results; an entity that stands in very many rows is counted before the exchange;
 private-use characters in texts are kept; further columns are ignored; an empty
 table gives an empty result. Patterns take time in proportion to a text's length.
 
-Not found: names behind no title, label or listed given name that the same text
-doesn't introduce elsewhere; numbers of phones without a + sign, a leading zero or
-the North American form.
+Not found: names whose words no document of the corpus has behind a title, a label
+or a listed given name; numbers of phones in other forms than: a + sign, a leading
+zero, the North American form, eight digits in pairs or as 3-2-3.
 """
 
 from __future__ import annotations
@@ -50,6 +54,7 @@ TITLES_M = ("Mr", "Herr", "Monsieur", "Señor", "Sr")
 TITLES_U = ("Dr", "Prof", "Professor")
 GIVEN_F = ("Anna", "Maria", "Emma", "Julia", "Laura", "Sophie", "Marie", "Claire", "Carmen", "Lucia", "Elena", "Sarah", "Emily", "Mary", "Jennifer", "Elizabeth", "Angela", "Priya", "Ольга", "Анна", "Мария", "Елена", "Ελένη", "Μαρία")
 GIVEN_M = ("John", "James", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Hans", "Klaus", "Pierre", "Jean", "Carlos", "Juan", "Pedro", "Miguel", "Иван", "Сергей", "Дмитрий", "Алексей", "Γιώργος", "Νίκος")
+PARTICLES = ("van", "von", "der", "den", "de", "di", "da", "del", "della", "dos", "la", "le", "al", "el", "bin", "ibn", "ter", "zu", "af")
 LABELS = ("[Nn]ame: ", "[Nn]ame is ", "[Cc]ontact: ", "[Aa]uthor: ", "[Ss]igned: ", "[Aa]ttn: ")
 SYLLABLES = {
     "latin": ("ba", "ce", "di", "fo", "ga", "he", "ki", "lo", "ma", "ne", "pi", "ro", "sa", "te", "vi", "zo"),
@@ -68,25 +73,33 @@ COUNTRY_CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NO_BEFORE, _NO_AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-_WORD = r"\p{Lu}[\p{Ll}\p{M}]++"
+#: A word of a name: capitals within it, all capitals, parts behind hyphens and apostrophes.
+_WORD = r"\p{Lu}(?:[\p{L}\p{M}]++(?:['’-]\p{Lu}[\p{L}\p{M}]*+){0,3}+|(?:['’]\p{Lu}[\p{L}\p{M}]*+){1,3}+)"
+_NEXT = rf"(?: (?:{'|'.join(PARTICLES)})(?= )){{0,3}}+ {_WORD}"
+_HEX = "[0-9a-fA-F]{1,4}"
 _LABEL = r"[\p{L}\p{N}-]++"
 PATTERNS = {
     # begun where a run of its characters begins and never given back, so that long runs cost no more than their length
     "email": rf"(?<![\p{{L}}\p{{N}}._%+-])[._%+-]*+[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}._%+-]*+@(?=[\p{{L}}\p{{N}}.-]*?\.\p{{L}}{{2}}){_LABEL}(?:\.{_LABEL})++",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.[0-9])",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9a-fA-F:]*?[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}:])",
     "phone": rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,5}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_NO_AFTER}"
     rf"|{_NO_BEFORE}(?:1[ .-]?)?\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_NO_AFTER}|{_NO_BEFORE}[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}{_NO_AFTER}"
-    rf"|{_NO_BEFORE}0[1-9](?:[ .-][0-9]{{2}}){{4}}{_NO_AFTER}|{_NO_BEFORE}0[1-9][0-9]{{1,3}}[ /-][0-9]{{5,8}}{_NO_AFTER}",
+    rf"|{_NO_BEFORE}0[1-9](?:[ .-][0-9]{{2}}){{4}}{_NO_AFTER}|{_NO_BEFORE}0[1-9][0-9]{{1,3}}[ /-][0-9]{{5,8}}{_NO_AFTER}"
+    rf"|{_NO_BEFORE}0[1-9][0-9]{{1,3}}(?:[ -][0-9]{{3,4}}){{2}}{_NO_AFTER}|{_NO_BEFORE}\(0[1-9][0-9]{{1,3}}\) ?[0-9]{{3,4}}(?:[ -]?[0-9]{{3,4}}){{1,2}}{_NO_AFTER}"
+    rf"|(?<![0-9] ){_NO_BEFORE}(?:[2-9][0-9](?: [0-9]{{2}}){{3}}|[49][0-9]{{2}} [0-9]{{2}} [0-9]{{3}}){_NO_AFTER}(?! [0-9])",
     "ssn": rf"{_NO_BEFORE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_NO_AFTER}",
     "card": rf"{_NO_BEFORE}[0-9](?:[ -]?[0-9]){{12,18}}{_NO_AFTER}",
     "iban": rf"{_NO_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_NO_AFTER}",
-    "name": rf"{_NO_BEFORE}(?:(?:{'|'.join(TITLES_F + TITLES_M + TITLES_U)})\.? {_WORD}(?: {_WORD})?|(?:{'|'.join(GIVEN_F + GIVEN_M)}) {_WORD}|(?<={'|'.join(LABELS)}){_WORD} {_WORD}){_NO_AFTER}",
+    "name": rf"{_NO_BEFORE}(?:(?:{'|'.join(TITLES_F + TITLES_M + TITLES_U)})\.? {_WORD}(?:{_NEXT})?|(?:{'|'.join(GIVEN_F + GIVEN_M)})(?:-\p{{Lu}}[\p{{L}}\p{{M}}]*+){{0,2}}+{_NEXT}|(?<={'|'.join(LABELS)}){_WORD}{_NEXT}){_NO_AFTER}",
 }
 _UNION = lambda *kinds: "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
 #: All patterns in their order, those that cannot begin at a character left out by a glance at it.
-ENTITY = rf"(?:(?<![\p{{L}}\p{{N}}])|(?=\+))(?:{_UNION('email')}|(?=[0-9(+])(?:{_UNION('ip', 'phone', 'ssn', 'card')})|(?=\p{{Lu}})(?:{_UNION('iban', 'name')}))"
+ENTITY = rf"(?:(?<![\p{{L}}\p{{N}}])|(?=\+))(?:{_UNION('email')}|(?=[0-9(+])(?:{_UNION('ip', 'phone', 'ssn', 'card')})|(?=[0-9a-fA-F])(?:{_UNION('ip6')})|(?=\p{{Lu}})(?:{_UNION('iban', 'name')}))"
 CAPITALISED = rf"{_NO_BEFORE}\p{{Lu}}[\p{{L}}\p{{M}}]++{_NO_AFTER}"
-NAME_ONLY = r"^[\p{L}\p{M}. ]+$"
+RUN = rf"{_NO_BEFORE}{_WORD}(?: {_WORD})++{_NO_AFTER}"  # capitalised words behind each other
+NAME_ONLY = r"^[\p{L}\p{M}. '’-]+$"
+PIECES = r"(?<=[ '’-])"  # between the parts of a name, each with what divides it from the next
 NAME_KINDS = ("name_s", "name_f", "name_m", "name_u")
 
 #: Marks around entities. A private-use character of a text that could be taken for one gets an escape behind it.
@@ -107,7 +120,7 @@ def _kind(entity: Column) -> Column:
 
 
 def _gender(entity: Column) -> Column:
-    begins = lambda titles, given: entity.rlike(rf"^(?:{'|'.join(titles)})\b|^(?:{'|'.join(given)}) ")
+    begins = lambda titles, given: entity.rlike(rf"^(?:{'|'.join(titles)})\b|^(?:{'|'.join(given)})[ -]")
     return F.when(begins(TITLES_F, GIVEN_F), "f").when(begins(TITLES_M, GIVEN_M), "m").otherwise("u")
 
 
@@ -119,12 +132,19 @@ def _without_title(entity: Column) -> Column:
     return F.regexp_replace(entity, rf"^(?:{'|'.join(TITLES_F + TITLES_M + TITLES_U)})\.? ", "")
 
 
-def marked(text: Column) -> Column:
-    """(m, names): the text with marks around its entities, and the words of names that it holds as `` kind:Word ... ``."""
-    searched = F.regexp_replace(F.replace(text, F.lit(_P), F.lit(ESCAPED)), ENTITY, f"{SEP}$0{SEP}")
+def _escaped(text: Column) -> Column:
+    return F.replace(text, F.lit(_P), F.lit(ESCAPED))
+
+
+def marked(text: Column, more: Column | None = None) -> Column:
+    """(m, names): an escaped text with marks around its entities, and the words of names that it holds as `` kind:Word ... ``.
+
+    more: further words of names, in that form.
+    """
+    searched = F.regexp_replace(text, ENTITY, f"{SEP}$0{SEP}")
 
     def words_of(entity: Column) -> Column:
-        words = F.split(_without_title(entity), " ")
+        words = F.filter(F.split(_without_title(entity), "[ '’-]"), lambda w: w.rlike(r"^\p{Lu}."))
         kind = lambda i: F.when(i == F.size(words) - 1, F.lit("name_s")).otherwise(F.concat(F.lit("name_"), _gender(entity)))
         return F.transform(words, lambda w, i: F.concat(kind(i), F.lit(":"), _norm_name(w)))
 
@@ -139,12 +159,51 @@ def marked(text: Column) -> Column:
     def with_names(p: Column) -> Column:
         names = F.filter(p, lambda e, i: (i % 2 == 1) & e.rlike(NAME_ONLY))
         words = F.array_distinct(F.flatten(F.transform(names, words_of)))
-        return _once(F.struct(p.alias("p"), F.when(F.size(words) > 0, F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))).otherwise("").alias("n")), with_mentions)
+        own = F.when(F.size(words) > 0, F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))).otherwise("")
+        return _once(F.struct(p.alias("p"), (own if more is None else F.concat(own, more)).alias("n")), with_mentions)
 
+    if more is not None:
+        return _once(F.split(searched, SEP, -1), with_names)
     plain = F.struct(F.lit(None).cast("string").alias("m"), F.lit("").alias("names"))
     return _once(searched, lambda s: F.when(F.contains(s, F.lit(SEP)), _once(F.split(s, SEP, -1), with_names)).otherwise(plain))
 
 
+LEAST_DOCS = 2  # documents that show a learnt word in the context of a name
+LEAST_SHARE = 0.5  # of the documents that have it capitalised at all
+FEW_NAMES = 100_000  # so many learnt words are sent to all tasks, more are shuffled
+
+
+def learnt(searched: DataFrame) -> DataFrame | None:
+    """(word, kind): words that stand in the context of names; None if there are none.
+
+    searched: (text, names, ...) as pseudonymise has them, texts with marks.
+    """
+    told = searched.where("names != ''").select(F.explode(F.array_distinct(F.split(F.trim("names"), " +"))).alias("x"))
+    pairs = told.groupBy("x").agg(F.count(F.lit(1)).alias("n")).select(F.substring_index("x", ":", 1).alias("kind"), F.substring_index("x", ":", -1).alias("word"), "n")
+    words = pairs.groupBy("word").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"), F.sum("n").alias("named")).where((F.col("named") >= LEAST_DOCS) & (F.length("word") > 1))
+    words = materialize(words, "names", compact=True)
+    n = words.count()
+    if not n:
+        return None
+    held = searched.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(CAPITALISED), F.lit(0)), _norm_name))).alias("word"))
+    seen = held.join(F.broadcast(words) if n <= FEW_NAMES else words, "word").groupBy("word", "kind", "named").agg(F.count(F.lit(1)).alias("docs"))
+    return materialize(seen.where(F.col("named") >= LEAST_SHARE * F.col("docs")).select("word", "kind"), "learnt", compact=True)
+
+
+def _beside(searched: DataFrame, names: DataFrame) -> DataFrame:
+    """(ik, th, more): learnt words among capitalised ones, and surnames behind learnt given names, of each row that has any outside of its entities."""
+    gaps = F.array_join(F.filter(F.split("text", SEP, -1), lambda p, i: i % 2 == 0), "\n")
+    runs = searched.select("ik", "th", F.explode(F.array_distinct(F.regexp_extract_all(F.when(F.col("has"), gaps).otherwise(F.col("text")), F.lit(RUN), F.lit(0)))).alias("run"))
+    words = runs.select("ik", "th", F.split("run", "[ '’-]").alias("words"))
+    each = words.select("ik", "th", F.inline(F.transform("words", lambda w, i: F.struct(_norm_name(w).alias("word"), F.get("words", i + 1).alias("after")))))  # no row holds a whole run
+    few = names.count() <= FEW_NAMES
+    met = each.join(F.broadcast(names) if few else names, "word")
+    after = F.col("after")
+    surname = F.when((F.col("kind") != "name_s") & F.coalesce(F.length(after) > 1, F.lit(False)), F.concat(F.lit("name_s:"), _norm_name(after)))
+    found = met.select("ik", "th", F.explode(F.array_compact(F.array(F.concat("kind", F.lit(":"), "word"), surname))).alias("x"))
+    return found.groupBy("ik", "th").agg(F.concat(F.lit(" "), F.array_join(F.array_sort(F.collect_set("x")), " "), F.lit(" ")).alias("more"))
+
+
 def _held(names: Column, word: Column) -> Column:
     """The kind under which a word stands among names; null if it doesn't."""
     kind = F.when(F.lit(False), "")
@@ -220,6 +279,16 @@ def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         high, low = low, high.bitwiseXOR(_number(key, tweak, F.lit(str(r)), low.cast("string")) % 65536)
     ip = F.concat_ws(".", *((F.floor(x / 256) % 256).cast("string") if part == 0 else (x % 256).cast("string") for x in (high, low) for part in (0, 1)))
 
+    def mixed(r: int):  # noqa: ANN202
+        part = lambda x: F.transform(x["a"], lambda g, i: g.bitwiseXOR(_number(key, tweak, F.lit(str(r)), i.cast("string"), F.array_join(x["b"], ":")) % 65536))
+        return lambda x: F.struct(x["b"].alias("a"), part(x).alias("b"))
+
+    groups = F.transform(F.split(norm, ":"), lambda g: F.conv(g, 16, 10).cast("long"))
+    state = F.struct(F.slice(groups, 1, 4).alias("a"), F.slice(groups, 5, 4).alias("b"))
+    for r in range(FEISTEL_ROUNDS):  # two halves of four groups of 16 bits
+        state = _once(state, mixed(r))
+    ip6 = _once(state, lambda x: F.array_join(F.transform(F.concat(x["a"], x["b"]), lambda g: F.lower(F.hex(g))), ":"))
+
     code = F.regexp_extract(norm, COUNTRY_CODE, 0)
     phone = F.concat(code, keyed(after(norm, F.length(code))))
 
@@ -244,6 +313,7 @@ def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
+        .when(kind == "ip6", ip6)
         .when(kind == "phone", phone)
         .when(kind == "card", card)
         .when(kind == "iban", _once(keyed(account), bank))
@@ -266,20 +336,29 @@ def _dressed(kind: Column, original: Column, core: Column) -> Column:
     return F.when(kind.isin("phone", "ssn", "card", "iban"), walk).when(kind == "email", F.concat(lead, cased)).otherwise(cased)
 
 
+def _spelt_out(address: Column) -> Column:
+    """Eight groups of an address of 128 bits, without zeros in front."""
+    sides = F.split(address, "::", -1)
+    groups = lambda x: F.filter(F.split(x, ":"), lambda g: g != "")
+    left, right = groups(F.get(sides, F.lit(0))), groups(F.coalesce(F.get(sides, F.lit(1)), F.lit("")))
+    every = F.concat(left, F.array_repeat(F.lit("0"), (F.lit(8) - F.size(left) - F.size(right)).cast("int")), right)
+    return F.array_join(F.transform(every, lambda g: F.lower(F.hex(F.conv(g, 16, 10).cast("long")))), ":")
+
+
 def _tokens(found: DataFrame) -> DataFrame:
     """Entities of rows (ik, th, e, entity, names) as tokens (ik, th, e, sub, etype, original, kind, norm); a null kind stays as it is."""
     kinds = found.withColumn("etype", _kind(F.col("entity")))
     entity, named = F.col("entity"), F.col("etype") == "name"
-    parts = kinds.select(
-        "ik", "th", "e", "etype", "names",
-        F.when(named, _gender(entity)).alias("gender"),
-        F.posexplode(F.when(named, F.split("entity", " ")).otherwise(F.array("entity"))).alias("sub", "original"),
-        F.when(named, F.size(F.split("entity", " "))).otherwise(1).alias("n"),
-    )
+    split = F.when(named, F.split("entity", PIECES)).otherwise(F.array("entity"))
+    whole = kinds.select("ik", "th", "e", "etype", "names", F.when(named, _gender(entity)).alias("gender"), split.alias("pieces")).withColumn("n", F.size("pieces"))
+    parts = whole.select("ik", "th", "e", "etype", "names", "gender", "n", F.posexplode("pieces").alias("sub", "piece"))
+    end = F.when(F.col("etype") == "name", F.regexp_extract("piece", "[ '’-]$", 0)).otherwise("")
+    parts = parts.withColumn("sep", end).withColumn("original", F.when(F.col("sep") != "", F.substring("piece", F.lit(1), F.length("piece") - 1)).otherwise(F.col("piece")))
     original = F.col("original")
     title = (F.col("n") > 1) & (F.col("sub") == 0) & F.rtrim(original, F.lit(".")).isin(*TITLES_F, *TITLES_M, *TITLES_U)
+    small = ~original.rlike(r"^\p{Lu}.")  # particles, and the O of O'Brien
     name_kind = (
-        F.when(title, F.lit(None))
+        F.when(title | (small & (F.col("n") > 1)), F.lit(None))
         .when(F.col("n") == 1, _held(F.col("names"), original))
         .when(F.col("sub") == F.col("n") - 1, "name_s")
         .otherwise(F.concat(F.lit("name_"), F.col("gender")))
@@ -289,10 +368,11 @@ def _tokens(found: DataFrame) -> DataFrame:
         F.when(F.col("etype").isin("phone", "ssn", "card", "iban"), F.regexp_replace(original, r"[^\p{L}\p{N}+]", ""))
         .when(F.col("etype") == "email", F.regexp_replace(F.lower(original), r"^[._%+-]+", ""))
         .when(F.col("etype") == "ip", F.array_join(F.transform(F.split(original, r"\."), lambda x: x.cast("int").cast("string")), "."))
+        .when(F.col("etype") == "ip6", _spelt_out(original))
         .when(F.col("etype") == "name", _norm_name(original))
         .otherwise(original)
     )
-    return parts.select("ik", "th", "e", "sub", "etype", "original", kind.alias("kind"), norm.alias("norm"))
+    return parts.select("ik", "th", "e", "sub", "sep", "etype", "original", kind.alias("kind"), norm.alias("norm"))
 
 
 def _family(kind: Column) -> Column:
@@ -327,23 +407,29 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     """(id, text, n_entities, kinds): texts with surrogates, and the kinds of entity found with their counts."""
     text = F.col(text_col)
     searched = keep(  # searched once; marked texts in place of the plain ones
-        docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("ik"), F.xxhash64(text).alias("th"), text.alias("text"), marked(text).alias("x")).select(
+        docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("ik"), F.xxhash64(text).alias("th"), text.alias("text"), marked(_escaped(text)).alias("x")).select(
             "id", "ik", "th", F.coalesce("x.m", "text").alias("text"), "x.names", F.col("x.m").isNotNull().alias("has")
         )
     )
+    names = learnt(searched)
+    if names is not None:  # texts that a learnt word occurs in are searched again
+        more = materialize(_beside(searched, names), "beside", compact=True)
+        plain = F.when(F.col("has"), F.replace("text", F.lit(SEP), F.lit(""))).otherwise(_escaped(F.col("text")))
+        again = searched.join(more, ["ik", "th"]).select("id", "ik", "th", marked(plain, F.col("more")).alias("x")).select("id", "ik", "th", F.col("x.m").alias("text"), "x.names", F.lit(True).alias("has"))
+        searched = keep(searched.join(more, ["ik", "th"], "left_anti").select("id", "ik", "th", "text", "names", "has").unionByName(again))
     held = searched.where("has").withColumn("pieces", F.split("text", SEP, -1))
     found = held.select("ik", "th", "names", F.posexplode(F.filter("pieces", lambda p, i: i % 2 == 1)).alias("e", "entity"))
     tokens = materialize(_tokens(found), "tokens", compact=True)
     words = dictionary(tokens, key)
     told = (
         tokens.join(words, ["kind", "norm"], "left")
-        .select("ik", "th", F.struct("e", "sub", "etype", F.coalesce(_dressed(F.col("kind"), F.col("original"), F.col("core")), F.col("original")).alias("s")).alias("p"))
+        .select("ik", "th", F.struct("e", "sub", "sep", "etype", F.coalesce(_dressed(F.col("kind"), F.col("original"), F.col("core")), F.col("original")).alias("s")).alias("p"))
         .groupBy("ik", "th")
         .agg(F.sort_array(F.collect_set("p")).alias("p"))
     )
     met = held.join(told, ["ik", "th"]).withColumn("gaps", F.filter("pieces", lambda x, i: i % 2 == 0))
     rebuilt = F.concat(
-        F.array_join(F.transform("p", lambda p: F.concat(F.when(p["sub"] == 0, F.get("gaps", p["e"])).otherwise(" "), p["s"])), ""),
+        F.array_join(F.transform("p", lambda p: F.concat(F.when(p["sub"] == 0, F.get("gaps", p["e"])).otherwise(""), p["s"], p["sep"])), ""),
         F.get("gaps", F.size("gaps") - 1),
     )
     heads = F.filter("p", lambda p: p["sub"] == 0)
