@@ -179,6 +179,7 @@ def risk_tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def observation_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files of observations: one lacks every other id, so the pool takes those from the second."""
     o = px.observations(spark, sf_dir)
     again = o.withColumn("file_no", F.lit(1)).withColumn("platform", F.lit("news"))
     return audit.pool(o.where("pos % 2 = 0").unionByName(again)).select("id", "platform", "file_no")

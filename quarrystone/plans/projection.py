@@ -277,7 +277,10 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of the knowledge base for one company in six: (pos, qid, entity, retrieved_at, sha)."""
+    """Records of the knowledge base: (pos, qid, entity, retrieved_at, sha).
+
+    It knows one company in six, so the other states of these fields occur, too: what is missing is the feature.
+    """
     k = F.col("key")
     value = lambda text: F.array(F.struct(F.struct(F.lit("value").alias("snaktype"), F.struct(text.alias("value")).alias("datavalue")).alias("mainsnak")))
     entity = F.struct(F.struct(value(F.col("org")).alias("P2333"), value(F.col("website")).alias("P856")).alias("claims"), F.struct(F.struct(F.col("name").alias("value")).alias("en")).alias("labels"), F.struct(F.struct(F.col("name").alias("title")).alias("enwiki")).alias("sitelinks"))
@@ -286,7 +289,10 @@ def knowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adverts with the number of their employer, two for one company in eight: (url, body, retrieved_at, sha)."""
+    """Adverts with the number of their employer: (url, body, retrieved_at, sha).
+
+    One company in eight has two; that the others have none is what a checked zero is made of.
+    """
     c = companies(spark, sf_dir).where("key % 8 = 0").select("org", "name", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
     body = F.to_json(F.struct(F.struct(F.concat("org", F.lit("-"), F.col("n").cast("string")).alias("uuid"), F.col("name").alias("title"), F.struct(F.col("org").alias("orgnr")).alias("employer"), F.lit("2026-01-01").alias("published")).alias("ad_content")))
     return c.select(F.concat(F.lit("https://ads.example/"), "org", F.lit("/"), F.col("n").cast("string")).alias("url"), body.alias("body"), F.lit("2026-01-02").alias("retrieved_at"), F.sha2("org", 256).alias("sha"))
