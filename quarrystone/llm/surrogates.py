@@ -266,12 +266,20 @@ def _iban_check(country: Column, body: Column) -> Column:
 def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a normal form, for each attempt another one."""
     tweak = F.concat_ws("|", kind, attempt.cast("string"))
-    keyed = lambda text: permuted(text, key, tweak)
     end = F.length(norm)
     after = lambda text, n: F.substring(text, n + 1, F.length(text))
 
     top = F.regexp_extract(norm, r"\.(\p{L}{2,63})$", 0)  # with its dot; empty where the last label isn't one
-    email = F.concat(keyed(F.substring(norm, F.lit(1), end - F.length(top))), top, F.lit(".example"))
+    code = F.regexp_extract(norm, COUNTRY_CODE, 0)
+    country, check, account = F.substring(norm, 1, 2), F.substring(norm, 3, 2), F.substring(norm, F.lit(5), end)
+    part = (  # what the permutation takes of a normal form, one for all kinds
+        F.when(kind == "email", F.substring(norm, F.lit(1), end - F.length(top)))
+        .when(kind == "phone", after(norm, F.length(code)))
+        .when(kind == "card", F.substring(norm, F.lit(2), end - 2))
+        .when(kind == "iban", account)
+        .when(kind.isin("ip", "ip6") | kind.startswith("name_"), "")
+        .otherwise(norm)
+    )
 
     octet = lambda i: F.get(F.split(norm, r"\."), F.lit(i)).cast("long")
     high, low = octet(0) * 256 + octet(1), octet(2) * 256 + octet(3)
@@ -289,14 +297,8 @@ def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         state = _once(state, mixed(r))
     ip6 = _once(state, lambda x: F.array_join(F.transform(F.concat(x["a"], x["b"]), lambda g: F.lower(F.hex(g))), ":"))
 
-    code = F.regexp_extract(norm, COUNTRY_CODE, 0)
-    phone = F.concat(code, keyed(after(norm, F.length(code))))
-
     # what a card's last digit lacks to the check sum is kept, and so is whether it is valid
-    body = F.concat(F.substring(norm, 1, 1), keyed(F.substring(norm, F.lit(2), end - 2)))
-    card = _once(body, lambda b: F.concat(b, F.pmod(_luhn(norm) - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
-
-    country, check, account = F.substring(norm, 1, 2), F.substring(norm, 3, 2), F.substring(norm, F.lit(5), end)
+    card = lambda b: F.concat(b, F.pmod(_luhn(norm) - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string"))
 
     def bank(x: Column) -> Column:
         was, ought = _iban_check(country, account), _iban_check(country, x)
@@ -310,16 +312,20 @@ def _core(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     for s, endings in ENDINGS.items():
         for gender, ending in endings.items():
             name = name.when((kind == f"name_{gender}") & (script == s), F.initcap(F.concat(spelt(s), F.lit(ending))))
-    return (
-        F.when(kind == "email", email)
-        .when(kind == "ip", ip)
-        .when(kind == "ip6", ip6)
-        .when(kind == "phone", phone)
-        .when(kind == "card", card)
-        .when(kind == "iban", _once(keyed(account), bank))
-        .when(kind.startswith("name_"), name)
-        .otherwise(keyed(norm))
-    )
+
+    def told(p: Column) -> Column:
+        return (
+            F.when(kind == "email", F.concat(p, top, F.lit(".example")))
+            .when(kind == "ip", ip)
+            .when(kind == "ip6", ip6)
+            .when(kind == "phone", F.concat(code, p))
+            .when(kind == "card", _once(F.concat(F.substring(norm, 1, 1), p), card))
+            .when(kind == "iban", bank(p))
+            .when(kind.startswith("name_"), name)
+            .otherwise(p)
+        )
+
+    return _once(permuted(part, key, tweak), told)
 
 
 def _dressed(kind: Column, original: Column, core: Column) -> Column:
