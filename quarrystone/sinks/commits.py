@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,6 +47,8 @@ class _Writer(DataSourceArrowWriter):
         self.uri, self.kind, self.overwrite = options["path"], options["kind"], overwrite
         self.job = options.get("job") or uuid.uuid4().hex
         self.info = json.loads(options.get("info", "{}"))
+        store, base = _store(self.uri)
+        store.create_dir(f"{base}/{STAGING}/{self.job}", recursive=True)  # by the driver: once it is gone, what still runs can't write
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         from pyspark import TaskContext
@@ -53,7 +56,6 @@ class _Writer(DataSourceArrowWriter):
         part = TaskContext.get().partitionId()
         store, base = _store(self.uri)
         staging = f"{base}/{STAGING}/{self.job}"
-        store.create_dir(staging, recursive=True)
         told = _Written(part)
         if self.kind == "blobs":
             for b in iterator:
@@ -91,7 +93,7 @@ class _Writer(DataSourceArrowWriter):
                 store.move(f["staged"], f"{base}/{f['name']}")
                 there.add(f["name"])
                 added += 1
-        store.delete_dir(f"{base}/{STAGING}/{self.job}") if files else None
+        self._clear()
         if self.kind == "snapshot":
             listed = [{"file": f["name"], "bytes": f["bytes"], "sha256": f["sha256"], "rows": f["rows"]} for f in files]
             whole = hashlib.sha256("".join(f["sha256"] for f in listed).encode()).hexdigest()
@@ -105,11 +107,21 @@ class _Writer(DataSourceArrowWriter):
                     store.delete_file(f"{base}/{old}")
 
     def abort(self, messages: list[_Written | None]) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        """The job's staging folder goes, though killed tasks may still be writing into it."""
         from pyarrow import fs
 
         store, base = _store(self.uri)
-        if store.get_file_info(f"{base}/{STAGING}/{self.job}").type == fs.FileType.Directory:
-            store.delete_dir(f"{base}/{STAGING}/{self.job}")
+        staging = f"{base}/{STAGING}/{self.job}"
+        for _ in range(50):
+            if store.get_file_info(staging).type != fs.FileType.Directory:
+                return
+            try:
+                store.delete_dir(staging)
+            except OSError:
+                time.sleep(0.1)
 
 
 class _Committed(DataSource):
