@@ -6,7 +6,9 @@ number of min-hash tokens; a run starts with all records in one node, and each
 node chooses a few token places from its own path, on average 1/threshold of
 them: records that share the token at a chosen place go to the same child. Nodes
 of few records are compared by brute force over small sketches, larger ones are
-split further. Runs are repeated as often as the survival of a pair at the
+split further. A large node is settled without that if all its records but a few
+agree with one of them: those are one class, and only the few are compared with
+all others, so nothing is left that splitting could find. Runs are repeated as often as the survival of a pair at the
 threshold requires for the target recall. Nodes that are still large at the last
 depth hold near copies of one text; all their records are taken as candidates.
 
@@ -43,6 +45,7 @@ TOKENS = 64  # min-hash tokens of a record
 DEPTH = 4  # deepest split
 LEAF = 128  # records of a node that is compared by brute force
 RECALL = 0.999  # of pairs at the threshold, by the paths alone
+PIVOTS = 4  # records of a large node of which one may settle it
 SKETCH_SLACK = 0.25  # sketches may fall short of the threshold by so much (five deviations)
 TILE = 512  # records on a side of an exact comparison
 BLOCK_BYTES = 64 << 20  # shingles of a block of records that travels as a whole
@@ -253,6 +256,65 @@ def _leaf_links(tokens: int, least: float):  # noqa: ANN202
     return run
 
 
+def _far(tokens: int, least: float):  # noqa: ANN202
+    """For each pivot of a record's node: whether their sketches agree too little."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                own, pivots = _fixed(pa.chunked_array([b[2]]), np.uint8, tokens), _fixed(pa.chunked_array([b[3]]), np.uint8, PIVOTS * tokens)
+                far = (pivots.reshape(-1, PIVOTS, tokens) == own[:, None, :]).sum(2) < least * tokens
+                lists = pa.ListArray.from_arrays(np.arange(0, far.size + 1, PIVOTS, dtype=np.int32), pa.array(far.ravel()))
+                yield pa.record_batch([b[0], b[1], b[2], lists], ["path", "rec", "sketch", "far"])
+
+    return run
+
+
+def _few_links(tokens: int, least: float):  # noqa: ANN202
+    """Within each settled node: a spanning forest of the few and the records whose sketches agree with theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            path, rec, sketch = b[0].to_numpy(), b[1].to_numpy(), _fixed(pa.chunked_array([b[2]]), np.uint8, tokens)
+            edge = np.flatnonzero(np.concatenate(([True], path[1:] != path[:-1], [True])))
+            for s, e in zip(edge[:-1], edge[1:], strict=True):
+                few = b[3][int(s)].as_py()
+                both = np.concatenate((np.array([x["rec"] for x in few]), rec[s:e]))
+                other = np.frombuffer(b"".join(x["sketch"] for x in few), np.uint8).reshape(-1, tokens)
+                met = [np.flatnonzero((sketch[s:e] == x).sum(1) >= least * tokens) for x in other]
+                label = _labels(len(both), np.repeat(np.arange(len(few)), [len(x) for x in met]), len(few) + np.concatenate(met))
+                own = np.flatnonzero(both != both[label])
+                if len(own):
+                    yield pa.record_batch([pa.array(both[own]), pa.array(both[label[own]])], ["a", "b"])
+
+    return run
+
+
+def _settled(large: DataFrame, records: DataFrame, leaf: int, least: float, tokens: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Paths of nodes that need no splitting, and the links (a, b) that hold the candidates of each together.
+
+    Records that agree with a pivot are one class. Of a settled node no more than `leaf`
+    others are left, and each of them is compared with all records, as within a leaf.
+    """
+    rows = keep(large.join(records.select("rec", "sketch"), "rec").select("path", "rec", "sketch"))
+    drawn = (F.min(F.struct(F.xxhash64("rec", F.lit(q)).alias("h"), "sketch"))["sketch"] for q in range(PIVOTS))
+    pivots = keep(rows.groupBy("path").agg(*(x.alias(f"p{q}") for q, x in enumerate(drawn))).select("path", F.concat(*(f"p{q}" for q in range(PIVOTS))).alias("pivots")), now=True)
+    judged = keep(rows.join(pivots.hint("merge"), "path").select("path", "rec", "sketch", "pivots").mapInArrow(_far(tokens, least), "path long, rec long, sketch binary, far array<boolean>"))
+    counted = judged.groupBy("path").agg(
+        F.array(*(F.count_if(F.col("far")[q]) for q in range(PIVOTS))).alias("n"), F.array(*(F.min(F.when(~F.col("far")[q], F.col("rec"))) for q in range(PIVOTS))).alias("first")
+    )
+    best = (F.array_position("n", F.array_min("n")) - 1).cast("int")
+    paths = keep(counted.where(F.array_min("n") <= leaf).select("path", best.alias("q"), F.get("first", best).alias("first")), now=True)
+    for x in (rows, pivots):
+        x.unpersist()
+    inside = judged.join(paths.hint("merge"), "path").select("path", "rec", "sketch", F.get("far", "q").alias("far"), "first")
+    few = keep(inside.where("far").groupBy("path").agg(F.collect_list(F.struct("rec", "sketch")).alias("few")), now=True)  # no more than leaf
+    compared = inside.join(few.hint("merge"), "path").select("path", "rec", "sketch", "few").mapInArrow(_few_links(tokens, least), "a long, b long")
+    return paths, [inside.where(~F.col("far") & (F.col("rec") != F.col("first"))).select(F.col("rec").alias("a"), F.col("first").alias("b")), compared]
+
+
 def loose_links(records: DataFrame, threshold: float, recall: float, depth: int, leaf: int, tokens: int) -> DataFrame:
     """(a, b): links that hold all candidates together; records: (rec, sig)."""
     nodes = keep(records.mapInArrow(_first_nodes(runs_for(recall, threshold, depth), tokens, threshold), "path long, rec long"))
@@ -267,7 +329,9 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
         if large.isEmpty():
             break
         if level < depth:
-            nodes = keep(large.join(records, "rec").select("path", "rec", "sig").mapInArrow(_next_nodes(tokens, threshold), "path long, rec long"))
+            settled, held = _settled(large, records, leaf, threshold - SKETCH_SLACK, tokens)
+            links += held
+            nodes = keep(large.join(settled.hint("merge"), "path", "left_anti").join(records, "rec").select("path", "rec", "sig").mapInArrow(_next_nodes(tokens, threshold), "path long, rec long"))
         else:
             head = keep(large.groupBy("path").agg(F.min("rec").alias("b")), now=True)
             links.append(large.join(head.hint("merge"), "path").select(F.col("rec").alias("a"), "b").where(F.col("a") != F.col("b")))
