@@ -257,15 +257,17 @@ def _leaf_links(tokens: int, least: float):  # noqa: ANN202
 
 
 def _far(tokens: int, least: float):  # noqa: ANN202
-    """For each pivot of a record's node: whether their sketches agree too little."""
+    """The other columns, then for each pivot of a record's node: whether their sketches agree too little."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                own, pivots = _fixed(pa.chunked_array([b[2]]), np.uint8, tokens), _fixed(pa.chunked_array([b[3]]), np.uint8, PIVOTS * tokens)
-                far = (pivots.reshape(-1, PIVOTS, tokens) == own[:, None, :]).sum(2) < least * tokens
-                lists = pa.ListArray.from_arrays(np.arange(0, far.size + 1, PIVOTS, dtype=np.int32), pa.array(far.ravel()))
-                yield pa.record_batch([b[0], b[1], b[2], lists], ["path", "rec", "sketch", "far"])
+                own, pivots = (_fixed(pa.chunked_array([b.column(c)]), np.uint8, tokens) for c in ("sketch", "pivots"))
+                many = len(pivots) // b.num_rows
+                far = (pivots.reshape(-1, many, tokens) == own[:, None, :]).sum(2) < least * tokens
+                lists = pa.ListArray.from_arrays(np.arange(0, far.size + 1, many, dtype=np.int32), pa.array(far.ravel()))
+                names = [c for c in b.schema.names if c != "pivots"]
+                yield pa.record_batch([*(b.column(c) for c in names), lists], [*names, "far"])
 
     return run
 
@@ -297,22 +299,24 @@ def _settled(large: DataFrame, records: DataFrame, leaf: int, least: float, toke
 
     Records that agree with a pivot are one class. Of a settled node no more than `leaf`
     others are left, and each of them is compared with all records, as within a leaf.
+    Steps are written, not kept: a kept table brings the plans of all that it is made from
+    into each plan that reads it, and the driver holds and tells of those with every stage.
     """
-    rows = keep(large.join(records.select("rec", "sketch"), "rec").select("path", "rec", "sketch"))
+    rows = materialize(large.join(records.select("rec", "sketch"), "rec").select("path", "rec", "sketch"), "large")
     drawn = (F.min(F.struct(F.xxhash64("rec", F.lit(q)).alias("h"), "sketch"))["sketch"] for q in range(PIVOTS))
-    pivots = keep(rows.groupBy("path").agg(*(x.alias(f"p{q}") for q, x in enumerate(drawn))).select("path", F.concat(*(f"p{q}" for q in range(PIVOTS))).alias("pivots")), now=True)
-    judged = keep(rows.join(pivots.hint("merge"), "path").select("path", "rec", "sketch", "pivots").mapInArrow(_far(tokens, least), "path long, rec long, sketch binary, far array<boolean>"))
+    pivots = materialize(rows.groupBy("path").agg(*(x.alias(f"p{q}") for q, x in enumerate(drawn))).select("path", F.concat(*(f"p{q}" for q in range(PIVOTS))).alias("pivots")), "pivots")
+    judged = rows.join(pivots.hint("merge"), "path").select("path", "rec", "sketch", "pivots").mapInArrow(_far(tokens, least), "path long, rec long, sketch binary, far array<boolean>")
     counted = judged.groupBy("path").agg(
         F.array(*(F.count_if(F.col("far")[q]) for q in range(PIVOTS))).alias("n"), F.array(*(F.min(F.when(~F.col("far")[q], F.col("rec"))) for q in range(PIVOTS))).alias("first")
     )
     best = (F.array_position("n", F.array_min("n")) - 1).cast("int")
-    paths = keep(counted.where(F.array_min("n") <= leaf).select("path", best.alias("q"), F.get("first", best).alias("first")), now=True)
-    for x in (rows, pivots):
-        x.unpersist()
-    inside = judged.join(paths.hint("merge"), "path").select("path", "rec", "sketch", F.get("far", "q").alias("far"), "first")
-    few = keep(inside.where("far").groupBy("path").agg(F.collect_list(F.struct("rec", "sketch")).alias("few")), now=True)  # no more than leaf
+    enough = counted.where(F.array_min("n") <= leaf).select("path", best.alias("q"), F.get("first", best).alias("first"))
+    paths = materialize(enough.join(pivots, "path").select("path", "first", F.substring("pivots", F.col("q") * tokens + 1, F.lit(tokens)).alias("pivots")), "settled")
+    inside = rows.join(paths.hint("merge"), "path").select("path", "rec", "sketch", "first", "pivots").mapInArrow(_far(tokens, least), "path long, rec long, sketch binary, first long, far array<boolean>")
+    inside = materialize(inside.withColumn("far", F.col("far")[0]), "inside")
+    few = materialize(inside.where("far").groupBy("path").agg(F.collect_list(F.struct("rec", "sketch")).alias("few")), "few")  # no more than leaf
     compared = inside.join(few.hint("merge"), "path").select("path", "rec", "sketch", "few").mapInArrow(_few_links(tokens, least), "a long, b long")
-    return paths, [inside.where(~F.col("far") & (F.col("rec") != F.col("first"))).select(F.col("rec").alias("a"), F.col("first").alias("b")), compared]
+    return paths.select("path"), [inside.where(~F.col("far") & (F.col("rec") != F.col("first"))).select(F.col("rec").alias("a"), F.col("first").alias("b")), compared]
 
 
 def loose_links(records: DataFrame, threshold: float, recall: float, depth: int, leaf: int, tokens: int) -> DataFrame:
@@ -333,7 +337,7 @@ def loose_links(records: DataFrame, threshold: float, recall: float, depth: int,
             links += held
             nodes = keep(large.join(settled.hint("merge"), "path", "left_anti").join(records, "rec").select("path", "rec", "sig").mapInArrow(_next_nodes(tokens, threshold), "path long, rec long"))
         else:
-            head = keep(large.groupBy("path").agg(F.min("rec").alias("b")), now=True)
+            head = materialize(large.groupBy("path").agg(F.min("rec").alias("b")), "heads")
             links.append(large.join(head.hint("merge"), "path").select(F.col("rec").alias("a"), "b").where(F.col("a") != F.col("b")))
     every = leaves[0]
     for x in leaves[1:]:
